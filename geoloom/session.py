@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
+from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
-# Repeated keys in one JSON object: the last one wins, as JSON readers usually do.
 REQUIRED = {
+    # Repeated keys in one JSON object: the last one wins, as JSON readers usually do.
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.session.timeZone": "UTC",
 }
+# Static: call-site capture costs more than building the large expressions used here.
+AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -30,13 +34,30 @@ def local_session(cores: str = "8", app: str = "geoloom", **conf: str) -> SparkS
         .config("spark.sql.shuffle.partitions", cores if cores.isdigit() else "8")
         .config("spark.sql.adaptive.enabled", "true")
     )
-    for key, value in {**REQUIRED, **conf}.items():
+    for key, value in {**REQUIRED, **AT_START, **conf}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return configure(spark)
 
 
+def built_once(build):
+    """Keep a built expression for reuse within the running Spark application.
+
+    For functions of plain values (column names, codes) that return a Column.
+    """
+    kept: dict = {}
+
+    @functools.wraps(build)
+    def wrapper(*args):
+        app = SparkContext._active_spark_context.applicationId
+        if (app, args) not in kept:
+            kept[(app, args)] = build(*args)
+        return kept[(app, args)]
+
+    return wrapper
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared scratch folder; a local one only on a local master."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
