@@ -154,15 +154,22 @@ def oriented_parts(parts: Column) -> Column:
     return F.transform(parts, lambda part: F.transform(part, turn))
 
 
-def parse(text: Column, srid: int = DEFAULT_SRID, expect: int | str | None = None, ranged: bool | None = None) -> Column:
+def parse(
+    text: Column,
+    srid: int = DEFAULT_SRID,
+    expect: int | str | None = None,
+    ranged: bool | None = None,
+    orient: bool = True,
+) -> Column:
     """``struct<geom, error>`` of a GeoJSON column, all but polygon validity.
 
-    The geometry is present only when there is no error; polygons are oriented.
+    The geometry is present only when there is no error. Polygons are oriented
+    unless ``orient`` is off.
     """
     expect = kind_code(expect)
     ranged = srid == DEFAULT_SRID if ranged is None else ranged
-    general = let(F.try_parse_json(text), lambda doc: _parse_variant(text, doc, srid, expect, ranged))
-    plain = _parse_plain(text, srid, expect, ranged)
+    general = let(F.try_parse_json(text), lambda doc: _parse_variant(text, doc, srid, expect, ranged, orient))
+    plain = _parse_plain(text, srid, expect, ranged, orient)
     if plain is None:
         return general
     return let(
@@ -179,7 +186,7 @@ _STRICT_JSON = {
 }
 
 
-def _parse_plain(text: Column, srid: int, expect: int | None, ranged: bool) -> Column | None:
+def _parse_plain(text: Column, srid: int, expect: int | None, ranged: bool, orient: bool) -> Column | None:
     """Quick path for documents of kinds 1 to 6 without any fault; NULL for all else.
 
     ``from_json`` reads typed arrays directly, about twice as fast as by way of a
@@ -202,7 +209,7 @@ def _parse_plain(text: Column, srid: int, expect: int | None, ranged: bool) -> C
     forms = {
         1: (1, good_vertex, lambda c: F.array(F.array(F.array(vertex(c))))),
         2: (2, lambda c: good_run(c, 2), lambda c: F.array(F.array(run(c)))),
-        3: (3, good_area, lambda c: let(F.array(area(c)), oriented_parts)),
+        3: (3, good_area, lambda c: let(F.array(area(c)), oriented_parts) if orient else F.array(area(c))),
         4: (2, lambda c: good_run(c, 0), lambda c: F.transform(c, lambda v: F.array(F.array(vertex(v))))),
         5: (3, lambda c: F.forall(c, lambda l: good_run(l, 2)), lambda c: F.transform(c, lambda l: F.array(run(l)))),
         6: (4, lambda c: F.forall(c, good_area), lambda c: F.transform(c, area)),
@@ -268,16 +275,23 @@ def _checked(ranged: bool):
     return check
 
 
-def _finish(m: Column) -> Column:
-    parts = let(_to_vertices(m["raw"]), lambda v: F.when(m["kind"] == POLYGON, oriented_parts(v)).otherwise(v))
-    return F.struct(m["kind"].alias("kind"), parts.alias("parts"))
+def _finish(orient: bool):
+    def finish(m):
+        parts = _to_vertices(m["raw"])
+        if orient:
+            parts = let(parts, lambda v: F.when(m["kind"] == POLYGON, oriented_parts(v)).otherwise(v))
+        return F.struct(m["kind"].alias("kind"), parts.alias("parts"))
 
+    return finish
 
-def _parse_variant(text: Column, doc: Column, srid: int, expect: int | None, ranged: bool) -> Column:
+
+def _parse_variant(
+    text: Column, doc: Column, srid: int, expect: int | None, ranged: bool, orient: bool
+) -> Column:
     def conclude(top, kind, members):
         def result(found):
             geom = F.struct(
-                kind.alias("kind"), F.lit(srid).alias("srid"), F.transform(members, _finish).alias("members")
+                kind.alias("kind"), F.lit(srid).alias("srid"), F.transform(members, _finish(orient)).alias("members")
             )
             return F.struct(F.when(found.isNull(), geom).alias("geom"), found.alias("error"))
 

@@ -65,8 +65,8 @@ def _format_expression(col: str) -> Column:
 
 
 @built_once
-def _parse_expression(col: str, srid: int, kind: int | None, coordinate_check: bool | None) -> Column:
-    return geojson.parse(F.col(col), srid, kind, coordinate_check)
+def _parse_expression(col: str, srid: int, kind: int | None, coordinate_check: bool | None, orient: bool) -> Column:
+    return geojson.parse(F.col(col), srid, kind, coordinate_check, orient)
 
 
 def parse_geojson(
@@ -77,15 +77,17 @@ def parse_geojson(
     out: str = "geom",
     check_valid: bool = True,
     coordinate_check: bool | None = None,
+    orient: bool = True,
 ) -> DataFrame:
     """GeoJSON text -> geometry and error columns.
 
     ``coordinate_check`` is True for the range check in degrees, False for the
     finite check, None to choose by SRID. With ``check_valid`` polygons that are
     not valid become ``INVALID_POLYGON``; without it the plan is strictly narrow.
+    The check evaluates ``df`` once ahead, so hand it a table, not a costly plan.
     """
     kind = kind_code(expect)
-    df = _spread(df, _parse_expression(col, srid, kind, coordinate_check), out, kind)
+    df = _spread(df, _parse_expression(col, srid, kind, coordinate_check, orient), out, kind)
     may_hold_polygons = kind in (None, KINDS["Polygon"], KINDS["GeometryCollection"])
     if check_valid and may_hold_polygons:
         df = resolve_polygon_validity(df, col, out)

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geoloom.functions import binary
 from geoloom.functions.geojson import let
 from geoloom.schema import KINDS, error
 from geoloom.session import built_once, materialize
@@ -506,13 +507,18 @@ def area_findings(areas: DataFrame, largest: int, any_several: bool) -> DataFram
     return bad.groupBy("key").agg(F.min(F.struct("member", "rank", "code"))["code"].alias("code"))
 
 
-def _with_verdict(df: DataFrame, geom: str, out: str, key: Column, only_polygons: bool, unique: bool) -> DataFrame:
+def _with_verdict(
+    df: DataFrame, geom: str, out: str, key: Column, only_polygons: bool, unique: bool, stage: bool
+) -> DataFrame:
     """Add column ``out``: the verdict within the row, completed by the job over edges.
 
     Evaluates ``df`` once ahead, to set aside the areas that rows cannot settle.
-    Where nothing is set aside the result is a narrow plan.
+    Where nothing is set aside the result is a narrow plan. With ``stage`` that
+    first evaluation is written as a table and is the only one.
     """
     df = df.withColumn("__row", row_verdict(geom, only_polygons))
+    if stage:
+        df = materialize(df, "judged")
     wanted = (POLYGON,) if only_polygons else (POLYGON, MULTI_POLYGON)
     open_areas = (
         df.filter(F.col("__row")["open"] & F.col("__row")["code"].isNull())
@@ -541,29 +547,38 @@ def _with_verdict(df: DataFrame, geom: str, out: str, key: Column, only_polygons
     return joined.withColumn(out, F.coalesce(F.col("__row")["code"], "__found")).drop("__row", "__key", "__found")
 
 
-def check_validity(df: DataFrame, id_col: str, col: str, out: str = "validity") -> DataFrame:
+def content_key(geom: str) -> Column:
+    """Digest of a geometry's bytes: the same in every re-run of a task."""
+    return F.sha2(binary.encode(F.col(geom), as_hex=False), 256)
+
+
+def check_validity(
+    df: DataFrame, id_col: str | None, col: str, out: str = "validity", stage: bool = False
+) -> DataFrame:
     """OGC validity of every geometry of any kind: NULL when valid, else a code.
 
-    ``id_col`` must be unique. Codes: NON_FINITE, RING_OPEN, TOO_FEW_POINTS,
-    SELF_INTERSECTION, DISCONNECTED_INTERIOR, HOLE_OUTSIDE_SHELL, NESTED_HOLES,
-    NESTED_SHELLS.
+    ``id_col`` must be unique; without one geometries are told apart by content.
+    Codes: NON_FINITE, RING_OPEN, TOO_FEW_POINTS, SELF_INTERSECTION,
+    DISCONNECTED_INTERIOR, HOLE_OUTSIDE_SHELL, NESTED_HOLES, NESTED_SHELLS.
     """
-    return _with_verdict(df, col, out, F.col(id_col), only_polygons=False, unique=True)
+    key = F.col(id_col) if id_col else content_key(col)
+    return _with_verdict(df, col, out, key, only_polygons=False, unique=id_col is not None, stage=stage)
 
 
-def resolve_polygon_validity(df: DataFrame, text_col: str, geom: str) -> DataFrame:
+def resolve_polygon_validity(df: DataFrame, text_col: str, geom: str, stage: bool = False) -> DataFrame:
     """Turn invalid polygons of a parsed column into ``INVALID_POLYGON`` errors.
 
     Polygons are checked, alone or as members; multi-polygons are not. Verdicts
     are keyed by a digest of the text, which any re-run of a task gives again.
     """
-    df = _with_verdict(df, geom, "__code", F.sha2(F.col(text_col), 256), only_polygons=True, unique=False)
+    key = F.sha2(F.col(text_col), 256)
+    df = _with_verdict(df, geom, "__code", key, only_polygons=True, unique=False, stage=stage)
     bad = F.col("__code").isNotNull()
+    meta = df.schema[geom].metadata
+    found = error("INVALID_POLYGON", "coordinates", F.col("__code"))
     return df.withColumns(
         {
-            geom: F.when(~bad, F.col(geom)),
-            geom + "_error": F.when(bad, error("INVALID_POLYGON", "coordinates", F.col("__code"))).otherwise(
-                F.col(geom + "_error")
-            ),
+            geom: F.when(~bad, F.col(geom)).alias(geom, metadata=meta),
+            geom + "_error": F.when(bad, found).otherwise(F.col(geom + "_error")),
         }
     ).drop("__code")
