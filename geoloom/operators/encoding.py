@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from geoloom.functions import binary, geojson
 from geoloom.operators.validity import resolve_polygon_validity
-from geoloom.schema import DEFAULT_SRID, KINDS, declare_geometry, kind_code
+from geoloom.schema import DEFAULT_SRID, KINDS, bind, declare_geometry, kind_code
 from geoloom.session import built_once
 
 
@@ -22,7 +22,7 @@ def is_text(df: DataFrame, col: str) -> bool:
 def _spread(df: DataFrame, pair: Column, out: str, kind: int | None) -> DataFrame:
     """Columns ``out`` and ``out_error`` from a ``struct<geom, error>`` expression."""
     staged = "__" + out
-    df = df.withColumn(staged, pair)
+    df = bind(df.drop(out, out + "_error"), staged, pair)
     df = df.withColumns({out: F.col(staged)["geom"], out + "_error": F.col(staged)["error"]}).drop(staged)
     return declare_geometry(df, {out: kind})
 

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from geoloom.functions import binary
 from geoloom.functions.geojson import let
-from geoloom.schema import KINDS, error
+from geoloom.schema import KINDS, bind, error
 from geoloom.session import built_once, materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -27,6 +27,7 @@ POLYGON, MULTI_POLYGON = KINDS["Polygon"], KINDS["MultiPolygon"]
 ROW_EDGES = 24  # rings up to this many edges are tested within the row
 CELL_EDGES = 64  # cells fuller than this are split further
 MAX_SPLITS = 12
+DEEPEST = 20  # levels of grids for rings of different size
 BROADCAST_ROWS = 200_000
 ORIENT_BOUND = 3.3306690738754716e-16  # relative error bound of the 2x2 determinant in doubles
 
@@ -155,36 +156,42 @@ def row_verdict(col: str, only_polygons: bool = False) -> Column:
 
 # --- the relational job ----------------------------------------------------
 
-def _area_edges(areas: DataFrame) -> DataFrame:
-    """One row per edge of each area, with the vertex before and the area's frame.
+def _clean_sql(ring: str) -> str:
+    return f"filter({ring}, (v, i) -> i = 0 OR NOT (v.x = {ring}[i - 1].x AND v.y = {ring}[i - 1].y))"
 
-    Envelope and edge count are worked out within the area's row and travel with
-    the edges, so no join is needed to bring them together.
+
+_AREA = ["key", "member", "n_edges", "several", "x0", "y0", "x1", "y1"]
+
+
+def _extent_sql(vertices: str, names: tuple[str, str, str, str]) -> list[str]:
+    sides = [("min", "x"), ("min", "y"), ("max", "x"), ("max", "y")]
+    return [f"array_{side}(transform({vertices}, v -> v.{o})) AS {name}" for (side, o), name in zip(sides, names)]
+
+
+def _area_rings(areas: DataFrame) -> DataFrame:
+    """One row per clean ring ``v`` of each area, with the area's frame.
+
+    Envelope and edge count are worked out within the area's row and travel
+    along, so no join is needed to bring them together.
     """
-    flat = F.flatten(F.flatten(F.col("parts")))
-    ordinate = lambda o: F.transform(flat, lambda v: v[o])
-    areas = areas.select(
-        "key",
-        "member",
-        "parts",
-        "n_edges",
-        "several",
-        F.array_min(ordinate("x")).alias("x0"),
-        F.array_min(ordinate("y")).alias("y0"),
-        F.array_max(ordinate("x")).alias("x1"),
-        F.array_max(ordinate("y")).alias("y1"),
+    frames = areas.selectExpr(
+        "key", "member", "parts", "n_edges", "several",
+        *_extent_sql("flatten(flatten(parts))", ("x0", "y0", "x1", "y1")),
     )
-    area = ["key", "member", "n_edges", "several", "x0", "y0", "x1", "y1"]
-    rings = areas.select(*area, F.posexplode("parts").alias("part", "rings"))
-    rings = rings.select(*area, "part", F.posexplode("rings").alias("ring", "raw"))
-    rings = rings.select(*area, "part", "ring", without_repeats(F.col("raw")).alias("v"))
-    n = F.size("v") - 1
-    at = lambda i: F.get("v", i)
-    step = lambda i: F.struct(at((i + n - 1) % n).alias("before"), at(i).alias("a"), at(i + 1).alias("b"))
-    edges = rings.filter(n > 0).select(
-        *area, "part", "ring", n.alias("n"), F.posexplode(F.transform(F.sequence(F.lit(0), n - 1), step)).alias("seq", "e")
+    rings = frames.selectExpr(*_AREA, "posexplode(parts) AS (part, rings)")
+    rings = rings.selectExpr(*_AREA, "part", "posexplode(rings) AS (ring, raw)")
+    return bind(rings, "v", F.expr(_clean_sql("raw"))).filter("size(v) > 1").drop("raw")
+
+
+def _ring_edges(rings: DataFrame) -> DataFrame:
+    """One row per edge a-b, with the vertex before it and the ring's edge count."""
+    n = "(size(v) - 1)"
+    edge = f"struct(v[(i + {n} - 1) % {n}] AS before, v[i] AS a, v[i + 1] AS b)"
+    kept = [c for c in rings.columns if c != "v"]
+    edges = rings.selectExpr(
+        *kept, f"{n} AS n", f"posexplode(transform(sequence(0, {n} - 1), i -> {edge})) AS (seq, e)"
     )
-    return edges.select(*area, "part", "ring", "n", "seq", "e.before", "e.a", "e.b")
+    return edges.selectExpr(*kept, "n", "seq", "e.before", "e.a", "e.b")
 
 
 def _cells(edges: DataFrame) -> DataFrame:
@@ -195,23 +202,27 @@ def _cells(edges: DataFrame) -> DataFrame:
     cells and not its whole box. Cell numbers grow with the coordinate, so two
     edges through one point always share that point's cell.
     """
-    w, h, x0, y0 = (F.col(c) for c in ("w", "h", "x0", "y0"))
-    lo_x, hi_x = F.least("a.x", "b.x"), F.greatest("a.x", "b.x")
-    lo_y, hi_y = F.least("a.y", "b.y"), F.greatest("a.y", "b.y")
-    col_of = lambda x: F.floor(x / w - x0 / w)
-    row_of = lambda y: F.floor(y / h - y0 / h)
-    columns = edges.withColumn("cx", F.explode(F.sequence(col_of(lo_x), col_of(hi_x))))
-    dx = F.col("b.x") - F.col("a.x")
-    y_at = lambda x: F.col("a.y") + (x - F.col("a.x")) / F.nullif(dx, F.lit(0.0)) * (F.col("b.y") - F.col("a.y"))
-    margin = w * 1e-3 + (F.abs(lo_x) + F.abs(hi_x)) * 1e-12
-    left = F.greatest(lo_x, x0 + F.col("cx") * w - margin)
-    right = F.least(hi_x, x0 + (F.col("cx") + 1) * w + margin)
-    slack = h * 1e-3 + (F.abs(lo_y) + F.abs(hi_y)) * 1e-12
+    stored = edges.columns
+    span = edges.selectExpr(
+        *stored,
+        "least(a.x, b.x) AS lx", "greatest(a.x, b.x) AS hx", "least(a.y, b.y) AS ly", "greatest(a.y, b.y) AS hy",
+        "CASE WHEN a.x <> b.x THEN (b.y - a.y) / (b.x - a.x) END AS slope",
+    )
+    columns = span.selectExpr(
+        "*", "explode(sequence(floor(lx / w - x0 / w), floor(hx / w - x0 / w))) AS cx",
+        "w * 1e-3 + (abs(lx) + abs(hx)) * 1e-12 AS margin", "h * 1e-3 + (abs(ly) + abs(hy)) * 1e-12 AS slack",
+    )
     # least() and greatest() skip NULLs, so upright edges are told apart first.
-    clamp = lambda y: F.least(F.greatest(y, lo_y), hi_y)
-    low = F.when(dx == 0, lo_y).otherwise(clamp(F.least(y_at(left), y_at(right)) - slack))
-    high = F.when(dx == 0, hi_y).otherwise(clamp(F.greatest(y_at(left), y_at(right)) + slack))
-    return columns.withColumn("cy", F.explode(F.sequence(row_of(low), row_of(high))))
+    crossed = columns.selectExpr(
+        *stored, "ly", "hy", "slope", "slack", "cx",
+        "a.y + (greatest(lx, x0 + cx * w - margin) - a.x) * slope AS enter",
+        "a.y + (least(hx, x0 + (cx + 1) * w + margin) - a.x) * slope AS leave",
+    ).selectExpr(
+        *stored, "cx",
+        "CASE WHEN slope IS NULL THEN ly ELSE least(greatest(least(enter, leave) - slack, ly), hy) END AS low",
+        "CASE WHEN slope IS NULL THEN hy ELSE least(greatest(greatest(enter, leave) + slack, ly), hy) END AS high",
+    )
+    return crossed.selectExpr(*stored, "cx", "explode(sequence(floor(low / h - y0 / h), floor(high / h - y0 / h))) AS cy")
 
 
 def _bucketed(edges: DataFrame, may_crowd: bool) -> DataFrame:
@@ -220,9 +231,9 @@ def _bucketed(edges: DataFrame, may_crowd: bool) -> DataFrame:
     The grid is sized by the area's edge count. Where edges crowd together, the
     crowded cells are split again and again; each round handles those alone.
     """
-    side = F.least(F.ceil(F.sqrt(F.col("n_edges") / 8)), F.lit(1 << 15)).cast("double")
-    width = lambda lo, hi: F.coalesce(F.nullif(F.col(hi) / side - F.col(lo) / side, F.lit(0.0)), F.lit(1.0))
-    placed = _cells(edges.withColumns({"w": width("x0", "x1"), "h": width("y0", "y1"), "level": F.lit(0)}))
+    side = f"CAST(least(ceil(sqrt(n_edges / 8)), {1 << 15}) AS DOUBLE)"
+    size = lambda o: f"coalesce(nullif({o}1 / {side} - {o}0 / {side}, 0D), 1D)"
+    placed = _cells(edges.selectExpr("*", f"{size('x')} AS w", f"{size('y')} AS h", "0 AS level"))
     where = ["key", "member", "level", "cx", "cy"]
     keep = None
     for level in range(MAX_SPLITS if may_crowd else 0):
@@ -321,69 +332,65 @@ _JUDGED = T.StructType(
 def _judge(
     e0x: pa.Array, e0y: pa.Array, e1x: pa.Array, e1y: pa.Array, e2x: pa.Array, e2y: pa.Array,
     f0x: pa.Array, f0y: pa.Array, f1x: pa.Array, f1y: pa.Array, f2x: pa.Array, f2y: pa.Array,
-    same_ring: pa.Array, neighbours: pa.Array,
+    same_ring: pa.Array, neighbours: pa.Array, crosses: pa.Array,
 ) -> pa.Array:
     ordinates = [c.to_pylist() for c in (e0x, e0y, e1x, e1y, e2x, e2y, f0x, f0y, f1x, f1y, f2x, f2y)]
     corners = [list(zip(ordinates[i], ordinates[i + 1])) for i in range(0, 12, 2)]
-    judged = [_judge_pair(*args) for args in zip(*corners, same_ring.to_pylist(), neighbours.to_pylist())]
+    rows = zip(crosses.to_pylist(), *corners, same_ring.to_pylist(), neighbours.to_pylist())
+    judged = [(1, None) if certain else _judge_pair(*pair) for certain, *pair in rows]
     place = lambda at: pa.array([p[at] if v == 2 else None for v, p in judged], pa.float64())
     return pa.StructArray.from_arrays(
         [pa.array([v for v, _ in judged], pa.int32()), place(0), place(1)], names=["verdict", "tx", "ty"]
     )
 
 
+def _turn_sql(p: str, q: str, r: str) -> str:
+    left, right = f"({p}.x - {r}.x) * ({q}.y - {r}.y)", f"({p}.y - {r}.y) * ({q}.x - {r}.x)"
+    return (
+        f"CASE WHEN abs({left} - {right}) >= (abs({left}) + abs({right})) * {ORIENT_BOUND}D THEN signum({left} - {right}) END"
+    )
+
+
 def _suspect_pairs(bucketed: DataFrame) -> DataFrame:
     """Pairs of edges in one cell that clash, touch, or are too close to call."""
     names = ("part", "ring", "seq", "n", "before", "a", "b")
     where = ["key", "member", "level", "cx", "cy"]
-    side = lambda s: bucketed.select(*where, *[F.col(c).alias(f"{c}_{s}") for c in names])
-    order = lambda s: F.struct(*[F.col(f"{c}_{s}").alias(c) for c in ("part", "ring", "seq")])
-    pairs = side("e").join(side("f"), where).filter(
-        (order("e") < order("f")) & boxes_meet(F.col("a_e"), F.col("b_e"), F.col("a_f"), F.col("b_f"))
+    side = lambda s: bucketed.selectExpr(*where, *[f"{c} AS {c}_{s}" for c in names])
+    meet = " AND ".join(
+        f"least(a_{s}.{o}, b_{s}.{o}) <= greatest(a_{t}.{o}, b_{t}.{o})" for o in "xy" for s, t in (("e", "f"), ("f", "e"))
     )
-    same_ring = (F.col("part_e") == F.col("part_f")) & (F.col("ring_e") == F.col("ring_f"))
-    follows = same_ring & (F.col("seq_f") == F.col("seq_e") + 1)
-    wraps = same_ring & (F.col("seq_e") == 0) & (F.col("seq_f") == F.col("n_e") - 1)
-    turn = lambda p, q, r: orientation(F.col(p), F.col(q), F.col(r))
-    pairs = pairs.withColumns(
-        {
-            "same_ring": same_ring,
-            "neighbours": follows | wraps,
-            "s1": turn("a_e", "b_e", "a_f"),
-            "s2": turn("a_e", "b_e", "b_f"),
-            "s3": turn("a_f", "b_f", "a_e"),
-            "s4": turn("a_f", "b_f", "b_e"),
-        }
+    # Edges come out of exploded rows, whose size the planner cannot know: never broadcast them.
+    pairs = side("e").hint("merge").join(side("f"), where).filter(
+        f"struct(part_e, ring_e, seq_e) < struct(part_f, ring_f, seq_f) AND {meet}"
+    )
+    same_ring = "(part_e = part_f AND ring_e = ring_f)"
+    pairs = pairs.selectExpr(
+        "*",
+        f"{same_ring} AS same_ring",
+        f"{same_ring} AND seq_f = seq_e + 1 AS follows",
+        f"{same_ring} AND seq_e = 0 AND seq_f = n_e - 1 AS wraps",
+        f"{_turn_sql('a_e', 'b_e', 'a_f')} AS s1",
+        f"{_turn_sql('a_e', 'b_e', 'b_f')} AS s2",
+        f"{_turn_sql('a_f', 'b_f', 'a_e')} AS s3",
+        f"{_turn_sql('a_f', 'b_f', 'b_e')} AS s4",
     )
-    clear = F.coalesce((F.col("s1") * F.col("s2") > 0) | (F.col("s3") * F.col("s4") > 0), F.lit(False))
     # Neighbours share a vertex; a certain turn at it settles them.
-    bend = F.when(follows, F.col("s2")).when(wraps, F.col("s1"))
-    settled = F.coalesce(F.col("neighbours") & (bend != 0), F.lit(False))
-    return pairs.filter(~clear & ~settled)
+    return pairs.filter(
+        """NOT coalesce(s1 * s2 > 0 OR s3 * s4 > 0, false)
+        AND NOT coalesce((follows AND s2 <> 0) OR (wraps AND s1 <> 0), false)"""
+    )
 
 
 def _pair_findings(bucketed: DataFrame) -> DataFrame:
     """(key, member, verdict 1) of clashing areas, and verdict 2 with the place of each touch."""
-    pairs = _suspect_pairs(bucketed)
-    certain = (F.col("s1") * F.col("s2") < 0) & (F.col("s3") * F.col("s4") < 0)
-    pairs = pairs.withColumn("crosses", F.coalesce(certain, F.lit(False)))
-    ids = ["part_e", "ring_e", "part_f", "ring_f"]
-    places = {"tx": "double", "ty": "double"}
-    close = pairs.filter(~F.col("crosses")).select(
-        "key", "member", *ids,
-        _judge(*[F.col(f"{c}.{o}") for c in _CORNERS for o in ("x", "y")], "same_ring", "neighbours").alias("j"),
+    pairs = _suspect_pairs(bucketed).selectExpr(
+        "*", "follows OR wraps AS neighbours", "coalesce(s1 * s2 < 0 AND s3 * s4 < 0, false) AS crosses"
     )
+    ordinates = [f"{c}.{o}" for c in _CORNERS for o in "xy"]
+    judged = bind(pairs, "j", _judge(*ordinates, "same_ring", "neighbours", "crosses")).filter("j.verdict > 0")
     # A clash needs no place, so all clashes of an area fold into one row early.
-    only_touch = lambda c: F.when(F.col("j.verdict") == 2, F.col(c))
-    judged = close.select(
-        "key", "member", F.col("j.verdict").alias("verdict"), *[only_touch(c).alias(c) for c in ids],
-        *[only_touch("j." + c).alias(c) for c in places],
-    ).filter("verdict > 0")
-    crossed = pairs.filter("crosses").select(
-        "key", "member", F.lit(1).alias("verdict"), *[F.lit(None).cast("int").alias(c) for c in ids],
-        *[F.lit(None).cast(kind).alias(c) for c, kind in places.items()],
-    )
-    return crossed.unionByName(judged).distinct()
+    only_touch = [f"CASE WHEN j.verdict = 2 THEN {c} END AS {c}" for c in ("part_e", "ring_e", "part_f", "ring_f")]
+    return judged.selectExpr("key", "member", "j.verdict", *only_touch, "j.tx", "j.ty").distinct()
 
 
 @F.arrow_udf(T.BooleanType())
@@ -422,62 +429,77 @@ def _split_interiors(touches: DataFrame) -> DataFrame:
     return groups.filter(_has_cycle("touches")).select("key", "member")
 
 
-def _nesting(edges: DataFrame) -> DataFrame:
+def _nesting(rings: DataFrame) -> DataFrame:
     """Areas with a hole outside its shell, a hole in a hole, or a shell in a polygon.
 
-    A few witness points of each ring meet the other rings' edges on horizontal
-    strips and count crossings to their right. Where rings do not cross, a
-    witness off the boundary decides for its whole ring.
+    Where rings do not cross, a point of one that is off the other's boundary
+    tells whether it lies within. Rings that can hold another are found by their
+    envelopes on grids matched to their size, so few pairs come up; a ring's few
+    witness points then meet only the edges at their height in the other ring.
     """
-    strips = F.ceil(F.sqrt(F.col("n_edges") / 2)).cast("double")
-    height = F.coalesce(F.nullif(F.col("y1") / strips - F.col("y0") / strips, F.lit(0.0)), F.lit(1.0))
-    edges = edges.filter("several").withColumn("h", height)
-    row_of = lambda y: F.floor(y / F.col("h") - F.col("y0") / F.col("h"))
-    middle = F.struct(
-        ((F.col("a.x") + F.col("b.x")) / 2).alias("x"), ((F.col("a.y") + F.col("b.y")) / 2).alias("y")
+    area = ["key", "member"]
+    extent = ("rx0", "ry0", "rx1", "ry1")
+    rings = rings.filter("several").selectExpr(
+        *area, "part", "ring", "v", "size(v) - 1 AS n_ring", "x0", "y0", "greatest(x1 - x0, y1 - y0) AS reach",
+        *_extent_sql("v", extent),
     )
-    witness = edges.filter("seq < 2").select(
-        "key", "member", F.col("part").alias("part_w"), F.col("ring").alias("ring_w"), "y0", "h",
-        F.explode(
-            F.when(F.col("seq") == 0, F.array(F.struct(F.lit(0).alias("no"), F.col("a").alias("p")), F.struct(F.lit(2).alias("no"), middle.alias("p"))))
-            .otherwise(F.array(F.struct(F.lit(1).alias("no"), F.col("a").alias("p"))))
-        ).alias("w"),
-    ).select("key", "member", "part_w", "ring_w", "w.no", "w.p", row_of(F.col("w.p.y")).alias("strip"))
-    fences = edges.withColumn(
-        "strip", F.explode(F.sequence(row_of(F.least("a.y", "b.y")), row_of(F.greatest("a.y", "b.y"))))
-    ).select("key", "member", "part", "ring", "a", "b", "strip")
-    met = witness.join(fences, ["key", "member", "strip"]).filter(
-        ((F.col("part_w") != F.col("part")) | (F.col("ring_w") != F.col("ring")))
-        & ((F.col("part_w") == F.col("part")) | (F.col("ring_w") == 0))
+    # Each ring lies on the grid whose cells are no smaller than it, so on four cells at most.
+    size = "greatest(rx1 - rx0, ry1 - ry0)"
+    cell = "(reach / pow(2D, level))"
+    at = lambda o, value: f"floor(({value} - {o}0) / {cell})"
+    holders = rings.selectExpr(*area, "part", "ring", "n_ring", *extent, "x0", "y0", "reach", f"CAST(least(greatest(floor(log2(reach / {size})), 0), {DEEPEST}) AS INT) AS level")
+    holders = holders.selectExpr("*", f"explode(sequence({at('x', 'rx0')}, {at('x', 'rx1')})) AS cx")
+    holders = holders.selectExpr(*area, "part", "ring", "n_ring", *extent, "level", "cx", f"explode(sequence({at('y', 'ry0')}, {at('y', 'ry1')})) AS cy")
+    held = rings.selectExpr(
+        *area, "part AS part_w", "ring AS ring_w", "x0", "y0", "reach", *[f"{c} AS {c}_w" for c in extent],
+        "v[0] AS p0", "v[1] AS p1", f"explode(sequence(0, {DEEPEST})) AS level",
+    ).selectExpr("*", f"{at('x', 'p0.x')} AS cx", f"{at('y', 'p0.y')} AS cy")
+    # Holes are held by rings of their own polygon, shells by those of others.
+    pairs = held.drop("x0", "y0", "reach").hint("merge").join(holders, [*area, "level", "cx", "cy"]).filter(
+        """CASE WHEN ring_w > 0 THEN part_w = part AND ring_w <> ring ELSE part_w <> part END
+        AND rx0 <= rx0_w AND ry0 <= ry0_w AND rx1 >= rx1_w AND ry1 >= ry1_w"""
     )
-    p, a, b = F.col("p"), F.col("a"), F.col("b")
-    side = F.coalesce(orientation(a, b, p), F.lit(0.0))
-    spans = (a["y"] > p["y"]) != (b["y"] > p["y"])
-    right = spans & F.when(b["y"] > a["y"], side > 0).otherwise(side < 0)
-    touches = (side == 0) & boxes_meet(a, b, p, p)
-    counted = met.groupBy("key", "member", "part_w", "ring_w", "part", "ring", "no").agg(
-        F.sum(right.cast("int")).alias("crossings"), F.max(touches).alias("on_edge")
+    strip = lambda y: f"floor(({y} - ry0) / h)"
+    height = "coalesce(nullif((ry1 - ry0) / greatest(n_ring / 8, 1), 0D), 1D) AS h"
+    fences = _ring_edges(rings.select(*area, "part", "ring", "v", "n_ring", "ry0", "ry1")).selectExpr("*", height)
+    fences = fences.selectExpr(
+        *area, "part", "ring", "a", "b", f"explode(sequence({strip('least(a.y, b.y)')}, {strip('greatest(a.y, b.y)')})) AS strip"
     )
-    placed = (
-        counted.filter("not on_edge")
-        .groupBy("key", "member", "part_w", "ring_w", "part", "ring")
-        .agg(F.min_by(F.col("crossings") % 2 == 1, "no").alias("inside"))
+    middle = "struct((p0.x + p1.x) / 2 AS x, (p0.y + p1.y) / 2 AS y)"
+    witness = pairs.selectExpr(
+        *area, "part_w", "ring_w", "part", "ring", "ry0", height, f"posexplode(array(p0, p1, {middle})) AS (no, p)"
+    ).selectExpr(*area, "part_w", "ring_w", "part", "ring", "no", "p", f"{strip('p.y')} AS strip")
+    pair = [*area, "part_w", "ring_w", "part", "ring"]
+    met = witness.hint("merge").join(fences, [*area, "part", "ring", "strip"], "left")
+    side = f"coalesce({_turn_sql('a', 'b', 'p')}, 0D)"
+    met = met.selectExpr(
+        *pair, "no",
+        f"(a.y > p.y) <> (b.y > p.y) AND CASE WHEN b.y > a.y THEN {side} > 0 ELSE {side} < 0 END AS right_of",
+        f"""{side} = 0 AND p.x BETWEEN least(a.x, b.x) AND greatest(a.x, b.x)
+            AND p.y BETWEEN least(a.y, b.y) AND greatest(a.y, b.y) AS on_edge""",
+    )
+    # All witnesses of a pair in one aggregation: odd crossings, unless on the edge itself.
+    told = [
+        f"struct(count_if(right_of AND no = {i}) % 2 = 1 AS inside, coalesce(bool_or(on_edge) FILTER (WHERE no = {i}), false) AS skip)"
+        for i in range(3)
+    ]
+    placed = met.groupBy(*pair).agg(F.expr(f"filter(array({', '.join(told)}), w -> NOT w.skip)").alias("told"))
+    placed = placed.selectExpr(*pair, "size(told) = 0 AS on_edge", "coalesce(get(told, 0).inside, false) AS inside")
+    holes = placed.filter("part_w = part").groupBy(*area, "part_w", "ring_w").agg(
+        F.expr("bool_or(ring = 0 AND (inside OR on_edge))").alias("in_shell"),
+        F.expr("bool_or(ring > 0 AND inside)").alias("in_hole"),
     )
-    own = F.col("part_w") == F.col("part")
-    nested_hole = placed.filter(own & (F.col("ring_w") > 0) & (F.col("ring") > 0) & F.col("inside"))
-    # A hole that meets no edge of its shell on its strip is outside as well.
-    holes = edges.filter("seq = 0 and ring > 0").select("key", "member", F.col("part").alias("part_w"), F.col("ring").alias("ring_w"))
-    held = placed.filter(own & (F.col("ring") == 0) & F.col("inside")).select("key", "member", "part_w", "ring_w")
-    on_shell = counted.filter(own & (F.col("ring") == 0)).groupBy("key", "member", "part_w", "ring_w").agg(
-        F.min("on_edge").alias("all_on")
-    ).filter("all_on").select("key", "member", "part_w", "ring_w")
-    stray = holes.join(held.unionByName(on_shell), ["key", "member", "part_w", "ring_w"], "left_anti")
+    # A hole whose envelope its shell's does not cover made no pair at all.
+    all_holes = rings.filter("ring > 0").selectExpr(*area, "part AS part_w", "ring AS ring_w")
+    holes = all_holes.hint("merge").join(holes, [*area, "part_w", "ring_w"], "left")
+    stray = holes.filter("NOT coalesce(in_shell, false)")
+    nested_hole = holes.filter("in_hole")
     # A shell inside another polygon's shell is fine only within one of its holes.
     shells = (
-        placed.filter(~own & (F.col("ring_w") == 0) & F.col("inside"))
-        .groupBy("key", "member", "part_w", "part")
-        .agg(F.max(F.col("ring") == 0).alias("in_shell"), F.max(F.col("ring") > 0).alias("in_hole"))
-        .filter("in_shell and not in_hole")
+        placed.filter("part_w <> part AND inside")
+        .groupBy(*area, "part_w", "part")
+        .agg(F.expr("bool_or(ring = 0)").alias("in_shell"), F.expr("bool_or(ring > 0)").alias("in_hole"))
+        .filter("in_shell AND NOT in_hole")
     )
     return (
         _tag(stray, 3, "HOLE_OUTSIDE_SHELL")
@@ -496,14 +518,14 @@ def area_findings(areas: DataFrame, largest: int, any_several: bool) -> DataFram
     Input: key, member, parts, n_edges, several of areas whose single rings are
     sound, with the greatest edge count and whether any has more than one ring.
     """
-    edges = _area_edges(areas)
-    findings = _pair_findings(_bucketed(edges, may_crowd=largest > CELL_EDGES))
+    rings = _area_rings(areas)
+    findings = _pair_findings(_bucketed(_ring_edges(rings), may_crowd=largest > CELL_EDGES))
     if any_several:
         findings = materialize(findings, "edge-findings")
     bad = _tag(findings.filter("verdict = 1"), 1, "SELF_INTERSECTION")
     if any_several:
         touches = findings.filter("verdict = 2")
-        bad = bad.unionByName(_tag(_split_interiors(touches), 2, "DISCONNECTED_INTERIOR")).unionByName(_nesting(edges))
+        bad = bad.unionByName(_tag(_split_interiors(touches), 2, "DISCONNECTED_INTERIOR")).unionByName(_nesting(rings))
     return bad.groupBy("key").agg(F.min(F.struct("member", "rank", "code"))["code"].alias("code"))
 
 
@@ -516,7 +538,7 @@ def _with_verdict(
     Where nothing is set aside the result is a narrow plan. With ``stage`` that
     first evaluation is written as a table and is the only one.
     """
-    df = df.withColumn("__row", row_verdict(geom, only_polygons))
+    df = bind(df, "__row", row_verdict(geom, only_polygons))
     if stage:
         df = materialize(df, "judged")
     wanted = (POLYGON,) if only_polygons else (POLYGON, MULTI_POLYGON)

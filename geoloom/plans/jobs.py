@@ -10,7 +10,7 @@ from geoloom.functions.encodings import encoding
 from geoloom.operators.encoding import is_text, parse_geojson
 from geoloom.operators.validate import fill_srid, orient_rings, quality_report, split_quarantine, vertex_count
 from geoloom.operators.validity import resolve_polygon_validity
-from geoloom.schema import DEFAULT_SRID, declare_geometry, kind_code
+from geoloom.schema import DEFAULT_SRID, bind, declare_geometry, kind_code
 
 
 def convert_table(
@@ -26,7 +26,7 @@ def convert_table(
     if src == "geojson":
         df = parse_geojson(df, col, default_srid, code, staged)
     else:
-        df = df.withColumn("__pair", encoding(src).decode(F.col(col), is_text(df, col), code))
+        df = bind(df, "__pair", encoding(src).decode(F.col(col), is_text(df, col), code))
         df = df.withColumns({staged: F.col("__pair.geom"), staged + "_error": F.col("__pair.error")}).drop("__pair")
     geom = binary.with_default_srid(F.col(staged), default_srid)
     return df.withColumns({out: encoding(dst).encode(geom), out + "_error": F.col(staged + "_error")}).drop(

@@ -74,6 +74,16 @@ def no_error() -> Column:
     return F.lit(None).cast(ERROR)
 
 
+def bind(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is worked out once per row, whatever is done with it later.
+
+    A filter on an ordinary computed column is pushed below the projection and
+    works the column out again, per reference. A generator of one row is a border
+    such filters do not cross, while filters on stored columns still do.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
 def snake_case(name: str) -> str:
     return re.sub(r"([a-z])([A-Z])", r"\1_\2", name).lower()
 

@@ -8,14 +8,14 @@ from pyspark.sql import functions as F
 from geoloom.functions import binary
 from geoloom.functions.encodings import Encoding, encoding
 from geoloom.operators.encoding import format_geojson, is_text, parse_geojson
-from geoloom.schema import DEFAULT_SRID, declare_geometry, kind_code
+from geoloom.schema import DEFAULT_SRID, bind, declare_geometry, kind_code
 
 
 def decode_columns(df: DataFrame, geom_cols: dict[str, int | str | None], how: Encoding) -> DataFrame:
     """Replace encoded columns by geometries, each with an error column beside it."""
     for col, kind in geom_cols.items():
         code = kind_code(kind)
-        df = df.withColumn("__pair", how.decode(F.col(col), is_text(df, col), code))
+        df = bind(df, "__pair", how.decode(F.col(col), is_text(df, col), code))
         df = df.withColumns({col: F.col("__pair.geom"), col + "_error": F.col("__pair.error")}).drop("__pair")
     return declare_geometry(df, geom_cols)
 
