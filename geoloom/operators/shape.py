@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from geoloom.functions.geojson import vertex_error
 from geoloom.operators.validate import check_structure, orient_rings
 from geoloom.operators.validity import check_validity
-from geoloom.schema import DEFAULT_SRID, ERROR, GEOM, KINDS, PARTS, declare_geometry, error, no_error
+from geoloom.schema import DEFAULT_SRID, ERROR, GEOM, KINDS, declare_geometry, error, kind_code, no_error
 from geoloom.session import materialize
 
 MAX_GROUP = 1_000_000  # rows one assembled value may hold; longer groups are cut up exactly
@@ -28,6 +28,11 @@ def _single(kind: int, srid: Column | int, parts: Column) -> Column:
     return _geom(kind, srid, F.array(F.struct(F.lit(kind).alias("kind"), parts.alias("parts"))))
 
 
+def single_part(kind: int | str, rings: Column, srid: int = DEFAULT_SRID) -> Column:
+    """A Point, LineString or Polygon from its rings, an array of arrays of vertices."""
+    return _single(kind_code(kind), srid, F.array(rings))
+
+
 # --- flatten ---------------------------------------------------------------
 
 def explode_parts(df: DataFrame, col: str, out: str = "part_geom") -> DataFrame:
@@ -183,7 +188,7 @@ def make_lines(
     # A last piece of one vertex only repeats the end of the piece before it.
     lines = lines.filter(~((F.col("piece") > 0) & (n == 1)))
     found = F.when(n < 2, error("TOO_FEW_POINTS", "coordinates", n))
-    line = _single(KINDS["LineString"], srid, F.array(F.array("__v")))
+    line = single_part("LineString", F.array("__v"), srid)
     lines = lines.withColumns({out + "_error": found, out: F.when(n >= 2, line), "n_vertices": n}).drop("__v")
     return declare_geometry(lines, {out: KINDS["LineString"]})
 

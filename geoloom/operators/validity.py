@@ -1,8 +1,8 @@
 """OGC validity of whole tables of geometries.
 
 Most geometries are settled inside their own row, without a shuffle: points,
-lines, and polygons of a single small ring. The others are taken apart into
-edges. Edges meet on grid cells by an equi-join, so a large ring spreads over
+lines, and small polygons whose rings keep clear of each other. The others are
+taken apart into edges. Edges meet on grid cells by an equi-join, so a large ring spreads over
 many tasks and no task sees all pairs of it.
 """
 
@@ -24,7 +24,7 @@ from geoloom.session import built_once, materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 POLYGON, MULTI_POLYGON = KINDS["Polygon"], KINDS["MultiPolygon"]
-ROW_EDGES = 24  # rings up to this many edges are tested within the row
+ROW_EDGES = 32  # areas up to this many vertices are tested within the row
 CELL_EDGES = 64  # cells fuller than this are split further
 MAX_SPLITS = 12
 DEEPEST = 20  # levels of grids for rings of different size
@@ -115,25 +115,65 @@ def _small_ring_is_simple(ring: Column) -> Column:
     return ~F.exists(F.sequence(F.lit(0), n - 2), later)
 
 
+def _rings_apart(r: Column, s: Column) -> Column:
+    """Do two rings certainly keep clear of each other, without a touch?"""
+    at = F.get
+
+    def meet(i, j):
+        a1, a2, b1, b2 = at(r, i), at(r, i + 1), at(s, j), at(s, j + 1)
+        crossing = (orientation(a1, a2, b1) * orientation(a1, a2, b2) <= 0) & (
+            orientation(b1, b2, a1) * orientation(b1, b2, a2) <= 0
+        )
+        return F.when(boxes_meet(a1, a2, b1, b2), F.coalesce(crossing, F.lit(True))).otherwise(F.lit(False))
+
+    edges = lambda ring: F.sequence(F.lit(0), F.size(ring) - 2)
+    return ~F.exists(edges(r), lambda i: F.exists(edges(s), lambda j: meet(i, j)))
+
+
+def _point_inside(p: Column, ring: Column) -> Column:
+    """Is a point off the boundary inside a ring? NULL when rounding could decide it."""
+
+    def cross(inside, i):
+        a, b = F.get(ring, i), F.get(ring, i + 1)
+        side = orientation(a, b, p)
+        right = F.when(b["y"] > a["y"], side > 0).otherwise(side < 0)
+        return F.when((a["y"] > p["y"]) != (b["y"] > p["y"]), inside != right).otherwise(inside)
+
+    return F.aggregate(F.sequence(F.lit(0), F.size(ring) - 2), F.lit(False), cross)
+
+
+def _small_area_code(rings: Column) -> Column:
+    """'' for a shell with holes that certainly are apart and nested once, NULL when unsure."""
+    simple = F.transform(rings, _small_ring_is_simple)
+
+    def hole_fits(k):
+        hole = F.get(rings, k)
+        first = F.get(hole, F.lit(0))
+        others = F.sequence(F.lit(0), F.size(rings) - 1)
+        clear = lambda j: (j == k) | (
+            _rings_apart(hole, F.get(rings, j)) & (_point_inside(first, F.get(rings, j)) == (j == 0))
+        )
+        return F.forall(others, clear)
+
+    holes = F.when(F.size(rings) > 1, F.sequence(F.lit(1), F.size(rings) - 1)).otherwise(F.array().cast("array<int>"))
+    return (
+        F.when(F.exists(simple, lambda s: ~s), F.lit("SELF_INTERSECTION"))
+        .when(F.forall(simple, lambda s: s) & F.forall(holes, hole_fits), F.lit(""))
+    )
+
+
 def member_code(kind: Column, parts: Column) -> Column:
     """Verdict of one member within its row: '' valid, a code, or NULL for undecided."""
-    structure = structure_code(kind, parts)
-    ring = F.get(F.get(parts, F.lit(0)), F.lit(0))
-    one_ring = (F.size(parts) == 1) & (F.size(F.get(parts, F.lit(0))) == 1)
+    is_area = (kind == POLYGON) | (kind == MULTI_POLYGON)
     empty = F.forall(parts, lambda p: F.forall(p, lambda r: F.size(r) == 0))
-    simple = let(
-        without_repeats(ring),
-        lambda r: F.when(F.size(r) - 1 <= ROW_EDGES, _small_ring_is_simple(r)),
-    )
-    area = (
-        F.when(empty, F.lit(""))
-        .when(one_ring, F.when(simple, F.lit("")).when(~simple, F.lit("SELF_INTERSECTION")))
+    rings = F.transform(F.get(parts, F.lit(0)), without_repeats)
+    small = (F.size(parts) == 1) & (F.size(F.flatten(F.flatten(parts))) <= ROW_EDGES)
+    area = F.when(empty, F.lit("")).when(
+        small & ~F.exists(F.get(parts, F.lit(0)), lambda r: F.size(r) == 0), let(rings, _small_area_code)
     )
     return let(
-        structure,
-        lambda code: F.when(code.isNotNull(), code).when((kind == POLYGON) | (kind == MULTI_POLYGON), area).otherwise(
-            F.lit("")
-        ),
+        structure_code(kind, parts),
+        lambda code: F.when(code.isNotNull(), code).when(is_area, area).otherwise(F.lit("")),
     )
 
 
@@ -225,37 +265,55 @@ def _cells(edges: DataFrame) -> DataFrame:
     return crossed.selectExpr(*stored, "cx", "explode(sequence(floor(low / h - y0 / h), floor(high / h - y0 / h))) AS cy")
 
 
+_CELL = ["key", "member", "w", "h", "cx", "cy"]
+# Ways to split a crowded cell: both ways, or one way for bundles of like edges.
+_SPLITS = ((4, 4), (16, 1), (1, 16))
+
+
+def _counted(placed: DataFrame) -> DataFrame:
+    """Add the number of edges in the cell; counted before it is joined back."""
+    counts = placed.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("n_cell"))
+    return placed.hint("merge").join(counts, _CELL)
+
+
 def _bucketed(edges: DataFrame, may_crowd: bool) -> DataFrame:
-    """Edges with a grid cell each, no cell holding many of them.
+    """Edges with a grid cell each, cells holding few of them as far as that helps.
 
-    The grid is sized by the area's edge count. Where edges crowd together, the
-    crowded cells are split again and again; each round handles those alone.
+    The grid's cells are square, about as many as the area has edges. Crowded cells, and those alone,
+    are split further, in whichever way makes fewer pairs; where no way does,
+    as for edges that truly run side by side, the cell stays.
     """
-    side = f"CAST(least(ceil(sqrt(n_edges / 8)), {1 << 15}) AS DOUBLE)"
-    size = lambda o: f"coalesce(nullif({o}1 / {side} - {o}0 / {side}, 0D), 1D)"
-    placed = _cells(edges.selectExpr("*", f"{size('x')} AS w", f"{size('y')} AS h", "0 AS level"))
-    where = ["key", "member", "level", "cx", "cy"]
-    keep = None
-    for level in range(MAX_SPLITS if may_crowd else 0):
-        # Only areas with that many edges can crowd a cell at all.
-        large = placed.filter(F.col("n_edges") > CELL_EDGES)
-        crowded = materialize(
-            large.groupBy(*where).count().filter(F.col("count") > CELL_EDGES).select(*where), "crowded-cells"
-        )
-        if crowded.isEmpty():
+    # A thin area gets no finer cells than its longer side allows.
+    square = f"greatest(sqrt((x1 - x0) / n_edges * (y1 - y0) * 8), greatest(x1 - x0, y1 - y0) / least(n_edges, {1 << 15}))"
+    size = f"coalesce(nullif({square}, 0D), 1D)"
+    edges = edges.selectExpr("*", f"{size} AS w", f"{size} AS h")
+    if not may_crowd:
+        return _cells(edges)
+    # Only areas with that many edges can crowd a cell at all.
+    calm = _cells(edges.filter(f"n_edges <= {CELL_EDGES}"))
+    pool = materialize(_counted(_cells(edges.filter(f"n_edges > {CELL_EDGES}"))), "cells")
+    settle = lambda calm, pool: calm.unionByName(pool.filter(f"n_cell <= {CELL_EDGES}").drop("n_cell"))
+    calm, busy = settle(calm, pool), pool.filter(f"n_cell > {CELL_EDGES}")
+    parent = ["key", "member", "pw", "ph", "px", "py"]
+    in_vain = 0
+    for split in range(MAX_SPLITS):
+        if in_vain == len(_SPLITS) or busy.isEmpty():
             break
-        calm = placed.join(crowded, where, "left_anti")
-        busy = materialize(placed.join(crowded, where, "left_semi"), "crowded-edges")
-        keep = calm if keep is None else keep.unionByName(calm)
-        # Split each crowded cell four by four; edges keep to the cell they were in.
-        finer = _cells(
-            busy.withColumns(
-                {"px": F.col("cx"), "py": F.col("cy"), "w": F.col("w") / 4, "h": F.col("h") / 4}
-            ).drop("cx", "cy")
-        )
-        inside = (F.floor(F.col("cx") / 4) == F.col("px")) & (F.floor(F.col("cy") / 4) == F.col("py"))
-        placed = finer.filter(inside).drop("px", "py").withColumn("level", F.lit(level + 1))
-    return placed if keep is None else keep.unionByName(placed)
+        kx, ky = _SPLITS[split % len(_SPLITS)]
+        rows = busy.withColumnsRenamed({"w": "pw", "h": "ph", "cx": "px", "cy": "py", "n_cell": "n_parent"})
+        finer = _cells(rows.selectExpr("*", f"pw / {kx} AS w", f"ph / {ky} AS h"))
+        finer = materialize(_counted(finer.filter(f"floor(cx / {kx}) = px AND floor(cy / {ky}) = py")), "finer-cells")
+        pairs = finer.groupBy(*parent, "n_parent").agg(F.sum("n_cell").alias("pairs"))
+        better = materialize(pairs.filter("pairs <= n_parent * n_parent / 2").select(*parent), "split-cells")
+        if better.isEmpty():
+            in_vain += 1
+            continue
+        in_vain = 0
+        split_up = finer.join(better, parent, "left_semi").drop(*parent[2:], "n_parent")
+        as_parent = better.withColumnsRenamed(dict(zip(parent, _CELL)))
+        pool = materialize(split_up.unionByName(busy.join(as_parent, _CELL, "left_anti")), "cells")
+        calm, busy = settle(calm, pool), pool.filter(f"n_cell > {CELL_EDGES}")
+    return calm.unionByName(busy.drop("n_cell"))
 
 
 def _exact_turn(a, b, c):
@@ -354,7 +412,7 @@ def _turn_sql(p: str, q: str, r: str) -> str:
 def _suspect_pairs(bucketed: DataFrame) -> DataFrame:
     """Pairs of edges in one cell that clash, touch, or are too close to call."""
     names = ("part", "ring", "seq", "n", "before", "a", "b")
-    where = ["key", "member", "level", "cx", "cy"]
+    where = _CELL
     side = lambda s: bucketed.selectExpr(*where, *[f"{c} AS {c}_{s}" for c in names])
     meet = " AND ".join(
         f"least(a_{s}.{o}, b_{s}.{o}) <= greatest(a_{t}.{o}, b_{t}.{o})" for o in "xy" for s, t in (("e", "f"), ("f", "e"))

@@ -372,19 +372,22 @@ def check_validity_polygons(spark, sf_dir):
     return check_validity(rows, "geom_id", "geom").select("geom_id", "validity")
 
 
-@_query(FRAMES + """SELECT cls, CASE WHEN cls = 7 THEN 'SELF_INTERSECTION' END AS validity FROM
-    (SELECT cls, count(*) AS n FROM t WHERE cls IN (0, 7) GROUP BY cls) q WHERE cls = 7
-    UNION ALL SELECT DISTINCT CAST(10 AS BIGINT), 'NESTED_SHELLS' FROM t WHERE cls = 1""")
+@_query("""SELECT CAST(p_partkey % 3 AS BIGINT) AS grp,
+    CASE p_partkey % 3 WHEN 1 THEN 'NESTED_SHELLS' WHEN 2 THEN 'SELF_INTERSECTION' END AS validity, 2 * count(*) AS n_parts
+    FROM part GROUP BY p_partkey % 3""")
 def check_validity_multi_polygons(spark, sf_dir):
-    """Areas of many parts: crossed shells, and shells within shells about one centre."""
-    rows = _polygons(spark, sf_dir, check_valid=False, coordinate_check=False).filter("geom is not null")
-    crossed = shape.collect_multi(rows.filter("cls = 7"), "cls", "geom_id", "geom", out="multi").select("cls", "multi")
-    # Every square drawn about the origin with its own size: each lies within the next.
-    about = fx.table(spark, sf_dir, "part").filter("p_partkey % 10 = 1").selectExpr("p_partkey AS geom_id", "CAST(10 AS BIGINT) AS cls", "p_partkey / 1000000.0D + 1 AS r")
-    ring = F.array(*[F.struct((F.col("r") * sx).alias("x"), (F.col("r") * sy).alias("y")) for sx, sy in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))])
-    nested = about.select("cls", "geom_id", shape._single(3, 4326, F.array(F.array(ring))).alias("geom"))
-    nested = shape.collect_multi(nested, "cls", "geom_id", "geom", out="multi").select("cls", "multi")
-    return check_validity(crossed.unionByName(nested), "cls", "multi").select("cls", "validity")
+    """Three areas of very many parts: apart, one within another, and overlapping."""
+    parts = fx.table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey % 3 AS BIGINT) AS grp", "p_partkey AS id", "p_partkey % 1000 * 8D AS cx", "floor(p_partkey / 1000) * 8D AS cy"
+    )
+    square = lambda r, shift: "array(array(" + ", ".join(
+        f"struct(cx + {shift} + {sx * r}D AS x, cy + {sy * r}D AS y)" for sx, sy in ((-1, -1), (1, -1), (1, 1), (-1, 1), (-1, -1))
+    ) + "))"
+    second = f"CASE grp WHEN 0 THEN {square(1, '3D')} WHEN 1 THEN {square(0.5, '0D')} ELSE {square(1, '1D')} END"
+    rows = parts.selectExpr("grp", "id", f"posexplode(array({square(1, '0D')}, {second})) AS (pos, rings)")
+    shells = rows.select("grp", "id", "pos", shape.single_part("Polygon", F.col("rings")).alias("geom"))
+    multi = shape.collect_multi(shells, "grp", ["id", "pos"], "geom", out="multi").select("grp", "multi", "n_members")
+    return check_validity(multi, "grp", "multi").select("grp", "validity", F.col("n_members").cast("bigint").alias("n_parts"))
 
 
 @_query(POINTS + """SELECT geom_id, CASE WHEN nationkey % 2 = 0 THEN 'TYPE_MISMATCH' END AS code,
@@ -394,7 +397,7 @@ def filter_kind(spark, sf_dir):
     points = _points(spark, sf_dir)
     x, y = F.col("lon"), F.col("lat")
     ring = F.array(*[F.struct((x + a).alias("x"), (y + b).alias("y")) for a, b in ((0, 0), (1, 0), (1, 1), (0, 1), (0, 0))])
-    mixed = points.withColumn("geom", F.when(F.col("nationkey") % 2 == 0, F.col("geom")).otherwise(shape._single(3, 4326, F.array(F.array(ring)))))
+    mixed = points.withColumn("geom", F.when(F.col("nationkey") % 2 == 0, F.col("geom")).otherwise(shape.single_part("Polygon", F.array(ring))))
     rows = validate.filter_kind(mixed, "geom", "Polygon")
     code, _, detail = _error()
     return rows.select("geom_id", code, detail)
@@ -543,8 +546,9 @@ def register_point_text(spark, sf_dir):
 
     def decode(column, is_text, expect):
         pair = F.split(column, " ")
-        point = F.array(F.array(F.array(F.struct(pair[0].cast("double").alias("x"), pair[1].cast("double").alias("y")))))
-        return F.struct(shape._single(1, 4326, point).alias("geom"), validate.no_error().alias("error"))
+        vertex = F.struct(pair[0].cast("double").alias("x"), pair[1].cast("double").alias("y"))
+        point = shape.single_part("Point", F.array(F.array(vertex)))
+        return F.struct(point.alias("geom"), validate.no_error().alias("error"))
 
     vertex = lambda geom: geom["members"][0]["parts"][0][0][0]
     register_encoding(

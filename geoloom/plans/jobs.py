@@ -43,7 +43,7 @@ def audit_roundtrip(df: DataFrame, col: str, src: str = "wkb") -> DataFrame:
     """
     how = encoding(src)
     text = is_text(df, col)
-    df = df.select(F.col(col).alias("__in"), how.decode(F.col(col), text, None).alias("__pair"))
+    df = bind(df.select(F.col(col).alias("__in")), "__pair", how.decode(F.col("__in"), text, None))
     geom = F.col("__pair.geom")
     stored = F.upper("__in") if text else F.hex("__in")
     written = F.upper(how.encode(geom))

@@ -55,6 +55,7 @@ def built_once(build):
             kept[(app, args)] = build(*args)
         return kept[(app, args)]
 
+    wrapper.cache_clear = kept.clear
     return wrapper
 
 
