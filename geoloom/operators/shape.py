@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geoloom.functions.geojson import vertex_error
-from geoloom.operators.validate import check_structure, orient_rings
+from geoloom.operators.validate import check_structure, orient_rings, vertex_count
 from geoloom.operators.validity import check_validity
 from geoloom.schema import DEFAULT_SRID, ERROR, GEOM, KINDS, declare_geometry, error, kind_code, no_error
 from geoloom.session import materialize
 
-MAX_GROUP = 1_000_000  # rows one assembled value may hold; longer groups are cut up exactly
+MAX_VERTICES = 1_000_000  # vertices one assembled value may hold; longer groups are cut up exactly
 BROADCAST_KEYS = 100_000
 
 
@@ -90,11 +90,17 @@ def make_points(
     return declare_geometry(df, {out: KINDS["Point"]})
 
 
-def _long_groups(df: DataFrame, keys: list[str], limit: int) -> tuple[DataFrame, int]:
-    """Keys with more rows than one value should hold. Reads the key columns only."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > limit)
-    counts = materialize(counts, "long-groups")
-    return counts, counts.count()
+def _long_groups(df: DataFrame, keys: list[str], limit: int, weight: Column | None = None) -> tuple[DataFrame, int, int]:
+    """Keys with more vertices than one value should hold, their number, and the heaviest row.
+
+    A row weighs one vertex unless ``weight`` says otherwise. Counts are folded
+    before the shuffle, and only the columns they need are read.
+    """
+    weight = F.lit(1) if weight is None else weight
+    counts = df.groupBy(*keys).agg(F.sum(weight).alias("__n"), F.max(weight).alias("__heaviest"))
+    counts = materialize(counts.filter(F.col("__n") > limit), "long-groups")
+    seen = counts.agg(F.count(F.lit(1)).alias("n"), F.max("__heaviest").alias("heaviest")).first()
+    return counts, seen["n"], seen["heaviest"]
 
 
 def _maybe_broadcast(df: DataFrame, rows: int) -> DataFrame:
@@ -133,7 +139,7 @@ def _key_join(df: DataFrame, keys_df: DataFrame, keys: list[str], how: str) -> D
 
 
 def _in_pieces(
-    df: DataFrame, keys: list[str], order: list[str], limit: int, overlap: bool
+    df: DataFrame, keys: list[str], order: list[str], limit: int, overlap: bool, weight: Column | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
     """Add ``piece``: 0 for ordinary groups, 0, 1, 2, ... in order for the long ones.
 
@@ -141,15 +147,16 @@ def _in_pieces(
     pieces of a line cover every segment of it. Nothing is left out. Returns the
     long keys too, None when there are none.
     """
-    long_keys, n = _long_groups(df, keys, limit)
+    long_keys, n, heaviest = _long_groups(df, keys, limit, weight)
     if n == 0:
         return df.withColumn("piece", F.lit(0).cast("bigint")), None
     long_keys = _maybe_broadcast(long_keys, n)
     short = _key_join(df, long_keys, keys, "left_anti").withColumn("piece", F.lit(0).cast("bigint"))
     ranked = _ranked(_key_join(df, long_keys, keys, "left_semi"), keys, order)
-    piece = F.floor(F.col("__rank") / limit)
+    rows = max(1, limit // heaviest)
+    piece = F.floor(F.col("__rank") / rows)
     if overlap:
-        on_border = (F.col("__rank") % limit == 0) & (F.col("__rank") > 0)
+        on_border = (F.col("__rank") % rows == 0) & (F.col("__rank") > 0)
         ranked = ranked.withColumn("piece", F.explode(F.when(on_border, F.array(piece - 1, piece)).otherwise(F.array(piece))))
     else:
         ranked = ranked.withColumn("piece", piece)
@@ -170,7 +177,7 @@ def make_lines(
     lat: str,
     srid: int = DEFAULT_SRID,
     out: str = "geom",
-    max_vertices: int = MAX_GROUP,
+    max_vertices: int = MAX_VERTICES,
 ) -> DataFrame:
     """Ordered vertex rows -> one line per key; fewer than two vertices is an error.
 
@@ -203,7 +210,7 @@ def make_polygons(
     srid: int = DEFAULT_SRID,
     out: str = "geom",
     check_valid: bool = True,
-    max_vertices: int = 16 * MAX_GROUP,
+    max_vertices: int = 16 * MAX_VERTICES,
 ) -> DataFrame:
     """Vertex rows -> rings -> one polygon per key; the lowest ring number is the shell.
 
@@ -216,7 +223,7 @@ def make_polygons(
         *keys, ring_col, *[c for c in order if c not in (*keys, ring_col)],
         F.col(lon).cast("double").alias("__x"), F.col(lat).cast("double").alias("__y"),
     )
-    long_keys, n = _long_groups(rows, keys, max_vertices)
+    long_keys, n, _ = _long_groups(rows, keys, max_vertices)
     fit = rows if n == 0 else _key_join(rows, _maybe_broadcast(long_keys, n), keys, "left_anti")
     rings = fit.groupBy(*keys, ring_col).agg(
         _in_order(order, F.struct(F.col("__x").alias("x"), F.col("__y").alias("y"))).alias("__ring")
@@ -243,19 +250,21 @@ def make_polygons(
 
 
 def collect_multi(
-    df: DataFrame, key: str | list[str], order_by: str | list[str], col: str, out: str = "geom", max_members: int = MAX_GROUP
+    df: DataFrame, key: str | list[str], order_by: str | list[str], col: str, out: str = "geom", max_vertices: int = MAX_VERTICES
 ) -> DataFrame:
     """Geometries per key -> MultiPoint, MultiLineString or MultiPolygon when all are
     points, lines or polygons, else GeometryCollection.
 
-    NULL geometries are passed over. Keys with more than ``max_members`` rows
+    NULL geometries are passed over. Keys with more than ``max_vertices`` in all
     yield several values in order, numbered by ``piece``.
     """
     keys, order = _names(key), _names(order_by)
     rows = df.filter(F.col(col).isNotNull()).select(
         *keys, *[c for c in order if c not in (*keys, col)], F.col(col).alias("__g")
     )
-    pieced, long_keys = _in_pieces(rows, keys, order, max_members, overlap=False)
+    pieced, long_keys = _in_pieces(
+        rows, keys, order, max_vertices, overlap=False, weight=F.greatest(vertex_count(F.col("__g")), F.lit(1))
+    )
     groups = pieced.groupBy(*keys, "piece").agg(
         _in_order(order, F.col("__g")["members"]).alias("__members"),
         F.min("__g.kind").alias("__lo"),

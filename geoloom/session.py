@@ -18,6 +18,10 @@ REQUIRED = {
 AT_START = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
 
 
+# Scratch folders of local sessions that name no shared one, by application.
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def configure(spark: SparkSession) -> SparkSession:
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
@@ -66,9 +70,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="geoloom-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _LOCAL_FOLDERS:
+        _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="geoloom-")
+    return _LOCAL_FOLDERS[app]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

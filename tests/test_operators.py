@@ -78,7 +78,7 @@ def test_collect_kinds_and_pieces(spark):
     df = points(spark, [(i, float(i), 0.0, 4326) for i in range(10)]).withColumn("k", F.lit("a"))
     one = shape.collect_multi(df, "k", "id", "geom").first()
     assert (one.geom.kind, one.n_members) == (4, 10)
-    pieces = shape.collect_multi(df, "k", "id", "geom", max_members=4).orderBy("piece").collect()
+    pieces = shape.collect_multi(df, "k", "id", "geom", max_vertices=4).orderBy("piece").collect()
     assert [p.n_members for p in pieces] == [4, 4, 2]
     assert [v[0][0].x for p in pieces for v in p.geom.members[0].parts] == [float(i) for i in range(10)]
     bags = shape.collect_multi(shape.collect_multi(df, "k", "id", "geom", out="m"), "k", "piece", "m").first()
