@@ -232,8 +232,7 @@ def make_polygons(
     areas = areas.select(*keys, _single(KINDS["Polygon"], srid, F.array("__rings")).alias(out))
     areas = orient_rings(check_structure(areas, out), out)
     if check_valid:
-        id_col = keys[0] if len(keys) == 1 else None
-        areas = check_validity(areas, id_col, out, out="__code", stage=True)
+        areas = check_validity(areas, keys, out, out="__code", stage=True)
         bad = F.col("__code").isNotNull()
         areas = areas.withColumn(
             out + "_error",

@@ -633,15 +633,19 @@ def content_key(geom: str) -> Column:
 
 
 def check_validity(
-    df: DataFrame, id_col: str | None, col: str, out: str = "validity", stage: bool = False
+    df: DataFrame, id_col: str | list[str] | None, col: str, out: str = "validity", stage: bool = False
 ) -> DataFrame:
     """OGC validity of every geometry of any kind: NULL when valid, else a code.
 
-    ``id_col`` must be unique; without one geometries are told apart by content.
+    ``id_col`` must be unique and not NULL; a list of columns must be unique
+    together and may hold NULLs; without any, geometries are told apart by content.
     Codes: NON_FINITE, RING_OPEN, TOO_FEW_POINTS, SELF_INTERSECTION,
     DISCONNECTED_INTERIOR, HOLE_OUTSIDE_SHELL, NESTED_HOLES, NESTED_SHELLS.
     """
-    key = F.col(id_col) if id_col else content_key(col)
+    if isinstance(id_col, str):
+        key = F.col(id_col)
+    else:
+        key = F.to_json(F.struct(*id_col)) if id_col else content_key(col)
     return _with_verdict(df, col, out, key, only_polygons=False, unique=id_col is not None, stage=stage)
 
 

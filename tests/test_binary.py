@@ -164,3 +164,12 @@ def test_header_needs_no_python(spark):
     assert tuple(head.first())[1:] == (4326, 1, 1, 25)
     assert "Python" not in head._jdf.queryExecution().executedPlan().toString()
     assert binary.MIN_BYTES == 9
+
+
+def test_native_points_agree_with_batches(spark):
+    df = spark.createDataFrame([(-1.5, 2.25, 0), (121.5, -0.0, 3857)], "lon double, lat double, srid int")
+    df = df.withColumn("wkb", binary.point_wkb(F.col("lon"), F.col("lat"), F.col("srid")))
+    df = df.withColumns({"x": binary.point_ordinate(F.unhex("wkb"), 0), "y": binary.point_ordinate(F.unhex("wkb"), 1)})
+    rows = enc.encode_wkb(enc.decode_wkb(df, "wkb"), "geom", out="again").collect()
+    assert [(r.x, r.y, r.again) for r in rows] == [(r.lon, r.lat, r.wkb) for r in rows]
+    assert [r.geom.srid for r in rows] == [4326, 3857]

@@ -154,3 +154,16 @@ def test_table_filter_runs_below_the_decoder(spark, tmp_path):
     assert sorted(r.id for r in back.collect()) == [7, 8, 9]
     plan = back._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(id), GreaterThanOrEqual(id,7)]" in plan
+
+
+def test_polygons_under_a_null_key_are_judged_too(spark):
+    bow = [(0, 0), (4, 4), (4, 0), (0, 4), (0, 0)]
+    hole = [(9, 9), (9, 10), (10, 10), (9, 9)]
+    rows = [(k, r, i, float(x), float(y)) for k in (None, 2) for r, ring in enumerate((bow, hole)) for i, (x, y) in enumerate(ring)]
+    far = [(3, r, i, float(x), float(y)) for r, ring in enumerate(([(0, 0), (4, 0), (4, 4), (0, 0)], hole)) for i, (x, y) in enumerate(ring)]
+    df = spark.createDataFrame(rows + far, "id long, ring int, pos int, x double, y double")
+    out = shape.make_polygons(df, "id", "ring", "pos", "x", "y").select("id", "geom_error.code", "geom_error.detail").collect()
+    assert {(r.id, r.code, r.detail) for r in out} == {
+        (None, "INVALID_POLYGON", "SELF_INTERSECTION"), (2, "INVALID_POLYGON", "SELF_INTERSECTION"),
+        (3, "INVALID_POLYGON", "HOLE_OUTSIDE_SHELL"),
+    }
