@@ -93,12 +93,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A given table; one of fewer scan tasks than cores is spread by its first column.
 
     The small tables are single files of one row group, which one task would
-    read and then do all the work. A table of many files stays as it is scanned.
+    read and then do all the work. A table that splits well stays as it is scanned.
     """
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
     cores = spark.sparkContext.defaultParallelism
-    files = len(df.inputFiles())
-    return df if files >= cores else df.repartition(cores, df.columns[0])
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, df.columns[0])
 
 
 def fixture(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
