@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import sys
+import types
 
 import numpy as np
 from pyspark import cloudpickle
@@ -49,6 +50,13 @@ def without_rows(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(ids) if small else ids.hint("merge"), key, "left_anti")
 
 
+def worker_cache() -> dict:
+    """Tables that the tasks of one Python worker share. The helpers of this package travel by
+    value, so what their modules hold is new in every task; a module of the worker's own stays."""
+    module = sys.modules.setdefault("geoloom_worker_cache", types.ModuleType("geoloom_worker_cache"))
+    return module.__dict__.setdefault("kept", {})
+
+
 # --- hashes of words, inside tasks ------------------------------------------
 
 _WORD_BYTE = np.zeros(256, dtype=bool)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm import ftrl
-from geoloom.llm.common import small_batches, table
+from geoloom.llm.common import small_batches, table, worker_cache
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -22,14 +22,13 @@ PER_LANGUAGE = 2500  # expected number of rows of a language the classifier is f
 UNKNOWN = "und"
 ACCEPT = 0.5  # calibrated probability from which the pipeline accepts a language
 
-_LETTER: list[np.ndarray] = []
-
 
 def _letters() -> np.ndarray:
     """For each code point, whether it is a letter."""
-    if not _LETTER:
-        _LETTER.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000))
-    return _LETTER[0]
+    kept = worker_cache()
+    if "letters" not in kept:
+        kept["letters"] = np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000)
+    return kept["letters"]
 
 
 def has_letter(text: str | None) -> bool:
