@@ -38,10 +38,8 @@ def hex_select(column: str) -> str:
 
 
 def postgis_select(column: str) -> str:
-    """SRID as four little-endian bytes in hex, then plain WKB in hex."""
-    word = f"lpad(to_hex(ST_SRID({column})), 8, '0')"
-    srid = " || ".join(f"substr({word}, {at}, 2)" for at in (7, 5, 3, 1))
-    return f"({srid} || encode(ST_AsBinary({column}), 'hex')) AS {simple_name(column)}"
+    """EWKB in hex, little-endian: the SRID is in its header."""
+    return f"encode(ST_AsEWKB({column}, 'NDR'), 'hex') AS {simple_name(column)}"
 
 
 def _from_geojson(column: Column, is_text: bool, expect: int | None) -> Column:
@@ -89,5 +87,7 @@ register_encoding("geojson", _from_geojson, geojson.format_geojson)
 register_encoding(
     "mysql", binary.decode, lambda geom: binary.encode(geom, as_hex=False), hex_select, ("mysql", "mariadb")
 )
-# Reads SRID-prefixed WKB, as its SELECT builds it, and writes EWKB.
-register_encoding("postgis", binary.decode, binary.encode_ewkb, postgis_select, ("postgresql", "postgres"))
+register_encoding(
+    "postgis", lambda c, is_text, expect: binary.decode(c, is_text, expect, extended=True), binary.encode_ewkb,
+    postgis_select, ("postgresql", "postgres"),
+)

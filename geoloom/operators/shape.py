@@ -11,7 +11,6 @@ from geoloom.operators.validity import check_validity
 from geoloom.schema import DEFAULT_SRID, ERROR, GEOM, KINDS, declare_geometry, error, kind_code, no_error
 from geoloom.session import materialize
 
-MAX_VERTICES = 1_000_000  # vertices one assembled value may hold; longer groups are cut up exactly
 BROADCAST_KEYS = 100_000
 
 
@@ -177,23 +176,28 @@ def make_lines(
     lat: str,
     srid: int = DEFAULT_SRID,
     out: str = "geom",
-    max_vertices: int = MAX_VERTICES,
+    max_vertices: int | None = None,
 ) -> DataFrame:
     """Ordered vertex rows -> one line per key; fewer than two vertices is an error.
 
-    ``order_by`` must be a total order within the key. A key with more rows than
-    ``max_vertices`` yields several lines in order, numbered by ``piece``, that
-    share their end vertices; its rows are never brought together in one task.
+    ``order_by`` must be a total order within the key. Rows are gathered in the map tasks
+    first and meet once; a line that no row can hold fails the job. With ``max_vertices`` a key of
+    more rows yields several lines in order, numbered by ``piece``, that share their end
+    vertices, and its rows are never brought together in one task.
     """
     keys, order = _names(key), _names(order_by)
     rows = df.select(*keys, *[c for c in order if c not in keys], F.col(lon).cast("double").alias("__x"), F.col(lat).cast("double").alias("__y"))
-    rows, _ = _in_pieces(rows, keys, order, max_vertices, overlap=True)
-    lines = rows.groupBy(*keys, "piece").agg(
+    groups = list(keys)
+    if max_vertices is not None:
+        rows, _ = _in_pieces(rows, keys, order, max_vertices, overlap=True)
+        groups.append("piece")
+    lines = rows.groupBy(*groups).agg(
         _in_order(order, F.struct(F.col("__x").alias("x"), F.col("__y").alias("y"))).alias("__v")
     )
     n = F.size("__v")
-    # A last piece of one vertex only repeats the end of the piece before it.
-    lines = lines.filter(~((F.col("piece") > 0) & (n == 1)))
+    if max_vertices is not None:
+        # A last piece of one vertex only repeats the end of the piece before it.
+        lines = lines.filter(~((F.col("piece") > 0) & (n == 1)))
     found = F.when(n < 2, error("TOO_FEW_POINTS", "coordinates", n))
     line = single_part("LineString", F.array("__v"), srid)
     lines = lines.withColumns({out + "_error": found, out: F.when(n >= 2, line), "n_vertices": n}).drop("__v")
@@ -210,22 +214,18 @@ def make_polygons(
     srid: int = DEFAULT_SRID,
     out: str = "geom",
     check_valid: bool = True,
-    max_vertices: int = 16 * MAX_VERTICES,
 ) -> DataFrame:
     """Vertex rows -> rings -> one polygon per key; the lowest ring number is the shell.
 
-    Rings are checked, oriented and tested for validity. A polygon cannot be cut
-    into pieces; a key beyond ``max_vertices``, which no single value could hold,
-    comes out as a ``TOO_LARGE`` error row and its vertex rows stay as they are.
+    Rings are checked, oriented and tested for validity. Rings are put in order one by one and
+    then gathered; a polygon that no row can hold fails the job.
     """
     keys, order = _names(key), _names(order_by)
     rows = df.select(
         *keys, ring_col, *[c for c in order if c not in (*keys, ring_col)],
         F.col(lon).cast("double").alias("__x"), F.col(lat).cast("double").alias("__y"),
     )
-    long_keys, n, _ = _long_groups(rows, keys, max_vertices)
-    fit = rows if n == 0 else _key_join(rows, _maybe_broadcast(long_keys, n), keys, "left_anti")
-    rings = fit.groupBy(*keys, ring_col).agg(
+    rings = rows.groupBy(*keys, ring_col).agg(
         _in_order(order, F.struct(F.col("__x").alias("x"), F.col("__y").alias("y"))).alias("__ring")
     )
     areas = rings.groupBy(*keys).agg(_in_order([ring_col], F.col("__ring")).alias("__rings"))
@@ -239,32 +239,30 @@ def make_polygons(
             F.coalesce(out + "_error", F.when(bad, error("INVALID_POLYGON", "coordinates", F.col("__code")))),
         )
         areas = areas.withColumn(out, F.when(F.col(out + "_error").isNull(), F.col(out))).drop("__code")
-    if n:
-        too_large = long_keys.select(
-            *keys, F.lit(None).cast(GEOM).alias(out),
-            error("TOO_LARGE", "coordinates", F.col("__n")).alias(out + "_error"), F.lit(0).alias("reversed_rings"),
-        )
-        areas = areas.unionByName(too_large.select(areas.columns))
     return declare_geometry(areas, {out: KINDS["Polygon"]})
 
 
 def collect_multi(
-    df: DataFrame, key: str | list[str], order_by: str | list[str], col: str, out: str = "geom", max_vertices: int = MAX_VERTICES
+    df: DataFrame, key: str | list[str], order_by: str | list[str], col: str, out: str = "geom", max_vertices: int | None = None
 ) -> DataFrame:
     """Geometries per key -> MultiPoint, MultiLineString or MultiPolygon when all are
     points, lines or polygons, else GeometryCollection.
 
-    NULL geometries are passed over. Keys with more than ``max_vertices`` in all
-    yield several values in order, numbered by ``piece``.
+    NULL geometries are passed over. One value per key; one that no row can hold fails the job.
+    With ``max_vertices`` keys with more vertices in all yield several values in order,
+    numbered by ``piece``.
     """
     keys, order = _names(key), _names(order_by)
     rows = df.filter(F.col(col).isNotNull()).select(
         *keys, *[c for c in order if c not in (*keys, col)], F.col(col).alias("__g")
     )
-    pieced, long_keys = _in_pieces(
-        rows, keys, order, max_vertices, overlap=False, weight=F.greatest(vertex_count(F.col("__g")), F.lit(1))
-    )
-    groups = pieced.groupBy(*keys, "piece").agg(
+    groups_by, long_keys, pieced = list(keys), None, rows
+    if max_vertices is not None:
+        pieced, long_keys = _in_pieces(
+            rows, keys, order, max_vertices, overlap=False, weight=F.greatest(vertex_count(F.col("__g")), F.lit(1))
+        )
+        groups_by.append("piece")
+    groups = pieced.groupBy(*groups_by).agg(
         _in_order(order, F.col("__g")["members"]).alias("__members"),
         F.min("__g.kind").alias("__lo"),
         F.max("__g.kind").alias("__hi"),
@@ -287,4 +285,4 @@ def collect_multi(
     nested = hi == KINDS["GeometryCollection"]
     geom = F.when(~nested, _geom(kind, F.col("__srid"), F.when(alike, merged).otherwise(members)))
     found = F.when(nested, error("NESTED_COLLECTION", "geometries")).otherwise(no_error())
-    return groups.select(*keys, "piece", F.size("__members").alias("n_members"), geom.alias(out), found.alias(out + "_error"))
+    return groups.select(*groups_by, F.size("__members").alias("n_members"), geom.alias(out), found.alias(out + "_error"))

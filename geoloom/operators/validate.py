@@ -162,15 +162,19 @@ def quality_report(
         F.col(geom_col)["kind"].alias("kind"),
         F.col(geom_col)["srid"].alias("srid"),
         code.alias("code"),
-        F.coalesce(vertex_count(F.col(geom_col)), F.lit(0)).alias("__vertices"),
-        (F.col(reversed_col) if reversed_col in df.columns else F.lit(0)).alias("__reversed"),
+        F.coalesce(vertex_count(F.col(geom_col)), F.lit(0)).alias("vertices"),
+        (F.col(reversed_col) if reversed_col in df.columns else F.lit(0)).alias("reversed"),
     )
-    keys = [*by, "kind", "srid", "code"]
+    return outcome_counts(rows, [*by, "kind", "srid", "code"], subtotals)
+
+
+def outcome_counts(rows: DataFrame, keys: list[str], subtotals: bool = False) -> DataFrame:
+    """Totals per key of rows with ``code``, ``vertices`` and ``reversed``."""
     grouped = rows.rollup(*keys) if subtotals else rows.groupBy(*keys)
     return grouped.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.count("code").alias("n_bad"),
-        F.sum("__vertices").alias("n_vertices"),
-        F.sum("__reversed").cast("bigint").alias("n_reversed_rings"),
+        F.sum("vertices").alias("n_vertices"),
+        F.sum("reversed").cast("bigint").alias("n_reversed_rings"),
         (F.count("code") / F.count(F.lit(1))).alias("bad_share"),
     )

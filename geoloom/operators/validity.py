@@ -179,7 +179,8 @@ def member_code(kind: Column, parts: Column) -> Column:
 
 @built_once
 def row_verdict(col: str, only_polygons: bool = False) -> Column:
-    """``struct<code, open>``: first bad member's code, and whether any member is undecided."""
+    """``struct<code, at, open>``: the first member known to be bad, its place, and whether a member
+    before it is undecided."""
 
     def code(m):
         found = member_code(m["kind"], m["parts"])
@@ -187,9 +188,20 @@ def row_verdict(col: str, only_polygons: bool = False) -> Column:
 
     return let(
         F.transform(F.col(col)["members"], code),
-        lambda codes: F.struct(
-            F.get(F.filter(codes, lambda c: c.isNotNull() & (c != "")), F.lit(0)).alias("code"),
-            F.coalesce(F.exists(codes, lambda c: c.isNull()), F.lit(False)).alias("open"),
+        lambda codes: let(
+            F.get(
+                F.filter(
+                    F.transform(codes, lambda c, i: F.struct(c.alias("code"), i.alias("at"))), lambda m: m["code"].isNotNull() & (m["code"] != "")
+                ),
+                F.lit(0),
+            ),
+            lambda first: F.struct(
+                first["code"].alias("code"),
+                first["at"].alias("at"),
+                F.coalesce(
+                    F.exists(F.slice(codes, F.lit(1), F.coalesce(first["at"], F.size(codes))), lambda c: c.isNull()), F.lit(False)
+                ).alias("open"),
+            ),
         ),
     )
 
@@ -601,9 +613,9 @@ def _with_verdict(
         df = materialize(df, "judged")
     wanted = (POLYGON,) if only_polygons else (POLYGON, MULTI_POLYGON)
     open_areas = (
-        df.filter(F.col("__row")["open"] & F.col("__row")["code"].isNull())
-        .select(key.alias("key"), F.posexplode(geom + ".members").alias("member", "m"))
-        .filter(F.col("m.kind").isin(*wanted))
+        df.filter(F.col("__row")["open"])
+        .select(key.alias("key"), F.col("__row")["at"].alias("at"), F.posexplode(geom + ".members").alias("member", "m"))
+        .filter(F.col("m.kind").isin(*wanted) & (F.col("at").isNull() | (F.col("member") < F.col("at"))))
         .select(
             "key",
             "member",
@@ -624,7 +636,7 @@ def _with_verdict(
     if bad.count() <= BROADCAST_ROWS:
         bad = F.broadcast(bad)
     joined = df.withColumn("__key", key).join(bad, "__key", "left")
-    return joined.withColumn(out, F.coalesce(F.col("__row")["code"], "__found")).drop("__row", "__key", "__found")
+    return joined.withColumn(out, F.coalesce("__found", F.col("__row")["code"])).drop("__row", "__key", "__found")
 
 
 def content_key(geom: str) -> Column:

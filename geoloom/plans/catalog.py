@@ -481,6 +481,19 @@ def make_lines_long_keys(spark, sf_dir):
     )
 
 
+@_query(_with(
+    v=fx.GEO_TRACK_POINTS,
+    r="SELECT *, row_number() OVER (PARTITION BY seq ORDER BY track_id, tie1, tie2) - 1 AS rn FROM v",
+) + "SELECT seq, count(*) AS n_vertices, arg_min(lon, rn) AS first_x, arg_max(lat, rn) AS last_y FROM r GROUP BY seq HAVING count(*) > 1")
+def make_lines_hot_keys(spark, sf_dir):
+    """The same few keys, and one line for each."""
+    lines = shape.make_lines(fx.fixture(spark, sf_dir, "geo_track_points"), "seq", ["track_id", "tie1", "tie2"], "lon", "lat")
+    ring = F.col("geom")["members"][0]["parts"][0][0]
+    return lines.filter("geom IS NOT NULL").select(
+        "seq", F.col("n_vertices").cast("bigint").alias("n_vertices"), ring[0]["x"].alias("first_x"), F.element_at(ring, -1)["y"].alias("last_y")
+    )
+
+
 @_query(FRAMES + f"""SELECT geom_id, CASE cls WHEN 6 THEN 'RING_OPEN' WHEN 9 THEN 'RING_SHORT' END AS code,
     CASE WHEN cls < 6 THEN {ORIENTED} END AS geojson FROM t WHERE cls NOT IN (7, 8)""")
 def make_polygons(spark, sf_dir):
@@ -571,6 +584,15 @@ def read_wkb_table(spark, sf_dir):
     return rows.select("geom_id", F.col("geom.srid").cast("bigint").alias("srid"), *_xy())
 
 
+@_query(POINTS + f"SELECT geom_id, CAST({FILLED} AS BIGINT) AS srid, lon AS x, lat AS y FROM p")
+def table_in_registered_encoding(spark, sf_dir):
+    """Written and read by the name of an encoding, here EWKB."""
+    path = scratch_path(spark, "named-table")
+    tables.write_wkb_table(_points(spark, sf_dir).select("geom_id", "geom"), path, ["geom"], encoded_as="ewkb")
+    rows = tables.read_wkb_table(spark, path, {"geom": "Point"}, encoded_as="ewkb")
+    return rows.select("geom_id", F.col("geom.srid").cast("bigint").alias("srid"), *_xy())
+
+
 @_query(FRAMES + f"SELECT geom_id, lower('0103000020' || 'E6100000' || substr({as_wkb(ORIENTED)}, 11)) AS geom FROM t WHERE cls < 6")
 def write_ewkb_table(spark, sf_dir):
     path = scratch_path(spark, "ewkb-table")
@@ -625,6 +647,27 @@ def ingest_geojson(spark, sf_dir):
     return report.drop("bad_share")
 
 
+@_query("SELECT CASE WHEN event_id % 50 >= 8 THEN 1 END AS kind, CASE WHEN event_id % 50 >= 8 THEN 4326 END AS srid, code, count(*) AS n_rows, count(code) AS n_bad, "
+        f"CAST(sum(CASE WHEN event_id % 50 >= 8 THEN 1 ELSE 0 END) AS BIGINT) AS n_vertices, CAST(0 AS BIGINT) AS n_reversed_rings FROM (SELECT event_id, {_EVENT_CODE.format(circle="'UNSUPPORTED_TYPE'")} AS code FROM events) q GROUP BY ALL")
+def ingest_geojson_events(spark, sf_dir):
+    """Lines of ``null`` are curated rows without a geometry: every line is counted."""
+    src = _text_files(fx.fixture(spark, sf_dir, "geo_events"), "geojson", "event-lines")
+    return jobs.ingest_geojson(spark, src, scratch_path(spark, "ingested")).drop("bad_share")
+
+
+@_query(FRAMES + f"SELECT CASE WHEN cls < 6 THEN 3 END AS kind, {POLYGON_CODE} AS code, count(*) AS n, CAST(0 AS BIGINT) AS n_undecided FROM t GROUP BY 1, 2")
+def stream_geojson_polygons(spark, sf_dir):
+    """Polygons of a stream are judged within their rows."""
+    src = _text_files(fx.fixture(spark, sf_dir, "geo_polygons"), "geojson", "polygon-lines")
+    out = scratch_path(spark, "streamed")
+    query = ingest.stream_geojson(spark, src).writeStream.format("parquet").option("path", out).option(
+        "checkpointLocation", scratch_path(spark, "stream-state")
+    ).trigger(availableNow=True).start()
+    query.awaitTermination()
+    groups = spark.read.parquet(out).groupBy(F.col("geom.kind").alias("kind"), F.col("geom_error.code").alias("code"))
+    return groups.agg(F.count(F.lit(1)).alias("n"), F.count_if("geom_undecided").alias("n_undecided"))
+
+
 _STREAM_TWIN = f"""SELECT kind, code, count(*) AS n FROM (SELECT CASE WHEN event_id % 50 > 7 THEN 1 END AS kind,
     {_EVENT_CODE.format(circle="'UNSUPPORTED_TYPE'")} AS code, event_id FROM events) q"""
 
@@ -641,9 +684,9 @@ def stream_geojson(spark, sf_dir):
     return rows.groupBy(F.col("geom.kind").alias("kind"), F.col("geom_error.code").alias("code")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@_query(_STREAM_TWIN + " WHERE event_id % 50 <> 7 GROUP BY kind, code")
+@_query(_STREAM_TWIN + " GROUP BY kind, code")
 def stream_ingest_geojson(spark, sf_dir):
-    """The ingest as a stream; NULL geometries are no rows of either table."""
+    """The ingest as a stream: each line is in one of its two tables."""
     src = _text_files(fx.fixture(spark, sf_dir, "geo_events"), "geojson", "event-lines")
     dst = scratch_path(spark, "stream-ingested")
     ingest.stream_ingest_geojson(spark, src, dst, scratch_path(spark, "ingest-state")).awaitTermination()

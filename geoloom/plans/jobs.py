@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from geoloom.functions import binary
 from geoloom.functions.encodings import encoding
 from geoloom.operators.encoding import is_text, parse_geojson
-from geoloom.operators.validate import fill_srid, orient_rings, quality_report, split_quarantine, vertex_count
+from geoloom.operators.validate import fill_srid, orient_rings, outcome_counts, split_quarantine, vertex_count
 from geoloom.operators.validity import resolve_polygon_validity
-from geoloom.schema import DEFAULT_SRID, bind, declare_geometry, kind_code
+from geoloom.schema import DEFAULT_SRID, bind, kind_code
+from geoloom.session import scratch_scope
 
 
 def convert_table(
@@ -70,27 +71,43 @@ def curate_geojson(lines: DataFrame, srid: int = DEFAULT_SRID, expect=None, text
 def write_curated(
     curated: DataFrame, good_path: str, dead_path: str, source: str, text_col: str = "value", mode: str = "errorifexists"
 ) -> None:
-    """Good rows as SRID-prefixed WKB partitioned by kind, the others as dead letters."""
+    """Good rows as SRID-prefixed WKB partitioned by kind, the others as dead letters.
+
+    A text of ``null`` is a good row without a geometry; so each row is in one of the two.
+    """
     good, dead = split_quarantine(curated, "geom_error", raw_col=text_col, source=source)
-    good = good.filter(F.col("geom").isNotNull())
     good.select(
         *[c for c in good.columns if c not in (text_col, "geom")],
         F.col("geom.kind").alias("kind"),
         F.col("geom.srid").alias("srid"),
-        vertex_count(F.col("geom")).alias("n_vertices"),
+        F.coalesce(vertex_count(F.col("geom")), F.lit(0)).alias("n_vertices"),
         binary.encode(F.col("geom"), as_hex=False).alias("wkb"),
     ).write.mode(mode).partitionBy("kind").parquet(good_path)
-    dead.drop("reversed_rings").write.mode(mode).parquet(dead_path)
+    dead.write.mode(mode).parquet(dead_path)
+
+
+def ingest_report(curated: DataFrame, dead: DataFrame) -> DataFrame:
+    """The quality report of an ingest, from narrow columns of its two tables."""
+    none = lambda kind: F.lit(None).cast(kind)
+    good = curated.select(
+        F.col("kind").cast("int").alias("kind"), "srid", none("string").alias("code"),
+        F.col("n_vertices").alias("vertices"), F.col("reversed_rings").alias("reversed"),
+    )
+    bad = dead.select(
+        none("int").alias("kind"), none("int").alias("srid"), "code", F.lit(0).alias("vertices"), F.col("reversed_rings").alias("reversed")
+    )
+    return outcome_counts(good.unionByName(bad), ["kind", "srid", "code"])
 
 
 def ingest_geojson(spark: SparkSession, src: str, dst: str, srid: int = DEFAULT_SRID, expect=None) -> DataFrame:
     """Newline-delimited GeoJSON -> curated WKB table, dead letters and a quality report.
 
     Writes ``dst/curated``, ``dst/dead_letter`` and ``dst/report``; returns the
-    report. The input text is read and parsed once.
+    report. Every line is in one of the first two, blank ones as dead letters. The input
+    text is read and parsed once; the staged rows go when the job ends.
     """
-    lines = spark.read.text(src).filter(F.trim("value") != "")
-    curated = curate_geojson(lines, srid, expect)
-    write_curated(curated, f"{dst}/curated", f"{dst}/dead_letter", src)
-    quality_report(declare_geometry(curated, {"geom": expect}), [], "geom").write.parquet(f"{dst}/report")
+    with scratch_scope(spark, "ingest"):
+        write_curated(curate_geojson(spark.read.text(src), srid, expect), f"{dst}/curated", f"{dst}/dead_letter", src)
+    tables = (spark.read.parquet(f"{dst}/{name}") for name in ("curated", "dead_letter"))
+    ingest_report(*tables).write.parquet(f"{dst}/report")
     return spark.read.parquet(f"{dst}/report")

@@ -84,6 +84,7 @@ def bind(df: DataFrame, name: str, value: Column) -> DataFrame:
     return df.select("*", F.explode(F.array(value)).alias(name))
 
 
+# Fixed rule: column names of declared fields must come out alike.
 def snake_case(name: str) -> str:
     return re.sub(r"([a-z])([A-Z])", r"\1_\2", name).lower()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import functools
 import tempfile
 import uuid
@@ -76,8 +77,28 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[app]
 
 
+# Folders of the jobs that run now, the innermost last.
+_SCOPES: list[str] = []
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    return f"{_SCOPES[-1] if _SCOPES else shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession, name: str):
+    """Scratch tables made inside go when the job ends, whether it succeeds or not.
+
+    For jobs that return nothing that still reads them.
+    """
+    folder = scratch_path(spark, name)
+    _SCOPES.append(folder)
+    try:
+        yield folder
+    finally:
+        _SCOPES.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -27,9 +27,10 @@ def encode_columns(df: DataFrame, geom_cols: list[str], encode) -> DataFrame:
 
 
 def read_wkb_table(
-    spark: SparkSession, path: str, geom_cols: dict[str, int | str | None], fmt: str = "parquet", where=None, **options
+    spark: SparkSession, path: str, geom_cols: dict[str, int | str | None], fmt: str = "parquet", where=None,
+    encoded_as: str = "wkb", **options,
 ) -> DataFrame:
-    """Scan a table of SRID-prefixed WKB columns (hex or binary) and decode them.
+    """Scan a table of SRID-prefixed WKB columns (hex or binary), or of another registered encoding, and decode them.
 
     ``where`` is a condition on stored columns or header fields; it is applied
     below the decoder, so rows it drops are never decoded.
@@ -37,7 +38,7 @@ def read_wkb_table(
     df = spark.read.format(fmt).options(**options).load(path)
     if where is not None:
         df = df.filter(where)
-    return decode_columns(df, geom_cols, encoding("wkb"))
+    return decode_columns(df, geom_cols, encoding(encoded_as))
 
 
 def read_geojson(spark: SparkSession, path: str, srid: int = DEFAULT_SRID, expect=None, check_valid: bool = True) -> DataFrame:
@@ -50,13 +51,14 @@ def read_geojson(spark: SparkSession, path: str, srid: int = DEFAULT_SRID, expec
 
 def write_wkb_table(
     df: DataFrame, path: str, geom_cols: list[str], partition_by: list[str] | None = None, as_hex: bool = False,
-    fmt: str = "parquet", mode: str = "errorifexists",
+    fmt: str = "parquet", mode: str = "errorifexists", encoded_as: str = "wkb",
 ) -> None:
-    """Write geometry columns as SRID-prefixed WKB. No shuffle.
+    """Write geometry columns as SRID-prefixed WKB, or in another registered encoding. No shuffle.
 
-    Partition by something of few values, such as kind or SRID.
+    Partition by something of few values, such as kind or SRID. ``as_hex`` is for WKB alone.
     """
-    encoded = encode_columns(df, geom_cols, lambda g: binary.encode(g, as_hex))
+    encode = (lambda g: binary.encode(g, as_hex)) if encoded_as == "wkb" else encoding(encoded_as).encode
+    encoded = encode_columns(df, geom_cols, encode)
     encoded.write.format(fmt).mode(mode).partitionBy(*(partition_by or [])).save(path)
 
 

@@ -7,21 +7,35 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from geoloom.operators.encoding import parse_geojson
+from geoloom.operators.validity import row_verdict
 from geoloom.plans.jobs import curate_geojson, write_curated
-from geoloom.schema import DEFAULT_SRID
+from geoloom.schema import DEFAULT_SRID, bind, error
+from geoloom.session import scratch_scope
 
 
 def _lines(spark: SparkSession, path: str, **options) -> DataFrame:
-    return spark.readStream.format("text").options(**options).load(path).filter(F.trim("value") != "")
+    return spark.readStream.format("text").options(**options).load(path)
 
 
 def stream_geojson(spark: SparkSession, path: str, srid: int = DEFAULT_SRID, expect=None, **options) -> DataFrame:
     """Arriving files of newline-delimited GeoJSON as a streaming table of geometries.
 
-    The same contract as the batch reader, except for polygon validity, which
-    needs a job over edges and is left to the ingest below.
+    The same contract as the batch reader, except for polygons whose validity no row can
+    settle alone: they stay, with ``geom_undecided`` true, for the ingest below or a batch job.
     """
-    return parse_geojson(_lines(spark, path, **options), "value", srid, expect, check_valid=False)
+    df = parse_geojson(_lines(spark, path, **options), "value", srid, expect, check_valid=False)
+    meta = df.schema["geom"].metadata
+    df = bind(df, "__row", row_verdict("geom", True))
+    undecided = F.coalesce(F.col("__row")["open"], F.lit(False))
+    bad = ~undecided & F.col("__row")["code"].isNotNull()
+    found = error("INVALID_POLYGON", "coordinates", F.col("__row")["code"])
+    return df.withColumns(
+        {
+            "geom": F.when(~bad, F.col("geom")).alias("geom", metadata=meta),
+            "geom_error": F.when(bad, found).otherwise(F.col("geom_error")),
+            "geom_undecided": undecided,
+        }
+    ).drop("__row")
 
 
 def stream_ingest_geojson(
@@ -42,10 +56,11 @@ def stream_ingest_geojson(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        curated = curate_geojson(batch, srid, expect)
-        write_curated(
-            curated, f"{dst}/curated/batch={batch_id}", f"{dst}/dead_letter/batch={batch_id}", src, mode="overwrite"
-        )
+        with scratch_scope(batch.sparkSession, "ingest"):
+            write_curated(
+                curate_geojson(batch, srid, expect),
+                f"{dst}/curated/batch={batch_id}", f"{dst}/dead_letter/batch={batch_id}", src, mode="overwrite",
+            )
 
     return (
         _lines(spark, src, **options)

@@ -173,3 +173,40 @@ def test_native_points_agree_with_batches(spark):
     rows = enc.encode_wkb(enc.decode_wkb(df, "wkb"), "geom", out="again").collect()
     assert [(r.x, r.y, r.again) for r in rows] == [(r.lon, r.lat, r.wkb) for r in rows]
     assert [r.geom.srid for r in rows] == [4326, 3857]
+
+
+def body(kind, *payload):
+    return struct.pack("<BI", 1, kind) + b"".join(payload)
+
+
+def count(n):
+    return struct.pack("<I", n)
+
+
+def xy(i):
+    return struct.pack("<dd", float(i), -float(i))
+
+
+def many(kind, n):
+    """A multi-part value of n parts that differ, after its SRID."""
+    parts = {
+        4: lambda i: body(1, xy(i)),
+        5: lambda i: body(2, count(2 + i % 3), *[xy(i + j) for j in range(2 + i % 3)]),
+        6: lambda i: body(3, count(1), count(4), xy(i), xy(i + 1), struct.pack("<dd", i, 5.0), xy(i)),
+    }[kind]
+    return struct.pack("<I", 4326) + body(kind, count(n), *map(parts, range(n)))
+
+
+@pytest.mark.parametrize("kind", [4, 5, 6])
+def test_many_parts_alone_and_among_others(spark, kind):
+    values = [many(kind, 3000), many(kind, 70), many(4, 2), many(kind, 3000)[:-1], many(kind, 0)]
+    bag = struct.pack("<I", 4326) + body(7, count(2), many(kind, 500)[4:], many(5, 200)[4:])
+    big_endian = struct.pack("<I", 4326) + body(4, count(100), *[struct.pack(">BIdd", 0, 1, i, i) if i % 2 else body(1, xy(i)) for i in range(100)])
+    df = spark.createDataFrame(list(enumerate([*values, bag, big_endian])), "id int, wkb binary").coalesce(1)
+    rows = enc.decode_wkb(df, "wkb").orderBy("id").collect()
+    sizes = [[len(m.parts) for m in r.geom.members] if r.geom else r.geom_error.code for r in rows]
+    assert sizes == [[3000], [70], [2], "WKB_PARSE", [0], [500, 200], [100]]
+    lines = [len(p[0]) for p in rows[0].geom.members[0].parts]
+    assert lines == [{4: 1, 5: 2 + i % 3, 6: 4}[kind] for i in range(3000)]
+    assert [p[0][0].x for p in rows[0].geom.members[0].parts] == [float(i) for i in range(3000)]
+    assert [abs(p[0][0].y) for p in rows[6].geom.members[0].parts] == [float(i) for i in range(100)]

@@ -4,6 +4,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from geoloom.plans import jobs
+from geoloom.session import shared_folder
 from geoloom.streaming.ingest import stream_geojson, stream_ingest_geojson
 
 LINES = [
@@ -27,11 +28,12 @@ def test_ingest_splits_good_from_bad(spark, tmp_path):
     got = {(r.kind, r.code): (r.n_rows, r.n_bad, r.n_reversed_rings) for r in report.collect()}
     assert got == {
         (1, None): (1, 0, 0), (3, None): (1, 0, 1), (None, "INVALID_POLYGON"): (1, 1, 1),
-        (None, "JSON_MALFORMED"): (1, 1, 0), (None, None): (1, 0, 0),
+        (None, "JSON_MALFORMED"): (2, 2, 0), (None, None): (1, 0, 0),
     }
     dead = spark.read.parquet(str(tmp_path / "out" / "dead_letter")).collect()
-    assert {(r.raw_value, r.code) for r in dead} == {(LINES[2], "INVALID_POLYGON"), (LINES[3], "JSON_MALFORMED")}
-    assert spark.read.parquet(str(tmp_path / "out" / "curated")).count() == 2
+    assert {(r.raw_value, r.code) for r in dead} == {(LINES[2], "INVALID_POLYGON"), (LINES[3], "JSON_MALFORMED"), ("", "JSON_MALFORMED")}
+    assert spark.read.parquet(str(tmp_path / "out" / "curated")).count() == 3
+    assert not list(Path(shared_folder(spark)).glob("ingest-*"))
 
 
 def test_stream_replay_adds_nothing(spark, tmp_path):
@@ -40,15 +42,15 @@ def test_stream_replay_adds_nothing(spark, tmp_path):
     run = lambda ckpt: stream_ingest_geojson(spark, str(src), dst, str(tmp_path / ckpt)).awaitTermination()
     count = lambda: (spark.read.parquet(dst + "/curated").count(), spark.read.parquet(dst + "/dead_letter").count())
     run("c1")
-    assert count() == (2, 2)
+    assert count() == (3, 3)
     run("c1")
-    assert count() == (2, 2)
+    assert count() == (3, 3)
     # A lost checkpoint replays batch 0 into the same folder.
     run("c2")
-    assert count() == (2, 2)
+    assert count() == (3, 3)
     write(src, "b.json", LINES[:1])
     run("c1")
-    assert count() == (3, 2)
+    assert count() == (4, 3)
 
 
 def test_stream_parse_is_stateless(spark, tmp_path):

@@ -24,10 +24,10 @@ def test_entry(spark):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.catalog.QUERIES) == set(entry.catalog.ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.catalog.QUERIES))
 def test_query_equals_twin(spark, duck, name):
     df = entry.queries()[name](spark, str(SF_DIR))
     columns = sorted(df.columns)

@@ -149,3 +149,16 @@ def test_parse_marks_invalid_polygons_but_not_multi_polygons(spark):
     rows = enc.parse_geojson(df, "text").orderBy("id").collect()
     assert [r.geom_error.code if r.geom_error else None for r in rows] == ["INVALID_POLYGON", None, "INVALID_POLYGON"]
     assert [r.geom is None for r in rows] == [True, False, True]
+
+
+def test_an_undecided_member_comes_before_a_later_bad_one(spark):
+    """The same code however large the first member is."""
+    bow = [[0, 0], [4, 4], [4, 0], [0, 4], [0, 0]]
+    long_bow = [[0, 0], [4, 4], [4, 0], *[[4 - 4 * i / 60, i / 100] for i in range(1, 40)], [0, 4], [0, 0]]
+    flat = [[9, 9], [9, 9], [9, 9], [9, 9]]
+    bag = lambda *rings: json.dumps({"type": "GeometryCollection", "geometries": [{"type": "Polygon", "coordinates": [r]} for r in rings]})
+    texts = [bag(bow, flat), bag(long_bow, flat), bag(flat, long_bow)]
+    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    df = enc.parse_geojson(df, "t", check_valid=False, orient=False)
+    out = validity.check_validity(df, "id", "geom").orderBy("id").collect()
+    assert [r.validity for r in out] == ["SELF_INTERSECTION", "SELF_INTERSECTION", "TOO_FEW_POINTS"]
