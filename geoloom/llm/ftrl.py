@@ -23,11 +23,13 @@ def fit(rows, targets, size: int, classes: int, *, alpha=0.5, beta=1.0, l1=0.0,
     """
     z, n = np.zeros((size + 1, classes)), np.zeros((size + 1, classes))
     order = np.random.default_rng(seed)
+    first, second = np.full((size + 1, 1), l1), np.full((size + 1, 1), l2)
+    first[size] = second[size] = 0.0  # the bias is free
 
     def weights(at):
         zi, ni = z[at], n[at]
-        w = -(zi - np.sign(zi) * l1) / ((beta + np.sqrt(ni)) / alpha + l2)
-        return np.where(np.abs(zi) <= l1, 0.0, w)
+        w = -(zi - np.sign(zi) * first[at]) / ((beta + np.sqrt(ni)) / alpha + second[at])
+        return np.where(np.abs(zi) <= first[at], 0.0, w)
 
     for _ in range(epochs):
         for i in order.permutation(len(rows)):

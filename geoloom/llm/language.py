@@ -127,15 +127,15 @@ def train(df: DataFrame, doc_id: str = "doc_id", text: str = "text", lang: str =
     return {**model, "names": names, "idf": idf.astype(np.float32)}
 
 
-def predict(df: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
-    """``df`` with ``lang_pred`` and ``score``: the likeliest language and its calibrated probability.
+def predict(df: DataFrame, model: dict | None, text: str = "text", out: str = "lang_pred", score: str = "score") -> DataFrame:
+    """``df`` with ``out`` and ``score``: the likeliest language and its calibrated probability.
 
     NULL texts, texts without a letter, and every text if nothing was learned get
     ``und`` and 0. One narrow pass. Columns of these names are replaced.
     """
     small_batches(df.sparkSession)
     spark = df.sparkSession
-    kept = [f for f in df.schema.fields if f.name not in ("lang_pred", "score")]
+    kept = [f for f in df.schema.fields if f.name not in (out, score)]
     columns = [f.name for f in kept]
     sent = spark.sparkContext.broadcast(model)
 
@@ -154,9 +154,9 @@ def predict(df: DataFrame, model: dict | None, text: str = "text") -> DataFrame:
                 best = int(np.argmax(p))
                 names.append(m["names"][best])
                 probs.append(float(min(1.0, p[best])))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(probs, pa.float64())], names=[*columns, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(names, pa.string()), pa.array(probs, pa.float64())], names=[*columns, out, score])
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + ", lang_pred string, score double"
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept) + f", `{out}` string, `{score}` double"
     return df.select(*[F.col(f"`{c}`") for c in columns]).mapInArrow(label, schema)
 
 

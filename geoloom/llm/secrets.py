@@ -116,10 +116,10 @@ def joined(spans) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in spans)
 
 
-def _scanned(df: DataFrame, text: str, threshold: float, mask: str | None) -> DataFrame:
+def _scanned(df: DataFrame, text: str, threshold: float, mask: str | None, out: str) -> DataFrame:
     dictionary = identifier_dictionary(df, text)
-    columns = [c for c in df.columns if c != "secret_spans"]
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != "secret_spans")
+    columns = [c for c in df.columns if c != out]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name != out)
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("novelty", pa.float64())]))
 
     def masked(value: str | None, rows: list) -> str | None:
@@ -151,14 +151,14 @@ def _scanned(df: DataFrame, text: str, threshold: float, mask: str | None) -> Da
             arrays = list(batch.columns)
             if mask is not None:
                 arrays[place] = pa.array(clean, pa.string())
-            yield pa.RecordBatch.from_arrays([*arrays, pa.array(found, kind)], names=[*columns, "secret_spans"])
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(found, kind)], names=[*columns, out])
 
     rows = df.select(*[F.col(f"`{c}`") for c in columns])
-    return rows.mapInArrow(scan, schema + ", secret_spans array<struct<kind:string,start:bigint,end:bigint,novelty:double>>")
+    return rows.mapInArrow(scan, schema + f", `{out}` array<struct<kind:string,start:bigint,end:bigint,novelty:double>>")
 
 
-def find_secrets(df: DataFrame, text: str = "text", threshold: float = NOVELTY) -> DataFrame:
-    """``df`` with ``secret_spans``: array of (kind, start, end, novelty), in order of start.
+def find_secrets(df: DataFrame, text: str = "text", threshold: float = NOVELTY, out: str = "secret_spans") -> DataFrame:
+    """``df`` with ``out``: array of (kind, start, end, novelty), in order of start.
 
     Kinds: ``assign``, ``access`` and ``hex`` by pattern, ``novel`` for other strings in
     sensitive context whose marginal compressed bytes per character, under a
@@ -167,19 +167,19 @@ def find_secrets(df: DataFrame, text: str = "text", threshold: float = NOVELTY)
     narrow passes; only the bounded dictionary is shuffled.
 
     NULL and empty texts have no spans. Rows are independent: repeated rows get
-    equal results. A column of the name ``secret_spans`` is replaced. An empty
+    equal results. A column of the name ``out`` is replaced. An empty
     table gives an empty table.
     """
-    return _scanned(df, text, threshold, None)
+    return _scanned(df, text, threshold, None, out)
 
 
-def redact_secrets(df: DataFrame, text: str = "text", mask: str = "<SECRET>", threshold: float = NOVELTY) -> DataFrame:
+def redact_secrets(df: DataFrame, text: str = "text", mask: str = "<SECRET>", threshold: float = NOVELTY, out: str = "secret_spans") -> DataFrame:
     """``df`` with every span of :func:`find_secrets` in ``text`` replaced by ``mask``.
 
-    Adds ``secret_spans``, whose offsets are those of the text before. Spans that
+    Adds ``out``, whose offsets are those of the text before. Spans that
     overlap become one mask. No row goes; NULL stays NULL.
     """
-    return _scanned(df, text, threshold, mask)
+    return _scanned(df, text, threshold, mask, out)
 
 
 def op1_secret_novelty(spark, sf_dir: str) -> DataFrame:
