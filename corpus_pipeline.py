@@ -17,11 +17,11 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     with a letter stay.
     """
     model = language.train(docs)
-    found = language.predict(docs.withColumn("__text", F.col("text")), model, "__text")
+    found = language.predict(docs, model, out="__lang", score="__score")
     if model is None:
         keep = F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
     else:
-        keep = F.col("score") >= language.ACCEPT
+        keep = F.col("__score") >= language.ACCEPT
     return found.filter(keep).select(docs.columns)
 
 
@@ -37,10 +37,10 @@ def clean_of_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def redacted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets masked; ``n_chars`` of masked ones is that of the new text."""
-    found = secrets.redact_secrets(docs)
+    found = secrets.redact_secrets(docs, out="__spans")
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
-        found = found.withColumn("n_chars", F.when(F.size("secret_spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+        found = found.withColumn("n_chars", F.when(F.size("__spans") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
     return found.select(docs.columns)
 
 
