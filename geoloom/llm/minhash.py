@@ -8,12 +8,13 @@ from collections.abc import Iterator
 from functools import reduce
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import components, mix, small_batches, table, with_row_id, without_rows, word_hashes
+from geoloom.llm.common import components, mix, small_batches, table, with_row_id, without_rows, word_hashes, worker_cache
 from geoloom.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -25,21 +26,22 @@ SAMPLES = BANDS * ROWS
 AGREE = SAMPLES // 2  # samples that must be equal before a pair is verified: 5 deviations below a pair at 0.8
 IDF_BITS = 17  # words are hashed to 2**17 counters of document frequency
 _DRAW_BITS = 16  # random draws of a sample are tabled under this many bits of the shingle's hash
+BLOCK = 256  # classes of a bucket on each side of a group that is compared
 _ELEMENTS = 1 << 16  # shingles sampled at a time
-_TABLES: list[tuple] = []
 
 
 def _tables() -> tuple:
     """Draws of each sample: multipliers, log c, r and beta of Ioffe's sampling, the same in every task."""
-    if not _TABLES:
+    kept = worker_cache()
+    if "draws" not in kept:
         rng = np.random.default_rng(20240607)
         size = (SAMPLES, 1 << _DRAW_BITS)
         r = rng.gamma(2.0, 1.0, size).astype(np.float32)
         log_c = np.log(rng.gamma(2.0, 1.0, size)).astype(np.float32)
         beta = rng.random(size, dtype=np.float32)
         factors = rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        _TABLES.append((factors, log_c - r, r, beta))
-    return _TABLES[0]
+        kept["draws"] = (factors, log_c - r, r, beta)
+    return kept["draws"]
 
 
 def shingles(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,6 +191,67 @@ def agreement(x: Column, y: Column) -> Column:
     return reduce(lambda s, i: s + (F.get(x, F.lit(i)) == F.get(y, F.lit(i))).cast("int"), range(SAMPLES), F.lit(0))
 
 
+def _across(placed: DataFrame, rows: DataFrame, idf, least: float) -> DataFrame:
+    """Links between classes of a bucket that are in different components, one of them not in that of the bucket's least.
+
+    Both sides of a bucket, those apart and all of it, are cut into blocks of about ``BLOCK`` classes; every pair of
+    blocks meets in a group of its own, which compares inside and gives out links only. A pair is looked at
+    in the first bucket it shares, and not if the group has already linked its two sides.
+    """
+    counts = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("own") != F.col("theirs")).alias("n_apart"))
+    counts = counts.filter("n_apart > 0").select("band", "key", F.ceil(F.col("n") / BLOCK).alias("bm"), F.ceil(F.col("n_apart") / BLOCK).alias("ba"))
+    mixed = placed.join(counts.hint("merge"), ["band", "key"]).withColumn("apart", F.col("own") != F.col("theirs"))
+    mixed = mixed.join(rows.select(F.col("rid").alias("rep"), "words"), "rep")
+    block = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
+    to = lambda last: F.sequence(F.lit(0), (F.col(last) - 1).cast("int"))
+    every = F.transform(to("ba"), lambda i: F.struct(i.alias("i"), block(F.col("bm")).alias("j"), F.lit(False).alias("left")))
+    lefts = F.transform(to("bm"), lambda j: F.struct(block(F.col("ba")).alias("i"), j.alias("j"), F.lit(True).alias("left")))
+    sides = mixed.withColumn("side", F.explode(F.concat(every, F.when(F.col("apart"), lefts).otherwise(F.slice(lefts, 1, 0)))))
+    sides = sides.select("band", "key", "side.*", "rep", "own", "apart", "samples", "words")
+
+    def compare(group: pd.DataFrame) -> pd.DataFrame:
+        left, right = group[group["left"]], group[~group["left"]]
+        if left.empty or right.empty:
+            return pd.DataFrame({"a": pd.Series(dtype="int64"), "b": pd.Series(dtype="int64")})
+        band = int(group["band"].iloc[0])
+        reps, owns = right["rep"].to_numpy(), right["own"].to_numpy()
+        apart, samples = right["apart"].to_numpy(), np.stack(right["samples"].to_numpy())
+        sets = [shingles(np.frombuffer(w, dtype=np.uint32), idf.value) for w in right["words"]]
+        h, w = (np.concatenate([s[i] for s in sets]) for i in (0, 1))
+        lengths = np.array([len(s[0]) for s in sets])
+        ends = np.cumsum(lengths)
+        starts, mass = ends - lengths, np.add.reduceat(w, ends - lengths)
+        root = {x: x for x in {*owns, *left["own"]}}
+
+        def find(x):
+            while root[x] != x:
+                root[x] = x = root[root[x]]
+            return x
+
+        found = []
+        for rep, own, mine, words in zip(left["rep"], left["own"], left["samples"], left["words"]):
+            same = samples == np.asarray(mine)
+            shared = same.reshape(len(reps), BANDS, ROWS).all(axis=2)
+            able = (owns != own) & (same.sum(axis=1) >= AGREE) & (shared.argmax(axis=1) == band) & (~apart | (reps > rep))
+            at = np.flatnonzero(able)
+            if not len(at):
+                continue
+            sh, sw = shingles(np.frombuffer(words, dtype=np.uint32), idf.value)
+            pick = np.concatenate([np.arange(starts[i], ends[i]) for i in at]) if len(at) < len(reps) else slice(None)
+            hp, wp = h[pick], w[pick]
+            place = np.minimum(np.searchsorted(sh, hp), len(sh) - 1)
+            common = np.where(sh[place] == hp, np.minimum(sw[place], wp), 0.0)
+            shared_mass = np.add.reduceat(common, np.cumsum(lengths[at]) - lengths[at])
+            for i in at[shared_mass >= least * (sw.sum() + mass[at] - shared_mass) - 1e-9]:
+                x, y = find(own), find(owns[i])
+                if x != y:
+                    root[max(x, y)] = min(x, y)
+                    found.append((rep, reps[i]))
+        return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+    return sides.groupBy("band", "key", "i", "j").applyInPandas(compare, "a long, b long")
+
+
 def near_duplicates(df: DataFrame, rid: str, text: str = "text", least: float = SIMILARITY) -> DataFrame:
     """``(rid, root)`` for every row of ``df``: ``root`` is the least ``rid`` reachable by links.
 
@@ -199,9 +262,8 @@ def near_duplicates(df: DataFrame, rid: str, text: str = "text", least: float =
 
     First each class of a bucket is compared with the bucket's least, so that a group of near copies takes
     one comparison for each. Then every class that is not yet in the component of its bucket's least
-    is compared with all of the bucket that are in another component: the join tests samples
-    as it runs and only likely pairs leave it. So no link between different components is left
-    out, and no bucket is gathered in one task. Samples come from words hashed to 32 bits; idf from
+    is compared with all of the bucket that are in another component, in blocks that give out links
+    only. So no link between different components is left out, and no bucket is gathered in one task. Samples come from words hashed to 32 bits; idf from
     2**17 hashed counters over all texts.
     """
     rows = hashed(df, text, rid)
@@ -224,15 +286,8 @@ def near_duplicates(df: DataFrame, rid: str, text: str = "text", least: float =
     placed = members.join(part.withColumnsRenamed({"node": "rep", "root": "own"}), "rep", "left").withColumn("own", F.coalesce("own", "rep"))
     placed = placed.join(part.withColumnsRenamed({"node": "least", "root": "theirs"}), "least", "left").withColumn("theirs", F.coalesce("theirs", "least"))
     placed = materialize(placed.join(of, "rep"), "placed")
-    apart = placed.filter("own <> theirs")
-    # Buckets in which all are of one component need no more.
-    right = placed.select("band", "key", F.col("rep").alias("b"), F.col("own").alias("own_b"), F.col("samples").alias("sb"))
-    left = apart.select("band", "key", F.col("rep").alias("a"), F.col("own").alias("own_a"), F.col("samples").alias("sa"))
-    more = left.join(right.hint("merge"), ["band", "key"]).filter(
-        (F.col("own_a") != F.col("own_b")) & (agreement(F.col("sa"), F.col("sb")) >= AGREE)
-    )
-    more = more.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    links = links.union(materialize(_verified(more, rows, idf, least), "links"))
+    more = _across(placed, rows, idf, least)
+    links = links.union(materialize(more, "links"))
     roots = materialize(components(links, "groups"), "groups")
     found = samples.select("rid", "digest").join(classes.select("digest", "rep"), "digest")
     found = found.join(roots, found["rep"] == roots["node"], "left").select(F.col("rid").alias("__rid"), F.coalesce("root", "rep").alias("root"))
