@@ -21,6 +21,7 @@ HEADLINE = [
     "decode_wkb_lines",
     "make_lines",
     "make_lines_long_keys",
+    "make_lines_hot_keys",
     "encode_wkb_lines",
     "parse_geojson_events",
     "parse_geojson_polygons",
