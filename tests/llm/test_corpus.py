@@ -181,6 +181,19 @@ def test_vectors_equal_brute_force(spark):
     assert vectors.near_vectors(docs.limit(0), "__n").count() == 0
 
 
+def test_encoder_agrees_with_whole_texts():
+    from tokenizers import Tokenizer
+
+    bits = ["ab", "É", "ñ", "ā", " ", " ", "\n", "\t", "'s", "'ll", "'", ",", ".", "&&", "<|endoftext|>", "1", "_", "º", "\u0300", "ɏ", "ɐ", "[", "漢"]
+    draw = np.random.default_rng(3)
+    texts = ["", "a"] + ["".join(draw.choice(bits, draw.integers(0, 12))) for _ in range(4000)]
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    encode = packing.Encoder(packing.tokenizer_path())
+    for _ in range(2):  # new words, then known ones
+        assert [list(i) for i in encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert encode([]) == []
+
+
 def test_packing(spark):
     rng = random.Random(7)
     texts = [None, "", "hello world", "hello world", "a\tb  c", " lead", "x\n\ny"] + [" ".join(words(rng, rng.randrange(1, 900))) for _ in range(60)] + [" ".join(words(rng, 9000))]
