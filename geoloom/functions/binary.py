@@ -13,7 +13,8 @@ MIN_BYTES = 9  # SRID prefix, byte-order mark and type word
 
 
 def as_bytes(column: Column, is_text: bool) -> Column:
-    return F.unhex(column) if is_text else column
+    """Bytes of a column; NULL where its text is no hex."""
+    return F.when(F.length(column) % 2 == 0, F.unhex(column)) if is_text else column
 
 
 def header(data: Column) -> Column:

@@ -10,17 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from geoloom.functions.turn import is_ccw, let
 from geoloom.schema import DEFAULT_SRID, GEOM, KIND_NAMES, KINDS, error, kind_code, kind_name, no_error
 
 POINT, LINE, POLYGON = 1, 2, 3
+LARGE_TEXT = 8 << 20  # bytes; a smaller text always fits a VARIANT
 MULTI_POLYGON, COLLECTION = 6, 7
 
 
-def let(value: Column, body) -> Column:
-    """Bind a value once for ``body``; lambdas evaluate repeated expressions each time."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def _kind_of(type_name: Column) -> Column:
     codes = F.create_map(*[F.lit(v) for pair in KINDS.items() for v in pair])
     return F.try_element_at(codes, type_name)
@@ -132,21 +129,9 @@ def _to_vertices(parts: Column) -> Column:
     return F.transform(parts, lambda p: F.transform(p, lambda r: F.transform(r, vertex)))
 
 
-def signed_area2(ring: Column) -> Column:
-    """Twice the signed area, taken about the first vertex to limit cancellation."""
-    o = F.get(ring, F.lit(0))
-    cross = lambda a, b: (a["x"] - o["x"]) * (b["y"] - o["y"]) - (b["x"] - o["x"]) * (a["y"] - o["y"])
-    return F.aggregate(
-        F.zip_with(ring, F.slice(ring, F.lit(2), F.size(ring)), lambda a, b: F.when(b.isNull(), 0.0).otherwise(cross(a, b))),
-        F.lit(0.0),
-        lambda total, term: total + F.coalesce(term, F.lit(0.0)),
-    )
-
-
 def needs_reverse(ring: Column, is_shell: Column) -> Column:
     """Shells run counter-clockwise and holes clockwise; a flat ring is not CCW."""
-    ccw = signed_area2(ring) > 0
-    return F.when(is_shell, ~ccw).otherwise(ccw)
+    return is_ccw(ring) != is_shell
 
 
 def oriented_parts(parts: Column) -> Column:
@@ -160,15 +145,17 @@ def parse(
     expect: int | str | None = None,
     ranged: bool | None = None,
     orient: bool = True,
+    partial: bool = False,
 ) -> Column:
     """``struct<geom, error>`` of a GeoJSON column, all but polygon validity.
 
     The geometry is present only when there is no error. Polygons are oriented
-    unless ``orient`` is off.
+    unless ``orient`` is off. With ``partial`` an erroneous collection keeps the members before its first
+    error where a polygon is among them: an invalid one there is the earlier error.
     """
     expect = kind_code(expect)
     ranged = srid == DEFAULT_SRID if ranged is None else ranged
-    general = let(F.try_parse_json(text), lambda doc: _parse_variant(text, doc, srid, expect, ranged, orient))
+    general = let(F.try_parse_json(text), lambda doc: _parse_variant(text, doc, srid, expect, ranged, orient, partial))
     plain = _parse_plain(text, srid, expect, ranged, orient)
     if plain is None:
         return general
@@ -286,14 +273,21 @@ def _finish(orient: bool):
 
 
 def _parse_variant(
-    text: Column, doc: Column, srid: int, expect: int | None, ranged: bool, orient: bool
+    text: Column, doc: Column, srid: int, expect: int | None, ranged: bool, orient: bool, partial: bool = False
 ) -> Column:
     def conclude(top, kind, members):
         def result(found):
-            geom = F.struct(
-                kind.alias("kind"), F.lit(srid).alias("srid"), F.transform(members, _finish(orient)).alias("members")
-            )
-            return F.struct(F.when(found.isNull(), geom).alias("geom"), found.alias("error"))
+            def geom(some):
+                return F.struct(kind.alias("kind"), F.lit(srid).alias("srid"), F.transform(some, _finish(orient)).alias("members"))
+
+            kept = F.when(found.isNull(), geom(members))
+            if partial:
+                good = F.array_position(F.transform(members, lambda m: m["error"].isNotNull()), True).cast("int") - 1
+                earlier = F.slice(members, F.lit(1), F.greatest(good, F.lit(0)))
+                # Errors of the document itself leave no members.
+                judge = (kind == COLLECTION) & members.isNotNull() & F.exists(earlier, lambda m: m["kind"] == POLYGON)
+                kept = kept.when(judge, geom(earlier))
+            return F.struct(kept.alias("geom"), found.alias("error"))
 
         return let(F.coalesce(top, _first(F.transform(members, lambda m: m["error"]))), result)
 
@@ -321,9 +315,11 @@ def _parse_variant(
 
     absent = text.isNull() | F.is_variant_null(doc)
     nothing = F.lit(None).cast(GEOM)
+    # Sound JSON that no VARIANT can hold.
+    oversized = (F.octet_length(text) > LARGE_TEXT) & F.json_object_keys(text).isNotNull()
     return (
         F.when(absent, F.struct(nothing.alias("geom"), no_error().alias("error")))
-        .when(doc.isNull(), F.struct(nothing.alias("geom"), error("JSON_MALFORMED").alias("error")))
+        .when(doc.isNull(), F.struct(nothing.alias("geom"), F.when(oversized, error("TEXT_TOO_LARGE")).otherwise(error("JSON_MALFORMED")).alias("error")))
         .otherwise(let(let(_typed(doc), _with_kind), known))
     )
 

@@ -65,8 +65,8 @@ def _format_expression(col: str) -> Column:
 
 
 @built_once
-def _parse_expression(col: str, srid: int, kind: int | None, coordinate_check: bool | None, orient: bool) -> Column:
-    return geojson.parse(F.col(col), srid, kind, coordinate_check, orient)
+def _parse_expression(col: str, srid: int, kind: int | None, coordinate_check: bool | None, orient: bool, partial: bool) -> Column:
+    return geojson.parse(F.col(col), srid, kind, coordinate_check, orient, partial)
 
 
 def parse_geojson(
@@ -78,17 +78,17 @@ def parse_geojson(
     check_valid: bool = True,
     coordinate_check: bool | None = None,
     orient: bool = True,
+    partial: bool = False,
 ) -> DataFrame:
     """GeoJSON text -> geometry and error columns.
 
     ``coordinate_check`` is True for the range check in degrees, False for the
     finite check, None to choose by SRID. With ``check_valid`` polygons that are
-    not valid become ``INVALID_POLYGON``; without it the plan is strictly narrow.
-    The check evaluates ``df`` once ahead, so hand it a table, not a costly plan.
+    not valid become ``INVALID_POLYGON``, and the parsed rows are staged as a table, so that ``df`` is
+    evaluated and parsed once; without it the plan is strictly narrow. ``partial`` is for callers that
+    check validity themselves: it leaves what a collection holds before its first error in the column.
     """
     kind = kind_code(expect)
-    df = _spread(df, _parse_expression(col, srid, kind, coordinate_check, orient), out, kind)
-    may_hold_polygons = kind in (None, KINDS["Polygon"], KINDS["GeometryCollection"])
-    if check_valid and may_hold_polygons:
-        df = resolve_polygon_validity(df, col, out)
-    return df
+    check_valid = check_valid and kind in (None, KINDS["Polygon"], KINDS["GeometryCollection"])
+    df = _spread(df, _parse_expression(col, srid, kind, coordinate_check, orient, partial or check_valid), out, kind)
+    return resolve_polygon_validity(df, out) if check_valid else df

@@ -16,8 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geoloom.functions import binary
-from geoloom.functions.geojson import let
+from geoloom.functions.turn import ORIENT_BOUND, let, orientation, without_repeats
 from geoloom.schema import KINDS, bind, error
 from geoloom.session import built_once, materialize
 
@@ -29,20 +28,10 @@ CELL_EDGES = 64  # cells fuller than this are split further
 MAX_SPLITS = 12
 DEEPEST = 20  # levels of grids for rings of different size
 BROADCAST_ROWS = 200_000
-ORIENT_BOUND = 3.3306690738754716e-16  # relative error bound of the 2x2 determinant in doubles
 
 
 # --- small expressions -----------------------------------------------------
 
-def orientation(a: Column, b: Column, c: Column) -> Column:
-    """Sign of the turn a -> b -> c: -1, 0 or 1, and NULL when rounding could decide it."""
-    left = (a["x"] - c["x"]) * (b["y"] - c["y"])
-    right = (a["y"] - c["y"]) * (b["x"] - c["x"])
-    det = left - right
-    bound = (F.abs(left) + F.abs(right)) * ORIENT_BOUND
-    return F.when(F.abs(det) >= bound, F.signum(det))
-
-
 def boxes_meet(a1: Column, a2: Column, b1: Column, b2: Column) -> Column:
     overlap = lambda o: (F.least(a1[o], a2[o]) <= F.greatest(b1[o], b2[o])) & (
         F.least(b1[o], b2[o]) <= F.greatest(a1[o], a2[o])
@@ -50,14 +39,6 @@ def boxes_meet(a1: Column, a2: Column, b1: Column, b2: Column) -> Column:
     return overlap("x") & overlap("y")
 
 
-def without_repeats(ring: Column) -> Column:
-    """Drop vertices equal to the one before."""
-    return F.filter(
-        ring,
-        lambda v, i: (i == 0) | ~((v["x"] == F.get(ring, i - 1)["x"]) & (v["y"] == F.get(ring, i - 1)["y"])),
-    )
-
-
 def _all_finite(ring: Column) -> Column:
     finite = lambda v: ~F.isnan(v) & (F.abs(v) < float("inf"))
     return F.forall(ring, lambda v: finite(v["x"]) & finite(v["y"]))
@@ -600,20 +581,22 @@ def area_findings(areas: DataFrame, largest: int, any_several: bool) -> DataFram
 
 
 def _with_verdict(
-    df: DataFrame, geom: str, out: str, key: Column, only_polygons: bool, unique: bool, stage: bool
+    df: DataFrame, geom: str, out: str, key: Column | None, only_polygons: bool = False, stage: bool = False
 ) -> DataFrame:
     """Add column ``out``: the verdict within the row, completed by the job over edges.
 
     Evaluates ``df`` once ahead, to set aside the areas that rows cannot settle.
-    Where nothing is set aside the result is a narrow plan. With ``stage`` that
-    first evaluation is written as a table and is the only one.
+    Where nothing is set aside the result is a narrow plan. With ``stage``, or without a key, that
+    first evaluation is written as a table and is the only one; rows are then told apart by a number.
     """
     df = bind(df, "__row", row_verdict(geom, only_polygons))
-    if stage:
-        df = materialize(df, "judged")
+    if stage or key is None:
+        df = materialize(df.withColumn("__key", F.monotonically_increasing_id()), "judged")
+        key = F.col("__key")
+    is_open = F.col("__row")["open"]
     wanted = (POLYGON,) if only_polygons else (POLYGON, MULTI_POLYGON)
     open_areas = (
-        df.filter(F.col("__row")["open"])
+        df.filter(is_open)
         .select(key.alias("key"), F.col("__row")["at"].alias("at"), F.posexplode(geom + ".members").alias("member", "m"))
         .filter(F.col("m.kind").isin(*wanted) & (F.col("at").isNull() | (F.col("member") < F.col("at"))))
         .select(
@@ -627,54 +610,47 @@ def _with_verdict(
     open_areas = materialize(open_areas, "open-areas")
     seen = open_areas.agg(F.max("n_edges").alias("largest"), F.max("several").alias("several")).first()
     if seen["largest"] is None:
-        return df.withColumn(out, F.col("__row")["code"]).drop("__row")
-    # Copies of one text are judged once; this folds them before they are shuffled.
-    areas = open_areas if unique else open_areas.dropDuplicates(["key", "member"])
-    bad = area_findings(areas, seen["largest"], seen["several"])
+        return df.withColumn(out, F.col("__row")["code"]).drop("__row", "__key")
+    bad = area_findings(open_areas, seen["largest"], seen["several"])
     bad = materialize(bad.select(F.col("key").alias("__key"), F.col("code").alias("__found")), "bad-areas")
-    # Verdicts are broadcast only once their count has been seen to be small.
+    # Only open rows carry a key. Verdicts are broadcast only once their count has been seen to be
+    # small; more of them meet the open rows alone, so settled rows are never shuffled.
+    df = df.withColumn("__key", F.when(is_open, key))
     if bad.count() <= BROADCAST_ROWS:
-        bad = F.broadcast(bad)
-    joined = df.withColumn("__key", key).join(bad, "__key", "left")
+        joined = df.join(F.broadcast(bad), "__key", "left")
+    else:
+        settled = df.filter(~is_open).withColumn("__found", F.lit(None).cast("string"))
+        joined = df.filter(is_open).join(bad, "__key", "left").unionByName(settled)
     return joined.withColumn(out, F.coalesce("__found", F.col("__row")["code"])).drop("__row", "__key", "__found")
 
 
-def content_key(geom: str) -> Column:
-    """Digest of a geometry's bytes: the same in every re-run of a task."""
-    return F.sha2(binary.encode(F.col(geom), as_hex=False), 256)
-
-
 def check_validity(
     df: DataFrame, id_col: str | list[str] | None, col: str, out: str = "validity", stage: bool = False
 ) -> DataFrame:
     """OGC validity of every geometry of any kind: NULL when valid, else a code.
 
     ``id_col`` must be unique and not NULL; a list of columns must be unique
-    together and may hold NULLs; without any, geometries are told apart by content.
+    together and may hold NULLs; without any, the rows are staged and numbered.
     Codes: NON_FINITE, RING_OPEN, TOO_FEW_POINTS, SELF_INTERSECTION,
     DISCONNECTED_INTERIOR, HOLE_OUTSIDE_SHELL, NESTED_HOLES, NESTED_SHELLS.
     """
-    if isinstance(id_col, str):
-        key = F.col(id_col)
-    else:
-        key = F.to_json(F.struct(*id_col)) if id_col else content_key(col)
-    return _with_verdict(df, col, out, key, only_polygons=False, unique=id_col is not None, stage=stage)
+    key = F.col(id_col) if isinstance(id_col, str) else F.to_json(F.struct(*id_col)) if id_col else None
+    return _with_verdict(df, col, out, key, stage=stage)
 
 
-def resolve_polygon_validity(df: DataFrame, text_col: str, geom: str, stage: bool = False) -> DataFrame:
-    """Turn invalid polygons of a parsed column into ``INVALID_POLYGON`` errors.
+def resolve_polygon_validity(df: DataFrame, geom: str) -> DataFrame:
+    """Turn invalid polygons of a parsed column into ``INVALID_POLYGON`` errors; ``df`` is staged once.
 
-    Polygons are checked, alone or as members; multi-polygons are not. Verdicts
-    are keyed by a digest of the text, which any re-run of a task gives again.
+    Polygons are checked, alone or as members; multi-polygons are not. What a collection
+    holds before an error of its own is judged first and then dropped.
     """
-    key = F.sha2(F.col(text_col), 256)
-    df = _with_verdict(df, geom, "__code", key, only_polygons=True, unique=False, stage=stage)
+    df = _with_verdict(df, geom, "__code", None, only_polygons=True)
     bad = F.col("__code").isNotNull()
     meta = df.schema[geom].metadata
     found = error("INVALID_POLYGON", "coordinates", F.col("__code"))
     return df.withColumns(
         {
-            geom: F.when(~bad, F.col(geom)).alias(geom, metadata=meta),
+            geom: F.when(~bad & F.col(geom + "_error").isNull(), F.col(geom)).alias(geom, metadata=meta),
             geom + "_error": F.when(bad, found).otherwise(F.col(geom + "_error")),
         }
     ).drop("__code")

@@ -68,11 +68,13 @@ ORIENTED = (
     "'{\"type\":\"Polygon\",\"coordinates\":[' || CASE WHEN cls = 8 THEN " + FAR + " ELSE " + ODD + " END"
     f" || CASE WHEN {HAS_HOLE} THEN ',' || {HOLE_CW} ELSE '' END || ']}}'"
 )
+_S = fx.square("h", False)
+BOW_TIE = "'{\"type\":\"Polygon\",\"coordinates\":[' || " + fx.ring_text(*[_S[i] for i in (0, 2, 1, 3, 0)]) + " || ']}'"
 FRAMES = _with(t=fx.PART_FRAMES)
 FIRST_FAR = f"CASE WHEN cx-h+36000 > 18000 THEN {fx._number('cx-h+36000')} ELSE {fx._number('cx+h+36000')} END"
 POLYGON_CODE = """CASE cls WHEN 6 THEN 'RING_OPEN' WHEN 7 THEN 'INVALID_POLYGON' WHEN 8 THEN 'LON_RANGE'
     WHEN 9 THEN 'RING_SHORT' END"""
-TURNED = f"CASE WHEN cls < 6 AND geom_id % 2 = 0 THEN 1 + CASE WHEN {HAS_HOLE} THEN 1 ELSE 0 END WHEN cls = 7 THEN 1 ELSE 0 END"
+TURNED = f"CASE WHEN cls < 6 AND geom_id % 2 = 0 THEN 1 + CASE WHEN {HAS_HOLE} THEN 1 ELSE 0 END ELSE 0 END"
 
 LINE_TEXT = (
     "'{\"type\":\"LineString\",\"coordinates\":[' || string_agg('[' || CAST(lon AS STRING) || ',' || CAST(lat AS STRING) || ']', "
@@ -140,15 +142,16 @@ def _error(col: str = "geom_error") -> list:
 
 
 def _corner_rows(spark, sf_dir) -> DataFrame:
-    """Vertex rows of the polygon fixture's rings, but for the far and crossed ones."""
+    """Vertex rows of the polygon fixture's rings."""
     fx.table(spark, sf_dir, "part").createOrReplaceTempView("geoloom_part")
-    frames = spark.sql(fx.PART_FRAMES.replace("FROM part", "FROM geoloom_part")).filter("cls not in (7, 8)")
+    frames = spark.sql(fx.PART_FRAMES.replace("FROM part", "FROM geoloom_part"))
     at = lambda x, y: F.struct((F.expr(x) / 100.0).alias("lon"), (F.expr(y) / 100.0).alias("lat"))
-    ring = lambda r, cw: F.array(*[at(x, y) for x, y in fx.square(r, cw)])
-    open_ring, short_ring = (F.array(*[at(*fx.square("h", False)[i]) for i in order]) for order in ((0, 1, 2, 3), (0, 1, 0)))
+    ring = lambda r, cw, shift="": F.array(*[at(x, y) for x, y in fx.square(r, cw, shift)])
+    open_ring, short_ring, crossed = (F.array(*[at(*_S[i]) for i in order]) for order in ((0, 1, 2, 3), (0, 1, 0), (0, 2, 1, 3, 0)))
     even = F.col("geom_id") % 2 == 0
     shell = (
         F.when(F.col("cls") == 6, open_ring).when(F.col("cls") == 9, short_ring)
+        .when(F.col("cls") == 7, crossed).when(F.col("cls") == 8, ring("h", False, "+36000"))
         .when(even, ring("h", True)).otherwise(ring("h", False))
     )
     hole = F.when(even, ring("h2", False)).otherwise(ring("h2", True))
@@ -198,11 +201,10 @@ def fill_srid(spark, sf_dir):
     CASE WHEN geom_id % 12 < 8 THEN CASE geom_id % 12 WHEN 1 THEN 0 WHEN 2 THEN 3857 ELSE 4326 END END AS srid,
     CASE WHEN geom_id % 12 < 8 THEN CASE geom_id % 12 WHEN 2 THEN 0 ELSE 1 END END AS byte_order,
     CASE WHEN geom_id % 12 < 8 THEN CASE geom_id % 12 WHEN 7 THEN 99 ELSE 1 END END AS kind,
-    CAST(length(wkb) / 2 AS BIGINT) AS n_bytes FROM t WHERE geom_id % 12 NOT IN (8, 9)""")
+    CASE WHEN geom_id % 12 NOT IN (8, 9) THEN CAST(length(wkb) / 2 AS BIGINT) END AS n_bytes FROM t""")
 def geometry_header(spark, sf_dir):
-    """Header fields of well-formed hex, without decoding."""
-    rows = _variants(spark, sf_dir).filter("geom_id % 12 not in (8, 9)")
-    return enc.with_geometry_header(rows, "wkb").select("geom_id", "srid", "byte_order", "kind", "n_bytes")
+    """Header fields without decoding; none for damaged hex."""
+    return enc.with_geometry_header(_variants(spark, sf_dir), "wkb").select("geom_id", "srid", "byte_order", "kind", "n_bytes")
 
 
 @_query(NAMED + f"""SELECT geom_id, {VARIANT_CODE} AS code,
@@ -225,10 +227,9 @@ def decode_wkb_lines(spark, sf_dir):
     return rows.select("track_id", F.col("pos").cast("bigint").alias("pos"), "x", "y")
 
 
-@_query(FRAMES + f"SELECT geom_id, CAST(4326 AS BIGINT) AS srid, {ORIENTED} AS geojson FROM t WHERE cls < 6")
+@_query(FRAMES + f"SELECT geom_id, CASE WHEN cls < 6 THEN CAST(4326 AS BIGINT) END AS srid, CASE WHEN cls < 6 THEN {ORIENTED} END AS geojson FROM t")
 def decode_wkb_polygons(spark, sf_dir):
-    good = _polygons(spark, sf_dir).filter("geom is not null").select("geom_id", "geom")
-    stored = enc.encode_wkb(good, "geom").drop("geom")
+    stored = enc.encode_wkb(_polygons(spark, sf_dir).select("geom_id", "geom"), "geom").drop("geom")
     rows = enc.format_geojson(enc.decode_wkb(stored, "wkb", expect="Polygon"), "geom")
     return rows.select("geom_id", F.col("geom.srid").cast("bigint").alias("srid"), "geojson")
 
@@ -244,14 +245,14 @@ def decode_ewkb_multi_points(spark, sf_dir):
     return rows.select("nationkey", F.lit("MultiPoint").alias("name"), F.size(F.col("geom.members")[0]["parts"]).cast("bigint").alias("n"), "geojson")
 
 
-@_query(TRACKS + f"SELECT track_id, '{'E6100000'}' || {as_wkb('text')} AS wkb FROM tracks WHERE n > 1")
+@_query(TRACKS + f"SELECT track_id, CASE WHEN n > 1 THEN 'E6100000' || {as_wkb('text')} END AS wkb FROM tracks")
 def encode_wkb_lines(spark, sf_dir):
-    return enc.encode_wkb(_lines(spark, sf_dir).filter("geom is not null"), "geom").select("track_id", "wkb")
+    return enc.encode_wkb(_lines(spark, sf_dir), "geom").select("track_id", "wkb")
 
 
-@_query(FRAMES + f"SELECT geom_id, 'E6100000' || {as_wkb(ORIENTED)} AS wkb FROM t WHERE cls < 6")
+@_query(FRAMES + f"SELECT geom_id, CASE WHEN cls < 6 THEN 'E6100000' || {as_wkb(ORIENTED)} END AS wkb FROM t")
 def encode_wkb_polygons(spark, sf_dir):
-    return enc.encode_wkb(_polygons(spark, sf_dir).filter("geom is not null"), "geom").select("geom_id", "wkb")
+    return enc.encode_wkb(_polygons(spark, sf_dir), "geom").select("geom_id", "wkb")
 
 
 # --- GeoJSON -------------------------------------------------------------------
@@ -303,8 +304,8 @@ def parse_geojson_polygons_3857(spark, sf_dir):
     string_agg(substr(g, 33, length(g) - 33), ',' ORDER BY geom_id) || ']}' AS geojson
     FROM (SELECT geom_id, cls, """ + ORIENTED + """ AS g FROM t WHERE cls < 6) q GROUP BY cls""")
 def format_geojson_multi_polygons(spark, sf_dir):
-    good = _polygons(spark, sf_dir).filter("geom is not null").select("cls", "geom_id", "geom")
-    multi = shape.collect_multi(good, "cls", "geom_id", "geom", out="multi")
+    rows = _polygons(spark, sf_dir).select("cls", "geom_id", "geom")
+    multi = shape.collect_multi(rows, "cls", "geom_id", "geom", out="multi")
     return enc.format_geojson(multi, "multi").select("cls", F.col("n_members").cast("bigint").alias("n"), "geojson")
 
 
@@ -341,15 +342,16 @@ def parse_geojson_collections(spark, sf_dir):
 
 # --- validation and repair -------------------------------------------------------
 
-@_query(FRAMES + f"""SELECT geom_id, CASE WHEN cls = 8 THEN 'LON_RANGE' END AS code,
-    CASE WHEN cls = 8 THEN {FIRST_FAR} END AS detail FROM t WHERE cls NOT IN (6, 9)""")
+@_query(FRAMES + f"""SELECT geom_id, CASE cls WHEN 6 THEN 'RING_OPEN' WHEN 8 THEN 'LON_RANGE' WHEN 9 THEN 'RING_SHORT' END AS code,
+    CASE cls WHEN 6 THEN '0' WHEN 8 THEN {FIRST_FAR} WHEN 9 THEN '0' END AS detail FROM t""")
 def check_coordinates(spark, sf_dir):
-    rows = _polygons(spark, sf_dir, check_valid=False, coordinate_check=False).filter("geom is not null")
+    """Rows that had an error keep it."""
+    rows = _polygons(spark, sf_dir, check_valid=False, coordinate_check=False)
     code, _, detail = _error()
     return validate.check_coordinates(rows, "geom").select("geom_id", code, detail)
 
 
-@_query(FRAMES + "SELECT geom_id, CASE cls WHEN 6 THEN 'RING_OPEN' WHEN 9 THEN 'RING_SHORT' END AS code FROM t WHERE cls NOT IN (7, 8)")
+@_query(FRAMES + "SELECT geom_id, CASE cls WHEN 6 THEN 'RING_OPEN' WHEN 9 THEN 'RING_SHORT' END AS code FROM t")
 def check_structure(spark, sf_dir):
     """Rings put together from vertex rows, tested for size and closure."""
     rows = shape.make_polygons(_corner_rows(spark, sf_dir), "geom_id", "ring", "pos", "lon", "lat", check_valid=False)
@@ -357,18 +359,16 @@ def check_structure(spark, sf_dir):
 
 
 @_query(FRAMES + f"""SELECT geom_id, CAST({TURNED} AS BIGINT) AS reversed_rings,
-    CASE WHEN cls <> 7 THEN {ORIENTED} END AS geojson FROM t WHERE cls NOT IN (6, 9)""")
+    CASE WHEN cls = 7 THEN {BOW_TIE} WHEN cls NOT IN (6, 9) THEN {ORIENTED} END AS geojson FROM t""")
 def orient_rings(spark, sf_dir):
-    rows = _polygons(spark, sf_dir, check_valid=False, coordinate_check=False, orient=False).filter("geom is not null")
+    rows = _polygons(spark, sf_dir, check_valid=False, coordinate_check=False, orient=False)
     rows = enc.format_geojson(validate.orient_rings(rows, "geom"), "geom", "geojson")
-    return rows.select(
-        "geom_id", F.col("reversed_rings").cast("bigint").alias("reversed_rings"), F.expr("CASE WHEN cls <> 7 THEN geojson END").alias("geojson")
-    )
+    return rows.select("geom_id", F.col("reversed_rings").cast("bigint").alias("reversed_rings"), "geojson")
 
 
-@_query(FRAMES + "SELECT geom_id, CASE WHEN cls = 7 THEN 'SELF_INTERSECTION' END AS validity FROM t WHERE cls NOT IN (6, 9)")
+@_query(FRAMES + "SELECT geom_id, CASE WHEN cls = 7 THEN 'SELF_INTERSECTION' END AS validity FROM t")
 def check_validity_polygons(spark, sf_dir):
-    rows = _polygons(spark, sf_dir, check_valid=False, coordinate_check=False).filter("geom is not null")
+    rows = _polygons(spark, sf_dir, check_valid=False, coordinate_check=False)
     return check_validity(rows, "geom_id", "geom").select("geom_id", "validity")
 
 
@@ -403,12 +403,14 @@ def filter_kind(spark, sf_dir):
     return rows.select("geom_id", code, detail)
 
 
-@_query(f"""SELECT event_id, raw_value, code, field, 'events' AS source FROM (SELECT event_id, geojson AS raw_value,
-    {_EVENT_CODE.format(circle="'UNSUPPORTED_TYPE'")} AS code, {_EVENT_FIELD} AS field FROM ({fx.GEO_EVENTS}) e) q WHERE code IS NOT NULL""")
+@_query(f"""SELECT event_id, raw_value, code, field, CASE WHEN code IS NULL THEN 'good' ELSE 'events' END AS source FROM (SELECT event_id, geojson AS raw_value,
+    {_EVENT_CODE.format(circle="'UNSUPPORTED_TYPE'")} AS code, {_EVENT_FIELD} AS field FROM ({fx.GEO_EVENTS}) e) q""")
 def split_quarantine(spark, sf_dir):
     rows = enc.parse_geojson(fx.fixture(spark, sf_dir, "geo_events"), "geojson")
-    _, dead = validate.split_quarantine(rows, "geom_error", raw_col="geojson", source="events")
-    return dead.select("event_id", "raw_value", "code", "field", "source")
+    good, dead = validate.split_quarantine(rows, "geom_error", raw_col="geojson", source="events")
+    none = F.lit(None).cast("string")
+    good = good.select("event_id", F.col("geojson").alias("raw_value"), none.alias("code"), none.alias("field"), F.lit("good").alias("source"))
+    return good.unionByName(dead.select("event_id", "raw_value", "code", "field", "source"))
 
 
 @_query(f"""SELECT event_type, kind, srid, code, count(*) AS n_rows, count(code) AS n_bad, CAST(count(kind) AS BIGINT) AS n_vertices FROM
@@ -433,7 +435,7 @@ def explode_parts(spark, sf_dir):
 @_query(FRAMES + f"""SELECT geom_id, CAST(0 AS BIGINT) AS ring, 'shell' AS role, CAST(5 AS BIGINT) AS n_vertices FROM t WHERE cls < 6
     UNION ALL SELECT geom_id, CAST(1 AS BIGINT), 'hole', CAST(5 AS BIGINT) FROM t WHERE {HAS_HOLE}""")
 def explode_rings(spark, sf_dir):
-    rings = shape.explode_rings(_polygons(spark, sf_dir).filter("geom is not null").select("geom_id", "geom"), "geom")
+    rings = shape.explode_rings(_polygons(spark, sf_dir).select("geom_id", "geom"), "geom")
     return rings.select(
         "geom_id", F.col("ring").cast("bigint").alias("ring"), F.when(F.col("is_shell"), "shell").otherwise("hole").alias("role"),
         F.size("vertices").cast("bigint").alias("n_vertices"),
@@ -449,7 +451,7 @@ def _vertex_twin(ring: int, corners, test: str) -> str:
 
 @_query(FRAMES + _vertex_twin(0, fx.square("h", False), "cls < 6") + " UNION ALL " + _vertex_twin(1, fx.square("h2", True), HAS_HOLE))
 def explode_vertices(spark, sf_dir):
-    rows = shape.explode_vertices(_polygons(spark, sf_dir).filter("geom is not null").select("geom_id", "geom"), "geom")
+    rows = shape.explode_vertices(_polygons(spark, sf_dir).select("geom_id", "geom"), "geom")
     return rows.select("geom_id", F.col("ring").cast("bigint").alias("ring"), F.col("pos").cast("bigint").alias("pos"), "x", "y")
 
 
@@ -494,8 +496,8 @@ def make_lines_hot_keys(spark, sf_dir):
     )
 
 
-@_query(FRAMES + f"""SELECT geom_id, CASE cls WHEN 6 THEN 'RING_OPEN' WHEN 9 THEN 'RING_SHORT' END AS code,
-    CASE WHEN cls < 6 THEN {ORIENTED} END AS geojson FROM t WHERE cls NOT IN (7, 8)""")
+@_query(FRAMES + f"""SELECT geom_id, CASE cls WHEN 6 THEN 'RING_OPEN' WHEN 7 THEN 'INVALID_POLYGON' WHEN 9 THEN 'RING_SHORT' END AS code,
+    CASE WHEN cls < 6 OR cls = 8 THEN {ORIENTED} END AS geojson FROM t""")
 def make_polygons(spark, sf_dir):
     rows = shape.make_polygons(_corner_rows(spark, sf_dir), "geom_id", "ring", "pos", "lon", "lat")
     return enc.format_geojson(rows, "geom", "geojson").select("geom_id", _error()[0], "geojson")
@@ -504,7 +506,7 @@ def make_polygons(spark, sf_dir):
 @_query(TRACKS + """SELECT track_id % 97 AS grp, count(*) AS n, '{"type":"MultiLineString","coordinates":[' ||
     string_agg(substr(text, 36, length(text) - 36), ',' ORDER BY track_id) || ']}' AS geojson FROM tracks WHERE n > 1 GROUP BY track_id % 97""")
 def collect_multi_lines(spark, sf_dir):
-    lines = _lines(spark, sf_dir).filter("geom is not null").select((F.col("track_id") % 97).alias("grp"), "track_id", "geom")
+    lines = _lines(spark, sf_dir).select((F.col("track_id") % 97).alias("grp"), "track_id", "geom")
     multi = enc.format_geojson(shape.collect_multi(lines, "grp", "track_id", "geom", out="multi"), "multi")
     return multi.select("grp", F.col("n_members").cast("bigint").alias("n"), "geojson")
 
@@ -521,7 +523,7 @@ def collect_geometries(spark, sf_dir):
     """Points and lines of a key make a collection; its bytes are compared by digest."""
     points = _points(spark, sf_dir).select((F.col("geom_id") % 97).alias("grp"), F.lit(0).alias("src"), F.col("geom_id").alias("id"), "geom")
     points = points.withColumn("geom", F.col("geom").withField("srid", F.lit(4326)))
-    lines = _lines(spark, sf_dir).filter("geom is not null").select((F.col("track_id") % 97).alias("grp"), F.lit(1).alias("src"), F.col("track_id").alias("id"), "geom")
+    lines = _lines(spark, sf_dir).select((F.col("track_id") % 97).alias("grp"), F.lit(1).alias("src"), F.col("track_id").alias("id"), "geom")
     bags = shape.collect_multi(points.unionByName(lines), "grp", ["src", "id"], "geom", out="bag")
     return enc.encode_wkb(bags, "bag").select("grp", F.col("n_members").cast("bigint").alias("n"), F.md5("wkb").alias("digest"))
 
@@ -593,25 +595,25 @@ def table_in_registered_encoding(spark, sf_dir):
     return rows.select("geom_id", F.col("geom.srid").cast("bigint").alias("srid"), *_xy())
 
 
-@_query(FRAMES + f"SELECT geom_id, lower('0103000020' || 'E6100000' || substr({as_wkb(ORIENTED)}, 11)) AS geom FROM t WHERE cls < 6")
+@_query(FRAMES + f"SELECT geom_id, CASE WHEN cls < 6 THEN lower('0103000020' || 'E6100000' || substr({as_wkb(ORIENTED)}, 11)) END AS geom FROM t")
 def write_ewkb_table(spark, sf_dir):
     path = scratch_path(spark, "ewkb-table")
-    tables.write_ewkb_table(_polygons(spark, sf_dir).filter("geom is not null").select("geom_id", "geom"), path, ["geom"])
+    tables.write_ewkb_table(_polygons(spark, sf_dir).select("geom_id", "geom"), path, ["geom"])
     return spark.read.csv(path, header=True, schema="geom_id bigint, geom string")
 
 
-@_query(FRAMES + f"SELECT {ORIENTED} AS geojson, count(*) AS n FROM t WHERE cls < 6 GROUP BY 1")
+@_query(FRAMES + f"SELECT CASE WHEN cls < 6 THEN {ORIENTED} END AS geojson, count(*) AS n FROM t GROUP BY 1")
 def write_and_read_geojson(spark, sf_dir):
     path = scratch_path(spark, "geojson")
-    tables.write_geojson(_polygons(spark, sf_dir).filter("geom is not null"), path)
+    tables.write_geojson(_polygons(spark, sf_dir), path)
     rows = enc.format_geojson(tables.read_geojson(spark, path, expect="Polygon"), "geom", "geojson")
     return rows.groupBy("geojson").agg(F.count(F.lit(1)).alias("n"))
 
 
-@_query(FRAMES + f"SELECT geom_id, lower('0103000020' || 'E6100000' || substr({as_wkb(ORIENTED)}, 11)) AS geom FROM t WHERE cls < 6")
+@_query(FRAMES + f"SELECT geom_id, CASE WHEN cls < 6 THEN lower('0103000020' || 'E6100000' || substr({as_wkb(ORIENTED)}, 11)) END AS geom FROM t WHERE cls <> 7")
 def jdbc_write_rows(spark, sf_dir):
     """What a database sink would insert: checked, SRID filled, encoded for PostGIS."""
-    rows = _polygons(spark, sf_dir, check_valid=False).filter("geom is not null").select("geom_id", "geom")
+    rows = _polygons(spark, sf_dir, check_valid=False).select("geom_id", "geom")
     ready, _ = jdbc.prepare_jdbc_write(rows, ["geom"], encoding("postgis"), mode="quarantine")
     return ready.select("geom_id", "geom")
 
@@ -624,9 +626,9 @@ def convert_geojson_to_wkb(spark, sf_dir):
     return rows.select("geom_id", _error("wkb_error")[0], "wkb")
 
 
-@_query(TRACKS + f"SELECT track_id, lower('0102000020' || 'E6100000' || substr({as_wkb('text')}, 11)) AS ewkb FROM tracks WHERE n > 1")
+@_query(TRACKS + f"SELECT track_id, CASE WHEN n > 1 THEN lower('0102000020' || 'E6100000' || substr({as_wkb('text')}, 11)) END AS ewkb FROM tracks")
 def convert_wkb_to_ewkb(spark, sf_dir):
-    stored = enc.encode_wkb(_lines(spark, sf_dir).filter("geom is not null"), "geom").select("track_id", "wkb")
+    stored = enc.encode_wkb(_lines(spark, sf_dir), "geom").select("track_id", "wkb")
     return jobs.convert_table(stored, "wkb", "wkb", "ewkb", out="ewkb").select("track_id", "ewkb")
 
 

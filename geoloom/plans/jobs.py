@@ -63,9 +63,9 @@ def audit_roundtrip(df: DataFrame, col: str, src: str = "wkb") -> DataFrame:
 
 def curate_geojson(lines: DataFrame, srid: int = DEFAULT_SRID, expect=None, text_col: str = "value") -> DataFrame:
     """Parse, fill SRIDs, orient and validate; the parsed rows are staged once as a table."""
-    parsed = parse_geojson(lines, text_col, srid, expect, check_valid=False, orient=False)
+    parsed = parse_geojson(lines, text_col, srid, expect, check_valid=False, orient=False, partial=True)
     parsed = orient_rings(fill_srid(parsed, "geom", srid), "geom")
-    return resolve_polygon_validity(parsed, text_col, "geom", stage=True)
+    return resolve_polygon_validity(parsed, "geom")
 
 
 def write_curated(

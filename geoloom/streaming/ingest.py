@@ -23,17 +23,17 @@ def stream_geojson(spark: SparkSession, path: str, srid: int = DEFAULT_SRID, exp
     The same contract as the batch reader, except for polygons whose validity no row can
     settle alone: they stay, with ``geom_undecided`` true, for the ingest below or a batch job.
     """
-    df = parse_geojson(_lines(spark, path, **options), "value", srid, expect, check_valid=False)
+    df = parse_geojson(_lines(spark, path, **options), "value", srid, expect, check_valid=False, partial=True)
     meta = df.schema["geom"].metadata
     df = bind(df, "__row", row_verdict("geom", True))
-    undecided = F.coalesce(F.col("__row")["open"], F.lit(False))
-    bad = ~undecided & F.col("__row")["code"].isNotNull()
+    is_open = F.coalesce(F.col("__row")["open"], F.lit(False))
+    bad = ~is_open & F.col("__row")["code"].isNotNull()
     found = error("INVALID_POLYGON", "coordinates", F.col("__row")["code"])
     return df.withColumns(
         {
-            "geom": F.when(~bad, F.col("geom")).alias("geom", metadata=meta),
+            "geom": F.when(~bad & F.col("geom_error").isNull(), F.col("geom")).alias("geom", metadata=meta),
             "geom_error": F.when(bad, found).otherwise(F.col("geom_error")),
-            "geom_undecided": undecided,
+            "geom_undecided": is_open,
         }
     ).drop("__row")
 

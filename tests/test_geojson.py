@@ -1,8 +1,12 @@
 import json
+import math
+import random
+from fractions import Fraction
 
 import pytest
 
 from geoloom.functions import geojson
+from geoloom.functions.turn import exact_orientation, is_ccw
 from geoloom.operators import encoding as enc
 from pyspark.sql import functions as F
 
@@ -136,3 +140,53 @@ def test_quick_path_agrees_with_general_path(spark):
     general = geojson.let(doc, lambda d: geojson._parse_variant(F.col("text"), d, 4326, None, True, True))
     both = df.select(geojson.parse(F.col("text")).alias("a"), general.alias("b"))
     assert both.filter("NOT (a <=> b)").count() == 0
+
+
+def test_invalid_polygon_before_another_error_comes_first(spark):
+    bow = {"type": "Polygon", "coordinates": [[[0, 0], [4, 4], [4, 0], [0, 4], [0, 0]]]}
+    sound, short = {"type": "Polygon", "coordinates": [RING]}, {"type": "Point", "coordinates": [1]}
+    bags = [[bow, short], [sound, short], [short, bow], [sound, bow], [sound, {"type": "Q"}], [sound, sound]]
+    texts = [compact({"type": "GeometryCollection", "geometries": bag}) for bag in bags]
+    rows = parse(spark, texts, check_valid=True)
+    want = ["INVALID_POLYGON", "COORDINATES_SHORT", "COORDINATES_SHORT", "INVALID_POLYGON", "UNSUPPORTED_TYPE", None]
+    assert codes(rows) == want
+    assert [r.geom is None for r in rows] == [w is not None for w in want]
+
+
+def _exact_turn(a, b, c):
+    (ax, ay), (bx, by), (cx, cy) = ([Fraction(v) for v in p] for p in (a, b, c))
+    det = (ax - cx) * (by - cy) - (ay - cy) * (bx - cx)
+    return (det > 0) - (det < 0)
+
+
+def test_turns_of_thin_rings_are_exact(spark):
+    rng = random.Random(11)
+    rings = []
+    for _ in range(300):
+        ax, ay, dx, dy = (rng.uniform(-180, 180) for _ in range(4))
+        t = rng.choice([0.1, 0.3, 1 / 3, 0.7])
+        # The third vertex is off the line by rounding alone, or not at all.
+        a, b, c = (ax, ay), (ax + dx, ay + dy), (ax + dx * t, ay + dy * t)
+        rings.append([a, b, c, a])
+    rings += [[(0.0, 0.0), (0.3, 0.1), (0.6, 0.2), (0.0, 0.0)], [(1.0, 1.0)] * 4, []]
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(rings)], "id int, ring array<struct<x: double, y: double>>")
+    at = lambda i: F.get("ring", F.lit(i))
+    rows = df.select("id", is_ccw(F.col("ring")).alias("ccw"), exact_orientation(at(0), at(1), at(2)).alias("turn")).orderBy("id").collect()
+    want = [_exact_turn(*r[:3]) if r else 0 for r in rings]
+    assert [r.ccw for r in rows] == [w > 0 for w in want]
+    assert [r.turn for r in rows[:-1]] == want[:-1]
+    assert 0 < sum(w == 0 for w in want) < 250
+
+
+def test_ring_direction_is_that_of_the_first_vertex_in_order(spark):
+    rng = random.Random(5)
+    rings = []
+    for n in range(3, 40):
+        # A star-shaped ring about a point: its direction is known.
+        angles = sorted(rng.uniform(0, 6.28) for _ in range(n))
+        ring = [(math.cos(t) * (r := rng.uniform(1, 3)), math.sin(t) * r) for t in angles]
+        rings.append((ring + ring[:1], sum(x1 * y2 - x2 * y1 for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1])) > 0))
+    rings += [(r[::-1], not ccw) for r, ccw in rings] + [([r[0], *r], ccw) for r, ccw in rings]
+    df = spark.createDataFrame([(i, r) for i, (r, _) in enumerate(rings)], "id int, ring array<struct<x: double, y: double>>")
+    rows = df.select("id", is_ccw(F.col("ring")).alias("ccw")).orderBy("id").collect()
+    assert [r.ccw for r in rows] == [ccw for _, ccw in rings]
