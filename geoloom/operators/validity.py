@@ -13,6 +13,7 @@ import sys
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,6 +26,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 POLYGON, MULTI_POLYGON = KINDS["Polygon"], KINDS["MultiPolygon"]
 ROW_EDGES = 32  # areas up to this many vertices are tested within the row
 CELL_EDGES = 64  # cells fuller than this are split further
+STAR = 32  # a vertex that more rings than this pass is a star
+CLEAR_ANGLE = 1e-13  # radians; far above what rounding does to an angle
 MAX_SPLITS = 12
 DEEPEST = 20  # levels of grids for rings of different size
 BROADCAST_ROWS = 200_000
@@ -264,11 +267,79 @@ _SPLITS = ((4, 4), (16, 1), (1, 16))
 
 
 def _counted(placed: DataFrame) -> DataFrame:
-    """Add the number of edges in the cell; counted before it is joined back."""
-    counts = placed.groupBy(*_CELL).agg(F.count(F.lit(1)).alias("n_cell"))
+    """Add the number of edges in the cell, and of those that meet all others; counted before it is joined back.
+
+    Edges of one star do not meet each other.
+    """
+    n = "count_if(star IS NULL) + CASE WHEN min(star) <> max(star) THEN count(star) ELSE 0 END"
+    counts = placed.groupBy(*_CELL).agg(F.expr(n).alias("n_cell"), F.count(F.lit(1)).alias("n_rows"))
     return placed.hint("merge").join(counts, _CELL)
 
 
+_STAR = ["key", "member", "vx", "vy"]
+
+
+def _stars(edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Vertices that many rings pass, as far as the angles of their edges are clear, and what is found there.
+
+    Every edge row also is the wedge of its ring at ``a``. Wedges round a vertex do not cross
+    if they nest like brackets in the order of their angles: at each depth the wedge that
+    opened last closes. So a star costs a sort, not all its pairs.
+    """
+    wedges = edges.filter(f"several AND n_edges > {CELL_EDGES}").selectExpr(
+        "key", "member", "a.x AS vx", "a.y AS vy", "part", "ring", "seq", "before", "b"
+    )
+    hot = wedges.groupBy(*_STAR).agg(F.count(F.lit(1)).alias("k")).filter(f"k > {STAR}")
+    wedges = materialize(wedges.hint("merge").join(hot, _STAR), "wedges")
+    angle = lambda p: f"atan2({p}.y - vy, {p}.x - vx)"
+    near = " AND ".join(f"abs({p}.{o} - v{o}) < 1e300" for p in ("before", "b") for o in "xy")
+    rays = wedges.selectExpr(
+        *_STAR, "k", "part", "ring", "seq", f"{near} AS near", f"{angle('before')} AS a0", f"{angle('b')} AS a1"
+    ).selectExpr(
+        *_STAR, "k", "part", "ring", "seq", "near",
+        "explode(array(struct(least(a0, a1) AS angle, 1 AS step), struct(greatest(a0, a1) AS angle, -1 AS step))) AS ray",
+    ).selectExpr(*_STAR, "k", "part", "ring", "seq", "near", "ray.angle", "ray.step")
+    round_vertex = Window.partitionBy(*_STAR).orderBy("angle", "part", "ring", "seq", "step")
+    rays = rays.withColumns({
+        "gap": F.col("angle") - F.lag("angle").over(round_vertex),
+        "depth": F.sum("step").over(round_vertex.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+    })
+    wedge = F.struct("part", "ring", "seq")
+    at_depth = Window.partitionBy(*_STAR, F.expr("depth + CASE step WHEN -1 THEN 1 ELSE 0 END")).orderBy("angle", "part", "ring", "seq", "step")
+    rays = rays.withColumn("crosses", (F.col("step") == -1) & ~F.lag(wedge).over(at_depth).eqNullSafe(wedge))
+    told = rays.groupBy(*_STAR, "k").agg(
+        F.expr(f"bool_and(near) AND min(gap) > {CLEAR_ANGLE} AND min(angle) + 2 * pi() - max(angle) > {CLEAR_ANGLE}").alias("clear"),
+        F.bool_or("crosses").alias("crosses"),
+    )
+    # A ring that passes the vertex twice touches itself.
+    twice = wedges.groupBy(*_STAR, "part", "ring").agg(F.count(F.lit(1)).alias("passes")).groupBy(*_STAR).agg(
+        (F.max("passes") > 1).alias("twice")
+    )
+    told = materialize(told.filter("clear").join(twice, _STAR), "stars")
+    none = [f"CAST(NULL AS {t}) AS {c}" for c, t in (("part_e", "int"), ("ring_e", "int"), ("part_f", "int"), ("ring_f", "int"), ("tx", "double"), ("ty", "double"))]
+    clashes = told.filter("crosses OR twice").selectExpr("key", "member", "1 AS verdict", *none)
+    # Rings of one polygon in a chain stand for all their touches at the vertex.
+    in_part = Window.partitionBy(*_STAR, "part").orderBy("ring")
+    chain = wedges.join(told.select(*_STAR), _STAR, "left_semi").select(*_STAR, "part", "ring").distinct()
+    chain = chain.withColumn("ring_e", F.lag("ring").over(in_part)).filter("ring_e IS NOT NULL")
+    touches = chain.selectExpr("key", "member", "2 AS verdict", "part AS part_e", "ring_e", "part AS part_f", "ring AS ring_f", "vx AS tx", "vy AS ty")
+    return told.select(*_STAR, "k"), clashes.unionByName(touches)
+
+
+def _with_star(edges: DataFrame, stars: DataFrame | None) -> DataFrame:
+    """Add the star an edge starts or ends at; of two the larger."""
+    if stars is None:
+        return edges.selectExpr("*", "CAST(NULL AS struct<vx: double, vy: double>) AS star")
+    if stars.count() <= BROADCAST_ROWS:
+        stars = F.broadcast(stars)
+    edges = edges.selectExpr("*", "a.x AS ax", "a.y AS ay", "b.x AS bx", "b.y AS by")
+    for end in "ab":
+        named = {"vx": f"{end}x", "vy": f"{end}y", "k": f"k{end}"}
+        edges = edges.join(stars.withColumnsRenamed(named), ["key", "member", f"{end}x", f"{end}y"], "left")
+    star = "CASE WHEN coalesce(ka, 0) >= kb OR kb IS NULL THEN IF(ka IS NOT NULL, struct(ax AS vx, ay AS vy), NULL) ELSE struct(bx AS vx, by AS vy) END"
+    return edges.selectExpr("*", f"{star} AS star").drop("ax", "ay", "bx", "by", "ka", "kb")
+
+
 def _bucketed(edges: DataFrame, may_crowd: bool) -> DataFrame:
     """Edges with a grid cell each, cells holding few of them as far as that helps.
 
@@ -285,7 +356,7 @@ def _bucketed(edges: DataFrame, may_crowd: bool) -> DataFrame:
     # Only areas with that many edges can crowd a cell at all.
     calm = _cells(edges.filter(f"n_edges <= {CELL_EDGES}"))
     pool = materialize(_counted(_cells(edges.filter(f"n_edges > {CELL_EDGES}"))), "cells")
-    settle = lambda calm, pool: calm.unionByName(pool.filter(f"n_cell <= {CELL_EDGES}").drop("n_cell"))
+    settle = lambda calm, pool: calm.unionByName(pool.filter(f"n_cell <= {CELL_EDGES}").drop("n_cell", "n_rows"))
     calm, busy = settle(calm, pool), pool.filter(f"n_cell > {CELL_EDGES}")
     parent = ["key", "member", "pw", "ph", "px", "py"]
     in_vain = 0
@@ -293,20 +364,20 @@ def _bucketed(edges: DataFrame, may_crowd: bool) -> DataFrame:
         if in_vain == len(_SPLITS) or busy.isEmpty():
             break
         kx, ky = _SPLITS[split % len(_SPLITS)]
-        rows = busy.withColumnsRenamed({"w": "pw", "h": "ph", "cx": "px", "cy": "py", "n_cell": "n_parent"})
+        rows = busy.withColumnsRenamed({"w": "pw", "h": "ph", "cx": "px", "cy": "py", "n_cell": "n_parent", "n_rows": "rows_parent"})
         finer = _cells(rows.selectExpr("*", f"pw / {kx} AS w", f"ph / {ky} AS h"))
         finer = materialize(_counted(finer.filter(f"floor(cx / {kx}) = px AND floor(cy / {ky}) = py")), "finer-cells")
-        pairs = finer.groupBy(*parent, "n_parent").agg(F.sum("n_cell").alias("pairs"))
-        better = materialize(pairs.filter("pairs <= n_parent * n_parent / 2").select(*parent), "split-cells")
+        pairs = finer.groupBy(*parent, "n_parent", "rows_parent").agg(F.sum("n_cell").alias("pairs"))
+        better = materialize(pairs.filter("pairs <= n_parent * rows_parent / 2").select(*parent), "split-cells")
         if better.isEmpty():
             in_vain += 1
             continue
         in_vain = 0
-        split_up = finer.join(better, parent, "left_semi").drop(*parent[2:], "n_parent")
+        split_up = finer.join(better, parent, "left_semi").drop(*parent[2:], "n_parent", "rows_parent")
         as_parent = better.withColumnsRenamed(dict(zip(parent, _CELL)))
         pool = materialize(split_up.unionByName(busy.join(as_parent, _CELL, "left_anti")), "cells")
         calm, busy = settle(calm, pool), pool.filter(f"n_cell > {CELL_EDGES}")
-    return calm.unionByName(busy.drop("n_cell"))
+    return calm.unionByName(busy.drop("n_cell", "n_rows"))
 
 
 def _exact_turn(a, b, c):
@@ -402,16 +473,28 @@ def _turn_sql(p: str, q: str, r: str) -> str:
     )
 
 
-def _suspect_pairs(bucketed: DataFrame) -> DataFrame:
+def _in_one_cell(bucketed: DataFrame, starry: bool) -> DataFrame:
+    """Pairs of edges that share a cell, but for pairs of one star, which are never formed."""
+    names = ("part", "ring", "seq", "n", "before", "a", "b", "star")
+    side = lambda s, rows: rows.selectExpr(*_CELL, *[f"{c} AS {c}_{s}" for c in names])
+    # Edges come out of exploded rows, whose size the planner cannot know: never broadcast them.
+    meet = lambda e, f: side("e", e).hint("merge").join(side("f", f), _CELL)
+    if not starry:
+        return meet(bucketed, bucketed)
+    bucketed = materialize(bucketed, "placed-edges")
+    rest, rays = bucketed.filter("star IS NULL"), bucketed.filter("star IS NOT NULL")
+    here = rays.select(*_CELL, "star").distinct()
+    two = here.withColumnRenamed("star", "star_e").hint("merge").join(here.withColumnRenamed("star", "star_f"), _CELL).filter("star_e <> star_f")
+    across = two.hint("merge").join(side("e", rays), [*_CELL, "star_e"]).hint("merge").join(side("f", rays), [*_CELL, "star_f"])
+    return meet(rest, rest).unionByName(meet(rest, rays)).unionByName(meet(rays, rest)).unionByName(across)
+
+
+def _suspect_pairs(bucketed: DataFrame, starry: bool) -> DataFrame:
     """Pairs of edges in one cell that clash, touch, or are too close to call."""
-    names = ("part", "ring", "seq", "n", "before", "a", "b")
-    where = _CELL
-    side = lambda s: bucketed.selectExpr(*where, *[f"{c} AS {c}_{s}" for c in names])
     meet = " AND ".join(
         f"least(a_{s}.{o}, b_{s}.{o}) <= greatest(a_{t}.{o}, b_{t}.{o})" for o in "xy" for s, t in (("e", "f"), ("f", "e"))
     )
-    # Edges come out of exploded rows, whose size the planner cannot know: never broadcast them.
-    pairs = side("e").hint("merge").join(side("f"), where).filter(
+    pairs = _in_one_cell(bucketed, starry).filter(
         f"struct(part_e, ring_e, seq_e) < struct(part_f, ring_f, seq_f) AND {meet}"
     )
     same_ring = "(part_e = part_f AND ring_e = ring_f)"
@@ -432,9 +515,9 @@ def _suspect_pairs(bucketed: DataFrame) -> DataFrame:
     )
 
 
-def _pair_findings(bucketed: DataFrame) -> DataFrame:
+def _pair_findings(bucketed: DataFrame, starry: bool) -> DataFrame:
     """(key, member, verdict 1) of clashing areas, and verdict 2 with the place of each touch."""
-    pairs = _suspect_pairs(bucketed).selectExpr(
+    pairs = _suspect_pairs(bucketed, starry).selectExpr(
         "*", "follows OR wraps AS neighbours", "coalesce(s1 * s2 < 0 AND s3 * s4 < 0, false) AS crosses"
     )
     ordinates = [f"{c}.{o}" for c in _CORNERS for o in "xy"]
@@ -504,7 +587,7 @@ def _nesting(rings: DataFrame) -> DataFrame:
     held = rings.selectExpr(
         *area, "part AS part_w", "ring AS ring_w", "x0", "y0", "reach", *[f"{c} AS {c}_w" for c in extent],
         "v[0] AS p0", "v[1] AS p1", f"explode(sequence(0, {DEEPEST})) AS level",
-    ).selectExpr("*", f"{at('x', 'p0.x')} AS cx", f"{at('y', 'p0.y')} AS cy")
+    ).selectExpr("*", f"{at('x', '(rx0_w / 2 + rx1_w / 2)')} AS cx", f"{at('y', '(ry0_w / 2 + ry1_w / 2)')} AS cy")
     # Holes are held by rings of their own polygon, shells by those of others.
     pairs = held.drop("x0", "y0", "reach").hint("merge").join(holders, [*area, "level", "cx", "cy"]).filter(
         """CASE WHEN ring_w > 0 THEN part_w = part AND ring_w <> ring ELSE part_w <> part END
@@ -570,7 +653,13 @@ def area_findings(areas: DataFrame, largest: int, any_several: bool) -> DataFram
     sound, with the greatest edge count and whether any has more than one ring.
     """
     rings = _area_rings(areas)
-    findings = _pair_findings(_bucketed(_ring_edges(rings), may_crowd=largest > CELL_EDGES))
+    edges, crowd = _ring_edges(rings), largest > CELL_EDGES
+    stars, at_stars = _stars(edges) if crowd and any_several else (None, None)
+    if stars is not None and stars.isEmpty():
+        stars = None
+    findings = _pair_findings(_bucketed(_with_star(edges, stars), may_crowd=crowd), starry=stars is not None)
+    if stars is not None:
+        findings = findings.unionByName(at_stars)
     if any_several:
         findings = materialize(findings, "edge-findings")
     bad = _tag(findings.filter("verdict = 1"), 1, "SELF_INTERSECTION")

@@ -1,4 +1,5 @@
 import json
+import math
 import random
 from fractions import Fraction
 
@@ -162,3 +163,52 @@ def test_an_undecided_member_comes_before_a_later_bad_one(spark):
     df = enc.parse_geojson(df, "t", check_valid=False, orient=False)
     out = validity.check_validity(df, "id", "geom").orderBy("id").collect()
     assert [r.validity for r in out] == ["SELF_INTERSECTION", "SELF_INTERSECTION", "TOO_FEW_POINTS"]
+
+
+def fan(n, turned=0.0):
+    """Thin triangles round one vertex, apart but for it."""
+    at = lambda t: [math.cos(t), math.sin(t)]
+    step = 2 * math.pi / n
+    return [[[[0, 0], at(i * step + turned), at(i * step + step / 2 + turned), [0, 0]]] for i in range(n)]
+
+
+def test_many_rings_round_one_vertex(spark, monkeypatch):
+    """Stars are told by the order of angles, with the same codes as a few rings there."""
+    rings = fan(150)
+    crossed = rings + [[[[0, 0], [0.9, 0.001], [0.8, 0.5], [0, 0]]]]
+    twice = [*rings[:-1], [[*rings[-1][0][:-1], [0, 0], [2.0, -1.2], [2.0, -1.1], [0, 0]]]]
+    big = [[[-9, -9], [9, -9], [9, 9], [-9, 9], [-9, -9]]]
+    # As holes of one shell the triangles touch in a point only; a second such vertex closes cycles.
+    holes = big + [r[0][::-1] for r in rings]
+    two = big + [[[0, 0], [4, i / 50 - 1], [5, 0], [4, i / 50 - 0.99], [0, 0]] for i in range(100)]
+    nested = rings + [[[[0, 0], at, to, [0, 0]]] for at, to in [([0.5 * x + 0.25 * u for x, u in zip(a, b)], [0.25 * x + 0.5 * u for x, u in zip(a, b)]) for a, b in [rings[7][0][1:3]]]]
+    rows = [
+        (1, "MultiPolygon", rings), (2, "MultiPolygon", crossed), (3, "MultiPolygon", twice),
+        (4, "Polygon", holes), (5, "Polygon", two), (6, "MultiPolygon", nested),
+    ]
+    want = {1: None, 2: "SELF_INTERSECTION", 3: "SELF_INTERSECTION", 4: None, 5: "DISCONNECTED_INTERIOR", 6: "NESTED_SHELLS"}
+    monkeypatch.setattr(validity, "MAX_SPLITS", 2)
+    assert verdicts(spark, rows) == want
+
+
+def test_stars_agree_with_pairs(spark, edges_only, monkeypatch):
+    """Random rings through shared vertices get one code, with stars and without."""
+    rng = random.Random(8)
+    rows = []
+    for i in range(25):
+        hubs = [[0.0, 0.0], [0.5, 0.125]][: 1 + i % 2]
+        n = rng.randint(2, 4)
+        rings = []
+        for _ in range(n):
+            hub, t = rng.choice(hubs), rng.uniform(0, 6.28)
+            far = lambda a: [hub[0] + rng.choice([0.25, 1, 2]) * math.cos(a), hub[1] + rng.choice([0.25, 1, 2]) * math.sin(a)]
+            rings.append([[hub, far(t), far(t + rng.uniform(0.1, 1.5)), hub]])
+        rows.append((i, "MultiPolygon", rings))
+        shell = [[-9, -9], [9, -9], [9, 9], [-9, 9], [-9, -9]]
+        rows.append((100 + i, "Polygon", [shell] + [r[0] for r in rings]))
+    plain = verdicts(spark, rows)
+    monkeypatch.setattr(validity, "STAR", 1)
+    monkeypatch.setattr(validity, "CELL_EDGES", 8)
+    monkeypatch.setattr(validity, "MAX_SPLITS", 1)
+    assert verdicts(spark, rows) == plain
+    assert set(plain.values()) == {None, "SELF_INTERSECTION"}
