@@ -12,34 +12,84 @@ THRESHOLD = 0.6  # cosine from which a passage states a licence
 FILE_SHARE = 0.5  # share of a text's words in licence passages that makes it a licence file
 BROADCAST_DIRS = 50_000
 
-# Names of licences and the sentences that state them.
+# Names of licences, and the sentences and lines that state them.
+PROPRIETARY = "Proprietary"  # yields to any other licence a text states: "All rights reserved" stands in free notices too
+GNU = {"GPL": "GNU General Public License", "LGPL": "GNU Lesser General Public License", "AGPL": "GNU Affero General Public License"}
+CC = {"": "Attribution", "-SA": "Attribution-ShareAlike", "-NC": "Attribution-NonCommercial", "-ND": "Attribution-NoDerivatives",
+      "-NC-SA": "Attribution-NonCommercial-ShareAlike", "-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+
+def _named(spdx: list[str], *names: str) -> list[str]:
+    """Usual short forms of a licence's identifiers and names."""
+    short = [f"SPDX-License-Identifier: {s}" for s in spdx] + [f"License: {s}" for s in spdx]
+    return short + [f"{verb} under the {n}{'' if 'licen' in n.lower() else ' License'}" for n in names for verb in ("Released", "Licensed", "This file is distributed", "This work is licensed")]
+
+
+def _gnu(kind: str, version: str) -> list[str]:
+    name, major = GNU[kind], version.removesuffix(".0")
+    spdx = f"{kind}-{version}"
+    terms = f"it under the terms of the {name} as published by the Free Software Foundation, either version {major} of the License, or (at your option) any later version"
+    return _named([spdx, f"{spdx}-only", f"{spdx}-or-later"], f"{name}, version {major}", f"{name} v{major}", f"{kind} v{major}", f"{kind}v{major}", f"{kind} version {major}") + [
+        f"This program is free software: you can redistribute it and/or modify {terms}", terms,
+        f"it under the terms of the {name} version {major} as published by the Free Software Foundation",
+        f"You should have received a copy of the {name} version {major} along with this program",
+    ]
+
+
+def _cc(part: str) -> list[str]:
+    code, name = f"CC-BY{part}-4.0", f"Creative Commons {CC[part]} 4.0"
+    return _named([code], f"{name} International License") + [f"Licensed under {code}", f"Released under {code}", f"This work is licensed under {code}", f"Licensed under {name}", f"This work is licensed under a {name} International License"]
+
+
 TEMPLATES = {
     "MIT": [
-        "Released under the MIT License", "Licensed under the MIT License", "SPDX-License-Identifier: MIT",
+        *_named(["MIT"], "MIT License"), "The MIT License (MIT)",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software "
+        "without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit "
+        "persons to whom the Software is furnished to do so, subject to the following conditions",
+        "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software",
     ],
     "Apache-2.0": [
-        "Licensed under the Apache License, Version 2.0", "SPDX-License-Identifier: Apache-2.0",
+        *_named(["Apache-2.0"], "Apache License, Version 2.0", "Apache 2.0 License"),
+        "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License",
         "You may not use this file except in compliance with the License",
     ],
-    "GPL-3.0": ["This work is licensed under the GNU General Public License, version 3", "SPDX-License-Identifier: GPL-3.0-or-later"],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2", "SPDX-License-Identifier: GPL-2.0-only"],
-    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3", "SPDX-License-Identifier: LGPL-3.0"],
-    "AGPL-3.0": ["Licensed under the GNU Affero General Public License, version 3", "SPDX-License-Identifier: AGPL-3.0"],
+    # The version is often named in the next line only; without it the licence stays that of the kind.
+    **{kind: [f"it under the terms of the {name} as published by", f"it under the terms of the {name}", f"Released under the {name}", f"Licensed under the {name}",
+              f"You should have received a copy of the {name} along with this program", f"This program is licensed under the {kind}", f"Released under the {kind}", f"License: {kind}"] for kind, name in GNU.items()},
+    **{f"{kind}-{version}": _gnu(kind, version) for kind, version in (("GPL", "3.0"), ("GPL", "2.0"), ("LGPL", "3.0"), ("LGPL", "2.1"), ("AGPL", "3.0"))},
+    "BSD-2-Clause": _named(["BSD-2-Clause"], "BSD 2-Clause License", "Simplified BSD License"),
     "BSD-3-Clause": [
-        "Released under the BSD 3-Clause License", "SPDX-License-Identifier: BSD-3-Clause",
+        *_named(["BSD-3-Clause"], "BSD 3-Clause License", "BSD License", "New BSD License"), "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file",
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
+        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met",
+    ],
+    "ISC": [*_named(["ISC"], "ISC License"), "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"],
+    "MPL-2.0": [
+        *_named(["MPL-2.0"], "Mozilla Public License, version 2.0"), "This file is subject to the terms of the Mozilla Public License, version 2.0",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0",
+    ],
+    **{f"CC-BY{part}-4.0": _cc(part) for part in CC},
+    "CC0-1.0": [*_named(["CC0-1.0"], "CC0 1.0"), "Released into the public domain under CC0 1.0", "This work is dedicated to the public domain under CC0 1.0 Universal"],
+    "Unlicense": [*_named(["Unlicense"], "Unlicense"), "This is free and unencumbered software released into the public domain"],
+    PROPRIETARY: [
+        "All rights reserved", "Copyright (c) All rights reserved", "All rights reserved. Proprietary and confidential", "Proprietary and confidential",
+        "Unauthorized copying of this file is strictly prohibited", "Unauthorized copying of this file, via any medium, is strictly prohibited",
     ],
-    "MPL-2.0": ["This file is subject to the terms of the Mozilla Public License, version 2.0", "SPDX-License-Identifier: MPL-2.0"],
-    "CC-BY-4.0": ["This work is licensed under a Creative Commons Attribution 4.0 International License", "SPDX-License-Identifier: CC-BY-4.0"],
-    "CC-BY-SA-4.0": ["Licensed under Creative Commons Attribution-ShareAlike 4.0", "SPDX-License-Identifier: CC-BY-SA-4.0"],
-    "CC0-1.0": ["Released into the public domain under CC0 1.0", "SPDX-License-Identifier: CC0-1.0"],
-    "Unlicense": ["This is free and unencumbered software released into the public domain"],
-    "Proprietary": ["All rights reserved. Proprietary and confidential", "Unauthorized copying of this file is strictly prohibited"],
 }
 # Words of which a licence passage holds one.
 CUES = r"(?i)licen[cs]e|copyright|spdx|permission|redistribut|public domain|rights reserved|proprietary|unauthorized"
 BORDER = r"\n+|(?<=[.;!?])\s+"
+SENTENCE = r"(?<=[.!?])\s+|\n[^\p{L}\p{N}\n]*\n"  # borders of sentences that run over several lines
+
+
+def _passages(text: Column) -> Column:
+    """(passage, how) of a text with a cue word: lines and parts of sentences (1), and sentences across lines (2)."""
+    cued = lambda border, how: F.transform(
+        F.array_distinct(F.filter(F.split(text, border), lambda p: p.rlike(CUES))), lambda p: F.struct(p.alias("passage"), F.lit(how).alias("how"))
+    )
+    return F.when(text.rlike(CUES), F.concat(cued(BORDER, 1), cued(SENTENCE, 2))).otherwise(F.array())
 
 
 def _templates(spark: SparkSession, templates: dict[str, list[str]]) -> DataFrame:
@@ -47,10 +97,21 @@ def _templates(spark: SparkSession, templates: dict[str, list[str]]) -> DataFram
     return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.template", "r.licence", words(F.col("r.t")).alias("w"))
 
 
-def _vectors(passages: DataFrame, key: str, idf: DataFrame) -> DataFrame:
-    """(key, word, weight) of length one per key, from (key, w)."""
+def _idf(wanted: DataFrame, key: str) -> tuple[DataFrame, float]:
+    """Inverse document frequencies of the templates' words, and their mean, which all other words get.
+
+    They depend on the templates alone, so a passage has the same cosine in any corpus.
+    """
+    total = wanted.select(key).distinct().count()
+    held = wanted.select(key, F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("df"))
+    idf = materialize(held.select("word", (F.log(F.lit(total + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf")), "idf")
+    return idf, idf.agg(F.avg("idf").alias("m")).first()["m"]
+
+
+def _vectors(passages: DataFrame, key: str, idf: DataFrame, unseen: float) -> DataFrame:
+    """(key, word, weight) of length one per key, from (key, w). At most a few thousand words have an idf."""
     counts = passages.select(key, F.explode("w").alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"))
-    weighed = counts.join(idf, "word").withColumn("x", F.col("tf") * F.col("idf"))
+    weighed = counts.join(F.broadcast(idf), "word", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
     norms = weighed.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     return weighed.join(norms, key).select(key, "word", (F.col("x") / F.col("norm")).alias("x"))
 
@@ -58,22 +119,18 @@ def _vectors(passages: DataFrame, key: str, idf: DataFrame) -> DataFrame:
 def licence_passages(df: DataFrame, text: str, templates: dict[str, list[str]], threshold: float) -> DataFrame:
     """Distinct passages with a cue word that state a licence: ``passage``, ``licence``, ``score``.
 
-    Passages are lines and sentences of whole texts. Equal ones are one row before words are
-    counted, however many texts hold them. Inverse document frequencies are those of the words in all
-    texts' passages, each text's occurrence counted; templates are as frequent as found.
+    Passages are lines, parts of sentences, and sentences across lines, of whole texts. Equal ones are one row
+    before words are counted, however many texts hold them. Words weigh by their inverse frequency in the templates.
     """
     spark = df.sparkSession
-    each = df.select(F.explode(F.split(F.col(f"`{text}`"), BORDER)).alias("passage")).filter(F.col("passage").rlike(CUES))
-    distinct = materialize(each.groupBy("passage").agg(F.count(F.lit(1)).alias("times")), "passages")
+    each = df.select(F.explode(_passages(F.col(f"`{text}`"))).alias("p")).select("p.passage")
+    distinct = materialize(each.distinct(), "passages")
     distinct = distinct.withColumn("w", words(F.col("passage"))).filter(F.size("w") > 0)
     wanted = _templates(spark, templates)
-    total = distinct.agg(F.coalesce(F.sum("times"), F.lit(0)).alias("n")).first()["n"]
-    held = distinct.select("times", F.explode(F.array_distinct("w")).alias("word")).groupBy("word").agg(F.sum("times").alias("df"))
-    known = held.unionByName(wanted.select(F.explode("w").alias("word"), F.lit(0).cast("long").alias("df"))).groupBy("word").agg(F.max("df").alias("df"))
-    idf = known.select("word", (F.log(F.lit(total + 1.0) / (F.col("df") + 1.0)) + 1.0).alias("idf"))
-    of_text = _vectors(distinct.select("passage", "w"), "passage", idf)
-    # At most a few hundred rows: the templates' words.
-    of_template = F.broadcast(_vectors(wanted.select("template", "w"), "template", idf).withColumnRenamed("x", "y"))
+    idf, unseen = _idf(wanted, "template")
+    of_text = _vectors(distinct, "passage", idf, unseen)
+    # At most a few thousand rows: the templates' words.
+    of_template = F.broadcast(_vectors(wanted, "template", idf, unseen).withColumnRenamed("x", "y"))
     cosine = of_text.join(of_template, "word").groupBy("passage", "template").agg(F.sum(F.col("x") * F.col("y")).alias("score"))
     best = cosine.groupBy("passage").agg(F.max_by(F.struct("template", "score"), F.struct("score", "template")).alias("b"))
     best = best.filter(F.col("b.score") >= threshold)
@@ -92,8 +149,9 @@ def scan_licences(df: DataFrame, path: Column, text: str = "text", keep: list[st
     ``licence_from`` is ``file`` if licence passages are at least ``FILE_SHARE`` of the text's words, ``header`` if
     there are passages otherwise, ``inherited`` if the nearest directory above that has a licence file
     gives the licence, else NULL as the licence and score are. A text with several passages takes the one
-    of the highest cosine, then the first licence by name; so does a directory with several licence files,
-    after the licence most of them state.
+    of the highest cosine, then the last licence by name; so does a directory with several licence files,
+    after the licence most of them state. ``Proprietary`` ("All rights reserved") yields to any other licence of the
+    text, and a licence named without its version (``GPL``) to the same with a version.
 
     NULL and empty texts state nothing but inherit; a NULL path has no directories; repeated rows are answered
     one by one; an empty table gives an empty table. Passages, directories and their licences are made
@@ -104,14 +162,17 @@ def scan_licences(df: DataFrame, path: Column, text: str = "text", keep: list[st
     found = materialize(licence_passages(df, text, templates or TEMPLATES, threshold), "licences")
     n_found = found.count()
     rows = with_row_id(df.select(*[F.col(f"`{c}`") for c in keep], path.alias("path"), F.col(f"`{text}`").alias("__t")))
-    rows = rows.select(*[f"`{c}`" for c in keep], "path", "__rid", F.split("__t", BORDER).alias("__p"), F.size(words(F.col("__t"))).alias("__n"))
-    cued = F.array_distinct(F.filter("__p", lambda p: p.rlike(CUES)))
-    rows = materialize(rows.select(*[f"`{c}`" for c in keep], "path", "__rid", cued.alias("__p"), "__n"), "cued")
-    each = rows.select("__rid", "__n", F.explode("__p").alias("passage"))
+    rows = rows.select(*[f"`{c}`" for c in keep], "path", "__rid", _passages(F.col("__t")).alias("__p"), F.size(words(F.col("__t"))).alias("__n"))
+    rows = materialize(rows, "cued")
+    each = rows.select("__rid", "__n", F.explode("__p").alias("p")).select("__rid", "__n", "p.*")
     met = each.join(F.broadcast(found) if n_found <= BROADCAST_DIRS else found, "passage")
-    own = met.groupBy("__rid").agg(
-        F.max_by(F.struct("licence", "score"), F.struct("score", "licence")).alias("b"), F.sum(F.size(words(F.col("passage")))).alias("in"), F.first("__n").alias("n")
-    )
+    # A sentence across lines may take in words before its licence: the square of its cosine is the template's part in it.
+    part = F.size(words(F.col("passage"))) * F.when(F.col("how") == 1, 1.0).otherwise(F.col("score") * F.col("score"))
+    length = lambda how: F.coalesce(F.sum(F.when(F.col("how") == how, part)), F.lit(0.0))
+    stands = F.struct((F.col("licence") != PROPRIETARY).alias("free"), "score", "licence")
+    own = met.groupBy("__rid").agg(F.collect_set(stands).alias("all"), F.greatest(length(1), length(2)).alias("in"), F.first("__n").alias("n"))
+    versioned = F.filter("all", lambda p: ~F.exists("all", lambda q: q["licence"].startswith(F.concat(p["licence"], F.lit("-")))))
+    own = own.withColumn("b", F.array_max(versioned))
     own = own.select(F.col("__rid").alias("__own"), F.col("b.licence").alias("l"), F.col("b.score").alias("s"), (F.col("in") >= F.col("n") * FILE_SHARE).alias("is_file"))
     stated = materialize(rows.join(own, rows["__rid"] == own["__own"], "left").drop("__own", "__p", "__n", "__rid"), "stated")
     parent = F.regexp_replace("path", "/?[^/]*$", "")

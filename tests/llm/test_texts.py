@@ -165,6 +165,31 @@ def test_licences(spark):
     assert licences.scan_licences(frame.limit(0), F.col("name"), keep=["doc_id"]).count() == 0
 
 
+def test_licence_lines_of_usual_notices(spark):
+    gpl = """/* This file is part of it.
+ *
+ * it is free software; you can redistribute it and/or modify
+ * it under the terms of the GNU %sGeneral Public License as published by
+ * the Free Software Foundation; either version %s of the License, or
+ * (at your option) any later version.
+ *
+ */
+"""
+    code = "\n".join(f"value{i} = other{i} + {i}" for i in range(60))
+    want = [
+        ("All rights reserved.", "Proprietary"), ("Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"), ("Licensed under CC BY 4.0.", "CC-BY-4.0"),
+        ("# it under the terms of the GNU General Public License as published by", "GPL"), (gpl % ("", "3"), "GPL-3.0"), (gpl % ("", "2"), "GPL-2.0"),
+        (gpl % ("Lesser ", "2.1"), "LGPL-2.1"), (gpl % ("Affero ", "3"), "AGPL-3.0"),
+        ("Copyright (c) 2020 Foo. All rights reserved.\nUse of this source code is governed by a BSD-style\nlicense that can be found in the LICENSE file.", "BSD-3-Clause"),
+        ("She got a license to drive at MIT", None), ("Licensed under the terms of the sale", None),
+    ]
+    plain = [(100 + i, f"the licence number {i} was copyright of {i} museums", "p/x") for i in range(500)]  # a larger corpus changes no cosine
+    rows = [(i, t + "\n" + code, f"d{i}/x.c") for i, (t, _) in enumerate(want)]
+    frame = spark.createDataFrame(rows + plain, "doc_id long, text string, name string")
+    got = {r.doc_id: r.licence for r in licences.scan_licences(frame, F.col("name"), keep=["doc_id"]).collect()}
+    assert [got[i] for i in range(len(want))] == [l for _, l in want]
+
+
 def test_digest_of_nothing(spark):
     row = secrets.digest(secrets.find_secrets(docs(spark, [None])), "secret_spans", secrets.KINDS[:3], "novel").first()
     assert row.base_sha256 == hashlib.sha256(b"").hexdigest() and row.spans == "" and row.n_hex == 0
