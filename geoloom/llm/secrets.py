@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import sys
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,6 +29,8 @@ CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
 SENSITIVE = re.compile(
     r"secret|token|passw|passphrase|pwd|api.?key|access.?key|private.?key|auth|bearer|credential|signature|session", re.IGNORECASE | re.ASCII
 )
+RUN = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
+VOWEL = re.compile(r"[aeiouyAEIOUY]")
 IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,63}")
 
 REACH = 64  # characters before a candidate in which a sensitive word must stand
@@ -66,6 +69,47 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
     return out
 
 
+def of_words(value: str) -> bool:
+    """Whether a string is made of pronounceable words and short numbers, as ``session_identifier_2``: a name, not a secret."""
+    return all(len(r) <= 4 if r.isdigit() else len(r) >= 3 and VOWEL.search(r) for r in RUN.findall(value))
+
+
+def hidden(text: str, base: list[tuple[int, int, int]], found: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Places whose strings may be secrets: base matches, candidates but names, and the candidates' repeats near them."""
+    out = [(start, end) for start, _, end in base]
+    for start, end in found:
+        value = text[start:end]
+        if of_words(value):
+            continue
+        out.append((start, end))
+        at, last = text.find(value, max(0, start - AROUND - len(value))), end + AROUND + len(value)
+        while 0 <= at < last:
+            out.append((at, at + len(value)))
+            at = text.find(value, at + len(value), last)
+    return out
+
+
+class Blanked:
+    """Text whose :func:`hidden` places are blanked out, read by place."""
+
+    def __init__(self, text: str, spans: list[tuple[int, int]]):
+        self._text, self._spans, self._ends, last = text, sorted(set(spans)), [], 0
+        for _, end in self._spans:
+            last = max(last, end)
+            self._ends.append(last)
+
+    def __call__(self, start: int, end: int) -> str:
+        out, at = [], start
+        for i in range(bisect_right(self._ends, start), len(self._spans)):
+            s, e = self._spans[i]
+            if s >= end:
+                break
+            if e > at:
+                out += [self._text[at : max(at, s)], " "]
+                at = e
+        return "".join(out) + self._text[at:end]
+
+
 class Novelty:
     """Marginal compressed bytes of a string, given its surroundings and common identifiers."""
 
@@ -74,8 +118,9 @@ class Novelty:
         data = zstandard.ZstdCompressionDict(dictionary, dict_type=zstandard.DICT_TYPE_RAWCONTENT) if len(dictionary) >= 8 else None
         self._plain = zstandard.ZstdCompressor(level=3, dict_data=data, write_content_size=False) if data else zstandard.ZstdCompressor(level=3, write_content_size=False)
 
-    def __call__(self, text: str, start: int, end: int) -> float:
-        around = (text[max(0, start - AROUND) : start] + text[end : end + AROUND]).encode("utf-8", "replace")
+    def __call__(self, text: str, start: int, end: int, blanked: Blanked) -> float:
+        """Other strings that may be secrets, copies of this one among them, tell nothing of it."""
+        around = (blanked(max(0, start - AROUND), start) + blanked(end, min(len(text), end + AROUND))).encode("utf-8", "replace")
         with_it = around + text[start:end].encode()
         return (len(self._plain.compress(with_it)) - len(self._plain.compress(around))) / (end - start)
 
@@ -83,32 +128,46 @@ class Novelty:
 def identifier_dictionary(df: DataFrame, text: str = "text") -> bytes:
     """Identifiers that stand round candidates in at least two texts, the commonest last.
 
-    Counted over all texts; at most ``DICTIONARY_WORDS`` and ``DICTIONARY_BYTES`` reach the driver.
+    Strings that are base matches or candidates in any text are none, unless they are names of words: else the
+    copies of a document would hide its secrets. Counted over all texts; at most ``DICTIONARY_WORDS`` and ``DICTIONARY_BYTES`` reach the driver.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
+        secret: set[str] = set()
 
         def emit() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_pydict({"word": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+            every = list(seen.keys() | secret)
+            batch = pa.RecordBatch.from_pydict(
+                {"word": pa.array(every, pa.string()), "n": pa.array([seen[w] for w in every], pa.int64()), "secret": pa.array([w in secret for w in every], pa.bool_())}
+            )
             seen.clear()
+            secret.clear()
             return batch
 
         for batch in batches:
             for value in batch.column(0).to_pylist():
                 if value:
                     near: set[str] = set()
-                    for start, end in candidates(value, base_spans(value)):
-                        near.update(IDENTIFIER.findall(value[max(0, start - AROUND) : start]))
-                        near.update(IDENTIFIER.findall(value[end : end + AROUND]))
+                    base = base_spans(value)
+                    found = candidates(value, base)
+                    blanked = Blanked(value, hidden(value, base, found))
+                    for start, end in found:
+                        near.update(IDENTIFIER.findall(blanked(max(0, start - AROUND), start)))
+                        near.update(IDENTIFIER.findall(blanked(end, min(len(value), end + AROUND))))
                     seen.update(near)
-            if len(seen) > 100_000:
+                    for start, end in [*found, *((s, e) for s, _, e in base)]:
+                        assigned = ASSIGN.fullmatch(value, start, end)
+                        string = assigned[2] if assigned else value[start:end]
+                        if not of_words(string):
+                            secret.update(w for w in IDENTIFIER.findall(string) if not of_words(w))
+            if len(seen) + len(secret) > 100_000:
                 yield emit()
         yield emit()
 
     small_batches(df.sparkSession)
-    counts = df.select(F.col(text).alias("t")).mapInArrow(count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    top = counts.filter("n >= 2").orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS).select("word").collect()
+    counts = df.select(F.col(text).alias("t")).mapInArrow(count, "word string, n long, secret boolean").groupBy("word").agg(F.sum("n").alias("n"), F.bool_or("secret").alias("secret"))
+    top = counts.filter("n >= 2 AND NOT secret").orderBy(F.desc("n"), "word").limit(DICTIONARY_WORDS).select("word").collect()
     return " ".join(r["word"] for r in reversed(top)).encode()[-DICTIONARY_BYTES:]
 
 
@@ -142,8 +201,10 @@ def _scanned(df: DataFrame, text: str, threshold: float, mask: str | None, out:
                 rows = []
                 if value:
                     base = base_spans(value)
-                    rows = [(s, k, e, novelty(value, s, e)) for s, k, e in base]
-                    more = ((s, 3, e, novelty(value, s, e)) for s, e in candidates(value, base))
+                    long = candidates(value, base)
+                    blanked = Blanked(value, hidden(value, base, long)) if base or long else None
+                    rows = [(s, k, e, novelty(value, s, e, blanked)) for s, k, e in base]
+                    more = ((s, 3, e, novelty(value, s, e, blanked)) for s, e in long)
                     rows = sorted(rows + [r for r in more if r[3] >= threshold])
                 if mask is not None:
                     clean.append(masked(value, rows))
@@ -163,7 +224,8 @@ def find_secrets(df: DataFrame, text: str = "text", threshold: float = NOVELTY,
     Kinds: ``assign``, ``access`` and ``hex`` by pattern, ``novel`` for other strings in
     sensitive context whose marginal compressed bytes per character, under a
     zstandard compressor primed with the corpus's identifiers and the surrounding
-    text, reach ``threshold``. Offsets are code points, the end exclusive. Two
+    text, reach ``threshold``. Other secrets, candidates and repeats of the string are blanked out of both, so
+    copied documents and repeated secrets give what one alone gives; names made of words are not blanked. Offsets are code points, the end exclusive. Two
     narrow passes; only the bounded dictionary is shuffled.
 
     NULL and empty texts have no spans. Rows are independent: repeated rows get

@@ -90,6 +90,23 @@ def test_secrets_on_awkward_rows(spark):
     assert secrets.find_secrets(docs(spark, texts).limit(0)).count() == 0
 
 
+def test_copies_and_repeats_do_not_hide_secrets(spark):
+    rng = random.Random(8)
+    token = lambda: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=24))
+    pairs = [(token(), token()) for _ in range(40)]
+    two = [f"Authorization Bearer {a} and then some words, Authorization Bearer {b} at the end" for a, b in pairs]
+    twice = [f"Authorization Bearer {a}\nthe same once more: Bearer {a}" for a in (token() for _ in range(40))]
+    apart = [f"Authorization Bearer {a}\n{'plain words ' * 8}{a}" for a in (token() for _ in range(40))]
+    names = ["the auth of session_identifier_number_7 and session_identifier_number_7"] * 3
+    texts = two * 3 + twice + apart + names
+    found = secrets.find_secrets(docs(spark, texts)).orderBy("doc_id").collect()
+    spans = [[r.text[s.start : s.end] for s in r.secret_spans] for r in found]
+    sum_of = lambda part: sum(map(len, part))
+    assert sum_of(spans[:120]) >= 0.97 * 240 and spans[:40] == spans[40:80] == spans[80:120]
+    assert sum_of(spans[120:160]) >= 0.97 * 80 and sum_of(spans[160:200]) >= 0.97 * 40
+    assert spans[200:] == [[], [], []]
+
+
 def test_terms_that_reveal_entities(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choices("abcdefghij", k=6))
