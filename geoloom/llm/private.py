@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import re
 import sys
 from collections import Counter
@@ -9,7 +10,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geoloom.llm.common import small_batches, table, with_row_id
@@ -28,12 +29,12 @@ IP = re.compile(r"(?<![0-9])([0-9]++)\.([0-9]++)\.([0-9]++)\.([0-9]++)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])++")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 NOT_DIGIT = re.compile(r"[^0-9]+")
-TERM = re.compile(r"[^\W\d_]{3,64}")
+TERM = re.compile(r"(?<![^\W\d_])[^\W\d_]{3,64}+(?![^\W\d_])")
 DOUBLED = (0, 2, 4, 6, 8, 1, 3, 5, 7, 9)
 
-WINDOW = 64  # characters on each side of an entity whose terms may reveal it
-SUPPORT = 5  # texts in which a term must stand by entities of a kind
+SUPPORT = 5  # texts in which a term must stand together with entities of a kind
 GENERALISE, REMOVE = 0.8, 0.95  # share of an entity kind's information that a term discloses
+BROADCAST_TERMS = 200_000  # telling terms that may be sent to every task: a few MB, counted first
 
 
 def luhn(digits: str) -> bool:
@@ -67,126 +68,133 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
-def near_terms(text: str, base: list[tuple[int, int, int]]) -> list[tuple[str, int, int, int]]:
-    """(term, kind number, start, end) of the words near the spans, clear of all spans."""
-    out, seen = [], set()
-    covered = []
-    for start, _, end in base:
-        if covered and start <= covered[-1][1]:
-            covered[-1][1] = max(covered[-1][1], end)
-        else:
-            covered.append([start, end])
-    for start, kind, end in base:
-        for lo, hi in ((max(0, start - WINDOW), start), (end, min(len(text), end + WINDOW))):
-            for m in TERM.finditer(text, lo, hi):
-                s, e = m.span()
-                whole = (s == 0 or not text[s - 1].isalpha()) and (e == len(text) or not text[e].isalpha())
-                if whole and (s, e, kind) not in seen and not any(a < e and s < b for a, b in _around(covered, s, e)):
-                    seen.add((s, e, kind))
-                    out.append((m.group().lower(), kind, s, e))
-    return out
-
-
-def _around(covered: list[list[int]], start: int, end: int) -> list[list[int]]:
-    """The merged spans that may meet [start, end)."""
-    lo, hi = 0, len(covered)
-    while lo < hi:
-        mid = (lo + hi) // 2
-        if covered[mid][1] <= start:
-            lo = mid + 1
-        else:
-            hi = mid
-    return covered[lo : lo + 1]
-
-
-def _with_spans(df: DataFrame, text: str, keep: list[str]) -> DataFrame:
-    """Row id, the columns to keep, the base spans and the terms near them; one narrow pass, written once."""
-    span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-    near = pa.list_(pa.struct([("term", pa.string()), ("kind", pa.int32()), ("start", pa.int64()), ("end", pa.int64())]))
+def clear_terms(text: str, base: list[tuple[int, int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of all words of the text that are clear of the spans."""
+    at, last = 0, 0
+    for m in TERM.finditer(text):
+        start, end = m.span()
+        while at < len(base) and base[at][0] < end:
+            last = max(last, base[at][2])
+            at += 1
+        if last <= start:
+            yield m.group().lower(), start, end
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans, terms = [], []
-            for value in batch.column(batch.num_columns - 1).to_pylist():
-                base = base_spans(value) if value else []
-                spans.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in base])
-                terms.append([{"term": t, "kind": k, "start": s, "end": e} for t, k, s, e in near_terms(value, base)] if base else [])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(spans, span), pa.array(terms, near)], names=["__rid", *keep, "__spans", "__near"])
-
-    small_batches(df.sparkSession)
-    rows = with_row_id(df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))).select("__rid", *[f"`{c}`" for c in keep], "__text")
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
-    out = fields + ", __spans array<struct<kind:string,start:bigint,end:bigint>>, __near array<struct<term:string,kind:int,start:bigint,end:bigint>>"
-    return materialize(rows.mapInArrow(scan, out), "private")
 
+def term_counts(df: DataFrame, text: str) -> DataFrame:
+    """Texts that hold each term (``df``), and those that hold it together with each kind, over all whole texts.
 
-def term_frequency(df: DataFrame, text: str) -> DataFrame:
-    """Number of texts that hold each term, over all texts; counted in the tasks before the shuffle."""
+    The term ``""`` has the number of texts, and of those that hold each kind. Counted in the tasks before the shuffle.
+    """
+    kinds = KINDS[:4]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter[str] = Counter()
+        joint: list[Counter[str]] = [Counter() for _ in kinds]
 
         def emit() -> pa.RecordBatch:
-            batch = pa.RecordBatch.from_pydict({"term": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
-            seen.clear()
+            every = list(set(seen).union(*joint))
+            batch = pa.RecordBatch.from_arrays(
+                [pa.array(every, pa.string()), *(pa.array([c[t] for t in every], pa.int64()) for c in (seen, *joint))], names=["term", "df", *kinds]
+            )
+            for c in (seen, *joint):
+                c.clear()
             return batch
 
         for batch in batches:
             for value in batch.column(0).to_pylist():
+                seen[""] += 1
                 if value:
-                    seen.update(set(TERM.findall(value.lower())))
+                    seen.update({t.lower() for t in TERM.findall(value)})
+                    base = base_spans(value)
+                    if base:
+                        terms = {t for t, _, _ in clear_terms(value, base)}
+                        terms.add("")
+                        for kind in {k for _, k, _ in base}:
+                            joint[kind].update(terms)
             if len(seen) > 500_000:
                 yield emit()
         yield emit()
 
     small_batches(df.sparkSession)
-    return df.select(F.col(f"`{text}`").alias("t")).mapInArrow(count, "term string, n long").groupBy("term").agg(F.sum("n").alias("df"))
+    schema = "term string, df long, " + ", ".join(f"{k} long" for k in kinds)
+    return df.select(F.col(f"`{text}`").alias("t")).mapInArrow(count, schema).groupBy("term").agg(*[F.sum(c).alias(c) for c in ("df", *kinds)])
+
+
+def telling_terms(df: DataFrame, text: str, generalise: float, support: int) -> DataFrame:
+    """``(term, disclosure)`` of the terms that disclose a kind, by the kind they disclose most."""
+    kinds = KINDS[:4]
+    counts = materialize(term_counts(df, text).filter((F.greatest(*kinds) >= support) | (F.col("term") == "")), "terms")
+    totals = counts.filter("term = ''").first()
+
+    def disclosure(kind: str) -> Column:
+        # PMI / -log p(kind) = 1 - log(df / joint) / -log p(kind); a kind in every text discloses nothing.
+        rate = totals[kind] / max(1, totals["df"]) if totals else 0.0
+        if not 0 < rate < 1:
+            return F.lit(0.0)
+        return F.when(F.col(kind) >= support, 1 + F.log(F.greatest(F.col("df") / F.col(kind), F.lit(1.0))) / math.log(rate)).otherwise(F.lit(0.0))
+
+    scored = counts.filter("term <> ''").select("term", F.greatest(*[disclosure(k) for k in kinds]).alias("disclosure"))
+    return materialize(scored.filter(F.col("disclosure") >= generalise), "telling")
 
 
 def private_spans(df: DataFrame, text: str = "text", keep: list[str] | None = None, generalise: float = GENERALISE, remove: float = REMOVE, support: int = SUPPORT) -> DataFrame:
     """One row per row of ``df``: ``keep`` columns, ``__rid``, ``private_spans`` (kind, start, end, action).
 
     Base spans (``email``, ``ip``, ``card``, ``phone``) are always there, action ``mask``. Kind
-    ``term``: a word within ``WINDOW`` characters of an entity that discloses its kind. With
+    ``term``: a word that discloses a kind of entity, wherever it stands, in texts without any entity too. With
     p(kind) the share of texts that hold the kind, the word's pointwise mutual
-    information with the kind, divided by the kind's information -log p(kind), is
-    its disclosure: 1 when it never stands without such an entity near it. From
+    information with the kind in the same text, divided by the kind's information -log p(kind), is
+    its disclosure: 1 when it never stands in a text without such an entity. From
     ``generalise`` on the word is to be generalised, from ``remove`` on removed.
     Words seen with the kind in fewer than ``support`` texts have no estimate.
 
-    Only terms near entities are joined, keyed by row; corpus counts cover every
-    text and are folded in the tasks. NULL and empty texts have no spans; repeated
-    rows are counted and answered one by one; an empty table gives an empty table.
+    Two passes over all whole texts: counts are folded in the tasks; then the telling terms, at most
+    ``BROADCAST_TERMS``, are looked up in every text, and more of them are joined. NULL and empty texts have no spans;
+    repeated rows are counted and answered one by one; an empty table gives an empty table.
     """
-    keep = [c for c in (df.columns if keep is None else keep) if c not in ("private_spans", "__rid", "__spans", "__near", text)]
-    found = _with_spans(df, text, keep)
-    near = found.filter(F.size("__near") > 0).select("__rid", F.explode("__near").alias("t")).select("__rid", "t.*")
-    joint = near.select("__rid", "term", "kind").distinct().groupBy("term", "kind").agg(F.count(F.lit(1)).alias("joint"))
-    joint = joint.filter(F.col("joint") >= support)
-    holds = lambda kind: F.count_if(F.exists("__spans", lambda s: s["kind"] == kind))
-    totals = found.agg(F.count(F.lit(1)).alias("all"), *[holds(k).alias(k) for k in KINDS[:4]]).first()
-    rate = F.element_at(F.array(*[F.lit(totals[k] / max(1, totals["all"])) for k in KINDS[:4]]), F.col("kind") + 1)
-    counts = term_frequency(df, text)
-    # PMI / -log p(kind) = 1 - log(df / joint) / -log p(kind); a kind in every text discloses nothing.
-    scored = joint.join(counts, "term").withColumn(
-        "disclosure", F.when(rate < 1, 1 - F.log(F.greatest(F.col("df") / F.col("joint"), F.lit(1.0))) / -F.log(rate)).otherwise(F.lit(0.0))
-    )
-    telling = materialize(scored.filter(F.col("disclosure") >= generalise).select("term", "kind", "disclosure"), "telling")
-    added = near.join(telling, ["term", "kind"]).groupBy("__rid", "start", "end").agg(F.max("disclosure").alias("d"))
-    action = F.when(F.col("d") >= remove, "remove").otherwise("generalise")
-    added = added.groupBy(F.col("__rid").alias("__r")).agg(
-        F.collect_list(F.struct("start", F.lit(KINDS.index("term")).alias("k"), F.lit("term").alias("kind"), "end", action.alias("action"))).alias("__more")
-    )
-    base = F.transform(
-        "__spans",
-        lambda s: F.struct(
-            s["start"].alias("start"), (F.array_position(F.array(*[F.lit(k) for k in KINDS]), s["kind"]) - 1).cast("int").alias("k"),
-            s["kind"].alias("kind"), s["end"].alias("end"), F.lit("mask").alias("action"),
-        ),
-    )
-    every = F.array_sort(F.concat(base, F.coalesce("__more", F.array())))
-    out = F.transform(every, lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["action"].alias("action")))
-    return found.join(added, found["__rid"] == added["__r"], "left").select("__rid", *[f"`{c}`" for c in keep], out.alias("private_spans"))
+    keep = [c for c in (df.columns if keep is None else keep) if c not in ("private_spans", "__rid", "__tell", text)]
+    telling = telling_terms(df, text, generalise, support)
+    rows = with_row_id(df.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text")))
+    if telling.count() <= BROADCAST_TERMS:
+        sent = df.sparkSession.sparkContext.broadcast({r["term"]: r["disclosure"] for r in telling.collect()})
+        rows = rows.withColumn("__tell", F.lit(None).cast("map<string,double>"))
+    else:
+        sent = None
+        rows = materialize(rows, "texts")
+        rows = rows.join(_telling_of_rows(rows, telling), "__rid", "left")
+    rows = rows.select("__rid", *[f"`{c}`" for c in keep], "__text", "__tell")
+    span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("action", pa.string())]))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for value, tell in zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist()):
+                known = sent.value if sent is not None else dict(tell or ())
+                base = base_spans(value) if value else []
+                spans = [(s, k, e, "mask") for s, k, e in base]
+                if value and known:
+                    spans += [(s, 4, e, "remove" if known[t] >= remove else "generalise") for t, s, e in clear_terms(value, base) if t in known]
+                    spans.sort()
+                out.append([{"kind": KINDS[k], "start": s, "end": e, "action": a} for s, k, e, a in spans])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-2], pa.array(out, span)], names=["__rid", *keep, "private_spans"])
+
+    small_batches(df.sparkSession)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-2])
+    return rows.mapInArrow(scan, fields + ", private_spans array<struct<kind:string,start:bigint,end:bigint,action:string>>")
+
+
+def _telling_of_rows(rows: DataFrame, telling: DataFrame) -> DataFrame:
+    """``(__rid, __tell)``: each row's telling terms, where they are too many to send to every task."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rid, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                terms = list({t.lower() for t in TERM.findall(value or "")})
+                yield pa.RecordBatch.from_arrays([pa.array([rid] * len(terms), pa.int64()), pa.array(terms, pa.string())], names=["__rid", "term"])
+
+    small_batches(rows.sparkSession)
+    met = rows.select("__rid", "__text").mapInArrow(scan, "__rid long, term string").join(telling.hint("merge"), "term")
+    return met.groupBy("__rid").agg(F.map_from_entries(F.collect_list(F.struct("term", "disclosure"))).alias("__tell"))
 
 
 def sanitise(df: DataFrame, text: str = "text", **settings) -> DataFrame:

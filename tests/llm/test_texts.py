@@ -126,6 +126,21 @@ def test_terms_that_reveal_entities(spark):
     assert private.private_spans(frame.limit(0), keep=["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize("limit", [private.BROADCAST_TERMS, 0])
+def test_telling_terms_are_found_everywhere(spark, monkeypatch, limit):
+    monkeypatch.setattr(private, "BROADCAST_TERMS", limit)
+    far = " " + "and then so on " * 20
+    texts = [f"Mailbox{far}user{i}@host.org" for i in range(20)] + ["no entity but a mailbox here" + far, f"a@host.org{far}MAILBOX mailbox", None, ""] + [f"plain and then so on {i}" for i in range(300)]
+    frame = docs(spark, texts)
+    rows = {r.doc_id: [(s.kind, texts[r.doc_id][s.start : s.end], s.action) for s in r.private_spans] for r in private.private_spans(frame, keep=["doc_id"]).collect()}
+    assert rows[0] == [("term", "Mailbox", "remove"), ("email", "user0@host.org", "mask")]
+    assert rows[20] == [("term", "mailbox", "remove")]
+    assert rows[21] == [("email", "a@host.org", "mask"), ("term", "MAILBOX", "remove"), ("term", "mailbox", "remove")]
+    assert len(rows) == len(texts) and all(rows[i] == [] for i in range(22, len(texts)))
+    clean = {r.doc_id: r.text for r in private.sanitise(frame).collect()}
+    assert not any(t and "mailbox" in t.lower() for t in clean.values()) and clean[30] == texts[30]
+
+
 def test_language_held_out(spark):
     rng = random.Random(9)
     make = lambda parts: " ".join("".join(rng.choices(parts, k=3)) for _ in range(12))
