@@ -6,9 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from geoloom.llm.common import table, with_row_id, words
+from geoloom.llm.licence_texts import TEXTS
 from geoloom.session import materialize
 
 THRESHOLD = 0.6  # cosine from which a passage states a licence
+WHOLE = 0.8  # cosine from which a whole text is that of a licence
 FILE_SHARE = 0.5  # share of a text's words in licence passages that makes it a licence file
 BROADCAST_DIRS = 50_000
 
@@ -108,10 +110,13 @@ def _idf(wanted: DataFrame, key: str) -> tuple[DataFrame, float]:
     return idf, idf.agg(F.avg("idf").alias("m")).first()["m"]
 
 
-def _vectors(passages: DataFrame, key: str, idf: DataFrame, unseen: float) -> DataFrame:
-    """(key, word, weight) of length one per key, from (key, w). At most a few thousand words have an idf."""
+def _vectors(passages: DataFrame, key: str, idf: DataFrame, unseen: float, damped: bool = False) -> DataFrame:
+    """(key, word, weight) of length one per key, from (key, w). At most a few thousand words have an idf.
+
+    In ``damped`` ones a word counts by the logarithm of its number, so that the small words of long texts do not rule.
+    """
     counts = passages.select(key, F.explode("w").alias("word")).groupBy(key, "word").agg(F.count(F.lit(1)).alias("tf"))
-    weighed = counts.join(F.broadcast(idf), "word", "left").withColumn("x", F.col("tf") * F.coalesce("idf", F.lit(unseen)))
+    weighed = counts.join(F.broadcast(idf), "word", "left").withColumn("x", (1 + F.log("tf") if damped else F.col("tf")) * F.coalesce("idf", F.lit(unseen)))
     norms = weighed.groupBy(key).agg(F.sqrt(F.sum(F.col("x") * F.col("x"))).alias("norm"))
     return weighed.join(norms, key).select(key, "word", (F.col("x") / F.col("norm")).alias("x"))
 
@@ -137,6 +142,26 @@ def licence_passages(df: DataFrame, text: str, templates: dict[str, list[str]],
     return best.select("passage", F.substring_index("b.template", "#", 1).alias("licence"), F.col("b.score").alias("score"))
 
 
+def licence_texts(df: DataFrame, text: str, texts: dict[str, str] = TEXTS, threshold: float = WHOLE) -> DataFrame:
+    """Distinct whole texts with a cue word that are a licence's text: ``key``, ``licence``, ``score``.
+
+    ``key`` is the SHA-256 of the text; equal texts are one row before their words are counted. A template is
+    given by its word counts.
+    """
+    spark = df.sparkSession
+    cued = df.select(F.col(f"`{text}`").alias("t")).filter(F.col("t").rlike(CUES))
+    distinct = materialize(cued.select(F.sha2("t", 256).alias("key"), words(F.col("t")).alias("w")).groupBy("key").agg(F.first("w").alias("w")), "whole")
+    again = {name: [" ".join(" ".join([w] * int(n)) for w, n in (c.split(":") for c in counts.split()))] for name, counts in texts.items()}
+    wanted = materialize(_templates(spark, again).select("licence", "w"), "texts")
+    idf, unseen = _idf(wanted, "licence")
+    of_text = _vectors(distinct, "key", idf, unseen, damped=True)
+    # At most a few thousand rows a licence.
+    of_template = F.broadcast(_vectors(wanted, "licence", idf, unseen, damped=True).withColumnRenamed("x", "y"))
+    cosine = of_text.join(of_template, "word").groupBy("key", "licence").agg(F.sum(F.col("x") * F.col("y")).alias("score")).filter(F.col("score") >= threshold)
+    best = cosine.groupBy("key").agg(F.max_by(F.struct("licence", "score"), F.struct("score", "licence")).alias("b"))
+    return best.select("key", "b.licence", "b.score")
+
+
 def ancestors(path: Column) -> Column:
     """Directories above a path, nearest first, down to the root ``""``."""
     parts = F.split(path, "/")
@@ -146,7 +171,8 @@ def ancestors(path: Column) -> Column:
 def scan_licences(df: DataFrame, path: Column, text: str = "text", keep: list[str] | None = None, templates: dict | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """One row per row of ``df``: the ``keep`` columns, ``path``, ``licence``, ``score``, ``licence_from``.
 
-    ``licence_from`` is ``file`` if licence passages are at least ``FILE_SHARE`` of the text's words, ``header`` if
+    ``licence_from`` is ``file`` if the whole text is that of a licence (its cosine to one of ``licence_texts.TEXTS`` is ``WHOLE``
+    or more, which then gives the licence) or licence passages are at least ``FILE_SHARE`` of the text's words, ``header`` if
     there are passages otherwise, ``inherited`` if the nearest directory above that has a licence file
     gives the licence, else NULL as the licence and score are. A text with several passages takes the one
     of the highest cosine, then the last licence by name; so does a directory with several licence files,
@@ -161,8 +187,13 @@ def scan_licences(df: DataFrame, path: Column, text: str = "text", keep: list[st
     keep = [c for c in (df.columns if keep is None else keep) if c not in result and c != text]
     found = materialize(licence_passages(df, text, templates or TEMPLATES, threshold), "licences")
     n_found = found.count()
+    whole = materialize(licence_texts(df, text), "files").select("key", F.col("licence").alias("wl"), F.col("score").alias("ws"))
+    n_whole = whole.count()
     rows = with_row_id(df.select(*[F.col(f"`{c}`") for c in keep], path.alias("path"), F.col(f"`{text}`").alias("__t")))
-    rows = rows.select(*[f"`{c}`" for c in keep], "path", "__rid", _passages(F.col("__t")).alias("__p"), F.size(words(F.col("__t"))).alias("__n"))
+    rows = rows.select(
+        *[f"`{c}`" for c in keep], "path", "__rid", _passages(F.col("__t")).alias("__p"), F.size(words(F.col("__t"))).alias("__n"),
+        F.when(F.col("__t").rlike(CUES), F.sha2("__t", 256)).alias("__key"),
+    )
     rows = materialize(rows, "cued")
     each = rows.select("__rid", "__n", F.explode("__p").alias("p")).select("__rid", "__n", "p.*")
     met = each.join(F.broadcast(found) if n_found <= BROADCAST_DIRS else found, "passage")
@@ -174,7 +205,9 @@ def scan_licences(df: DataFrame, path: Column, text: str = "text", keep: list[st
     versioned = F.filter("all", lambda p: ~F.exists("all", lambda q: q["licence"].startswith(F.concat(p["licence"], F.lit("-")))))
     own = own.withColumn("b", F.array_max(versioned))
     own = own.select(F.col("__rid").alias("__own"), F.col("b.licence").alias("l"), F.col("b.score").alias("s"), (F.col("in") >= F.col("n") * FILE_SHARE).alias("is_file"))
-    stated = materialize(rows.join(own, rows["__rid"] == own["__own"], "left").drop("__own", "__p", "__n", "__rid"), "stated")
+    stated = rows.join(own, rows["__rid"] == own["__own"], "left").join(F.broadcast(whole) if n_whole <= BROADCAST_DIRS else whole, F.col("__key") == F.col("key"), "left")
+    stated = stated.withColumns({"l": F.coalesce("wl", "l"), "s": F.when(F.col("wl").isNotNull(), F.col("ws")).otherwise(F.col("s")), "is_file": F.col("wl").isNotNull() | F.col("is_file")})
+    stated = materialize(stated.drop("__own", "__p", "__n", "__rid", "__key", "key", "wl", "ws"), "stated")
     parent = F.regexp_replace("path", "/?[^/]*$", "")
     files = stated.filter("is_file").groupBy(parent.alias("dir"), "l").agg(F.count(F.lit(1)).alias("n"), F.max("s").alias("s"))
     files = files.groupBy("dir").agg(F.max_by(F.struct("l", "s"), F.struct("n", "s", "l")).alias("b")).select("dir", "b.*")

@@ -222,6 +222,41 @@ def test_licence_lines_of_usual_notices(spark):
     assert [got[i] for i in range(len(want))] == [l for _, l in want]
 
 
+MIT_TEXT = """Copyright (c) 2019 Some Body and the contributors
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+
+
+def test_whole_licence_texts_are_files(spark):
+    whole = lambda name: " ".join(" ".join([w] * int(n)) for w, n in (c.split(":") for c in licences.TEXTS[name].split()))
+    code = "\n".join(f"value{i} = other{i} + {i}" for i in range(200))
+    rows = [(1, MIT_TEXT, "a/LICENSE"), (2, code, "a/x/y.py"), (3, MIT_TEXT + code, "b/x.py"), (4, code, "b/y.py"), (5, MIT_TEXT, "c/LICENSE"), (6, None, "c/z")]
+    rows += [(10 + i, whole(name), f"w{i}/LICENSE") for i, name in enumerate(licences.TEXTS)]
+    rows += [(50 + i, "some words", f"w{i}/deep/er/x") for i in range(len(licences.TEXTS))]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, name string")
+    got = {r.doc_id: (r.licence, r.licence_from) for r in licences.scan_licences(frame, F.col("name"), keep=["doc_id"]).collect()}
+    assert [got[i] for i in range(1, 7)] == [("MIT", "file"), ("MIT", "inherited"), ("MIT", "header"), (None, None), ("MIT", "file"), ("MIT", "inherited")]
+    for i, name in enumerate(licences.TEXTS):
+        assert got[10 + i] == (name, "file") and got[50 + i] == (name, "inherited")
+
+
 def test_digest_of_nothing(spark):
     row = secrets.digest(secrets.find_secrets(docs(spark, [None])), "secret_spans", secrets.KINDS[:3], "novel").first()
     assert row.base_sha256 == hashlib.sha256(b"").hexdigest() and row.spans == "" and row.n_hex == 0
