@@ -22,8 +22,8 @@ LEAST = 10  # occurrences of a phrase
 SHARE = 50  # percent of a phrase's occurrences that a longer one must hold to replace it
 TOP = 2000  # phrases reported for a language
 SCALE = 1_000_000
-SLICE = 4_000_000  # bytes of text that are looked at together, or one longer text
-HELD = 2_000_000  # counts a task folds before it sends them on
+SLICE = 2_000_000  # bytes of text that are looked at together, or one longer text
+HELD = 1_000_000  # counts a task folds before it sends them on
 MOST_BITS = 1 << 27  # of the filter of frequent fingerprints: 16 MB
 
 # What parts words, and what ends a piece of text.
@@ -35,7 +35,7 @@ _KIND[list(BLANKS)], _KIND[list(ENDS)] = 1, 2
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _BASE = np.uint64(0xD6E8FEB86659FD93)
-_BLOCK = 1 << 20
+_BLOCK = 1 << 18
 _POWERS: dict[str, np.ndarray] = {}
 
 
@@ -53,7 +53,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def fingerprints(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """Rabin-Karp fingerprints of the spans ``[start, end)``, from prefix polynomials modulo 2**64.
 
-    Starts and ends rise together. Prefixes are taken over blocks of about a million values.
+    Starts and ends rise together. Prefixes are taken over blocks of some hundred thousand values.
     """
     out = np.empty(len(start), dtype=np.uint64)
     at = 0
@@ -63,7 +63,7 @@ def fingerprints(values: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
         high = int(end[to - 1])
         up, down = _powers(high - low + 1)
         sums = np.zeros(high - low + 1, dtype=np.uint64)
-        np.cumsum(values[low:high] * up[: high - low], out=sums[1:])
+        np.cumsum((values[low:high].astype(np.uint64) + np.uint64(1)) * up[: high - low], out=sums[1:])
         a, b = start[at:to] - low, end[at:to] - low
         out[at:to] = (sums[b] - sums[a]) * down[a]
         at = to
@@ -86,7 +86,7 @@ class Words:
         self.piece = np.cumsum(kind == 2, dtype=np.int32)[self.start]  # each text ends with a line break
         self.language = languages[np.searchsorted(offsets[1:] - offsets[0], self.start, side="right")]
         self.seed = seeds[self.language]
-        spans = fingerprints(self.data.astype(np.uint64) + np.uint64(1), self.start, self.end)
+        spans = fingerprints(self.data, self.start, self.end)
         self.hash = mix(spans + (self.end - self.start).astype(np.uint64))
 
     def phrases(self, n: int) -> tuple[np.ndarray, np.ndarray]:
