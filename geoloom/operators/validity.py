@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from geoloom.functions.turn import ORIENT_BOUND, let, orientation, without_repeats
 from geoloom.schema import KINDS, bind, error
-from geoloom.session import built_once, materialize
+from geoloom.session import built_once, materialize, staged
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -669,6 +669,7 @@ def area_findings(areas: DataFrame, largest: int, any_several: bool) -> DataFram
     return bad.groupBy("key").agg(F.min(F.struct("member", "rank", "code"))["code"].alias("code"))
 
 
+@staged
 def _with_verdict(
     df: DataFrame, geom: str, out: str, key: Column | None, only_polygons: bool = False, stage: bool = False
 ) -> DataFrame:
@@ -680,7 +681,7 @@ def _with_verdict(
     """
     df = bind(df, "__row", row_verdict(geom, only_polygons))
     if stage or key is None:
-        df = materialize(df.withColumn("__key", F.monotonically_increasing_id()), "judged")
+        df = materialize(df.withColumn("__key", F.monotonically_increasing_id()), "judged", outer=True)
         key = F.col("__key")
     is_open = F.col("__row")["open"]
     wanted = (POLYGON,) if only_polygons else (POLYGON, MULTI_POLYGON)
@@ -701,7 +702,7 @@ def _with_verdict(
     if seen["largest"] is None:
         return df.withColumn(out, F.col("__row")["code"]).drop("__row", "__key")
     bad = area_findings(open_areas, seen["largest"], seen["several"])
-    bad = materialize(bad.select(F.col("key").alias("__key"), F.col("code").alias("__found")), "bad-areas")
+    bad = materialize(bad.select(F.col("key").alias("__key"), F.col("code").alias("__found")), "bad-areas", outer=True)
     # Only open rows carry a key. Verdicts are broadcast only once their count has been seen to be
     # small; more of them meet the open rows alone, so settled rows are never shuffled.
     df = df.withColumn("__key", F.when(is_open, key))

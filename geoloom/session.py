@@ -6,6 +6,7 @@ import contextlib
 import functools
 import tempfile
 import uuid
+from contextvars import ContextVar
 
 from pyspark import SparkContext
 from pyspark.sql import DataFrame, SparkSession
@@ -77,36 +78,69 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[app]
 
 
-# Folders of the jobs that run now, the innermost last.
-_SCOPES: list[str] = []
+# Folders of the scopes that are open in this thread or task, the innermost last. A new thread has none.
+_SCOPES: ContextVar[tuple[str, ...]] = ContextVar("scratch_scopes", default=())
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{_SCOPES[-1] if _SCOPES else shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at, at.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def scratch_path(spark: SparkSession, name: str, outer: bool = False) -> str:
+    """A new path in the innermost open scope, or with ``outer`` in the one around it.
+
+    Where no scope is open, what is written there goes when the application ends.
+    """
+    open_ = _SCOPES.get()[: -1 if outer else None]
+    path = f"{open_[-1] if open_ else shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if not open_:
+        at, files = _file_system(spark, path)
+        files.mkdirs(at)  # only what is there can be marked
+        files.deleteOnExit(at)
+        files.delete(at, True)
+    return path
 
 
 @contextlib.contextmanager
-def scratch_scope(spark: SparkSession, name: str):
-    """Scratch tables made inside go when the job ends, whether it succeeds or not.
+def scratch_scope(spark: SparkSession, name: str = "scope"):
+    """Scratch tables made inside go at its end, whether it succeeds or not.
 
-    For jobs that return nothing that still reads them.
+    ``with scratch_scope(spark): operator(df).write.parquet(path)`` leaves nothing behind. Scopes are held by the
+    running thread: jobs and streams of other threads neither write to them nor lose tables with them. Nothing that
+    is made inside may be read after the end, but for tables made with ``outer``.
     """
-    folder = scratch_path(spark, name)
-    _SCOPES.append(folder)
+    folder = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    token = _SCOPES.set((*_SCOPES.get(), folder))
     try:
         yield folder
     finally:
-        _SCOPES.remove(folder)
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _SCOPES.reset(token)
+        at, files = _file_system(spark, folder)
+        files.delete(at, True)
+
+
+def staged(operator):
+    """For operators on a DataFrame, their first argument: tables they make on the way go when they return.
+
+    What the result still reads they make with ``materialize(..., outer=True)``: it belongs to the caller's scope.
+    """
+
+    @functools.wraps(operator)
+    def wrapper(df, *args, **kwargs):
+        with scratch_scope(df.sparkSession, operator.__name__):
+            return operator(df, *args, **kwargs)
+
+    return wrapper
 
 
-def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
+def materialize(df: DataFrame, name: str = "stage", outer: bool = False) -> DataFrame:
     """Write ``df`` once as a table in the shared folder and read it back.
 
     Cuts the lineage, survives the loss of executors, and gives every later
-    branch the same rows without evaluating the input again.
+    branch the same rows without evaluating the input again. The table lives as long as the innermost
+    open scope, with ``outer`` as the one around it.
     """
-    path = scratch_path(df.sparkSession, name)
+    path = scratch_path(df.sparkSession, name, outer)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

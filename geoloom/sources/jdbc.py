@@ -9,7 +9,7 @@ from geoloom.functions.encodings import Encoding, encoding, encoding_for_url, si
 from geoloom.operators.validate import fill_srid
 from geoloom.operators.validity import check_validity
 from geoloom.schema import DEFAULT_SRID, error
-from geoloom.session import materialize
+from geoloom.session import materialize, staged
 from geoloom.sources.tables import decode_columns, encode_columns
 
 
@@ -90,6 +90,7 @@ def validate_for_write(df: DataFrame, geom_cols: list[str], default_srid: int =
     return df
 
 
+@staged
 def prepare_jdbc_write(
     df: DataFrame, geom_cols: list[str], how: Encoding, mode: str = "failfast", default_srid: int = DEFAULT_SRID
 ) -> tuple[DataFrame, DataFrame]:
@@ -97,7 +98,7 @@ def prepare_jdbc_write(
 
     Validation is staged as a table, so nothing is written before all is checked.
     """
-    checked = materialize(validate_for_write(df, geom_cols, default_srid), "to-write")
+    checked = materialize(validate_for_write(df, geom_cols, default_srid), "to-write", outer=True)
     bad = F.lit(False)
     for col in geom_cols:
         bad = bad | F.col(col + "_error").isNotNull()
