@@ -12,6 +12,7 @@ from geoloom.schema import DEFAULT_SRID, ERROR, GEOM, KINDS, declare_geometry, e
 from geoloom.session import materialize
 
 BROADCAST_KEYS = 100_000
+CHUNK_ROWS = 1 << 16  # rows of a key that one array holds before the arrays are joined
 
 
 def _names(value: str | list[str]) -> list[str]:
@@ -168,6 +169,27 @@ def _in_order(order: list[str], value: Column) -> Column:
     return F.transform(F.array_sort(F.collect_list(item)), lambda s: s["v"])
 
 
+def _gathered(df: DataFrame, keys: list[str], order: list[str], value: Column, lows: dict[str, Column] = {}, highs: dict[str, Column] = {}, chunk_rows: int = CHUNK_ROWS) -> DataFrame:
+    """One row per key: ``v``, its values in order, and least and greatest values of further expressions.
+
+    Two steps, so that no task sorts a key: a range partitioning by key and order spreads the rows of a
+    long key over many tasks as sorted runs; runs are cut into arrays of ``chunk_rows`` rows at most, and the last
+    grouping puts the arrays of a key, few and small in number, one after another. Nothing is staged: order
+    columns are a total order within a key, so a task that runs again gives the same runs.
+    """
+    folds = lambda of: [F.min(of(n, c)).alias(n) for n, c in lows.items()] + [F.max(of(n, c)).alias(n) for n, c in highs.items()]
+    rows = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
+    rows = rows.select(*keys, value.alias("__value"), *[c.alias(n) for n, c in {**lows, **highs}.items()], F.monotonically_increasing_id().alias("__at"))
+    rows = rows.withColumn("__run", F.expr(f"__at div {chunk_rows}"))
+    item = F.struct(F.col("__at").alias("at"), F.col("__value").alias("v"))
+    # Rows reach an array in order already; sorting it costs one look and guards against a spilled aggregation.
+    chunk = F.transform(F.array_sort(F.collect_list(item)), lambda s: s["v"])
+    stored = lambda n, c: F.col(n)
+    chunks = rows.groupBy(*keys, "__run").agg(chunk.alias("__chunk"), *folds(stored))
+    ordered = F.array_sort(F.collect_list(F.struct(F.col("__run").alias("run"), F.col("__chunk").alias("v"))))
+    return chunks.groupBy(*keys).agg(F.flatten(F.transform(ordered, lambda s: s["v"])).alias("v"), *folds(stored))
+
+
 def make_lines(
     df: DataFrame,
     key: str | list[str],
@@ -177,23 +199,23 @@ def make_lines(
     srid: int = DEFAULT_SRID,
     out: str = "geom",
     max_vertices: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Ordered vertex rows -> one line per key; fewer than two vertices is an error.
 
-    ``order_by`` must be a total order within the key. Rows are gathered in the map tasks
-    first and meet once; a line that no row can hold fails the job. With ``max_vertices`` a key of
-    more rows yields several lines in order, numbered by ``piece``, that share their end
-    vertices, and its rows are never brought together in one task.
+    ``order_by`` must be a total order within the key. The rows of a long key are put in order by many
+    tasks and meet as arrays of ``chunk_rows`` vertices, which are only joined; a line that no row can hold
+    fails the job. With ``max_vertices`` a key of more rows yields several lines in order, numbered by ``piece``,
+    that share their end vertices, and its rows are never brought together in one task.
     """
     keys, order = _names(key), _names(order_by)
     rows = df.select(*keys, *[c for c in order if c not in keys], F.col(lon).cast("double").alias("__x"), F.col(lat).cast("double").alias("__y"))
-    groups = list(keys)
-    if max_vertices is not None:
+    vertex = F.struct(F.col("__x").alias("x"), F.col("__y").alias("y"))
+    if max_vertices is None:
+        lines = _gathered(rows, keys, order, vertex, chunk_rows=chunk_rows).withColumnRenamed("v", "__v")
+    else:
         rows, _ = _in_pieces(rows, keys, order, max_vertices, overlap=True)
-        groups.append("piece")
-    lines = rows.groupBy(*groups).agg(
-        _in_order(order, F.struct(F.col("__x").alias("x"), F.col("__y").alias("y"))).alias("__v")
-    )
+        lines = rows.groupBy(*keys, "piece").agg(_in_order(order, vertex).alias("__v"))
     n = F.size("__v")
     if max_vertices is not None:
         # A last piece of one vertex only repeats the end of the piece before it.
@@ -214,21 +236,21 @@ def make_polygons(
     srid: int = DEFAULT_SRID,
     out: str = "geom",
     check_valid: bool = True,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Vertex rows -> rings -> one polygon per key; the lowest ring number is the shell.
 
-    Rings are checked, oriented and tested for validity. Rings are put in order one by one and
-    then gathered; a polygon that no row can hold fails the job.
+    Rings are checked, oriented and tested for validity. Vertices are put in order by many tasks and joined to
+    rings, and rings to polygons, as arrays of ``chunk_rows`` members; a polygon that no row can hold fails the job.
     """
     keys, order = _names(key), _names(order_by)
     rows = df.select(
         *keys, ring_col, *[c for c in order if c not in (*keys, ring_col)],
         F.col(lon).cast("double").alias("__x"), F.col(lat).cast("double").alias("__y"),
     )
-    rings = rows.groupBy(*keys, ring_col).agg(
-        _in_order(order, F.struct(F.col("__x").alias("x"), F.col("__y").alias("y"))).alias("__ring")
-    )
-    areas = rings.groupBy(*keys).agg(_in_order([ring_col], F.col("__ring")).alias("__rings"))
+    vertex = F.struct(F.col("__x").alias("x"), F.col("__y").alias("y"))
+    rings = _gathered(rows, [*keys, ring_col], order, vertex, chunk_rows=chunk_rows).withColumnRenamed("v", "__ring")
+    areas = _gathered(rings, keys, [ring_col], F.col("__ring"), chunk_rows=chunk_rows).withColumnRenamed("v", "__rings")
     areas = areas.select(*keys, _single(KINDS["Polygon"], srid, F.array("__rings")).alias(out))
     areas = orient_rings(check_structure(areas, out), out)
     if check_valid:
@@ -243,40 +265,46 @@ def make_polygons(
 
 
 def collect_multi(
-    df: DataFrame, key: str | list[str], order_by: str | list[str], col: str, out: str = "geom", max_vertices: int | None = None
+    df: DataFrame,
+    key: str | list[str],
+    order_by: str | list[str],
+    col: str,
+    out: str = "geom",
+    max_vertices: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Geometries per key -> MultiPoint, MultiLineString or MultiPolygon when all are
     points, lines or polygons, else GeometryCollection.
 
-    NULL geometries are passed over. One value per key; one that no row can hold fails the job.
-    With ``max_vertices`` keys with more vertices in all yield several values in order,
-    numbered by ``piece``.
+    NULL geometries are passed over. One value per key, joined from arrays of ``chunk_rows`` geometries that many
+    tasks put in order; one that no row can hold fails the job. With ``max_vertices`` keys with more
+    vertices in all yield several values in order, numbered by ``piece``.
     """
     keys, order = _names(key), _names(order_by)
     rows = df.filter(F.col(col).isNotNull()).select(
         *keys, *[c for c in order if c not in (*keys, col)], F.col(col).alias("__g")
     )
-    groups_by, long_keys, pieced = list(keys), None, rows
-    if max_vertices is not None:
-        pieced, long_keys = _in_pieces(
-            rows, keys, order, max_vertices, overlap=False, weight=F.greatest(vertex_count(F.col("__g")), F.lit(1))
-        )
-        groups_by.append("piece")
-    groups = pieced.groupBy(*groups_by).agg(
-        _in_order(order, F.col("__g")["members"]).alias("__members"),
-        F.min("__g.kind").alias("__lo"),
-        F.max("__g.kind").alias("__hi"),
-        F.min("__g.srid").alias("__srid"),
-    )
-    if long_keys is not None:
-        # All pieces of a key are of one kind, so the bounds come from the whole key.
-        bounds = rows.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
-            F.min("__g.kind").alias("__lo"), F.max("__g.kind").alias("__hi")
+    members, kind, srid = F.col("__g")["members"], F.col("__g")["kind"], F.col("__g")["srid"]
+    if max_vertices is None:
+        groups_by = list(keys)
+        groups = _gathered(rows, keys, order, members, {"__lo": kind, "__srid": srid}, {"__hi": kind}, chunk_rows)
+        groups = groups.withColumnRenamed("v", "__members")
+    else:
+        weight = F.greatest(vertex_count(F.col("__g")), F.lit(1))
+        pieced, long_keys = _in_pieces(rows, keys, order, max_vertices, overlap=False, weight=weight)
+        groups_by = [*keys, "piece"]
+        groups = pieced.groupBy(*groups_by).agg(
+            _in_order(order, members).alias("__members"), F.min(kind).alias("__lo"), F.max(kind).alias("__hi"), F.min(srid).alias("__srid")
         )
-        same = F.lit(True)
-        for i, k in enumerate(keys):
-            same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
-        groups = groups.drop("__lo", "__hi").join(bounds, same)
+        if long_keys is not None:
+            # All pieces of a key are of one kind, so the bounds come from the whole key.
+            bounds = rows.groupBy(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)]).agg(
+                F.min(kind).alias("__lo"), F.max(kind).alias("__hi")
+            )
+            same = F.lit(True)
+            for i, k in enumerate(keys):
+                same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+            groups = groups.drop("__lo", "__hi").join(bounds, same)
     lo, hi = F.col("__lo"), F.col("__hi")
     members = F.flatten("__members")
     alike = (lo == hi) & (hi <= 3)

@@ -486,13 +486,15 @@ def make_lines_long_keys(spark, sf_dir):
 @_query(_with(
     v=fx.GEO_TRACK_POINTS,
     r="SELECT *, row_number() OVER (PARTITION BY seq ORDER BY track_id, tie1, tie2) - 1 AS rn FROM v",
-) + "SELECT seq, count(*) AS n_vertices, arg_min(lon, rn) AS first_x, arg_max(lat, rn) AS last_y FROM r GROUP BY seq HAVING count(*) > 1")
+) + """SELECT seq, count(*) AS n_vertices, CASE WHEN count(*) > 1 THEN arg_min(lon, rn) END AS first_x, CASE WHEN count(*) > 1 THEN arg_max(lat, rn) END AS last_y,
+    CASE WHEN count(*) < 2 THEN 'TOO_FEW_POINTS' END AS code FROM r GROUP BY seq""")
 def make_lines_hot_keys(spark, sf_dir):
     """The same few keys, and one line for each."""
     lines = shape.make_lines(fx.fixture(spark, sf_dir, "geo_track_points"), "seq", ["track_id", "tie1", "tie2"], "lon", "lat")
     ring = F.col("geom")["members"][0]["parts"][0][0]
-    return lines.filter("geom IS NOT NULL").select(
-        "seq", F.col("n_vertices").cast("bigint").alias("n_vertices"), ring[0]["x"].alias("first_x"), F.element_at(ring, -1)["y"].alias("last_y")
+    return lines.select(
+        "seq", F.col("n_vertices").cast("bigint").alias("n_vertices"), ring[0]["x"].alias("first_x"),
+        F.try_element_at(ring, F.lit(-1))["y"].alias("last_y"), _error()[0],
     )
 
 
