@@ -24,6 +24,7 @@ TOP = 2000  # phrases reported for a language
 SCALE = 1_000_000
 SLICE = 2_000_000  # bytes of text that are looked at together, or one longer text
 HELD = 1_000_000  # counts a task folds before it sends them on
+SHARES = 64  # of a language's phrases that are ranked apart first
 MOST_BITS = 1 << 27  # of the filter of frequent fingerprints: 16 MB
 
 # What parts words, and what ends a piece of text.
@@ -291,8 +292,12 @@ def mine_phrases(
         at = at.select("lang", "a", "words", "m", F.explode(F.sequence(F.lit(1), F.size("words") - F.col("m") + 1)).alias("i"))
         held = at.groupBy("lang", F.array_join(F.slice("words", F.col("i"), F.col("m")), " ").alias("phrase")).agg(F.max("a").alias("held"))
         scored = scored.join(held, ["lang", "phrase"], "left").filter(F.col("held").isNull() | (F.col("held") * 100 < F.col("a") * share)).drop("held")
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
-    ranked = scored.withColumn("rank", F.row_number().over(best).cast("long"))
+    order = F.desc("score"), F.desc("a"), F.asc("phrase")
+    if top is not None:
+        # The first of each share of a language, so that a large one is not ranked by one task.
+        some = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(SHARES))).orderBy(*order)
+        scored = scored.withColumn("rank", F.row_number().over(some)).filter(F.col("rank") <= top).drop("rank")
+    ranked = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
     if top is not None:
         ranked = ranked.filter(F.col("rank") <= top)
     return ranked.join(total, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
