@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
@@ -159,3 +161,33 @@ def test_polygons_under_a_null_key_are_judged_too(spark):
         (None, "INVALID_POLYGON", "SELF_INTERSECTION"), (2, "INVALID_POLYGON", "SELF_INTERSECTION"),
         (3, "INVALID_POLYGON", "HOLE_OUTSIDE_SHELL"),
     }
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 3, 7, 1 << 16])
+def test_assembly_is_the_same_for_any_chunk(spark, chunk_rows):
+    rng = random.Random(7)
+    rows = [(k, i, float(rng.randrange(9)), float(i)) for k in ("a", None, "b") for i in range(41)] + [("one", 0, 1.0, 2.0)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k string, i int, x double, y double").repartition(5)
+    want = {k: [(x, y) for kk, i, x, y in sorted(rows, key=lambda r: r[1]) if kk == k] for k, *_ in rows}
+    vertices = lambda g: [(v.x, v.y) for v in g.members[0].parts[0][0]]
+    lines = {r.k: r for r in shape.make_lines(df, "k", "i", "x", "y", chunk_rows=chunk_rows).collect()}
+    assert {k: vertices(r.geom) for k, r in lines.items() if k != "one"} == {k: v for k, v in want.items() if k != "one"}
+    assert lines["one"].geom is None and lines["one"].geom_error.code == "TOO_FEW_POINTS"
+    points = shape.make_points(df, "x", "y")
+    multi = {r.k: r for r in shape.collect_multi(points, "k", "i", "geom", out="multi", chunk_rows=chunk_rows).collect()}
+    assert {k: [(p[0][0].x, p[0][0].y) for p in r.multi.members[0].parts] for k, r in multi.items()} == want
+    assert {r.multi.kind for r in multi.values()} == {4}
+
+
+def test_no_task_sorts_a_long_key(spark):
+    """A key of most rows: the plan sorts arrays of a chunk and lists of chunks, and the runs come from many tasks."""
+    n = 300_000
+    df = spark.range(n).selectExpr("IF(id % 1000 = 0, id, -1) AS k", "(id * 7919) % 300000 AS i", "CAST(id AS DOUBLE) AS x", "1D AS y")
+    lines = shape.make_lines(df.repartition(4), "k", "i", "x", "y", chunk_rows=10_000)
+    ring = F.col("geom")["members"][0]["parts"][0][0]
+    found = lines.filter("k = -1").select("n_vertices", F.transform(ring, lambda v: (v["x"] * 7919 % n).cast("long")).alias("order")).first()
+    assert found.n_vertices == n - n // 1000
+    assert found.order == sorted(found.order)
+    plan = lines._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning(k" in plan
