@@ -10,14 +10,19 @@ from __future__ import annotations
 
 import sys
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from geoloom.functions.exact import turns
+from geoloom.functions.sweep import HOLE_IN_HOLE, HOLE_OUTSIDE, SHELL_IN_POLYGON, nesting_fault
 from geoloom.functions.turn import ORIENT_BOUND, let, orientation, without_repeats
+from geoloom.operators.graph import components
 from geoloom.schema import KINDS, bind, error
 from geoloom.session import built_once, materialize, staged
 
@@ -29,7 +34,7 @@ CELL_EDGES = 64  # cells fuller than this are split further
 STAR = 32  # a vertex that more rings than this pass is a star
 CLEAR_ANGLE = 1e-13  # radians; far above what rounding does to an angle
 MAX_SPLITS = 12
-DEEPEST = 20  # levels of grids for rings of different size
+PEELS = 2  # rounds in which rings that cannot lie on a cycle are peeled off
 BROADCAST_ROWS = 200_000
 
 
@@ -380,74 +385,65 @@ def _bucketed(edges: DataFrame, may_crowd: bool) -> DataFrame:
     return calm.unionByName(busy.drop("n_cell", "n_rows"))
 
 
-def _exact_turn(a, b, c):
-    """Exact sign of a turn; rational arithmetic, for the few pairs that need it."""
-    from fractions import Fraction as R
+_CORNERS = ("before_e", "a_e", "b_e", "before_f", "a_f", "b_f")
+_JUDGED = T.StructType(
+    [
+        T.StructField("verdict", T.IntegerType()),
+        T.StructField("tx", T.DoubleType()),
+        T.StructField("ty", T.DoubleType()),
+    ]
+)
+
+
+def _same(p, q):
+    return (p[0] == q[0]) & (p[1] == q[1])
+
+
+def _choose(test, p, q):
+    return np.where(test, p[0], q[0]), np.where(test, p[1], q[1])
 
-    ax, ay, bx, by, cx, cy = (R(v) for v in (*a, *b, *c))
-    det = (ax - cx) * (by - cy) - (ay - cy) * (bx - cx)
-    return (det > 0) - (det < 0)
 
+def _between(p, a, b):
+    inside = lambda o: (np.minimum(a[o], b[o]) <= p[o]) & (p[o] <= np.maximum(a[o], b[o]))
+    return inside(0) & inside(1)
 
-def _judge_pair(e0, e1, e2, f0, f1, f2, same_ring, neighbours):
-    """0 clear, 1 clash, 2 plain touch at a point of edges e1-e2 and f1-f2.
+
+def judge_pairs(e0, e1, e2, f0, f1, f2, same_ring, neighbours):
+    """For pairs of edges e1-e2 and f1-f2, all points as pairs of arrays: 0 clear, 1 clash, 2 plain touch, and the place.
 
     e0 and f0 are the vertices before. Touches are judged at the edge that
     starts there, so each is seen once.
     """
-    turn = _exact_turn
-    s1, s2, s3, s4 = turn(e1, e2, f1), turn(e1, e2, f2), turn(f1, f2, e1), turn(f1, f2, e2)
-    if s1 * s2 > 0 or s3 * s4 > 0:
-        return 0, None
-    if s1 and s2 and s3 and s4:
-        return 1, None
-    if s1 == s2 == s3 == s4 == 0:
-        axis = 0 if e1[0] != e2[0] else 1
-        lo = max(min(e1[axis], e2[axis]), min(f1[axis], f2[axis]))
-        hi = min(max(e1[axis], e2[axis]), max(f1[axis], f2[axis]))
-        if lo > hi:
-            return 0, None
-        if lo < hi:
-            return 1, None
-    on = lambda p, a, b: min(a[0], b[0]) <= p[0] <= max(a[0], b[0]) and min(a[1], b[1]) <= p[1] <= max(a[1], b[1])
-    touch = next(
-        (
-            p
-            for p, s, a, b in ((f1, s1, e1, e2), (f2, s2, e1, e2), (e1, s3, f1, f2), (e2, s4, f1, f2))
-            if s == 0 and on(p, a, b)
-        ),
-        None,
-    )
-    if touch is None or neighbours:
-        return 0, None
-    if same_ring:
-        return 1, None
-    if touch == e2 or touch == f2:
-        return 0, None
-    a0, a1 = (e0 if touch == e1 else e1), e2
-    b0, b1 = (f0 if touch == f1 else f1), f2
+    s1, s2, s3, s4 = turns(e1, e2, f1), turns(e1, e2, f2), turns(f1, f2, e1), turns(f1, f2, e2)
+    clear = (s1 * s2 > 0) | (s3 * s4 > 0)
+    clash = ~clear & (s1 != 0) & (s2 != 0) & (s3 != 0) & (s4 != 0)
+    # On one line: in order along the ordinate in which the first edge has an extent.
+    flat = ~clear & (s1 == 0) & (s2 == 0) & (s3 == 0) & (s4 == 0)
+    along = lambda p: np.where(e1[0] != e2[0], p[0], p[1])
+    low = np.maximum(np.minimum(along(e1), along(e2)), np.minimum(along(f1), along(f2)))
+    high = np.minimum(np.maximum(along(e1), along(e2)), np.maximum(along(f1), along(f2)))
+    clear |= flat & (low > high)
+    clash |= flat & (low < high)
+    touch, met = (np.full(len(s1), np.nan), np.full(len(s1), np.nan)), np.zeros(len(s1), dtype=bool)
+    for p, s, a, b in ((f1, s1, e1, e2), (f2, s2, e1, e2), (e1, s3, f1, f2), (e2, s4, f1, f2)):
+        here = ~met & (s == 0) & _between(p, a, b)
+        touch, met = _choose(here, p, touch), met | here
+    rest = ~clear & ~clash & met & ~neighbours
+    clash |= rest & same_ring
+    plain = np.flatnonzero(rest & ~same_ring & ~_same(touch, e2) & ~_same(touch, f2))
+    at, e0, e1, e2, f0, f1, f2 = ((p[0][plain], p[1][plain]) for p in (touch, e0, e1, e2, f0, f1, f2))
+    a0, b0 = _choose(_same(at, e1), e0, e1), _choose(_same(at, f1), f0, f1)
+    wedge = turns(at, a0, e2)
 
     def within(q):
-        """Is the direction to q strictly inside the wedge turning left from a0 to a1?"""
-        wedge = turn(touch, a0, a1)
-        left_of_a0, right_of_a1 = turn(touch, a0, q) > 0, turn(touch, q, a1) > 0
-        if wedge > 0:
-            return left_of_a0 and right_of_a1
-        if wedge < 0:
-            return left_of_a0 or right_of_a1
-        return left_of_a0
+        """Is the direction to q strictly inside the wedge turning left from a0 to e2?"""
+        left_of_first, right_of_second = turns(at, a0, q) > 0, turns(at, q, e2) > 0
+        narrow, wide = left_of_first & right_of_second, left_of_first | right_of_second
+        return np.where(wedge > 0, narrow, np.where(wedge < 0, wide, left_of_first))
 
-    return (1 if within(b0) != within(b1) else 2), touch
-
-
-_CORNERS = ("before_e", "a_e", "b_e", "before_f", "a_f", "b_f")
-_JUDGED = T.StructType(
-    [
-        T.StructField("verdict", T.IntegerType()),
-        T.StructField("tx", T.DoubleType()),
-        T.StructField("ty", T.DoubleType()),
-    ]
-)
+    verdict = clash.astype(np.int32)
+    verdict[plain] = np.where(within(b0) != within(f2), 1, 2)
+    return verdict, touch
 
 
 @F.arrow_udf(_JUDGED)
@@ -456,13 +452,16 @@ def _judge(
     f0x: pa.Array, f0y: pa.Array, f1x: pa.Array, f1y: pa.Array, f2x: pa.Array, f2y: pa.Array,
     same_ring: pa.Array, neighbours: pa.Array, crosses: pa.Array,
 ) -> pa.Array:
-    ordinates = [c.to_pylist() for c in (e0x, e0y, e1x, e1y, e2x, e2y, f0x, f0y, f1x, f1y, f2x, f2y)]
-    corners = [list(zip(ordinates[i], ordinates[i + 1])) for i in range(0, 12, 2)]
-    rows = zip(crosses.to_pylist(), *corners, same_ring.to_pylist(), neighbours.to_pylist())
-    judged = [(1, None) if certain else _judge_pair(*pair) for certain, *pair in rows]
-    place = lambda at: pa.array([p[at] if v == 2 else None for v, p in judged], pa.float64())
+    plain = lambda c: c.to_numpy(zero_copy_only=False)
+    open_ = ~plain(crosses)
+    ordinates = [plain(c)[open_] for c in (e0x, e0y, e1x, e1y, e2x, e2y, f0x, f0y, f1x, f1y, f2x, f2y)]
+    verdict, place = np.ones(len(open_), dtype=np.int32), [np.full(len(open_), np.nan) for _ in "xy"]
+    verdict[open_], touch = judge_pairs(*zip(ordinates[::2], ordinates[1::2]), plain(same_ring)[open_], plain(neighbours)[open_])
+    for out, found in zip(place, touch):
+        out[open_] = found
+    no_place = pa.array(verdict != 2)
     return pa.StructArray.from_arrays(
-        [pa.array([v for v, _ in judged], pa.int32()), place(0), place(1)], names=["verdict", "tx", "ty"]
+        [pa.array(verdict), *(pc.if_else(no_place, pa.scalar(None, pa.float64()), pa.array(o)) for o in place)], names=["verdict", "tx", "ty"]
     )
 
 
@@ -527,119 +526,61 @@ def _pair_findings(bucketed: DataFrame, starry: bool) -> DataFrame:
     return judged.selectExpr("key", "member", "j.verdict", *only_touch, "j.tx", "j.ty").distinct()
 
 
-@F.arrow_udf(T.BooleanType())
-def _has_cycle(touches: pa.Array) -> pa.Array:
-    """Do rings and the points where they touch form a cycle?"""
-    return pa.array([_closes(t) for t in touches.to_pylist()], pa.bool_())
-
-
-def _closes(touches):
-    parent: dict = {}
-
-    def root(node):
-        parent.setdefault(node, node)
-        while parent[node] != node:
-            parent[node] = parent[parent[node]]
-            node = parent[node]
-        return node
-
-    for t in touches:
-        a, b = root(t["ring"]), root((t["tx"], t["ty"]))
-        if a == b:
-            return True
-        parent[a] = b
-    return False
-
-
 def _split_interiors(touches: DataFrame) -> DataFrame:
     """Areas whose interior falls apart because rings of one polygon touch in a cycle.
 
-    A group is the touches of one polygon, never more than that one row holds.
+    Rings and the points where they touch are the nodes of a graph, and it holds a cycle where a polygon has more
+    edges than nodes less components. Rings that touch at one point only, and what is left alone by them, close none
+    and are peeled off first; what remains is counted in Spark, so a polygon's touches never meet in one row.
     """
-    ends = touches.filter("part_e = part_f").select(
-        "key", "member", F.col("part_e").alias("part"), "tx", "ty", F.explode(F.array("ring_e", "ring_f")).alias("ring")
-    )
-    groups = ends.groupBy("key", "member", "part").agg(F.collect_set(F.struct("ring", "tx", "ty")).alias("touches"))
-    return groups.filter(_has_cycle("touches")).select("key", "member")
-
-
-def _nesting(rings: DataFrame) -> DataFrame:
-    """Areas with a hole outside its shell, a hole in a hole, or a shell in a polygon.
-
-    Where rings do not cross, a point of one that is off the other's boundary
-    tells whether it lies within. Rings that can hold another are found by their
-    envelopes on grids matched to their size, so few pairs come up; a ring's few
-    witness points then meet only the edges at their height in the other ring.
-    """
-    area = ["key", "member"]
-    extent = ("rx0", "ry0", "rx1", "ry1")
-    rings = rings.filter("several").selectExpr(
-        *area, "part", "ring", "v", "size(v) - 1 AS n_ring", "x0", "y0", "greatest(x1 - x0, y1 - y0) AS reach",
-        *_extent_sql("v", extent),
-    )
-    # Each ring lies on the grid whose cells are no smaller than it, so on four cells at most.
-    size = "greatest(rx1 - rx0, ry1 - ry0)"
-    cell = "(reach / pow(2D, level))"
-    at = lambda o, value: f"floor(({value} - {o}0) / {cell})"
-    holders = rings.selectExpr(*area, "part", "ring", "n_ring", *extent, "x0", "y0", "reach", f"CAST(least(greatest(floor(log2(reach / {size})), 0), {DEEPEST}) AS INT) AS level")
-    holders = holders.selectExpr("*", f"explode(sequence({at('x', 'rx0')}, {at('x', 'rx1')})) AS cx")
-    holders = holders.selectExpr(*area, "part", "ring", "n_ring", *extent, "level", "cx", f"explode(sequence({at('y', 'ry0')}, {at('y', 'ry1')})) AS cy")
-    held = rings.selectExpr(
-        *area, "part AS part_w", "ring AS ring_w", "x0", "y0", "reach", *[f"{c} AS {c}_w" for c in extent],
-        "v[0] AS p0", "v[1] AS p1", f"explode(sequence(0, {DEEPEST})) AS level",
-    ).selectExpr("*", f"{at('x', '(rx0_w / 2 + rx1_w / 2)')} AS cx", f"{at('y', '(ry0_w / 2 + ry1_w / 2)')} AS cy")
-    # Holes are held by rings of their own polygon, shells by those of others.
-    pairs = held.drop("x0", "y0", "reach").hint("merge").join(holders, [*area, "level", "cx", "cy"]).filter(
-        """CASE WHEN ring_w > 0 THEN part_w = part AND ring_w <> ring ELSE part_w <> part END
-        AND rx0 <= rx0_w AND ry0 <= ry0_w AND rx1 >= rx1_w AND ry1 >= ry1_w"""
-    )
-    strip = lambda y: f"floor(({y} - ry0) / h)"
-    height = "coalesce(nullif((ry1 - ry0) / greatest(n_ring / 8, 1), 0D), 1D) AS h"
-    fences = _ring_edges(rings.select(*area, "part", "ring", "v", "n_ring", "ry0", "ry1")).selectExpr("*", height)
-    fences = fences.selectExpr(
-        *area, "part", "ring", "a", "b", f"explode(sequence({strip('least(a.y, b.y)')}, {strip('greatest(a.y, b.y)')})) AS strip"
-    )
-    middle = "struct((p0.x + p1.x) / 2 AS x, (p0.y + p1.y) / 2 AS y)"
-    witness = pairs.selectExpr(
-        *area, "part_w", "ring_w", "part", "ring", "ry0", height, f"posexplode(array(p0, p1, {middle})) AS (no, p)"
-    ).selectExpr(*area, "part_w", "ring_w", "part", "ring", "no", "p", f"{strip('p.y')} AS strip")
-    pair = [*area, "part_w", "ring_w", "part", "ring"]
-    met = witness.hint("merge").join(fences, [*area, "part", "ring", "strip"], "left")
-    side = f"coalesce({_turn_sql('a', 'b', 'p')}, 0D)"
-    met = met.selectExpr(
-        *pair, "no",
-        f"(a.y > p.y) <> (b.y > p.y) AND CASE WHEN b.y > a.y THEN {side} > 0 ELSE {side} < 0 END AS right_of",
-        f"""{side} = 0 AND p.x BETWEEN least(a.x, b.x) AND greatest(a.x, b.x)
-            AND p.y BETWEEN least(a.y, b.y) AND greatest(a.y, b.y) AS on_edge""",
-    )
-    # All witnesses of a pair in one aggregation: odd crossings, unless on the edge itself.
-    told = [
-        f"struct(count_if(right_of AND no = {i}) % 2 = 1 AS inside, coalesce(bool_or(on_edge) FILTER (WHERE no = {i}), false) AS skip)"
-        for i in range(3)
-    ]
-    placed = met.groupBy(*pair).agg(F.expr(f"filter(array({', '.join(told)}), w -> NOT w.skip)").alias("told"))
-    placed = placed.selectExpr(*pair, "size(told) = 0 AS on_edge", "coalesce(get(told, 0).inside, false) AS inside")
-    holes = placed.filter("part_w = part").groupBy(*area, "part_w", "ring_w").agg(
-        F.expr("bool_or(ring = 0 AND (inside OR on_edge))").alias("in_shell"),
-        F.expr("bool_or(ring > 0 AND inside)").alias("in_hole"),
-    )
-    # A hole whose envelope its shell's does not cover made no pair at all.
-    all_holes = rings.filter("ring > 0").selectExpr(*area, "part AS part_w", "ring AS ring_w")
-    holes = all_holes.hint("merge").join(holes, [*area, "part_w", "ring_w"], "left")
-    stray = holes.filter("NOT coalesce(in_shell, false)")
-    nested_hole = holes.filter("in_hole")
-    # A shell inside another polygon's shell is fine only within one of its holes.
-    shells = (
-        placed.filter("part_w <> part AND inside")
-        .groupBy(*area, "part_w", "part")
-        .agg(F.expr("bool_or(ring = 0)").alias("in_shell"), F.expr("bool_or(ring > 0)").alias("in_hole"))
-        .filter("in_shell AND NOT in_hole")
-    )
-    return (
-        _tag(stray, 3, "HOLE_OUTSIDE_SHELL")
-        .unionByName(_tag(nested_hole, 4, "NESTED_HOLES"))
-        .unionByName(_tag(shells, 5, "NESTED_SHELLS"))
-    )
+    polygon = ["key", "member", "part"]
+    ring, point = "concat('r', ring)", "concat('p', tx + 0D, ',', ty + 0D)"  # minus zero is zero
+    edges = touches.filter("part_e = part_f").selectExpr("key", "member", "part_e AS part", "tx", "ty", "explode(array(ring_e, ring_f)) AS ring")
+    edges = materialize(edges.selectExpr(*polygon, f"{ring} AS ring", f"{point} AS point").distinct(), "touches")
+    for _ in range(PEELS):
+        if edges.isEmpty():
+            break
+        for end in ("ring", "point"):
+            several = edges.groupBy(*polygon, end).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+            edges = edges.join(several.hint("merge"), [*polygon, end], "left_semi")
+        edges = materialize(edges, "touches")
+    if edges.isEmpty():
+        return edges.select("key", "member")
+    nodes = edges.select(*polygon, F.explode(F.array("ring", "point")).alias("node")).distinct()
+    nodes = materialize(nodes.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    for end, name in (("ring", "a"), ("point", "b")):
+        edges = edges.join(nodes.withColumnsRenamed({"node": end, "id": name}).hint("merge"), [*polygon, end])
+    roots = components(edges.select("a", "b"), "touching")
+    free = nodes.join(roots.hint("merge"), nodes["id"] == roots["node"]).groupBy(*polygon).agg(F.count_if(F.col("id") != F.col("root")).alias("n_tree"))
+    count = edges.groupBy(*polygon).agg(F.count(F.lit(1)).alias("n_edges"))
+    return count.join(free.hint("merge"), polygon).filter("n_edges > n_tree").select("key", "member")
+
+
+def _nesting(areas: DataFrame) -> DataFrame:
+    """Areas with a hole outside its shell, a hole in a hole, or a shell in a polygon: each in its own row, by one
+    sweep over its edges (:mod:`geoloom.functions.sweep`), so rings round one vertex and stacks of envelopes
+    cost no more than others. Areas whose rings cross are reported for that before."""
+    schema = areas.select("key", "member").schema.add("rank", T.IntegerType())
+
+    def find(batches):
+        for batch in batches:
+            parts = batch.column(2)
+            rings = parts.flatten()
+            vertices = rings.flatten().flatten()
+            x, y = (vertices.field(i).to_numpy(zero_copy_only=False) for i in (0, 1))
+            counts = lambda lists: [0, *np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)).tolist()]
+            part_at, ring_at, vertex_at = counts(parts), counts(rings), counts(rings.flatten())
+            ranks = []
+            for a, b in zip(part_at, part_at[1:]):
+                of = [[(x[i:j].tolist(), y[i:j].tolist()) for i, j in zip(vertex_at[c:d], vertex_at[c + 1 : d + 1])] for c, d in zip(ring_at[a:b], ring_at[a + 1 : b + 1])]
+                ranks.append(nesting_fault(of))
+            found = pa.array(ranks, pa.int32())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], found], names=["key", "member", "rank"]).filter(pc.is_valid(found))
+
+    found = areas.filter("several").select("key", "member", "parts").mapInArrow(find, schema)
+    codes = {HOLE_OUTSIDE: "HOLE_OUTSIDE_SHELL", HOLE_IN_HOLE: "NESTED_HOLES", SHELL_IN_POLYGON: "NESTED_SHELLS"}
+    code = F.element_at(F.create_map(*[F.lit(v) for pair in codes.items() for v in pair]), F.col("rank"))
+    return found.select("key", "member", "rank", code.alias("code"))
 
 
 def _tag(df: DataFrame, rank: int, code: str) -> DataFrame:
@@ -665,7 +606,7 @@ def area_findings(areas: DataFrame, largest: int, any_several: bool) -> DataFram
     bad = _tag(findings.filter("verdict = 1"), 1, "SELF_INTERSECTION")
     if any_several:
         touches = findings.filter("verdict = 2")
-        bad = bad.unionByName(_tag(_split_interiors(touches), 2, "DISCONNECTED_INTERIOR")).unionByName(_nesting(rings))
+        bad = bad.unionByName(_tag(_split_interiors(touches), 2, "DISCONNECTED_INTERIOR")).unionByName(_nesting(areas))
     return bad.groupBy("key").agg(F.min(F.struct("member", "rank", "code"))["code"].alias("code"))
 
 
