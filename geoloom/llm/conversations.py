@@ -245,13 +245,26 @@ def _ddl(fields: list[tuple[str, str]]) -> str:
     return ", ".join(f"{name} {kind}" for name, kind in fields)
 
 
+def _in_batches(rows: Iterator[dict], fields: list[tuple[str, str]], most: int = 2_000_000) -> Iterator[pa.RecordBatch]:
+    """Rows in batches of some million characters, or one longer row."""
+    held, size = [], 0
+    for row in rows:
+        held.append(row)
+        size += 500 + sum(len(w["output"]) for w in row.get("ways") or ()) + len(row.get("output") or "")
+        if size > most:
+            yield _arrow(held, fields)
+            held, size = [], 0
+    if held:
+        yield _arrow(held, fields)
+
+
 def _arrow(rows: list[dict], fields: list[tuple[str, str]]) -> pa.RecordBatch:
     way = pa.struct([("entry", pa.int32()), ("exit", pa.int32()), ("cost", pa.int64()), ("output", pa.string())])
     kinds = {"string": pa.string(), "long": pa.int64()}
     return pa.RecordBatch.from_pylist(rows, schema=pa.schema([(name, kinds.get(kind, pa.list_(way))) for name, kind in fields]))
 
 
-def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Rows of one conversation in one part of the order -> its faults, and the cheapest edits from each top that the
     parse may have there to each it may leave: from the first alone, if the conversation starts within the part."""
     parse = repair()
@@ -267,10 +280,10 @@ def _summaries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = {"cid": cid, "chunk": chunk, "first_at": at[0], "ways": ways} | {f: fault.count(f) for f in FAULTS}
         row |= {"first_initial": initial[0], "last_initial": initial[-1], "illegal": sum(a + b not in LEGAL_PAIRS for a, b in zip(initial, initial[1:]))}
         row |= {"turns": len(set(turns)), "first_turn": turns[0] if turns else None, "last_turn": turns[-1] if turns else None}
-        yield _arrow([row], _SUMMARY)
+        yield row
 
 
-def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
     """Summaries of a conversation, in order -> the outputs of its rows, part by part; the report stands at the last."""
     parse, names = repair(), [name for name, _ in _SUMMARY]
     for columns in _grouped(batches, 1):
@@ -305,7 +318,7 @@ def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out[-1]["illegal"] += sum(a["last_initial"] + b["first_initial"] not in LEGAL_PAIRS for a, b in zip(parts, parts[1:]))
         out[-1] |= {"gaps": turned[-1]["last_turn"] - turned[0]["first_turn"] + 1 - distinct if turned else 0, "cost": cost}
         out[-1]["audit"] = "".join(o.translate(EDITS) for o in outputs)
-        yield _arrow(out, _REPORT)
+        yield from out
 
 
 def repair_conversations(df: DataFrame, conv: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -339,8 +352,8 @@ def repair_conversations(df: DataFrame, conv: str = "conv_id", turn: str = "turn
     fault = F.when(F.col("own") == "blank", "blank").when(F.col("at") > F.col("first"), "duplicate").otherwise(F.col("own"))
     brief = brief.select("cid", F.shiftright("at", PART_BITS).alias("chunk"), "at", "turn", "initial", fault.alias("fault"))
     brief = brief.repartition("cid", "chunk").sortWithinPartitions("cid", "chunk", "at")
-    parts = brief.mapInArrow(_summaries, _ddl(_SUMMARY))
-    joined = materialize(parts.repartition("cid").sortWithinPartitions("cid", "chunk").mapInArrow(_joined, _ddl(_REPORT)), "repair")
+    parts = brief.mapInArrow(lambda rows: _in_batches(_summaries(rows), _SUMMARY), _ddl(_SUMMARY))
+    joined = materialize(parts.repartition("cid").sortWithinPartitions("cid", "chunk").mapInArrow(lambda rows: _in_batches(_joined(rows), _REPORT), _ddl(_REPORT)), "repair")
 
     names = rows.select("cid", "conv").distinct()
     report = joined.filter("audit IS NOT NULL").join(names, "cid")
@@ -360,22 +373,22 @@ def _digests(repaired: DataFrame) -> DataFrame:
     lines = repaired.select(_key(F.col("conv_id")).alias("cid"), "position", F.concat_ws(":", "role", "text").alias("line"))
     lines = lines.repartition("cid").sortWithinPartitions("cid", "position").select("cid", "line")
 
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = lambda: pa.RecordBatch.from_arrays([pa.array([key], pa.string()), pa.array([state.hexdigest()], pa.string())], names=["cid", "repaired_sha256"])
-        key, state = None, None
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+        key, state, gap = None, None, b""
         for batch in batches:
             for a, b in _runs(batch, 1):
                 if batch.column(0)[a].as_py() != key:
                     if key is not None:
-                        yield out()
-                    key, state, a_line = batch.column(0)[a].as_py(), hashlib.sha256(), b""
+                        yield {"cid": key, "repaired_sha256": state.hexdigest()}
+                    key, state, gap = batch.column(0)[a].as_py(), hashlib.sha256(), b""
                 for line in batch.column(1).slice(a, b - a).to_pylist():
-                    state.update(a_line + line.encode())
-                    a_line = b"\n"
+                    state.update(gap + line.encode())
+                    gap = b"\n"
         if key is not None:
-            yield out()
+            yield {"cid": key, "repaired_sha256": state.hexdigest()}
 
-    return lines.mapInArrow(digest, "cid string, repaired_sha256 string")
+    fields = [("cid", "string"), ("repaired_sha256", "string")]
+    return lines.mapInArrow(lambda rows: _in_batches(digest(rows), fields), _ddl(fields))
 
 
 def op11_conversations(spark, sf_dir: str) -> DataFrame:
