@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+import math
 import sys
 from collections.abc import Iterator
 
@@ -18,8 +20,10 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 COSINE = 0.98
 SAMPLE = 20_000  # vectors, as expected, on which the rotation is learnt
-BITS, TABLES = 64, 4  # bits of a code at most, and the tables its parts are looked up in
-REACH = 0.28  # share of differing bits up to which a pair is compared by its vectors
+BITS = 64  # of a code at most
+MISSED = 5e-4  # share of near pairs, made from the sample, that the tables may miss
+MOST_FLIPS, WIDEST = 3, 16  # bits that are turned in a lookup, and bits of a key
+TRIED = 20_000  # near pairs made to choose the tables
 ROUNDS = 40
 
 
@@ -43,6 +47,43 @@ def _codes(x: np.ndarray, model: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
     return (sign.astype(np.uint64) << np.arange(sign.shape[1], dtype=np.uint64)).sum(axis=1, dtype=np.uint64).view(np.int64)
 
 
+def _apart(x: np.ndarray, model: tuple[np.ndarray, np.ndarray], least: float, seed: int = 5) -> np.ndarray:
+    """Which bits differ in pairs of cosine ``least``, the hardest that must be found: half of them apart in any direction,
+    half along the difference of two vectors of the sample."""
+    draw = np.random.default_rng(seed)
+    x = x[draw.integers(0, len(x), TRIED)]
+    away = draw.normal(size=x.shape)
+    half = len(x) // 2
+    away[:half] = x[draw.permutation(len(x))[:half]] - x[:half]
+    away += 1e-9 * draw.normal(size=x.shape)  # equal vectors have no direction
+    away -= (away * x).sum(axis=1, keepdims=True) * x
+    away /= np.maximum(np.linalg.norm(away, axis=1, keepdims=True), 1e-300)
+    mean, projection = model
+    y = least * x + np.sqrt(1 - least**2) * away
+    return (((x - mean) @ projection) >= 0) != (((y - mean) @ projection) >= 0)
+
+
+def choose_tables(differ: np.ndarray, log_rows: int) -> tuple[int, int, int]:
+    """(bits of a key, tables, bits turned) of the least work that miss at most ``MISSED`` of the near pairs.
+
+    Work is the lookups of a vector and the vectors it meets in them, so keys get wider as rows become more.
+    """
+    bits, best = differ.shape[1], None
+    for width in range(1, min(WIDEST, bits) + 1):
+        tables = bits // width
+        least = differ[:, : tables * width].reshape(len(differ), tables, width).sum(axis=2).min(axis=1)
+        for flips in range(min(MOST_FLIPS, width) + 1):
+            lookups = tables * sum(math.comb(width, k) for k in range(flips + 1))
+            work = lookups * (1 + 2.0 ** (log_rows - width))
+            if (least > flips).mean() <= MISSED and (best is None or work < best[0]):
+                best = (work, width, tables, flips)
+    return best[1:] if best else (1, bits, 1)
+
+
+def _masks(width: int, flips: int) -> list[int]:
+    return [sum(1 << i for i in some) for k in range(flips + 1) for some in itertools.combinations(range(width), k)]
+
+
 def near_vectors(df: DataFrame, rid: str, label: str = "label", vector: str = "embedding", least: float = COSINE) -> DataFrame:
     """``(rid, n_links, root)`` for every row: links of cosine ``least`` or more to rows of its label.
 
@@ -51,10 +92,13 @@ def near_vectors(df: DataFrame, rid: str, label: str = "label", vector: str = "e
     label, link with nothing; nor do vectors of unequal lengths. Equal vectors of a label are one class,
     compared once; their rows count as links of each other. An empty table gives an empty table.
 
-    The rotation is learnt on about ``SAMPLE`` vectors by hash, a bounded sample, for each length of vector.
-    Codes of ``BITS`` bits are cut into ``TABLES`` parts. A pair meets in a table where its parts differ in one bit
-    at most, in the first such table only, and if no more than ``REACH`` of all bits differ its
-    vectors decide in double precision.
+    The rotation is learnt on about ``SAMPLE`` vectors by hash, a bounded sample, for each length of vector. Codes of
+    ``BITS`` bits are cut into keys of tables. Pairs of cosine ``least`` are made from the sample, and the width of
+    keys and the bits turned in a lookup are so chosen that at most ``MISSED`` of these meet in no table,
+    whatever the vectors have in common; keys widen with the label's rows. A pair is taken up in the first table where it
+    meets, unless more bits differ than in any of the made pairs and some more, and its vectors decide
+    in double precision. Links are counted and joined to trees within a batch of pairs, so a dense group gives out
+    few rows.
     """
     spark = df.sparkSession
     x = F.transform(F.col(f"`{vector}`"), lambda v: v.cast("double") + F.lit(0.0))
@@ -64,13 +108,18 @@ def near_vectors(df: DataFrame, rid: str, label: str = "label", vector: str = "e
     rows = materialize(rows.filter(sound), "vectors")
     classes = rows.groupBy("label", "x").agg(F.min("rid").alias("rep"), F.count(F.lit(1)).alias("size"))
     classes = materialize(classes.withColumn("dim", F.size("x")), "classes")
-    models = {}
+    models, plans = {}, []
     for r in classes.groupBy("dim").agg(F.count(F.lit(1)).alias("n")).collect():
         share = int(min(1.0, SAMPLE / r["n"]) * (1 << 30))
         some = classes.filter((F.col("dim") == r["dim"]) & (F.pmod(F.xxhash64("label", "x"), F.lit(1 << 30)) < share)).orderBy(F.xxhash64("label", "x"), "rep")
-        sample = np.array([list(s["x"]) for s in some.select("x").collect()] or [[1.0] * r["dim"]])
-        sample /= np.abs(sample).max(axis=1, keepdims=True)
-        models[r["dim"]] = learn(sample / np.linalg.norm(sample, axis=1, keepdims=True), min(BITS, r["dim"]))
+        sample = some.select("x").toArrow().column("x").combine_chunks().flatten().to_numpy().reshape(-1, r["dim"])
+        sample = sample if len(sample) else np.ones((1, r["dim"]))
+        sample = sample / np.abs(sample).max(axis=1, keepdims=True)
+        sample /= np.linalg.norm(sample, axis=1, keepdims=True)
+        models[r["dim"]] = learn(sample, min(BITS, r["dim"]))
+        differ = _apart(sample, models[r["dim"]], least)
+        far = int(differ.sum(axis=1).max()) + 2
+        plans += [(r["dim"], log, *choose_tables(differ, log), far) for log in range(int(r["n"]).bit_length() + 1)]
     sent = spark.sparkContext.broadcast(models)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -94,35 +143,52 @@ def near_vectors(df: DataFrame, rid: str, label: str = "label", vector: str = "e
 
     coded = classes.select("rep", "dim", "x").mapInArrow(encode, "rep long, dim int, code long, unit array<double>")
     coded = materialize(coded.join(classes.select("rep", "label", "size"), "rep"), "codes")
-    bits = F.least(F.col("dim"), F.lit(BITS))
-    width = F.ceil(bits / TABLES).cast("int")
-    part = lambda t: F.expr(f"shiftright(code, {t} * width) & (shiftleft(1L, width) - 1)")
-    base = coded.select("rep", "label", "dim", "code", width.alias("width"))
-    tables = base.select("*", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), part(t).alias("key")) for t in range(TABLES)])).alias("e")).select("*", "e.*").drop("e")
-    probes = tables.withColumn("key", F.explode(F.expr("concat(array(key), transform(sequence(0, width - 1), i -> key ^ shiftleft(1L, i)))")))
-    left = probes.select("label", "dim", "t", "key", F.col("rep").alias("b"), F.col("code").alias("cb"))
-    right = tables.select("label", "dim", "t", "key", "width", F.col("rep").alias("a"), F.col("code").alias("ca"))
-    differ = lambda t: F.expr(f"bit_count(shiftright(ca ^ cb, {t} * width) & (shiftleft(1L, width) - 1))")
-    first = F.coalesce(*[F.when(differ(t) <= 1, F.lit(t)) for t in range(TABLES)])
-    close = F.expr("bit_count(ca ^ cb)") <= F.ceil(F.least("dim", F.lit(BITS)) * REACH)
-    pairs = right.join(left.hint("merge"), ["label", "dim", "t", "key"]).filter((F.col("a") > F.col("b")) & close & (first == F.col("t"))).select("a", "b")
+    # At most a row for each length of vector and each power of two of rows.
+    plan = spark.createDataFrame([(d, log, w, t, k, far, _masks(w, k)) for d, log, w, t, k, far in plans], "dim int, log int, width int, tables int, flips int, far int, masks array<long>")
+    many = coded.groupBy("label", "dim").agg(F.expr("CAST(ceil(log2(count(1))) AS INT)").alias("log"))
+    many = many.join(F.broadcast(plan), ["dim", "log"]).drop("log")
+    part = "(shiftright({code}, t * width) & (shiftleft(1L, width) - 1))"
+    base = coded.select("rep", "label", "dim", "code", "size").join(many, ["label", "dim"])
+    tables = base.select("*", F.explode(F.expr("sequence(0, tables - 1)")).alias("t")).withColumn("key", F.expr(part.format(code="code")))
+    probes = tables.withColumn("key", F.explode(F.expr("transform(masks, m -> key ^ m)")))
+    left = probes.select("label", "dim", "t", "key", F.col("rep").alias("b"), F.col("code").alias("cb"), F.col("size").alias("nb"))
+    right = tables.select("label", "dim", "t", "key", "width", "flips", "far", F.col("rep").alias("a"), F.col("code").alias("ca"), F.col("size").alias("na"))
+    close = F.expr("a > b AND bit_count(ca ^ cb) <= far")
+    first = F.expr(f"NOT exists(sequence(0, t - 1, 1), u -> bit_count({part.format(code='(ca ^ cb)').replace('t *', 'u *')}) <= flips)")
+    pairs = right.join(left.hint("merge"), ["label", "dim", "t", "key"]).filter(close).filter((F.col("t") == 0) | first).select("a", "b", "na", "nb")
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            plain = lambda i: batch.column(i).to_numpy(zero_copy_only=False)
             n = len(batch)
-            u, v = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (2, 3))
-            starts = np.cumsum([0, *batch.column(2).value_lengths().to_pylist()])[:-1]
-            cos = np.add.reduceat(u * v, starts) if n else np.empty(0)
-            keep = pa.array(cos >= least, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(i).filter(keep) for i in range(2)], names=["a", "b"])
+            u, v = (batch.column(i).flatten().to_numpy(zero_copy_only=False) for i in (4, 5))
+            starts = np.cumsum([0, *batch.column(4).value_lengths().to_pylist()])[:-1]
+            keep = (np.add.reduceat(u * v, starts) if n else np.empty(0)) >= least
+            a, b, na, nb = (plain(i)[keep] for i in range(4))
+            nodes, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+            others = np.zeros(len(nodes), dtype=np.int64)
+            np.add.at(others, at, np.concatenate([nb, na]))
+            root = list(range(len(nodes)))
+            tree = []
+            for i, j in zip(at[: len(a)].tolist(), at[len(a) :].tolist()):
+                pair = [i, j]
+                for k in (0, 1):
+                    while root[pair[k]] != pair[k]:
+                        root[pair[k]] = root[root[pair[k]]]
+                        pair[k] = root[pair[k]]
+                if pair[0] != pair[1]:
+                    root[max(pair)] = min(pair)
+                    tree.append((i, j))
+            ends = np.array(tree, dtype=np.int64).reshape(-1, 2)
+            columns = [np.concatenate([nodes, nodes[ends[:, 0]]]), np.concatenate([nodes, nodes[ends[:, 1]]]), np.concatenate([others, np.zeros(len(ends), np.int64)])]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["a", "b", "others"])
 
     unit = coded.select("rep", "unit")
     met = pairs.join(unit.withColumnsRenamed({"rep": "a", "unit": "ua"}), "a").join(unit.withColumnsRenamed({"rep": "b", "unit": "ub"}), "b")
-    links = materialize(met.select("a", "b", "ua", "ub").mapInArrow(decide, "a long, b long"), "links")
+    found = materialize(met.select("a", "b", "na", "nb", "ua", "ub").mapInArrow(decide, "a long, b long, others long"), "links")
+    links = found.filter("a <> b").select("a", "b")
     roots = materialize(components(links, "groups"), "groups")
-    size = classes.select(F.col("rep").alias("other"), "size")
-    both = links.union(links.select("b", "a")).toDF("node", "other")
-    degree = both.join(size, "other").groupBy("node").agg(F.sum("size").alias("others"))
+    degree = found.groupBy(F.col("a").alias("node")).agg(F.sum("others").alias("others"))
     known = classes.select("label", "x", "rep", "size").join(degree.withColumnRenamed("node", "rep"), "rep", "left")
     known = known.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
     known = known.select("label", "x", (F.col("size") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"), F.coalesce("root", "rep").alias("root"))
