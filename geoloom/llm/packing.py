@@ -21,6 +21,8 @@ from geoloom.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TOKENS = 2048  # of a sequence
+DOCUMENTS = 1024  # pieces of a sequence at most
+WEIGHTS = (1.0, 0.3, 0.3)  # of tokens, pieces and squared tokens that are left, each against its capacity
 END = 0  # id after each document
 MEMO = 700_000  # words whose ids a worker remembers; it forgets all when they are more
 TOGETHER = 4_000_000  # bytes of batches whose words are looked up together, or one larger batch
@@ -232,9 +234,9 @@ def pack(
     keep: list[str] | None = None,
     tokenizer: str | None = None,
     tokens: int = TOKENS,
-    documents: int | None = None,
+    documents: int | None = DOCUMENTS,
     cost: int | None = None,
-    weights: tuple[float, float, float] = (1.0, 0.0, 0.0),
+    weights: tuple[float, float, float] = WEIGHTS,
     rule: str = "norm",
     with_ids: bool = False,
 ) -> DataFrame:
@@ -242,7 +244,7 @@ def pack(
 
     A document is its token ids and an end id. One longer than ``tokens`` is cut so that only its
     first piece is shorter. A sequence holds at most ``tokens`` tokens, ``documents`` pieces and
-    ``cost`` squared tokens; without the last two they bind nothing. ``weights`` of the three choose among
+    ``cost`` squared tokens (NULL: as many as ``tokens`` allows). ``weights`` of the three choose among
     the sequences that fit (see :func:`plan`).
 
     NULL and empty texts are documents of the end id alone. Equal rows are packed one by one. Only
