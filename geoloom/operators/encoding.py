@@ -84,8 +84,8 @@ def parse_geojson(
 
     ``coordinate_check`` is True for the range check in degrees, False for the
     finite check, None to choose by SRID. With ``check_valid`` polygons that are
-    not valid become ``INVALID_POLYGON``, and the parsed rows are staged as a table, so that ``df`` is
-    evaluated and parsed once; without it the plan is strictly narrow. ``partial`` is for callers that
+    not valid become ``INVALID_POLYGON``: a job looks ahead for those that no row settles, and stages these
+    alone; without it the plan is strictly narrow. ``partial`` is for callers that
     check validity themselves: it leaves what a collection holds before its first error in the column.
     """
     kind = kind_code(expect)

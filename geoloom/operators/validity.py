@@ -617,11 +617,15 @@ def _with_verdict(
     """Add column ``out``: the verdict within the row, completed by the job over edges.
 
     Evaluates ``df`` once ahead, to set aside the areas that rows cannot settle.
-    Where nothing is set aside the result is a narrow plan. With ``stage``, or without a key, that
-    first evaluation is written as a table and is the only one; rows are then told apart by a number.
+    Where nothing is set aside the result is a narrow plan. Without a key, equal geometries are told by two hashes
+    of their content, 128 bits together, and judged once. With ``stage`` the first evaluation
+    is written as a table and is the only one; rows are then told apart by a number.
     """
     df = bind(df, "__row", row_verdict(geom, only_polygons))
-    if stage or key is None:
+    alike = key is None and not stage
+    if alike:
+        key = F.struct(F.xxhash64(geom).alias("a"), F.xxhash64(F.lit(1), F.col(geom)).alias("b"))
+    if stage:
         df = materialize(df.withColumn("__key", F.monotonically_increasing_id()), "judged", outer=True)
         key = F.col("__key")
     is_open = F.col("__row")["open"]
@@ -638,6 +642,8 @@ def _with_verdict(
             (F.size(F.flatten("m.parts")) > 1).alias("several"),
         )
     )
+    if alike:
+        open_areas = open_areas.dropDuplicates(["key", "member"])
     open_areas = materialize(open_areas, "open-areas")
     seen = open_areas.agg(F.max("n_edges").alias("largest"), F.max("several").alias("several")).first()
     if seen["largest"] is None:
@@ -661,7 +667,7 @@ def check_validity(
     """OGC validity of every geometry of any kind: NULL when valid, else a code.
 
     ``id_col`` must be unique and not NULL; a list of columns must be unique
-    together and may hold NULLs; without any, the rows are staged and numbered.
+    together and may hold NULLs; without any, geometries are told by hashes of their content.
     Codes: NON_FINITE, RING_OPEN, TOO_FEW_POINTS, SELF_INTERSECTION,
     DISCONNECTED_INTERIOR, HOLE_OUTSIDE_SHELL, NESTED_HOLES, NESTED_SHELLS.
     """
@@ -670,7 +676,7 @@ def check_validity(
 
 
 def resolve_polygon_validity(df: DataFrame, geom: str) -> DataFrame:
-    """Turn invalid polygons of a parsed column into ``INVALID_POLYGON`` errors; ``df`` is staged once.
+    """Turn invalid polygons of a parsed column into ``INVALID_POLYGON`` errors.
 
     Polygons are checked, alone or as members; multi-polygons are not. What a collection
     holds before an error of its own is judged first and then dropped.

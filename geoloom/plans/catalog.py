@@ -694,6 +694,6 @@ def stream_ingest_geojson(spark, sf_dir):
     src = _text_files(fx.fixture(spark, sf_dir, "geo_events"), "geojson", "event-lines")
     dst = scratch_path(spark, "stream-ingested")
     ingest.stream_ingest_geojson(spark, src, dst, scratch_path(spark, "ingest-state")).awaitTermination()
-    good = spark.read.parquet(f"{dst}/curated").select(F.col("kind").cast("int").alias("kind"), F.lit(None).cast("string").alias("code"))
-    dead = spark.read.parquet(f"{dst}/dead_letter").select(F.lit(None).cast("int").alias("kind"), "code")
+    good = jobs.read_curated(spark, dst).select("kind", F.lit(None).cast("string").alias("code"))
+    dead = jobs.read_dead_letters(spark, dst).select(F.lit(None).cast("int").alias("kind"), "code")
     return good.unionByName(dead).groupBy("kind", "code").agg(F.count(F.lit(1)).alias("n"))

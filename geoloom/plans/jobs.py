@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 from geoloom.functions import binary
 from geoloom.functions.encodings import encoding
 from geoloom.operators.encoding import is_text, parse_geojson
-from geoloom.operators.validate import fill_srid, orient_rings, outcome_counts, split_quarantine, vertex_count
+from geoloom.operators.validate import fill_srid, orient_rings, outcome_counts, vertex_count
 from geoloom.operators.validity import resolve_polygon_validity
 from geoloom.schema import DEFAULT_SRID, bind, kind_code
 from geoloom.session import scratch_scope
+from geoloom.sources.published import is_published, publish, read_published
 
 
 def convert_table(
@@ -62,52 +63,65 @@ def audit_roundtrip(df: DataFrame, col: str, src: str = "wkb") -> DataFrame:
 
 
 def curate_geojson(lines: DataFrame, srid: int = DEFAULT_SRID, expect=None, text_col: str = "value") -> DataFrame:
-    """Parse, fill SRIDs, orient and validate; the parsed rows are staged once as a table."""
+    """Parse, fill SRIDs, orient and validate."""
     parsed = parse_geojson(lines, text_col, srid, expect, check_valid=False, orient=False, partial=True)
     parsed = orient_rings(fill_srid(parsed, "geom", srid), "geom")
     return resolve_polygon_validity(parsed, "geom")
 
 
-def write_curated(
-    curated: DataFrame, good_path: str, dead_path: str, source: str, text_col: str = "value", mode: str = "errorifexists"
-) -> None:
-    """Good rows as SRID-prefixed WKB partitioned by kind, the others as dead letters.
+_GOOD, _BAD = ("srid", "n_vertices", "wkb"), ("raw_value", "source", "code", "field", "detail")
+
+
+def ingested_rows(curated: DataFrame, source: str, text_col: str = "value") -> DataFrame:
+    """Rows of both tables of an ingest: ``curated`` ones as SRID-prefixed WKB, ``dead_letter`` ones with text and error.
 
     A text of ``null`` is a good row without a geometry; so each row is in one of the two.
     """
-    good, dead = split_quarantine(curated, "geom_error", raw_col=text_col, source=source)
-    good.select(
-        *[c for c in good.columns if c not in (text_col, "geom")],
-        F.col("geom.kind").alias("kind"),
-        F.col("geom.srid").alias("srid"),
-        F.coalesce(vertex_count(F.col("geom")), F.lit(0)).alias("n_vertices"),
-        binary.encode(F.col("geom"), as_hex=False).alias("wkb"),
-    ).write.mode(mode).partitionBy("kind").parquet(good_path)
-    dead.write.mode(mode).parquet(dead_path)
-
-
-def ingest_report(curated: DataFrame, dead: DataFrame) -> DataFrame:
-    """The quality report of an ingest, from narrow columns of its two tables."""
-    none = lambda kind: F.lit(None).cast(kind)
-    good = curated.select(
-        F.col("kind").cast("int").alias("kind"), "srid", none("string").alias("code"),
-        F.col("n_vertices").alias("vertices"), F.col("reversed_rings").alias("reversed"),
+    bad = F.col("geom_error").isNotNull()
+    good = lambda value, name: F.when(~bad, value).alias(name)
+    dead = lambda value, name: F.when(bad, value).alias(name)
+    geom = F.col("geom")
+    return curated.select(
+        *[c for c in curated.columns if c not in (text_col, "geom", "geom_error")],
+        good(geom["srid"], "srid"),
+        good(F.coalesce(vertex_count(geom), F.lit(0)), "n_vertices"),
+        good(binary.encode(F.when(~bad, geom), as_hex=False), "wkb"),
+        dead(F.col(text_col), "raw_value"),
+        dead(F.lit(source), "source"),
+        *[dead(F.col("geom_error")[f], f) for f in ("code", "field", "detail")],
+        F.when(bad, "dead_letter").otherwise("curated").alias("table"),
+        good(geom["kind"], "kind"),
     )
-    bad = dead.select(
-        none("int").alias("kind"), none("int").alias("srid"), "code", F.lit(0).alias("vertices"), F.col("reversed_rings").alias("reversed")
+
+
+def read_curated(spark: SparkSession, dst: str) -> DataFrame:
+    """Good rows of an ingest: kind, srid, n_vertices, wkb, and columns of their own."""
+    return read_published(spark, dst, "curated").drop(*_BAD)
+
+
+def read_dead_letters(spark: SparkSession, dst: str) -> DataFrame:
+    """Rejected rows of an ingest: raw_value, code, field, detail, source, and columns of their own."""
+    return read_published(spark, dst, "dead_letter").drop(*_GOOD, "kind")
+
+
+def ingest_report(rows: DataFrame) -> DataFrame:
+    """The quality report of an ingest, from narrow columns of its rows."""
+    rows = rows.select(
+        "kind", "srid", "code", F.coalesce("n_vertices", F.lit(0)).alias("vertices"), F.col("reversed_rings").alias("reversed")
     )
-    return outcome_counts(good.unionByName(bad), ["kind", "srid", "code"])
+    return outcome_counts(rows, ["kind", "srid", "code"])
 
 
 def ingest_geojson(spark: SparkSession, src: str, dst: str, srid: int = DEFAULT_SRID, expect=None) -> DataFrame:
     """Newline-delimited GeoJSON -> curated WKB table, dead letters and a quality report.
 
-    Writes ``dst/curated``, ``dst/dead_letter`` and ``dst/report``; returns the
-    report. Every line is in one of the first two, blank ones as dead letters. The input
-    text is read and parsed once; the staged rows go when the job ends.
+    Good rows and dead letters are written in one job and published together (:func:`read_curated`,
+    :func:`read_dead_letters`), then ``dst/report``; returns the report. Every line is in one of the
+    two tables, blank ones as dead letters.
     """
+    if is_published(spark, dst, 0):
+        raise FileExistsError(f"{dst} holds an ingest already")
     with scratch_scope(spark, "ingest"):
-        write_curated(curate_geojson(spark.read.text(src), srid, expect), f"{dst}/curated", f"{dst}/dead_letter", src)
-    tables = (spark.read.parquet(f"{dst}/{name}") for name in ("curated", "dead_letter"))
-    ingest_report(*tables).write.parquet(f"{dst}/report")
+        publish(ingested_rows(curate_geojson(spark.read.text(src), srid, expect), src), dst, 0, ("kind",))
+    ingest_report(read_published(spark, dst)).write.parquet(f"{dst}/report")
     return spark.read.parquet(f"{dst}/report")

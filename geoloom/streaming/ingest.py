@@ -8,9 +8,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from geoloom.operators.encoding import parse_geojson
 from geoloom.operators.validity import row_verdict
-from geoloom.plans.jobs import curate_geojson, write_curated
+from geoloom.plans.jobs import curate_geojson, ingested_rows
 from geoloom.schema import DEFAULT_SRID, bind, error
 from geoloom.session import scratch_scope
+from geoloom.sources.published import publish
 
 
 def _lines(spark: SparkSession, path: str, **options) -> DataFrame:
@@ -48,19 +49,15 @@ def stream_ingest_geojson(
     trigger: dict | None = None,
     **options,
 ) -> StreamingQuery:
-    """Ingest arriving files into ``dst/curated`` and ``dst/dead_letter``.
+    """Ingest arriving files as ``plans.jobs`` does; read them with ``read_curated`` and ``read_dead_letters``.
 
-    Each micro-batch overwrites its own ``batch=<id>`` folder, so a replay after
-    a failure writes the same rows again instead of adding any. Read the tables
-    by the parent folder; ``batch`` is a partition column.
+    Each micro-batch is written in one job and published with one rename, so its good rows and dead letters
+    appear together; a replay after a failure takes the place of the batch instead of adding to it.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         with scratch_scope(batch.sparkSession, "ingest"):
-            write_curated(
-                curate_geojson(batch, srid, expect),
-                f"{dst}/curated/batch={batch_id}", f"{dst}/dead_letter/batch={batch_id}", src, mode="overwrite",
-            )
+            publish(ingested_rows(curate_geojson(batch, srid, expect), src), dst, batch_id, ("kind",))
 
     return (
         _lines(spark, src, **options)

@@ -1,10 +1,12 @@
 import json
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from geoloom.plans import jobs
 from geoloom.session import shared_folder
+from geoloom.sources import published
 from geoloom.streaming.ingest import stream_geojson, stream_ingest_geojson
 
 LINES = [
@@ -32,9 +34,11 @@ def test_ingest_splits_good_from_bad(spark, tmp_path):
         (1, None): (1, 0, 0), (3, None): (1, 0, 1), (None, "INVALID_POLYGON"): (1, 1, 0),
         (None, "JSON_MALFORMED"): (2, 2, 0), (None, None): (1, 0, 0),
     }
-    dead = spark.read.parquet(str(tmp_path / "out" / "dead_letter")).collect()
+    dead = jobs.read_dead_letters(spark, str(tmp_path / "out")).collect()
     assert {(r.raw_value, r.code) for r in dead} == {(LINES[2], "INVALID_POLYGON"), (LINES[3], "JSON_MALFORMED"), ("", "JSON_MALFORMED")}
-    assert spark.read.parquet(str(tmp_path / "out" / "curated")).count() == 3
+    assert jobs.read_curated(spark, str(tmp_path / "out")).count() == 3
+    with pytest.raises(FileExistsError):
+        jobs.ingest_geojson(spark, str(tmp_path / "in"), str(tmp_path / "out"))
     assert set(Path(shared_folder(spark)).glob("ingest-*")) == before
 
 
@@ -42,12 +46,12 @@ def test_stream_replay_adds_nothing(spark, tmp_path):
     src, dst = tmp_path / "in", str(tmp_path / "out")
     write(src, "a.json", LINES)
     run = lambda ckpt: stream_ingest_geojson(spark, str(src), dst, str(tmp_path / ckpt)).awaitTermination()
-    count = lambda: (spark.read.parquet(dst + "/curated").count(), spark.read.parquet(dst + "/dead_letter").count())
+    count = lambda: (jobs.read_curated(spark, dst).count(), jobs.read_dead_letters(spark, dst).count())
     run("c1")
     assert count() == (3, 3)
     run("c1")
     assert count() == (3, 3)
-    # A lost checkpoint replays batch 0 into the same folder.
+    # A lost checkpoint replays batch 0 in its own place.
     run("c2")
     assert count() == (3, 3)
     write(src, "b.json", LINES[:1])
@@ -75,3 +79,35 @@ def test_convert_and_audit(spark):
     assert audit == {1: (1, 1, 0, 0), None: (0, 0, 1, 1)}
     ewkb = jobs.convert_table(df.filter("id < 2"), "wkb", "wkb", "ewkb", out="e").select("e")
     assert jobs.audit_roundtrip(ewkb, "e", "ewkb").agg(F.sum("n_identical")).first()[0] == 2
+
+
+def test_a_batch_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
+    dst = str(tmp_path / "out")
+    rows = lambda *ids: spark.createDataFrame([(i, "good" if i % 2 else "bad", i % 3) for i in ids], "id long, table string, kind int")
+    seen = lambda table: sorted(r.id for r in published.read_published(spark, dst, table).collect())
+    with pytest.raises(FileNotFoundError):
+        published.read_published(spark, dst)
+    commit = published._commit
+
+    def broken(*args):
+        raise OSError("lost")
+
+    monkeypatch.setattr(published, "_commit", broken)
+    with pytest.raises(OSError):
+        published.publish(rows(1, 2), dst, 0, ("kind",))
+    with pytest.raises(FileNotFoundError):
+        published.read_published(spark, dst)
+    monkeypatch.setattr(published, "_commit", commit)
+    published.publish(rows(1, 2, 3), dst, 0, ("kind",))
+    published.publish(rows(), dst, 1, ("kind",))
+    published.publish(rows(5, 6), dst, 2, ("kind",))
+    assert (seen("good"), seen("bad")) == ([1, 3, 5], [2, 6])
+    monkeypatch.setattr(published, "_commit", broken)
+    with pytest.raises(OSError):
+        published.publish(rows(9), dst, 2, ("kind",))
+    assert (seen("good"), seen("bad")) == ([1, 3, 5], [2, 6])
+    monkeypatch.setattr(published, "_commit", commit)
+    published.publish(rows(7, 8), dst, 2, ("kind",))
+    assert (seen("good"), seen("bad")) == ([1, 3, 7], [2, 8])
+    plan = published.read_published(spark, dst, "good").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(table" in plan

@@ -95,7 +95,7 @@ def test_concurrent_ingests_a_stream_and_a_batch_job(spark, tmp_path):
     def stream():
         query = stream_ingest_geojson(spark, str(tmp_path / "s"), str(tmp_path / "out-s"), str(tmp_path / "state"))
         query.awaitTermination()
-        found["s"] = sum(spark.read.parquet(str(tmp_path / "out-s" / t)).count() for t in ("curated", "dead_letter"))
+        found["s"] = sum(read(spark, str(tmp_path / "out-s")).count() for read in (jobs.read_curated, jobs.read_dead_letters))
 
     def batch():
         for _ in range(3):
