@@ -65,7 +65,7 @@ def decode(column: Column, is_text: bool, expect: int | str | None = None, exten
     )
     if expect:
         found = found.when(~accepts(read["kind"], expect), mismatch(read["kind"], expect))
-    geom = F.struct(read["kind"].alias("kind"), read["srid"].alias("srid"), read["members"].alias("members"))
+    geom = F.struct(read["kind"].alias("kind"), read["srid"].alias("srid"), read["members"].alias("members"), read["tree"].alias("tree"))
     return F.struct(
         F.when(read["kind"].isNotNull() & found.isNull(), geom).cast(GEOM).alias("geom"),
         found.alias("error"),

@@ -11,7 +11,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from geoloom.functions.turn import is_ccw, let
-from geoloom.schema import DEFAULT_SRID, GEOM, KIND_NAMES, KINDS, error, kind_code, kind_name, no_error
+from geoloom.schema import DEFAULT_SRID, GEOM, KIND_NAMES, KINDS, error, kind_code, kind_name, no_error, no_tree
 
 POINT, LINE, POLYGON = 1, 2, 3
 LARGE_TEXT = 8 << 20  # bytes; a smaller text always fits a VARIANT
@@ -212,7 +212,7 @@ def _parse_plain(text: Column, srid: int, expect: int | None, ranged: bool, orie
 
         def geometry(j):
             member = F.struct(F.lit(kind).alias("kind"), build(j["coordinates"]).alias("parts"))
-            geom = F.struct(F.lit(kind).alias("kind"), F.lit(srid).alias("srid"), F.array(member).alias("members"))
+            geom = F.struct(F.lit(kind).alias("kind"), F.lit(srid).alias("srid"), F.array(member).alias("members"), no_tree().alias("tree"))
             fits = j["_corrupt"].isNull() & (j["type"] == KIND_NAMES[kind]) & j["coordinates"].isNotNull()
             return F.when(fits & good(j["coordinates"]), geom.cast(GEOM))
 
@@ -278,7 +278,7 @@ def _parse_variant(
     def conclude(top, kind, members):
         def result(found):
             def geom(some):
-                return F.struct(kind.alias("kind"), F.lit(srid).alias("srid"), F.transform(some, _finish(orient)).alias("members"))
+                return F.struct(kind.alias("kind"), F.lit(srid).alias("srid"), F.transform(some, _finish(orient)).alias("members"), no_tree().alias("tree"))
 
             kept = F.when(found.isNull(), geom(members))
             if partial:
@@ -350,7 +350,34 @@ def format_geojson(geom: Column) -> Column:
         )
 
     members = F.transform(geom["members"], text)
-    return F.when(
-        geom["kind"] == COLLECTION,
-        F.concat(F.lit('{"type":"GeometryCollection","geometries":'), _listed(members), F.lit("}")),
-    ).otherwise(F.get(members, F.lit(0)))
+    return (
+        F.when(geom["tree"].isNotNull(), _nested(geom["tree"], members))
+        .when(geom["kind"] == COLLECTION, F.concat(F.lit(_BAG), _listed(members), F.lit("}")))
+        .otherwise(F.get(members, F.lit(0)))
+    )
+
+
+_BAG = '{"type":"GeometryCollection","geometries":'
+
+
+def _nested(tree: Column, members: Column) -> Column:
+    """Text of a collection in collections: one walk over its nodes, with the children that each open one awaits."""
+
+    def node(state, size):
+        is_leaf = size < 0
+        # A node is one less for the collection it is in; an empty collection closes at once.
+        waits = state["waits"]
+        waits = F.transform(waits, lambda n, i: F.when(i == F.size(waits) - 1, n - 1).otherwise(n))
+        waits = F.when(is_leaf, waits).otherwise(F.concat(waits, F.array(size)))
+        open_ = F.coalesce(F.array_max(F.transform(waits, lambda n, i: F.when(n > 0, i + 1).otherwise(F.lit(0)))), F.lit(0))
+        own = F.when(is_leaf, F.get(members, state["leaf"])).otherwise(F.lit(_BAG + "["))
+        comma = F.when(state["first"], F.lit("")).otherwise(F.lit(","))
+        return F.struct(
+            F.concat(state["text"], comma, own, F.repeat(F.lit("]}"), F.size(waits) - open_)).alias("text"),
+            F.slice(waits, F.lit(1), open_).alias("waits"),
+            (state["leaf"] + F.when(is_leaf, 1).otherwise(0)).alias("leaf"),
+            (~is_leaf & (size > 0)).alias("first"),
+        )
+
+    start = F.struct(F.lit("").alias("text"), F.array().cast("array<int>").alias("waits"), F.lit(0).alias("leaf"), F.lit(True).alias("first"))
+    return F.aggregate(tree, start, node, lambda s: s["text"])

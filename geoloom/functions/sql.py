@@ -71,8 +71,9 @@ def _as_geojson() -> str:
     member = f"""concat('{{"type":"', element_at({names}, m.kind), '","coordinates":',
         IF(m.kind > 3, {listed(parts)}, get({parts}, 0)), '}}')"""
     members = f"transform(geom.members, m -> {member})"
-    return f"""IF(geom.kind = 7, concat('{{"type":"GeometryCollection","geometries":', {listed(members)}, '}}'),
-        get({members}, 0))"""
+    nested = "raise_error('collections in collections: use format_geojson')"
+    return f"""IF(geom.tree IS NOT NULL, {nested}, IF(geom.kind = 7, concat('{{"type":"GeometryCollection","geometries":', {listed(members)}, '}}'),
+        get({members}, 0)))"""
 
 
 def _bodies() -> dict[str, tuple[str, str, str]]:

@@ -13,6 +13,7 @@ import sys
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import functions as F
 
@@ -32,6 +33,7 @@ DECODED = T.StructType(
         T.StructField("srid", T.IntegerType()),
         T.StructField("kind", T.IntegerType()),
         T.StructField("members", MEMBERS_TYPE),
+        T.StructField("tree", T.ArrayType(T.IntegerType())),
         T.StructField("code", T.StringType()),
     ]
 )
@@ -40,7 +42,7 @@ _POINT = pa.struct([("x", pa.float64()), ("y", pa.float64())])
 _PARTS = pa.list_(pa.list_(pa.list_(_POINT)))
 _MEMBER = pa.struct([("kind", pa.int32()), ("parts", _PARTS)])
 
-_RESULT = pa.struct([("srid", pa.int32()), ("kind", pa.int32()), ("members", pa.list_(_MEMBER)), ("code", pa.string())])
+_RESULT = pa.struct([("srid", pa.int32()), ("kind", pa.int32()), ("members", pa.list_(_MEMBER)), ("tree", pa.list_(pa.int32())), ("code", pa.string())])
 
 _OK, _PARSE, _NESTED = 0, 1, 2
 
@@ -96,6 +98,7 @@ class _Walk:
         self.head = np.zeros(n, np.int64)  # where the header read last begins
         self.kinds = np.zeros(n, np.int64)
         self.log = {"member": [], "part": [], "ring": []}
+        self.trees: dict[int, list[int]] = {}  # of rows with collections in collections
         live = np.flatnonzero(~skip)
         if prefixed:
             live = self._fits(live, 0, from_start=True)
@@ -114,6 +117,18 @@ class _Walk:
                 for row in live.tolist():
                     self._alone(row)
                 break
+        nested = self.status == _NESTED
+        if nested.any():
+            # These rows are read anew, each with the children its open collections await.
+            for what, entries in self.log.items():
+                keep = [~nested[e[0]] for e in entries]
+                self.log[what] = [tuple(c[k] for c in e) for e, k in zip(entries, keep)]
+            self.status[nested] = _OK
+            for row in np.flatnonzero(nested).tolist():
+                self.pos[row] = data.start[row] + (4 if prefixed else 0)
+                self.members_left[row], self.parts_left[row], self.rings_left[row] = 1, 0, 0
+                self.trees[row] = []
+                self._alone(row)
 
     def _fail(self, rows, code=_PARSE):
         self.status[rows] = code
@@ -216,6 +231,7 @@ class _Walk:
         raw, end = self.data.raw, int(self.data.end[row])
         pos, little, dims = int(self.pos[row]), bool(self.little[row]), int(self.dims[row])
         members, parts, rings = (int(a[row]) for a in (self.members_left, self.parts_left, self.rings_left))
+        tree, above = self.trees.get(row), []
         base = int(self.base[row])
         words = {True: struct.Struct("<I").unpack_from, False: struct.Struct(">I").unpack_from}
         noted: dict[str, list[tuple]] = {"member": [], "part": [], "ring": []}
@@ -235,7 +251,10 @@ class _Walk:
             noted["ring"].append((pos - 1, pos, n, dims * 8, little))
             pos += n * dims * 8
 
-        while rings or parts or members:
+        while rings or parts or members or above:
+            if not (rings or parts or members):
+                members = above.pop()
+                continue
             if rings:
                 n = count(dims * 8)
                 if n < 0:
@@ -266,13 +285,22 @@ class _Walk:
                 status = _PARSE
                 break
             if kind == 7:
-                status = _NESTED
-                break
+                n = -1 if tree is None or parts else count(9)
+                if n < 0:
+                    status = _PARSE if tree is not None else _NESTED
+                    break
+                tree.append(n)
+                if members > 1:
+                    above.append(members - 1)
+                members = n
+                continue
             if parts:
                 parts -= 1
             else:
                 members -= 1
                 noted["member"].append((head, kind))
+                if tree is not None:
+                    tree.append(-1)
             if kind > 3:
                 n = count(9)
                 parts, base = max(n, 0), kind - 3
@@ -410,13 +438,15 @@ def _decode(data: pa.Array, prefixed: bool) -> pa.Array:
     parts = _lists(parts_in_member, _lists(rings_in_part, _lists(size, vertices)))
     members = pa.StructArray.from_arrays([pa.array(m_kind[keep_m].astype(np.int32)), parts], fields=list(_MEMBER))
     good = live & ~skip
-    names = np.array([None, "WKB_PARSE", "NESTED_COLLECTION"], object)
+    names = np.array([None, "WKB_PARSE"], object)
+    trees = pa.array([walk.trees.get(i) if good_row else None for i, good_row in enumerate(good.tolist())] if walk.trees else [None] * n, pa.list_(pa.int32()))
     srid = np.where(walk.srid >= 2**31, walk.srid - 2**32, walk.srid).astype(np.int32)
     return pa.StructArray.from_arrays(
         [
             pa.array(srid, mask=~good),
             pa.array(walk.kind, mask=~good),
             _lists(members_in_row, members),
+            trees,
             pa.array(names[walk.status], pa.string()),
         ],
         fields=list(_RESULT),
@@ -454,6 +484,8 @@ def _encode(geom: pa.StructArray, extended: bool) -> pa.Array:
         if alive.sum() != m_off[-1] - m_off[0]:
             members = members.take(pa.array(np.flatnonzero(np.repeat(~null, np.diff(m_off))) + m_off[0]))
             m_off = _starts(alive)
+    trees = geom.field("tree") if geom.type.get_field_index("tree") >= 0 else pa.nulls(n)
+    nested = np.flatnonzero(np.asarray(pc.and_(trees.is_valid(), pa.array(~null))).astype(bool))
     m_kind = np.asarray(members.field("kind")).astype(np.int64)
     p_off, parts = _children(members.field("parts"))
     r_off, rings = _children(parts)
@@ -523,10 +555,24 @@ def _encode(geom: pa.StructArray, extended: bool) -> pa.Array:
     body = pa.Array.from_buffers(
         pa.binary(), n, [None, pa.py_buffer(_offsets(starts).tobytes()), pa.py_buffer(out.tobytes())]
     )
-    if not null.any():
-        return body
-    valid = pa.array(~null).buffers()[1]
-    return pa.Array.from_buffers(pa.binary(), n, [valid, *body.buffers()[1:]])
+    if null.any():
+        body = pa.Array.from_buffers(pa.binary(), n, [pa.array(~null).buffers()[1], *body.buffers()[1:]])
+    if len(nested):
+        texts = []
+        leaf_at = m_off - m_off[0]
+        for row in nested.tolist():
+            leaves = iter(range(leaf_at[row], leaf_at[row + 1]))
+            head = out[row_at[row] : row_at[row] + row_head[row] - 4].tobytes()
+            texts.append(_with_tree(head, trees[row].as_py(), (out[m_at[i] : m_at[i] + m_size[i]].tobytes() for i in leaves)))
+        body = pc.replace_with_mask(body, pa.array(np.isin(np.arange(n), nested)), pa.array(texts, pa.binary()))
+    return body
+
+
+def _with_tree(head: bytes, tree: list[int], leaves) -> bytes:
+    """A collection's bytes up to its count, its nodes in preorder and the bytes of its leaves -> all its bytes."""
+    parts = [head, struct.pack("<I", tree[0])]
+    parts += [next(leaves) if size < 0 else struct.pack("<BII", 1, 7, size) for size in tree[1:]]
+    return b"".join(parts)
 
 
 @F.arrow_udf(DECODED)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from geoloom.functions.geojson import vertex_error
 from geoloom.operators.validate import check_structure, orient_rings, vertex_count
 from geoloom.operators.validity import check_validity
-from geoloom.schema import DEFAULT_SRID, ERROR, GEOM, KINDS, declare_geometry, error, kind_code, no_error
+from geoloom.schema import DEFAULT_SRID, ERROR, GEOM, KINDS, declare_geometry, error, kind_code, no_error, no_tree
 from geoloom.session import materialize
 
 BROADCAST_KEYS = 100_000
@@ -19,9 +19,9 @@ def _names(value: str | list[str]) -> list[str]:
     return [value] if isinstance(value, str) else list(value)
 
 
-def _geom(kind: Column | int, srid: Column | int, members: Column) -> Column:
+def _geom(kind: Column | int, srid: Column | int, members: Column, tree: Column | None = None) -> Column:
     as_col = lambda v: v if isinstance(v, Column) else F.lit(v)
-    return F.struct(as_col(kind).alias("kind"), as_col(srid).alias("srid"), members.alias("members")).cast(GEOM)
+    return F.struct(as_col(kind).alias("kind"), as_col(srid).alias("srid"), members.alias("members"), (no_tree() if tree is None else tree).alias("tree")).cast(GEOM)
 
 
 def _single(kind: int, srid: Column | int, parts: Column) -> Column:
@@ -274,7 +274,7 @@ def collect_multi(
     chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Geometries per key -> MultiPoint, MultiLineString or MultiPolygon when all are
-    points, lines or polygons, else GeometryCollection.
+    points, lines or polygons, else GeometryCollection. Collections among them become its members.
 
     NULL geometries are passed over. One value per key, joined from arrays of ``chunk_rows`` geometries that many
     tasks put in order; one that no row can hold fails the job. With ``max_vertices`` keys with more
@@ -284,7 +284,11 @@ def collect_multi(
     rows = df.filter(F.col(col).isNotNull()).select(
         *keys, *[c for c in order if c not in (*keys, col)], F.col(col).alias("__g")
     )
-    members, kind, srid = F.col("__g")["members"], F.col("__g")["kind"], F.col("__g")["srid"]
+    kind, srid, tree = F.col("__g")["kind"], F.col("__g")["srid"], F.col("__g")["tree"]
+    leaf = F.lit(-1)
+    flat = F.concat(F.array(F.size(F.col("__g")["members"])), F.array_repeat(leaf, F.size(F.col("__g")["members"])))
+    nodes = F.when(kind == KINDS["GeometryCollection"], F.coalesce(tree, flat)).otherwise(F.array(leaf))
+    members = F.struct(F.col("__g")["members"].alias("members"), nodes.alias("nodes"))
     if max_vertices is None:
         groups_by = list(keys)
         groups = _gathered(rows, keys, order, members, {"__lo": kind, "__srid": srid}, {"__hi": kind}, chunk_rows)
@@ -306,11 +310,11 @@ def collect_multi(
                 same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
             groups = groups.drop("__lo", "__hi").join(bounds, same)
     lo, hi = F.col("__lo"), F.col("__hi")
-    members = F.flatten("__members")
+    members = F.flatten(F.transform("__members", lambda m: m["members"]))
     alike = (lo == hi) & (hi <= 3)
     kind = F.when(alike, hi + 3).otherwise(F.lit(KINDS["GeometryCollection"]))
     merged = F.array(F.struct(kind.alias("kind"), F.flatten(F.transform(members, lambda m: m["parts"])).alias("parts")))
     nested = hi == KINDS["GeometryCollection"]
-    geom = F.when(~nested, _geom(kind, F.col("__srid"), F.when(alike, merged).otherwise(members)))
-    found = F.when(nested, error("NESTED_COLLECTION", "geometries")).otherwise(no_error())
-    return groups.select(*groups_by, F.size("__members").alias("n_members"), geom.alias(out), found.alias(out + "_error"))
+    tree = F.concat(F.array(F.size("__members")), F.flatten(F.transform("__members", lambda m: m["nodes"])))
+    geom = _geom(kind, F.col("__srid"), F.when(alike, merged).otherwise(members), F.when(nested, tree))
+    return groups.select(*groups_by, F.size("__members").alias("n_members"), geom.alias(out), no_error().alias(out + "_error"))

@@ -24,7 +24,10 @@ DEFAULT_SRID = 4326
 VERTEX = "struct<x:double,y:double>"
 PARTS = f"array<array<array<{VERTEX}>>>"
 MEMBERS = f"array<struct<kind:int,parts:{PARTS}>>"
-GEOM = f"struct<kind:int,srid:int,members:{MEMBERS}>"
+# ``tree`` is NULL unless a collection holds collections. Then ``members`` are the geometries at its leaves, and the tree
+# lists all nodes in preorder, the collection itself first: its number of children, or -1 for the next leaf.
+TREE = "array<int>"
+GEOM = f"struct<kind:int,srid:int,members:{MEMBERS},tree:{TREE}>"
 ERROR = "struct<code:string,field:string,detail:string>"
 
 # The same types as objects, for places that run before there is a session.
@@ -38,6 +41,7 @@ GEOM_TYPE = T.StructType(
         T.StructField("kind", T.IntegerType()),
         T.StructField("srid", T.IntegerType()),
         T.StructField("members", MEMBERS_TYPE),
+        T.StructField("tree", T.ArrayType(T.IntegerType())),
     ]
 )
 
@@ -70,6 +74,10 @@ def error(code: str | Column, field: str | None = None, detail=None) -> Column:
     )
 
 
+def no_tree() -> Column:
+    return F.lit(None).cast(TREE)
+
+
 def no_error() -> Column:
     return F.lit(None).cast(ERROR)
 

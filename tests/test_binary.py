@@ -1,3 +1,4 @@
+import json
 import math
 import random
 import struct
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from geoloom.functions import binary
 from geoloom.functions.bits import doubles_hex, le_double
 from geoloom.operators import encoding as enc
+from geoloom.plans import jobs
 
 POINT = "0101000000000000000000F03F0000000000000040"
 
@@ -27,7 +29,9 @@ CASES = [
     ("E61000000103000000FFFFFFFF", None, "WKB_PARSE"),
     ("E61000000163000000", None, "WKB_PARSE"),
     ("0101000020E6100000000000000000F03F0000000000000040", None, "WKB_PARSE"),
-    ("E61000000107000000010000000107000000" + "00000000", None, "NESTED_COLLECTION"),
+    ("E61000000107000000010000000107000000" + "01000000", None, "WKB_PARSE"),
+    ("E61000000107000000020000000107000000" + "00000000", None, "WKB_PARSE"),
+    ("E61000000104000000010000000107000000" + "00000000", None, "WKB_PARSE"),
     ("E61000000104000000010000000102000000" + "00000000", None, "WKB_PARSE"),
 ]
 
@@ -210,3 +214,48 @@ def test_many_parts_alone_and_among_others(spark, kind):
     assert lines == [{4: 1, 5: 2 + i % 3, 6: 4}[kind] for i in range(3000)]
     assert [p[0][0].x for p in rows[0].geom.members[0].parts] == [float(i) for i in range(3000)]
     assert [abs(p[0][0].y) for p in rows[6].geom.members[0].parts] == [float(i) for i in range(100)]
+
+
+def _bag(rng, depth):
+    """A collection as nested lists: leaves are (wkb, geojson)."""
+    out = []
+    for _ in range(rng.randrange(4)):
+        x = float(rng.randrange(9))
+        if depth and rng.random() < 0.5:
+            out.append(_bag(rng, depth - 1))
+        elif rng.random() < 0.5:
+            out.append((_wkb(1, struct.pack("<2d", x, 2.0)), {"type": "Point", "coordinates": [x, 2.0]}))
+        else:
+            out.append((_line([(x, 1.0), (3.0, x)]), {"type": "LineString", "coordinates": [[x, 1.0], [3.0, x]]}))
+    return out
+
+
+def _bag_wkb(bag):
+    return _wkb(7, struct.pack("<I", len(bag)) + b"".join(_bag_wkb(b) if isinstance(b, list) else b[0] for b in bag))
+
+
+def _bag_json(bag):
+    return {"type": "GeometryCollection", "geometries": [_bag_json(b) if isinstance(b, list) else b[1] for b in bag]}
+
+
+def test_collections_in_collections(spark):
+    rng = random.Random(9)
+    bags = [_bag(rng, 4) for _ in range(150)] + [[[[[]]]], [[], []], [], [[], [_bag(rng, 0)], []]]
+    deep = []
+    for _ in range(300):
+        deep = [deep]
+    bags.append(deep)
+    srid = struct.pack("<I", 4326)
+    rows = [(i, (srid + _bag_wkb(b)).hex().upper()) for i, b in enumerate(bags)]
+    df = enc.decode_wkb(spark.createDataFrame(rows, "id long, wkb string").repartition(2), "wkb")
+    out = enc.format_geojson(enc.encode_ewkb(enc.encode_wkb(df, "geom", out="again"), "geom"), "geom").orderBy("id").collect()
+    assert [r.again for r in out] == [h for _, h in rows]
+    assert all(r.geom_error is None for r in out)
+    assert [json.loads(r.geojson) for r in out[:-1]] == [_bag_json(b) for b in bags[:-1]]
+    assert out[-1].geojson.count("GeometryCollection") == 301
+    back = enc.decode_ewkb(spark.createDataFrame([(r.id, r.ewkb) for r in out], "id long, e string"), "e").orderBy("id").collect()
+    assert [r.geom for r in back] == [r.geom for r in out]
+    flat = [r.geom.tree is None for r in out]
+    assert flat == [not any(isinstance(b, list) for b in bag) for bag in bags]
+    audit = jobs.audit_roundtrip(spark.createDataFrame(rows, "id long, wkb string"), "wkb").first()
+    assert (audit.kind, audit.n_identical, audit.n_rows) == (7, len(bags), len(bags))
