@@ -245,6 +245,77 @@ def decode_ewkb_multi_points(spark, sf_dir):
     return rows.select("nationkey", F.lit("MultiPoint").alias("name"), F.size(F.col("geom.members")[0]["parts"]).cast("bigint").alias("n"), "geojson")
 
 
+@_query(TRACKS + """SELECT track_id // 50 AS grp, count(*) AS n, md5('{"type":"MultiLineString","coordinates":[' ||
+    string_agg(substr(text, 36, length(text) - 36), ',' ORDER BY track_id) || ']}') AS digest FROM tracks WHERE n > 1 GROUP BY track_id // 50""")
+def decode_wkb_multi_lines(spark, sf_dir):
+    lines = _lines(spark, sf_dir).select(F.expr("track_id div 50").alias("grp"), "track_id", "geom")
+    stored = enc.encode_wkb(shape.collect_multi(lines, "grp", "track_id", "geom", out="multi"), "multi", as_hex=False)
+    rows = enc.decode_wkb(stored.select("grp", F.col("n_members").cast("bigint").alias("n"), "wkb"), "wkb", expect="MultiLineString")
+    return enc.format_geojson(rows, "geom").select("grp", "n", F.md5("geojson").alias("digest"))
+
+
+@_query(FRAMES + f"""SELECT CAST(geom_id // 20 AS BIGINT) AS grp, count(*) AS n, md5('{{"type":"MultiPolygon","coordinates":[' ||
+    string_agg(substr({ORIENTED}, 33, length({ORIENTED}) - 33), ',' ORDER BY geom_id) || ']}}') AS digest FROM t WHERE cls < 6 GROUP BY geom_id // 20""")
+def decode_wkb_multi_polygons(spark, sf_dir):
+    """Polygons that are faulty have no geometry and are passed over."""
+    areas = _polygons(spark, sf_dir).select(F.expr("geom_id div 20").alias("grp"), "geom_id", "geom")
+    stored = enc.encode_wkb(shape.collect_multi(areas, "grp", "geom_id", "geom", out="multi"), "multi")
+    rows = enc.decode_wkb(stored.select("grp", F.col("n_members").cast("bigint").alias("n"), "wkb"), "wkb", expect="MultiPolygon")
+    return enc.format_geojson(rows, "geom").select("grp", "n", F.md5("geojson").alias("digest"))
+
+
+_BAGS = _with(
+    p=fx.GEO_POINTS,
+    v=fx.GEO_TRACK_POINTS,
+    tracks=f"SELECT track_id, count(*) AS n, {LINE_TEXT} AS text FROM v GROUP BY track_id",
+    m=f"""SELECT geom_id // 50 AS grp, 0 AS src, geom_id AS id, {POINT_TEXT} AS text FROM p
+        UNION ALL SELECT track_id // 50, 1, track_id, text FROM tracks WHERE n > 1""",
+    bags="""SELECT grp, count(*) AS n, '{"type":"GeometryCollection","geometries":[' || string_agg(text, ',' ORDER BY src, id) || ']}' AS text,
+        max(src) AS lines, min(src) AS points FROM m GROUP BY grp""",
+)
+
+
+def _bags(spark, sf_dir) -> DataFrame:
+    """Points and lines of a key, a collection each."""
+    points = _points(spark, sf_dir).select(F.expr("geom_id div 50").alias("grp"), F.lit(0).alias("src"), F.col("geom_id").alias("id"), "geom")
+    points = points.withColumn("geom", F.col("geom").withField("srid", F.lit(4326)))
+    lines = _lines(spark, sf_dir).select(F.expr("track_id div 50").alias("grp"), F.lit(1).alias("src"), F.col("track_id").alias("id"), "geom")
+    bags = shape.collect_multi(points.unionByName(lines), "grp", ["src", "id"], "geom", out="bag")
+    return bags.filter("bag.kind = 7").select("grp", F.col("n_members").cast("bigint").alias("n"), "bag")
+
+
+@_query(_BAGS + "SELECT grp, n, md5(text) AS digest FROM bags WHERE points < lines")
+def decode_wkb_collections(spark, sf_dir):
+    stored = enc.encode_wkb(_bags(spark, sf_dir), "bag").drop("bag")
+    rows = enc.format_geojson(enc.decode_wkb(stored, "wkb", expect="GeometryCollection"), "geom")
+    return rows.select("grp", "n", F.md5("geojson").alias("digest"))
+
+
+@_query(_BAGS + """SELECT grp // 4 AS grp, count(*) AS n, md5('{"type":"GeometryCollection","geometries":[' || string_agg(text, ',' ORDER BY grp) || ']}') AS digest
+    FROM bags WHERE points < lines GROUP BY grp // 4""")
+def decode_ewkb_nested_collections(spark, sf_dir):
+    """Collections of collections by way of EWKB, as GeoJSON."""
+    bags = _bags(spark, sf_dir).select(F.expr("grp div 4").alias("outer"), "grp", "bag")
+    stored = enc.encode_ewkb(shape.collect_multi(bags, "outer", "grp", "bag", out="nested"), "nested")
+    rows = enc.format_geojson(enc.decode_ewkb(stored.select("outer", "n_members", "ewkb"), "ewkb"), "geom")
+    return rows.select(F.col("outer").alias("grp"), F.col("n_members").cast("bigint").alias("n"), F.md5("geojson").alias("digest"))
+
+
+@_query("""SELECT CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE 7 END AS kind, CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE 4326 END AS srid, count(*) AS n_rows,
+    count(*) FILTER (c_custkey % 3 < 2) AS n_identical, CAST(0 AS BIGINT) AS n_canonicalised, count(*) FILTER (c_custkey % 3 = 2) AS n_failed, CAST(0 AS BIGINT) AS n_absent
+    FROM customer GROUP BY ALL""")
+def audit_nested_collections(spark, sf_dir):
+    """Collections in collections, empty ones and ones whose count promises too much among them."""
+    points = enc.encode_wkb(_points(spark, sf_dir), "geom")
+    body, bag = F.substring("wkb", 9, 42), lambda n: F.lit("0107000000" + f"{n:02X}000000")
+    nested = F.concat(F.lit("E6100000"), bag(3), body, bag(2), bag(0), bag(1), body, body)
+    empty = F.concat(F.lit("E6100000"), bag(1), bag(1), bag(0))
+    broken = F.concat(F.lit("E6100000"), bag(1), bag(2), body)
+    which = F.col("geom_id") % 3
+    stored = points.select(F.when(which == 0, nested).when(which == 1, empty).otherwise(broken).alias("wkb"))
+    return jobs.audit_roundtrip(stored, "wkb")
+
+
 @_query(TRACKS + f"SELECT track_id, CASE WHEN n > 1 THEN 'E6100000' || {as_wkb('text')} END AS wkb FROM tracks")
 def encode_wkb_lines(spark, sf_dir):
     return enc.encode_wkb(_lines(spark, sf_dir), "geom").select("track_id", "wkb")
@@ -372,6 +443,26 @@ def check_validity_polygons(spark, sf_dir):
     return check_validity(rows, "geom_id", "geom").select("geom_id", "validity")
 
 
+@_query("""SELECT p_partkey AS geom_id, CASE p_partkey % 6 WHEN 1 THEN 'HOLE_OUTSIDE_SHELL' WHEN 2 THEN 'NESTED_HOLES'
+    WHEN 3 THEN 'DISCONNECTED_INTERIOR' WHEN 5 THEN 'DISCONNECTED_INTERIOR' END AS validity FROM part""")
+def check_validity_holes(spark, sf_dir):
+    """Holes outside, in holes, touching their shell twice, once, and in a chain from side to side."""
+    fx.table(spark, sf_dir, "part").createOrReplaceTempView("geoloom_part")
+    frames = spark.sql(fx.PART_FRAMES.replace("FROM part", "FROM geoloom_part"))
+    ring = lambda *corners: "array(" + ", ".join(f"struct(({x}) / 100D AS x, ({y}) / 100D AS y)" for x, y in corners) + ")"
+    square = lambda r, shift="": ring(*fx.square(r, True, shift))
+    diamond = lambda left, middle, right, high: ring((left, "cy"), (middle, f"cy-{high}"), (right, "cy"), (middle, f"cy+{high}"), (left, "cy"))
+    holes = [
+        [square("h2")], [square("h2", "+3*h")], [square("h2"), square("(h2-10)")], [diamond("cx-h", "cx", "cx+h", "h2")],
+        [diamond("cx-h", "cx", "cx+h2", "h2")], [diamond("cx-h", "cx-h2", "cx", "10"), diamond("cx", "cx+h2", "cx+h", "10")],
+    ]
+    shell = ring(*fx.square("h", False))
+    case = " ".join(f"WHEN {i} THEN array({', '.join([shell, *some])})" for i, some in enumerate(holes))
+    rows = frames.select("geom_id", F.expr(f"CASE geom_id % 6 {case} END").alias("rings"))
+    areas = rows.select("geom_id", shape.single_part("Polygon", F.col("rings")).alias("geom"))
+    return check_validity(areas, "geom_id", "geom").select("geom_id", "validity")
+
+
 @_query("""SELECT CAST(p_partkey % 3 AS BIGINT) AS grp,
     CASE p_partkey % 3 WHEN 1 THEN 'NESTED_SHELLS' WHEN 2 THEN 'SELF_INTERSECTION' END AS validity, 2 * count(*) AS n_parts
     FROM part GROUP BY p_partkey % 3""")
@@ -423,6 +514,17 @@ def quality_report(spark, sf_dir):
     return report.select("event_type", "kind", "srid", "code", "n_rows", "n_bad", "n_vertices")
 
 
+@_query(f"""SELECT event_type, code, count(*) AS n_rows, count(code) AS n_bad, count(code) / count(*) AS bad_share FROM
+    (SELECT event_type, {_EVENT_CODE.format(circle="'UNSUPPORTED_TYPE'")} AS code FROM events) q GROUP BY ROLLUP (event_type, code)""")
+def quality_shares(spark, sf_dir):
+    """Share of faulty rows in each group and subtotal."""
+    rows = enc.parse_geojson(fx.fixture(spark, sf_dir, "geo_events"), "geojson")
+    report = validate.outcome_counts(
+        rows.select("event_type", F.col("geom_error")["code"].alias("code"), F.lit(0).alias("vertices"), F.lit(0).alias("reversed")), ["event_type", "code"], subtotals=True
+    )
+    return report.select("event_type", "code", "n_rows", "n_bad", "bad_share")
+
+
 # --- flatten and assemble ----------------------------------------------------------
 
 @_query(POINTS + "SELECT nationkey, CAST(row_number() OVER (PARTITION BY nationkey ORDER BY geom_id) - 1 AS BIGINT) AS part, lon AS x, lat AS y FROM p")
