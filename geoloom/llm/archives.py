@@ -149,7 +149,7 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
 
     Headers alone are joined, by digest. A revisit whose response is missing keeps NULLs.
     """
-    heads = records.drop("body")
+    heads = materialize(records.drop("body"), "heads")  # the archives are unzipped once
     first = heads.filter("type = 'response'").groupBy(F.col("record_id").alias("__id"), F.col("digest").alias("__digest")).agg(
         F.max("pid").alias("refers_pid"), F.max("length").alias("__length")
     )

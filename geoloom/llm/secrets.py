@@ -25,7 +25,7 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}(?:\.[A-Za-z0-9+/_=-]{16,})*")
 SENSITIVE = re.compile(
     r"secret|token|passw|passphrase|pwd|api.?key|access.?key|private.?key|auth|bearer|credential|signature|session", re.IGNORECASE | re.ASCII
 )
@@ -36,6 +36,7 @@ IDENTIFIER = re.compile(r"[A-Za-z_][A-Za-z0-9_]{3,63}")
 REACH = 64  # characters before a candidate in which a sensitive word must stand
 AROUND = 512  # characters on each side that the compressor has seen
 NOVELTY = 0.6  # marginal compressed bytes a character from which a candidate counts
+ROUND_BASE = 0.5  # share of that from which a candidate counts that goes beyond a base span it holds
 DICTIONARY_BYTES = 1 << 16
 DICTIONARY_WORDS = 8192
 
@@ -52,7 +53,8 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
-    """Long strings of letters and digits in sensitive context, clear of the base spans."""
+    """Long strings of letters and digits in sensitive context, parts joined by dots as one, but those that lie within a
+    base span. One that goes beyond a base span is taken whole, so that no part of it stays in clear."""
     out, at, covered = [], 0, 0
     for m in CANDIDATE.finditer(text):
         start, end = m.span()
@@ -61,14 +63,18 @@ def candidates(text: str, base: list[tuple[int, int, int]]) -> list[tuple[int, i
             continue
         if not SENSITIVE.search(text, max(0, start - REACH), start):
             continue
-        while at < len(base) and base[at][0] < end:
+        while at < len(base) and base[at][0] <= start:
             covered = max(covered, base[at][2])
             at += 1
-        if covered <= start:
+        if covered < end:
             out.append((start, end))
     return out
 
 
+def _limit(threshold: float, base: list[tuple[int, int, int]], start: int, end: int) -> float:
+    return threshold * ROUND_BASE if any(s < end and start < e for s, _, e in base) else threshold
+
+
 def of_words(value: str) -> bool:
     """Whether a string is made of pronounceable words and short numbers, as ``session_identifier_2``: a name, not a secret."""
     return all(len(r) <= 4 if r.isdigit() else len(r) >= 3 and VOWEL.search(r) for r in RUN.findall(value))
@@ -205,7 +211,7 @@ def _scanned(df: DataFrame, text: str, threshold: float, mask: str | None, out:
                     blanked = Blanked(value, hidden(value, base, long)) if base or long else None
                     rows = [(s, k, e, novelty(value, s, e, blanked)) for s, k, e in base]
                     more = ((s, 3, e, novelty(value, s, e, blanked)) for s, e in long)
-                    rows = sorted(rows + [r for r in more if r[3] >= threshold])
+                    rows = sorted(rows + [r for r in more if r[3] >= _limit(threshold, base, r[0], r[2])])
                 if mask is not None:
                     clean.append(masked(value, rows))
                 found.append([{"kind": KINDS[k], "start": s, "end": e, "novelty": n} for s, k, e, n in rows])
@@ -224,7 +230,7 @@ def find_secrets(df: DataFrame, text: str = "text", threshold: float = NOVELTY,
     Kinds: ``assign``, ``access`` and ``hex`` by pattern, ``novel`` for other strings in
     sensitive context whose marginal compressed bytes per character, under a
     zstandard compressor primed with the corpus's identifiers and the surrounding
-    text, reach ``threshold``. Other secrets, candidates and repeats of the string are blanked out of both, so
+    text, reach ``threshold``, or half of it where they hold a base span and go beyond it. Other secrets, candidates and repeats of the string are blanked out of both, so
     copied documents and repeated secrets give what one alone gives; names made of words are not blanked. Offsets are code points, the end exclusive. Two
     narrow passes; only the bounded dictionary is shuffled.
 

@@ -181,6 +181,39 @@ def test_vectors_equal_brute_force(spark):
     assert vectors.near_vectors(docs.limit(0), "__n").count() == 0
 
 
+@pytest.mark.parametrize("dim, mean", [(24, 0.9), (64, 0.8), (64, 0.9), (384, 0.9)])
+def test_vectors_with_a_common_direction(spark, dim, mean):
+    """Pairs of cosine 0.98 to 0.995 among vectors whose mean cosine is high, all found."""
+    rng = np.random.default_rng(dim)
+    z = rng.normal(size=(1200, dim))
+    z[:, 0] = 0
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    base = np.sqrt(1 - mean) * z
+    base[:, 0] = np.sqrt(mean)
+    near = base[:300]
+    away = rng.normal(size=near.shape)
+    away -= (away * near).sum(axis=1, keepdims=True) * near
+    away /= np.linalg.norm(away, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9801, 0.995, size=(300, 1))
+    x = np.concatenate([base, cosine * near + np.sqrt(1 - cosine**2) * away])
+    label = np.concatenate([np.arange(1200) % 2, np.arange(300) % 2])
+    rows = spark.createDataFrame([(i, int(l), v.tolist()) for i, (l, v) in enumerate(zip(label, x))], "n long, label int, embedding array<double>")
+    linked = (x @ x.T >= 0.98) & (label[:, None] == label[None, :])
+    np.fill_diagonal(linked, False)
+    got = {r.rid: r.n_links for r in vectors.near_vectors(rows, "n").collect()}
+    assert got == dict(enumerate(linked.sum(axis=1).tolist()))
+
+
+def test_keys_widen_with_the_rows():
+    differ = np.random.default_rng(1).random((5000, 64)) < 0.07
+    widths = [vectors.choose_tables(differ, log)[0] for log in (4, 10, 16)]
+    assert widths == sorted(widths) and widths[0] < widths[2]
+    for log in (4, 10, 16):
+        width, tables, flips = vectors.choose_tables(differ, log)
+        least = differ[:, : width * tables].reshape(-1, tables, width).sum(axis=2).min(axis=1)
+        assert (least > flips).mean() <= vectors.MISSED
+
+
 def test_encoder_agrees_with_whole_texts():
     from tokenizers import Tokenizer
 

@@ -260,3 +260,19 @@ def test_whole_licence_texts_are_files(spark):
 def test_digest_of_nothing(spark):
     row = secrets.digest(secrets.find_secrets(docs(spark, [None])), "secret_spans", secrets.KINDS[:3], "novel").first()
     assert row.base_sha256 == hashlib.sha256(b"").hexdigest() and row.spans == "" and row.n_hex == 0
+
+
+def test_whole_strings_are_masked(spark):
+    """A string round a base span, and a token of parts joined by dots, leave nothing in clear."""
+    draw = random.Random(12)
+    some = lambda n, of="ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789": "".join(draw.choice(of) for _ in range(n))
+    mixed = "Xq_ZzR7tQ+" + some(32, "0123456789abcdef") + "/KpW8vLmNoQ2rStUvWxYz"
+    jwt = ".".join(some(n) for n in (36, 74, 43))
+    texts = [f"the api secret header: {mixed} and so on", f"api secret header JWT {jwt} then", "token=abcdef1234567890", f"plain words {mixed[:8]} here", None, ""]
+    frame = docs(spark, texts)
+    found = {r.doc_id: r.secret_spans for r in secrets.find_secrets(frame).collect()}
+    clean = {r.doc_id: r.text for r in secrets.redact_secrets(frame).collect()}
+    assert [(s.kind, texts[0][s.start : s.end]) for s in found[0]] == [("novel", mixed), ("hex", mixed[10:42])]
+    assert clean[0] == "the api secret header: <SECRET> and so on"
+    assert [(s.kind, texts[1][s.start : s.end]) for s in found[1]] == [("novel", jwt)] and clean[1] == "api secret header JWT <SECRET> then"
+    assert [s.kind for s in found[2]] == ["assign"] and not found[3] and clean[3] == texts[3]
