@@ -109,7 +109,7 @@ def prepare_jdbc_write(
             raise ValueError(f"invalid geometry, nothing was written; first error: {first}")
     elif mode != "quarantine":
         raise ValueError(f"unknown mode: {mode}")
-    return encode_columns(checked.filter(~bad), geom_cols, how.encode), rejected
+    return encode_columns(checked.filter(~bad), geom_cols, how.encode, "drop"), rejected
 
 
 def write_jdbc_geometry(

@@ -20,10 +20,20 @@ def decode_columns(df: DataFrame, geom_cols: dict[str, int | str | None], how: E
     return declare_geometry(df, geom_cols)
 
 
-def encode_columns(df: DataFrame, geom_cols: list[str], encode) -> DataFrame:
-    """Replace geometry columns by their encoded form and drop their error columns."""
-    errors = [c + "_error" for c in geom_cols if c + "_error" in df.columns]
-    return df.withColumns({c: encode(F.col(c)) for c in geom_cols}).drop(*errors)
+def encode_columns(df: DataFrame, geom_cols: list[str], encode, errors: str = "keep") -> DataFrame:
+    """Replace geometry columns by their encoded form.
+
+    A row with an error has no geometry. Its error column stays with ``keep``, goes with ``drop``, and with ``fail`` the job that meets it fails.
+    """
+    found = [c + "_error" for c in geom_cols if c + "_error" in df.columns]
+    if errors not in ("keep", "drop", "fail"):
+        raise ValueError(f"errors are kept, dropped or fail, not {errors}")
+    if errors == "fail":
+        for c in found:
+            stop = F.raise_error(F.concat(F.lit(f"{c}: "), F.to_json(F.col(c))))
+            df = df.withColumn(c.removesuffix("_error"), F.when(F.col(c).isNotNull(), stop).otherwise(F.col(c.removesuffix("_error"))))
+    df = df.withColumns({c: encode(F.col(c)) for c in geom_cols})
+    return df if errors == "keep" else df.drop(*found)
 
 
 def read_wkb_table(
@@ -51,24 +61,30 @@ def read_geojson(spark: SparkSession, path: str, srid: int = DEFAULT_SRID, expec
 
 def write_wkb_table(
     df: DataFrame, path: str, geom_cols: list[str], partition_by: list[str] | None = None, as_hex: bool = False,
-    fmt: str = "parquet", mode: str = "errorifexists", encoded_as: str = "wkb",
+    fmt: str = "parquet", mode: str = "errorifexists", encoded_as: str = "wkb", errors: str = "keep",
 ) -> None:
     """Write geometry columns as SRID-prefixed WKB, or in another registered encoding. No shuffle.
 
-    Partition by something of few values, such as kind or SRID. ``as_hex`` is for WKB alone.
+    Error columns are written beside them; ``errors`` may also be ``drop`` or ``fail``. Partition by something of few values, such as kind or SRID. ``as_hex`` is for WKB alone.
     """
     encode = (lambda g: binary.encode(g, as_hex)) if encoded_as == "wkb" else encoding(encoded_as).encode
-    encoded = encode_columns(df, geom_cols, encode)
+    encoded = encode_columns(df, geom_cols, encode, errors)
     encoded.write.format(fmt).mode(mode).partitionBy(*(partition_by or [])).save(path)
 
 
 def write_ewkb_table(
-    df: DataFrame, path: str, geom_cols: list[str], fmt: str = "csv", mode: str = "errorifexists", **options
+    df: DataFrame, path: str, geom_cols: list[str], fmt: str = "csv", mode: str = "errorifexists", errors: str = "keep", **options
 ) -> None:
-    """Write geometry columns as EWKB hex, ready for a bulk load into PostGIS."""
+    """Write geometry columns as EWKB hex, ready for a bulk load into PostGIS.
+
+    Error columns are written beside them, as JSON text in CSV; ``errors`` may also be ``drop`` or ``fail``.
+    """
+    encoded = encode_columns(df, geom_cols, binary.encode_ewkb, errors)
     if fmt == "csv":
         options = {"header": "true", **options}
-    encode_columns(df, geom_cols, binary.encode_ewkb).write.format(fmt).options(**options).mode(mode).save(path)
+        kept = [c + "_error" for c in geom_cols if c + "_error" in encoded.columns]
+        encoded = encoded.withColumns({c: F.to_json(F.col(c)) for c in kept})
+    encoded.write.format(fmt).options(**options).mode(mode).save(path)
 
 
 def write_geojson(df: DataFrame, path: str, geom_col: str = "geom", mode: str = "errorifexists") -> None:

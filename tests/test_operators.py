@@ -193,3 +193,21 @@ def test_no_task_sorts_a_long_key(spark):
     assert found.order == sorted(found.order)
     plan = lines._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning(k" in plan
+
+
+def test_written_tables_keep_or_refuse_bad_rows(spark, tmp_path):
+    df = points(spark, [(1, 1.0, 2.0, 4326), (2, 200.0, 0.0, 4326)]).select("id", "geom", "geom_error")
+    tables.write_wkb_table(df, str(tmp_path / "kept"), ["geom"])
+    kept = spark.read.parquet(str(tmp_path / "kept")).orderBy("id").collect()
+    assert [(r.geom is None, r.geom_error and r.geom_error.code) for r in kept] == [(False, None), (True, "LON_RANGE")]
+    tables.write_wkb_table(df, str(tmp_path / "dropped"), ["geom"], errors="drop")
+    assert spark.read.parquet(str(tmp_path / "dropped")).columns == ["id", "geom"]
+    tables.write_ewkb_table(df, str(tmp_path / "csv"), ["geom"])
+    text = spark.read.option("header", "true").csv(str(tmp_path / "csv"), escape='"').orderBy("id").collect()
+    assert text[0].geom_error is None and "LON_RANGE" in text[1].geom_error
+    for write, name in ((tables.write_wkb_table, "a"), (tables.write_ewkb_table, "b")):
+        with pytest.raises(Exception, match="LON_RANGE"):
+            write(df, str(tmp_path / name), ["geom"], errors="fail")
+    tables.write_wkb_table(df.filter("id = 1"), str(tmp_path / "good"), ["geom"], errors="fail")
+    with pytest.raises(ValueError):
+        tables.write_wkb_table(df, str(tmp_path / "none"), ["geom"], errors="hide")
