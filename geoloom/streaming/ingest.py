@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from geoloom.operators.encoding import parse_geojson
-from geoloom.operators.validity import row_verdict
+from geoloom.operators.validity import row_verdict, settle_in_row
 from geoloom.plans.jobs import curate_geojson, ingested_rows
 from geoloom.schema import DEFAULT_SRID, bind, error
 from geoloom.session import scratch_scope
@@ -21,22 +21,21 @@ def _lines(spark: SparkSession, path: str, **options) -> DataFrame:
 def stream_geojson(spark: SparkSession, path: str, srid: int = DEFAULT_SRID, expect=None, **options) -> DataFrame:
     """Arriving files of newline-delimited GeoJSON as a streaming table of geometries.
 
-    The same contract as the batch reader, except for polygons whose validity no row can
-    settle alone: they stay, with ``geom_undecided`` true, for the ingest below or a batch job.
+    The same contract as the batch reader, validity of polygons included: those that its expressions leave open
+    are judged within their row, edge against edge, as a stream cannot wait for a join.
     """
     df = parse_geojson(_lines(spark, path, **options), "value", srid, expect, check_valid=False, partial=True)
     meta = df.schema["geom"].metadata
     df = bind(df, "__row", row_verdict("geom", True))
-    is_open = F.coalesce(F.col("__row")["open"], F.lit(False))
-    bad = ~is_open & F.col("__row")["code"].isNotNull()
-    found = error("INVALID_POLYGON", "coordinates", F.col("__row")["code"])
+    df = bind(df, "__code", settle_in_row("geom", F.col("__row")))
+    bad = F.col("__code").isNotNull()
+    found = error("INVALID_POLYGON", "coordinates", F.col("__code"))
     return df.withColumns(
         {
             "geom": F.when(~bad & F.col("geom_error").isNull(), F.col("geom")).alias("geom", metadata=meta),
             "geom_error": F.when(bad, found).otherwise(F.col("geom_error")),
-            "geom_undecided": is_open,
         }
-    ).drop("__row")
+    ).drop("__row", "__code")
 
 
 def stream_ingest_geojson(

@@ -111,3 +111,26 @@ def test_a_batch_is_seen_whole_or_not_at_all(spark, tmp_path, monkeypatch):
     assert (seen("good"), seen("bad")) == ([1, 3, 7], [2, 8])
     plan = published.read_published(spark, dst, "good").select("id")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(table" in plan
+
+
+def test_stream_and_batch_agree_on_all_polygons(spark, tmp_path):
+    """Named cases, collections of them, and large rings: no row is left open."""
+    from test_validity import MULTI, POLYGONS, fan
+
+    from geoloom.operators.encoding import parse_geojson
+
+    area = lambda rings: {"type": "Polygon", "coordinates": rings}
+    texts = [area(r) for r, _ in POLYGONS.values()] + [{"type": "MultiPolygon", "coordinates": c} for c, _ in MULTI.values()]
+    texts += [{"type": "GeometryCollection", "geometries": [area(r), area(POLYGONS["bow-tie"][0])]} for r, _ in POLYGONS.values()]
+    big = [[-9, -9], [9, -9], [9, 9], [-9, 9], [-9, -9]]
+    comb = [[0, -1]] + [[i * 1e-3, (i % 2) * 1e-3] for i in range(400)] + [[5, 0], [5, -1], [0, -1]]
+    texts += [area([big, *(r[0][::-1] for r in fan(60))]), area([comb]), area([[*comb[:200], [0.05, -0.5], *comb[200:]]])]
+    lines = [json.dumps(t) for t in texts] + ["{bad", "null"]
+    write(tmp_path / "in", "a.json", lines)
+    query = stream_geojson(spark, str(tmp_path / "in")).writeStream.format("parquet").option("path", str(tmp_path / "out"))
+    query.option("checkpointLocation", str(tmp_path / "state")).trigger(availableNow=True).start().awaitTermination()
+    streamed = {r.value: (r.geom, r.geom_error) for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    batch = {r.value: (r.geom, r.geom_error) for r in parse_geojson(spark.read.text(str(tmp_path / "in")), "value").collect()}
+    assert streamed == batch
+    details = {e.detail for _, e in batch.values() if e}
+    assert {"SELF_INTERSECTION", "DISCONNECTED_INTERIOR", "HOLE_OUTSIDE_SHELL", "NESTED_HOLES"} <= details
