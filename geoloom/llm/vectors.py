@@ -22,7 +22,7 @@ COSINE = 0.98
 SAMPLE = 20_000  # vectors, as expected, on which the rotation is learnt
 BITS = 64  # of a code at most
 MISSED = 5e-4  # share of near pairs, made from the sample, that the tables may miss
-MOST_FLIPS, WIDEST = 3, 16  # bits that are turned in a lookup, and bits of a key
+MOST_FLIPS, WIDEST = 3, 20  # bits that are turned in a lookup, and bits of a key
 TRIED = 20_000  # near pairs made to choose the tables
 ROUNDS = 40
 
@@ -63,20 +63,27 @@ def _apart(x: np.ndarray, model: tuple[np.ndarray, np.ndarray], least: float, se
     return (((x - mean) @ projection) >= 0) != (((y - mean) @ projection) >= 0)
 
 
-def choose_tables(differ: np.ndarray, log_rows: int) -> tuple[int, int, int]:
+def missed(differ: np.ndarray) -> dict[tuple[int, int], float]:
+    """Share of the near pairs that meet in no table, by the bits of a key and the bits turned in a lookup."""
+    out, bits = {}, differ.shape[1]
+    for width in range(1, min(WIDEST, bits) + 1):
+        tables = bits // width
+        least = differ[:, : tables * width].reshape(len(differ), tables, width).sum(axis=2).min(axis=1)
+        out |= {(width, flips): float((least > flips).mean()) for flips in range(min(MOST_FLIPS, width) + 1)}
+    return out
+
+
+def choose_tables(share: dict[tuple[int, int], float], bits: int, log_rows: int) -> tuple[int, int, int]:
     """(bits of a key, tables, bits turned) of the least work that miss at most ``MISSED`` of the near pairs.
 
     Work is the lookups of a vector and the vectors it meets in them, so keys get wider as rows become more.
     """
-    bits, best = differ.shape[1], None
-    for width in range(1, min(WIDEST, bits) + 1):
-        tables = bits // width
-        least = differ[:, : tables * width].reshape(len(differ), tables, width).sum(axis=2).min(axis=1)
-        for flips in range(min(MOST_FLIPS, width) + 1):
-            lookups = tables * sum(math.comb(width, k) for k in range(flips + 1))
-            work = lookups * (1 + 2.0 ** (log_rows - width))
-            if (least > flips).mean() <= MISSED and (best is None or work < best[0]):
-                best = (work, width, tables, flips)
+    best = None
+    for (width, flips), lost in share.items():
+        lookups = bits // width * sum(math.comb(width, k) for k in range(flips + 1))
+        work = lookups * (1 + 2.0 ** (log_rows - width))
+        if lost <= MISSED and (best is None or work < best[0]):
+            best = (work, width, bits // width, flips)
     return best[1:] if best else (1, bits, 1)
 
 
@@ -119,7 +126,8 @@ def near_vectors(df: DataFrame, rid: str, label: str = "label", vector: str = "e
         models[r["dim"]] = learn(sample, min(BITS, r["dim"]))
         differ = _apart(sample, models[r["dim"]], least)
         far = int(differ.sum(axis=1).max()) + 2
-        plans += [(r["dim"], log, *choose_tables(differ, log), far) for log in range(int(r["n"]).bit_length() + 1)]
+        share, bits = missed(differ), differ.shape[1]
+        plans += [(r["dim"], log, *choose_tables(share, bits, log), far) for log in range(int(r["n"]).bit_length() + 1)]
     sent = spark.sparkContext.broadcast(models)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

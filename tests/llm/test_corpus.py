@@ -206,10 +206,11 @@ def test_vectors_with_a_common_direction(spark, dim, mean):
 
 def test_keys_widen_with_the_rows():
     differ = np.random.default_rng(1).random((5000, 64)) < 0.07
-    widths = [vectors.choose_tables(differ, log)[0] for log in (4, 10, 16)]
-    assert widths == sorted(widths) and widths[0] < widths[2]
-    for log in (4, 10, 16):
-        width, tables, flips = vectors.choose_tables(differ, log)
+    share = vectors.missed(differ)
+    plans = [vectors.choose_tables(share, 64, log) for log in (4, 10, 16, 20)]
+    widths = [width for width, *_ in plans]
+    assert widths == sorted(widths) and widths[0] < widths[-1]
+    for width, tables, flips in plans:
         least = differ[:, : width * tables].reshape(-1, tables, width).sum(axis=2).min(axis=1)
         assert (least > flips).mean() <= vectors.MISSED
 
