@@ -24,7 +24,7 @@ TOKENS = 2048  # of a sequence
 DOCUMENTS = 1024  # pieces of a sequence at most
 WEIGHTS = (1.0, 0.3, 0.3)  # of tokens, pieces and squared tokens that are left, each against its capacity
 END = 0  # id after each document
-MEMO = 700_000  # words whose ids a worker remembers; it forgets all when they are more
+MEMO = 500_000  # words whose ids a worker remembers; it forgets all when they are more
 TOGETHER = 4_000_000  # bytes of batches whose words are looked up together, or one larger batch
 
 # Plain letters, then marks: the tokenizer never joins the two. An apostrophe may begin a run with letters.
@@ -124,6 +124,9 @@ def encoder(path: str) -> Encoder:
     """The worker's encoder: its memory serves all the tasks of the worker."""
     kept = worker_cache()
     if ("encoder", path) not in kept:
+        # What a worker has kept for stages before goes: it can be made again.
+        kept.clear()
+        pa.default_memory_pool().release_unused()
         kept["encoder", path] = Encoder(path)
     return kept["encoder", path]
 
