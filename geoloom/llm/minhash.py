@@ -34,6 +34,7 @@ def _tables() -> tuple:
     """Draws of each sample: multipliers, log c, r and beta of Ioffe's sampling, the same in every task."""
     kept = worker_cache()
     if "draws" not in kept:
+        kept.clear()  # what other stages kept in this worker can be made again
         rng = np.random.default_rng(20240607)
         size = (SAMPLES, 1 << _DRAW_BITS)
         r = rng.gamma(2.0, 1.0, size).astype(np.float32)
