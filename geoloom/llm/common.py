@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
+from collections.abc import Callable
+from typing import Any
 
 import numpy as np
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +20,7 @@ from geoloom.session import materialize
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 ARROW_ROWS = 256  # rows of whole texts that one Arrow batch may hold
+ARROW_BYTES = 16 << 20  # and bytes, or one row of more
 BROADCAST_IDS = 200_000  # longs that may be broadcast: under 2 MB, counted first
 
 # Characters outside words, after A-Z are lower-cased.
@@ -27,10 +33,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def small_batches(spark: SparkSession) -> None:
-    """Hold Arrow batches of whole texts to a few hundred rows, so memory follows the longest texts."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    if not 0 < int(spark.conf.get(key, "10000")) <= ARROW_ROWS:
-        spark.conf.set(key, str(ARROW_ROWS))
+    """Hold Arrow batches of whole texts to a few hundred rows and some megabytes, so memory follows the longest text."""
+    rows, size = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.execution.arrow.maxBytesPerBatch"
+    if not 0 < int(spark.conf.get(rows, "10000")) <= ARROW_ROWS:
+        spark.conf.set(rows, str(ARROW_ROWS))
+    spark.conf.set(size, str(ARROW_BYTES))
 
 
 def words(text: Column) -> Column:
@@ -57,6 +64,25 @@ def worker_cache() -> dict:
     return module.__dict__.setdefault("kept", {})
 
 
+def let_go() -> None:
+    """Drop what a worker keeps for its tasks, which can be made again, and give its memory back."""
+    worker_cache().clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def kept_alone(key: Any, make: Callable[[], Any]) -> Any:
+    """What a worker keeps under ``key``, made at need after what other stages kept is let go."""
+    kept = worker_cache()
+    if key not in kept:
+        let_go()
+        kept[key] = make()
+    return kept[key]
+
+
 # --- hashes of words, inside tasks ------------------------------------------
 
 _WORD_BYTE = np.zeros(256, dtype=bool)

@@ -14,7 +14,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import components, mix, small_batches, table, with_row_id, without_rows, word_hashes, worker_cache
+from geoloom.llm.common import components, kept_alone, let_go, mix, small_batches, table, with_row_id, without_rows, word_hashes
 from geoloom.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -28,21 +28,18 @@ IDF_BITS = 17  # words are hashed to 2**17 counters of document frequency
 _DRAW_BITS = 16  # random draws of a sample are tabled under this many bits of the shingle's hash
 BLOCK = 256  # classes of a bucket on each side of a group that is compared
 _ELEMENTS = 1 << 16  # shingles sampled at a time
+_HELD = 1 << 20  # shingles of texts that a task remembers while it verifies pairs
 
 
-def _tables() -> tuple:
+def _draws() -> tuple:
     """Draws of each sample: multipliers, log c, r and beta of Ioffe's sampling, the same in every task."""
-    kept = worker_cache()
-    if "draws" not in kept:
-        kept.clear()  # what other stages kept in this worker can be made again
-        rng = np.random.default_rng(20240607)
-        size = (SAMPLES, 1 << _DRAW_BITS)
-        r = rng.gamma(2.0, 1.0, size).astype(np.float32)
-        log_c = np.log(rng.gamma(2.0, 1.0, size)).astype(np.float32)
-        beta = rng.random(size, dtype=np.float32)
-        factors = rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        kept["draws"] = (factors, log_c - r, r, beta)
-    return kept["draws"]
+    rng = np.random.default_rng(20240607)
+    size = (SAMPLES, 1 << _DRAW_BITS)
+    r = rng.gamma(2.0, 1.0, size).astype(np.float32)
+    log_c = np.log(rng.gamma(2.0, 1.0, size)).astype(np.float32)
+    beta = rng.random(size, dtype=np.float32)
+    factors = rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return factors, log_c - r, r, beta
 
 
 def shingles(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -75,7 +72,7 @@ def sketches(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
 
     Every set has an element. Many sets are sampled in one go.
     """
-    factors, shifted, r, beta = _tables()
+    factors, shifted, r, beta = kept_alone("draws", _draws)
     h = np.concatenate([s[0] for s in sets])
     log_w = np.log(np.concatenate([s[1] for s in sets])).astype(np.float32)
     lengths = np.array([len(s[0]) for s in sets])
@@ -102,6 +99,7 @@ def hashed(df: DataFrame, text: str, rid: str) -> DataFrame:
     """Row id, the words of whole texts as 32-bit hashes, and a digest of the words; written once."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go()
         for batch in batches:
             words, digests = [], []
             for value in batch.column(1).to_pylist():
@@ -168,12 +166,16 @@ def _verified(pairs: DataFrame, rows: DataFrame, idf, least: float) -> DataFrame
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple] = {}
+        held = 0
 
         def of(rid: int, value: bytes) -> tuple:
+            nonlocal held
             if rid not in known:
-                if len(known) > 64:
+                if held > _HELD:
                     known.clear()
+                    held = 0
                 known[rid] = shingles(np.frombuffer(value, dtype=np.uint32), idf.value)
+                held += len(known[rid][0])
             return known[rid]
 
         for batch in batches:

@@ -15,7 +15,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoloom.llm.common import small_batches, table, worker_cache
+from geoloom.llm.common import kept_alone, small_batches, table
 from geoloom.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -122,13 +122,7 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder: its memory serves all the tasks of the worker."""
-    kept = worker_cache()
-    if ("encoder", path) not in kept:
-        # What a worker has kept for stages before goes: it can be made again.
-        kept.clear()
-        pa.default_memory_pool().release_unused()
-        kept["encoder", path] = Encoder(path)
-    return kept["encoder", path]
+    return kept_alone(("encoder", path), lambda: Encoder(path))
 
 
 def tokenizer_path() -> str:
