@@ -22,6 +22,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 ARROW_ROWS = 256  # rows of whole texts that one Arrow batch may hold
 ARROW_BYTES = 16 << 20  # and bytes, or one row of more
 BROADCAST_IDS = 200_000  # longs that may be broadcast: under 2 MB, counted first
+BITMAPS = 4096  # bitmaps of 4 KB, each of 32 768 consecutive longs, that may be broadcast: 16 MB, counted first
 
 # Characters outside words, after A-Z are lower-cased.
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -57,6 +58,22 @@ def without_rows(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
     return df.join(F.broadcast(ids) if small else ids.hint("merge"), key, "left_anti")
 
 
+def rows_of(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows of ``df`` whose long ``key`` is among the longs of ``ids``, a stored table of one column, before any shuffle.
+
+    The ids travel as bitmaps, a bit for each number of a run of 32 768. Where they are so scattered that these are more
+    than ``BITMAPS``, ``df`` comes back whole: a join on the key must follow.
+    """
+    (name,) = ids.columns
+    bits = ids.groupBy(F.bitmap_bucket_number(name).alias("__bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(name)).alias("__bits"))
+    if ids.select(F.bitmap_bucket_number(name).alias("__bucket")).distinct().count() > BITMAPS:
+        return df
+    found = df.join(F.broadcast(bits), F.bitmap_bucket_number(key) == F.col("__bucket"))
+    place = F.bitmap_bit_position(key)
+    byte = F.conv(F.hex(F.substring("__bits", F.floor(place / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return found.filter(F.getbit(byte, (place % 8).cast("int")) == 1).select(df.columns)
+
+
 def worker_cache() -> dict:
     """Tables that the tasks of one Python worker share. The helpers of this package travel by
     value, so what their modules hold is new in every task; a module of the worker's own stays."""

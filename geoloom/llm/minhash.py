@@ -13,8 +13,9 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from geoloom.llm.common import components, kept_alone, let_go, mix, small_batches, table, with_row_id, without_rows, word_hashes
+from geoloom.llm.common import components, kept_alone, let_go, mix, rows_of, small_batches, table, with_row_id, without_rows, word_hashes
 from geoloom.session import materialize
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -95,8 +96,9 @@ def sketches(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     return out
 
 
-def hashed(df: DataFrame, text: str, rid: str) -> DataFrame:
-    """Row id, the words of whole texts as 32-bit hashes, and a digest of the words; written once."""
+def hashed(df: DataFrame, text: str, rid: str, keep: list[str]) -> DataFrame:
+    """Row id, the words of whole texts as 32-bit hashes, a digest of the words, and the columns ``keep`` as ``kept``; written once."""
+    taken = df.select(F.col(rid).alias("rid"), F.col(f"`{text}`").alias("t"), *[F.struct(*[f"`{c}`" for c in keep]).alias("kept")] * bool(keep))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         let_go()
@@ -106,10 +108,12 @@ def hashed(df: DataFrame, text: str, rid: str) -> DataFrame:
                 h = (word_hashes(value) >> np.uint64(32)).astype(np.uint32)
                 words.append(h.tobytes())
                 digests.append(hashlib.blake2b(h.tobytes(), digest_size=16).digest() if len(h) else None)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(words, pa.binary()), pa.array(digests, pa.binary())], names=["rid", "words", "digest"])
+            arrays = [batch.column(0), pa.array(words, pa.binary()), pa.array(digests, pa.binary()), *batch.columns[2:]]
+            yield pa.RecordBatch.from_arrays(arrays, names=["rid", "words", "digest", "kept"][: len(arrays)])
 
     small_batches(df.sparkSession)
-    return materialize(df.select(F.col(rid).alias("rid"), F.col(f"`{text}`").alias("t")).mapInArrow(scan, "rid long, words binary, digest binary"), "words")
+    fields = [T.StructField("rid", T.LongType()), T.StructField("words", T.BinaryType()), T.StructField("digest", T.BinaryType())]
+    return materialize(taken.mapInArrow(scan, T.StructType(fields + taken.schema.fields[2:])), "words")
 
 
 def word_idf(rows: DataFrame) -> np.ndarray:
@@ -158,11 +162,11 @@ def _sampled(rows: DataFrame, idf) -> DataFrame:
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, SAMPLES), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], names=["rid", "digest", "samples"])
 
-    return rows.filter("digest IS NOT NULL").mapInArrow(scan, "rid long, digest binary, samples array<smallint>")
+    return rows.select("rid", "words", "digest").filter("digest IS NOT NULL").mapInArrow(scan, "rid long, digest binary, samples array<smallint>")
 
 
 def _verified(pairs: DataFrame, rows: DataFrame, idf, least: float) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard reaches ``least``, from the texts' words."""
+    """The pairs (a, b) whose weighted Jaccard reaches ``least``, from the texts' words. Only words of these pairs are shuffled."""
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[int, tuple] = {}
@@ -184,7 +188,8 @@ def _verified(pairs: DataFrame, rows: DataFrame, idf, least: float) -> DataFrame
             yield pa.RecordBatch.from_arrays([batch.column(i).filter(pa.array(keep, pa.bool_())) for i in range(2)], names=["a", "b"])
 
     small_batches(rows.sparkSession)
-    words = rows.select("rid", "words")
+    pairs = materialize(pairs, "pairs")
+    words = rows_of(rows.select("rid", "words"), pairs.select("a").union(pairs.select("b")), "rid")
     both = pairs.join(words.withColumnsRenamed({"rid": "a", "words": "wa"}), "a").join(words.withColumnsRenamed({"rid": "b", "words": "wb"}), "b")
     return both.select("a", "b", "wa", "wb").mapInArrow(verify, "a long, b long")
 
@@ -203,8 +208,8 @@ def _across(placed: DataFrame, rows: DataFrame, idf, least: float) -> DataFrame:
     """
     counts = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("own") != F.col("theirs")).alias("n_apart"))
     counts = counts.filter("n_apart > 0").select("band", "key", F.ceil(F.col("n") / BLOCK).alias("bm"), F.ceil(F.col("n_apart") / BLOCK).alias("ba"))
-    mixed = placed.join(counts.hint("merge"), ["band", "key"]).withColumn("apart", F.col("own") != F.col("theirs"))
-    mixed = mixed.join(rows.select(F.col("rid").alias("rep"), "words"), "rep")
+    mixed = materialize(placed.join(counts.hint("merge"), ["band", "key"]).withColumn("apart", F.col("own") != F.col("theirs")), "mixed")
+    mixed = mixed.join(rows_of(rows.select(F.col("rid").alias("rep"), "words"), mixed.select("rep"), "rep"), "rep")
     block = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
     to = lambda last: F.sequence(F.lit(0), (F.col(last) - 1).cast("int"))
     every = F.transform(to("ba"), lambda i: F.struct(i.alias("i"), block(F.col("bm")).alias("j"), F.lit(False).alias("left")))
@@ -255,10 +260,10 @@ def _across(placed: DataFrame, rows: DataFrame, idf, least: float) -> DataFrame:
     return sides.groupBy("band", "key", "i", "j").applyInPandas(compare, "a long, b long")
 
 
-def near_duplicates(df: DataFrame, rid: str, text: str = "text", least: float = SIMILARITY) -> DataFrame:
-    """``(rid, root)`` for every row of ``df``: ``root`` is the least ``rid`` reachable by links.
+def near_duplicates(df: DataFrame, rid: str, text: str = "text", least: float = SIMILARITY, keep: list[str] | None = None) -> DataFrame:
+    """``(rid, root)`` and the columns ``keep`` for every row of ``df``: ``root`` is the least ``rid`` reachable by links.
 
-    ``rid`` must be a number of its own for each row, the same whenever ``df`` is read. Texts with the
+    ``rid`` must be a number of its own for each row. ``df`` is read once and its texts are not written again. Texts with the
     same words are one class; classes with weighted Jaccard of ``least`` or more over TF-IDF weighted
     five-word shingles, that share a band of samples and half of all, are linked. NULL texts and texts without words
     link with nothing. An empty table gives an empty table.
@@ -269,7 +274,7 @@ def near_duplicates(df: DataFrame, rid: str, text: str = "text", least: float =
     only. So no link between different components is left out, and no bucket is gathered in one task. Samples come from words hashed to 32 bits; idf from
     2**17 hashed counters over all texts.
     """
-    rows = hashed(df, text, rid)
+    rows = hashed(df, text, rid, keep or [])
     idf = df.sparkSession.sparkContext.broadcast(word_idf(rows))
     samples = materialize(_sampled(rows, idf), "samples")
     classes = materialize(samples.groupBy("digest").agg(F.min("rid").alias("rep"), F.min_by("samples", "rid").alias("samples")), "classes")
@@ -294,7 +299,8 @@ def near_duplicates(df: DataFrame, rid: str, text: str = "text", least: float =
     roots = materialize(components(links, "groups"), "groups")
     found = samples.select("rid", "digest").join(classes.select("digest", "rep"), "digest")
     found = found.join(roots, found["rep"] == roots["node"], "left").select(F.col("rid").alias("__rid"), F.coalesce("root", "rep").alias("root"))
-    return rows.select("rid").join(found, F.col("rid") == F.col("__rid"), "left").select("rid", F.coalesce("root", "rid").alias("root"))
+    kept = ["kept"] if keep else []
+    return rows.select("rid", *kept).join(found, F.col("rid") == F.col("__rid"), "left").select("rid", F.coalesce("root", "rid").alias("root"), *[f"{c}.*" for c in kept])
 
 
 def keep_one(df: DataFrame, text: str = "text") -> DataFrame:
@@ -307,9 +313,7 @@ def keep_one(df: DataFrame, text: str = "text") -> DataFrame:
 
 def op8_weighted_minhash(spark, sf_dir: str) -> DataFrame:
     """For every document the least doc_id of its group, the group's size, and whether the row is its kept one."""
-    docs = materialize(with_row_id(table(spark, sf_dir, "documents").select("doc_id", "text")), "documents")
-    groups = near_duplicates(docs, "__rid")
-    ids = docs.select(F.col("__rid").alias("rid"), "doc_id").join(groups, "rid")
-    ids = materialize(ids, "grouped")
+    docs = with_row_id(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    ids = materialize(near_duplicates(docs, "__rid", keep=["doc_id"]), "grouped")
     least = ids.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
     return ids.join(least.hint("merge"), "root").select("doc_id", "class_id", "class_size", (F.col("rid") == F.col("root")).alias("kept"))

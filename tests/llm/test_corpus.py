@@ -131,6 +131,34 @@ def test_links_between_members_apart_from_the_least(spark, monkeypatch):
     assert set(got.values()) == {0}
 
 
+def test_near_duplicates_write_no_text_again(spark, monkeypatch, tmp_path):
+    """Documents that are no stored table are read once; their other columns come along with the words."""
+    rng = random.Random(16)
+    texts = [None, ""] + [" ".join(words(rng, 60)) for _ in range(30)]
+    texts += texts[2:8]
+    frame(spark, texts).write.parquet(f"{tmp_path}/documents.parquet")
+    written, plain = [], minhash.materialize
+    monkeypatch.setattr(minhash, "materialize", lambda df, *name: written.append(df.dtypes) or plain(df, *name))
+    rows = minhash.op8_weighted_minhash(spark, str(tmp_path)).collect()
+    assert written and not any(t in ("text", "t") or kind == "string" for table in written for t, kind in table)
+    first = {t: i for i, t in reversed([*enumerate(texts)]) if t}
+    assert {r.doc_id: (r.class_id, r.class_size) for r in rows} == {i: (first.get(t, i), max(1, texts.count(t)) if t else 1) for i, t in enumerate(texts)}
+    assert len(rows) == len(texts) and sum(r.kept for r in rows) == len(texts) - 6
+    kept = frame(spark, texts).withColumn("__n", F.col("doc_id"))
+    assert {(r.root, r.source, r.words) for r in minhash.near_duplicates(kept.withColumnRenamed("w", "words"), "__n", keep=["source", "words"]).collect()} == {(first.get(t, i), "s", 1) for i, t in enumerate(texts)}
+
+
+def test_rows_of(spark, monkeypatch):
+    ids = [0, -1, -32768, 1, 32768, 32769, 70_000, 5 << 33, (5 << 33) + 9]
+    every = sorted({i + d for i in ids for d in range(-9, 10)} | {-i for i in ids})
+    df, wanted = spark.createDataFrame([(i, str(i)) for i in every], "k long, v string"), spark.createDataFrame([(i,) for i in ids * 2], "x long")
+    assert sorted(r.k for r in common.rows_of(df, wanted, "k").collect()) == sorted(ids)
+    assert common.rows_of(df, wanted, "k").columns == df.columns
+    assert common.rows_of(df, wanted.limit(0), "k").count() == 0
+    monkeypatch.setattr(common, "BITMAPS", 3)
+    assert common.rows_of(df, wanted, "k").count() == len(every)
+
+
 def test_sketches_estimate_weighted_jaccard():
     rng = np.random.default_rng(3)
     idf = np.ones(1 << minhash.IDF_BITS) * 2
