@@ -256,6 +256,31 @@ def test_encoder_agrees_with_whole_texts():
     assert encode([]) == []
 
 
+def test_encoder_gives_plain_words_to_the_model(tmp_path):
+    """Each once in all texts, not through the rules that part texts; other tokenizers keep their own rules."""
+    from tokenizers import AddedToken, Tokenizer, normalizers
+
+    draw = np.random.default_rng(5)
+    letters, marks = list("abeinorstENT") + ["é", "Ġ", "Ċ", "Å", "ß", "ɏ", "ā"], ["", "", ",", ".", ").", "&&"]
+    known = ["".join(draw.choice(letters, draw.integers(1, 14))) for _ in range(1500)]
+    lines = [" ".join(w + m for w, m in zip(draw.choice(known, 12), draw.choice(marks, 12))) for _ in range(900)]
+    texts = ["\n".join(lines[i : i + 3]) for i in range(0, 900, 3)] + ["Ġ", "a Ġ", "Ċ\nĠ Ċ.", "foo don't x1 | É"]
+    plain = Tokenizer.from_file(packing.tokenizer_path())
+    encode = packing.Encoder(packing.tokenizer_path())
+    parted, each = [], encode._each
+    encode._each = lambda words: parted.extend(words) or each(words)
+    assert [list(i) for i in encode(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert not [w for w in parted if w[:1] == " " and w[1:].isalpha()]
+    for change in ("normalizer", "added"):
+        other = Tokenizer.from_file(packing.tokenizer_path())
+        if change == "added":
+            other.add_tokens([AddedToken(known[0]), AddedToken("foo")])
+        else:
+            other.normalizer = normalizers.Lowercase()
+        other.save(f"{tmp_path}/{change}.json")
+        assert [list(i) for i in packing.Encoder(f"{tmp_path}/{change}.json")(["An Èx of, foo. EN", known[0]])] == [other.encode(t).ids for t in ("An Èx of, foo. EN", known[0])]
+
+
 def test_packing(spark):
     rng = random.Random(7)
     texts = [None, "", "hello world", "hello world", "a\tb  c", " lead", "x\n\ny"] + [" ".join(words(rng, rng.randrange(1, 900))) for _ in range(60)] + [" ".join(words(rng, 9000))]
