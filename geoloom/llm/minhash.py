@@ -27,37 +27,80 @@ SAMPLES = BANDS * ROWS
 AGREE = SAMPLES // 2  # samples that must be equal before a pair is verified: 5 deviations below a pair at 0.8
 IDF_BITS = 17  # words are hashed to 2**17 counters of document frequency
 _DRAW_BITS = 16  # random draws of a sample are tabled under this many bits of the shingle's hash
+_FLOORS = 4  # tables of least keys, 3 MB each, that a worker keeps
 BLOCK = 256  # classes of a bucket on each side of a group that is compared
-_ELEMENTS = 1 << 16  # shingles sampled at a time
+_ELEMENTS = 1 << 17  # words sampled at a time
 _HELD = 1 << 20  # shingles of texts that a task remembers while it verifies pairs
 
 
 def _draws() -> tuple:
-    """Draws of each sample: multipliers, log c, r and beta of Ioffe's sampling, the same in every task."""
+    """Draws of each sample, the same in every task: multipliers; log c - r, r and beta of Ioffe's sampling; tables of ``_floors``."""
     rng = np.random.default_rng(20240607)
     size = (SAMPLES, 1 << _DRAW_BITS)
-    r = rng.gamma(2.0, 1.0, size).astype(np.float32)
-    log_c = np.log(rng.gamma(2.0, 1.0, size)).astype(np.float32)
-    beta = rng.random(size, dtype=np.float32)
+    draws = np.empty((*size, 3), dtype=np.float32)
+    draws[..., 1] = rng.gamma(2.0, 1.0, size)
+    draws[..., 0] = np.log(rng.gamma(2.0, 1.0, size))
+    draws[..., 0] -= draws[..., 1]
+    draws[..., 2] = rng.random(size, dtype=np.float32)
     factors = rng.integers(0, 1 << 63, SAMPLES, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-    return factors, log_c - r, r, beta
+    return factors, draws, {}
 
 
-def shingles(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct hashes of five-word shingles and their weights, count times mean idf of the words.
+def _keys(draws: np.ndarray, log_w) -> tuple[np.ndarray, np.ndarray]:
+    """Keys and steps t of weights at draws; a greater weight never has a greater key, in floats too."""
+    shifted, r, beta = draws[..., 0], draws[..., 1], draws[..., 2]
+    t = np.floor(log_w / r + beta)
+    return shifted - r * (t - beta), t
+
+
+def _step(key: np.ndarray) -> np.ndarray:
+    """Keys in 256 steps, never falling."""
+    return np.clip((key + np.float32(24)) * np.float32(8), 0, 255).astype(np.uint8)
+
+
+def _floors(draws: np.ndarray, ceiling: np.float32) -> np.ndarray:
+    """Least steps of keys of weights up to ``ceiling``, for each sample and draw."""
+    return np.stack([_step(_keys(one, ceiling)[0]) for one in draws])
 
-    A text of fewer words, but not none, is one shingle.
+
+def shingles_of(texts: list[np.ndarray], idf: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Of each text's words, of which it has some: sorted distinct hashes of five-word shingles and their weights, count times mean idf of the words.
+
+    A text of fewer words is one shingle. Texts are hashed in one go; runs across their ends are left out.
     """
-    n = max(1, len(words) - SHINGLE + 1)
-    span = min(SHINGLE, len(words))
+    lengths = np.array([len(words) for words in texts])
+    ends = np.cumsum(lengths)
+    starts, short = ends - lengths, lengths < SHINGLE
+    words = np.concatenate(texts)
     weight = idf[words >> np.uint32(32 - IDF_BITS)]
     wide = mix(words.astype(np.uint64) + np.uint64(1))
-    h, w = np.zeros(n, dtype=np.uint64), np.zeros(n, dtype=np.float64)
-    for i in range(span):
-        h = h * np.uint64(0x9E3779B97F4A7C15) + wide[i : i + n]
-        w += weight[i : i + n]
-    h, at, counts = np.unique(mix(h), return_index=True, return_counts=True)
-    return h, w[at] / span * counts
+    h, w, alone = wide.copy(), weight.copy(), []
+    for i in range(1, min(SHINGLE, len(words))):
+        whole = starts[lengths == i]
+        alone.append((whole, h[whole], w[whole] / i))
+        h[:-i] *= np.uint64(0x9E3779B97F4A7C15)
+        h[:-i] += wide[i:]
+        w[:-i] += weight[i:]
+    w /= min(SHINGLE, len(words))
+    for whole, one, mean in alone:
+        h[whole], w[whole] = one, mean
+    h = mix(h)
+    found = []
+    for start, end in zip(starts, np.where(short, starts + 1, ends - SHINGLE + 1)):
+        order = np.argsort(h[start:end])
+        key, value = h[start:end][order], w[start:end][order]
+        first = np.flatnonzero(key[1:] != key[:-1])
+        if len(first) < len(key) - 1:
+            first = np.concatenate(([0], first + 1))
+            value = value[first] * np.diff(first, append=len(key))
+            key = key[first]
+        found.append((key, value))
+    return found
+
+
+def shingles(words: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``shingles_of`` one text."""
+    return shingles_of([words], idf)[0]
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -71,27 +114,48 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 def sketches(sets: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Samples (sets, SAMPLES) of 16 bits: equal with the sets' weighted Jaccard as the chance.
 
-    Every set has an element. Many sets are sampled in one go.
+    Every set has an element. Many sets are sampled in one go. A sample is the element with the least key. That key is
+    as a rule under ``level``, so keys are worked out only where a table of 256 steps lets them be under it, and for the
+    whole set where none is: the samples are those of all keys.
     """
-    factors, shifted, r, beta = kept_alone("draws", _draws)
+    factors, draws, floors = kept_alone("draws", _draws)
     h = np.concatenate([s[0] for s in sets])
-    log_w = np.log(np.concatenate([s[1] for s in sets])).astype(np.float32)
+    weights = np.concatenate([s[1] for s in sets])
+    log_w = np.log(weights).astype(np.float32)
     lengths = np.array([len(s[0]) for s in sets])
     starts = np.cumsum(lengths) - lengths
     owner = np.repeat(np.arange(len(sets)), lengths)
+    # The least key is the logarithm of an exponential draw over the set's mass.
+    level = np.log(np.log(lengths / 2 + 2) / np.add.reduceat(weights, starts)).astype(np.float32)
+    ceiling = np.ceil(np.quantile(log_w, 0.9) * 4).astype(np.float32) / np.float32(4)
+    if ceiling not in floors:
+        if len(floors) >= _FLOORS:
+            floors.clear()
+        floors[ceiling] = _floors(draws, ceiling)
+    bar = np.where(log_w <= ceiling, _step(level)[owner], 255).astype(np.uint8)
     out = np.empty((len(sets), SAMPLES), dtype=np.int16)
-    top = np.uint64(64 - _DRAW_BITS)
+    small = np.min_scalar_type(len(sets))
     for k in range(SAMPLES):
-        at = (h * factors[k]) >> top
-        rk = r[k][at]
-        bk = beta[k][at]
-        t = np.floor(log_w / rk + bk)
-        key = shifted[k][at] - rk * (t - bk)
-        least = np.minimum.reduceat(key, starts)
-        hit = np.flatnonzero(key == least[owner])[::-1]
+        at = ((h * factors[k]) >> np.uint64(64 - _DRAW_BITS)).view(np.int64)
+        few = np.flatnonzero(np.take(floors[ceiling][k], at) <= bar)
+        key, t = _keys(np.take(draws[k], at[few], axis=0), log_w[few])
+        under = key <= level[owner[few]]
+        few, key, t = few[under], key[under], t[under]
+        left = np.ones(len(sets), dtype=bool)
+        left[owner[few]] = False
+        if left.any():
+            n = lengths[left]
+            rest = np.arange(n.sum()) + np.repeat(starts[left] - (np.cumsum(n) - n), n)
+            few = np.concatenate([few, rest])
+            key, t = (np.concatenate(x) for x in zip((key, t), _keys(np.take(draws[k], at[rest], axis=0), log_w[rest])))
+            order = np.argsort(owner[few].astype(small), kind="stable")
+            few, key, t = few[order], key[order], t[order]
+        mine = owner[few]
+        least = np.minimum.reduceat(key, np.searchsorted(mine, np.arange(len(sets))))
+        hit = np.flatnonzero(key == least[mine])[::-1]
         chosen = np.empty(len(sets), dtype=np.int64)
-        chosen[owner[hit]] = hit  # of equal keys the least hash
-        sample = mix(h[chosen] + t[chosen].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        chosen[mine[hit]] = hit  # of equal keys the least hash
+        sample = mix(h[few[chosen]] + t[chosen].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         out[:, k] = (sample >> np.uint64(48)).astype(np.uint16).view(np.int16)
     return out
 
@@ -121,20 +185,15 @@ def word_idf(rows: DataFrame) -> np.ndarray:
     size = 1 << IDF_BITS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, total = np.zeros(size + 1, dtype=np.int64), 0
-        flags = np.zeros(size, dtype=bool)
+        seen = np.zeros(size + 1, dtype=np.int64)
         for batch in batches:
-            for value in batch.column(0).to_pylist():
-                at = np.frombuffer(value, dtype=np.uint32) >> np.uint32(32 - IDF_BITS)
-                if len(at) > 4096:
-                    flags[at] = True
-                    distinct = np.flatnonzero(flags)
-                    flags[distinct] = False
-                else:
-                    distinct = np.unique(at)
-                seen[distinct] += 1
-                total += len(at) > 0
-        seen[-1] = total
+            texts = [np.frombuffer(value, dtype=np.uint32) >> np.uint32(32 - IDF_BITS) for value in batch.column(0).to_pylist()]
+            lengths = [len(at) for at in texts]
+            at = np.repeat(np.arange(len(texts)) << IDF_BITS, lengths) + np.concatenate(texts) if texts else np.empty(0, dtype=np.int64)
+            at.sort()
+            once = at[np.flatnonzero(np.diff(at, prepend=-1))]
+            seen[:-1] += np.bincount(once & (size - 1), minlength=size)
+            seen[-1] += np.count_nonzero(lengths)
         at = np.flatnonzero(seen)
         yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(seen[at], pa.int64())], names=["f", "n"])
 
@@ -149,15 +208,15 @@ def _sampled(rows: DataFrame, idf) -> DataFrame:
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, at, size, first = [], 0, 0, 0
+            texts, at, size, first = [], 0, 0, 0
             values = batch.column(1).to_pylist()
             out = np.empty((len(values), SAMPLES), dtype=np.int16)
             for value in values:
-                found.append(shingles(np.frombuffer(value, dtype=np.uint32), idf.value))
-                at, size = at + 1, size + len(found[-1][0])
+                texts.append(np.frombuffer(value, dtype=np.uint32))
+                at, size = at + 1, size + len(texts[-1])
                 if size >= _ELEMENTS or at == len(values):
-                    out[first:at] = sketches(found)
-                    found, size, first = [], 0, at
+                    out[first:at] = sketches(shingles_of(texts, idf.value))
+                    texts, size, first = [], 0, at
             flat = pa.array(out.reshape(-1), pa.int16())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(0, len(flat) + 1, SAMPLES), pa.int32()), flat)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), lists], names=["rid", "digest", "samples"])
@@ -204,18 +263,25 @@ def _across(placed: DataFrame, rows: DataFrame, idf, least: float) -> DataFrame:
 
     Both sides of a bucket, those apart and all of it, are cut into blocks of about ``BLOCK`` classes; every pair of
     blocks meets in a group of its own, which compares inside and gives out links only. A pair is looked at
-    in the first bucket it shares, and not if the group has already linked its two sides.
+    in the first bucket it shares, and not if the group has already linked its two sides. Words come only to
+    classes that share ``AGREE`` samples with another of their group.
     """
     counts = placed.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("own") != F.col("theirs")).alias("n_apart"))
     counts = counts.filter("n_apart > 0").select("band", "key", F.ceil(F.col("n") / BLOCK).alias("bm"), F.ceil(F.col("n_apart") / BLOCK).alias("ba"))
-    mixed = materialize(placed.join(counts.hint("merge"), ["band", "key"]).withColumn("apart", F.col("own") != F.col("theirs")), "mixed")
-    mixed = mixed.join(rows_of(rows.select(F.col("rid").alias("rep"), "words"), mixed.select("rep"), "rep"), "rep")
+    mixed = placed.join(counts.hint("merge"), ["band", "key"]).withColumn("apart", F.col("own") != F.col("theirs"))
     block = lambda n: F.pmod(F.xxhash64("rep"), n).cast("int")
     to = lambda last: F.sequence(F.lit(0), (F.col(last) - 1).cast("int"))
     every = F.transform(to("ba"), lambda i: F.struct(i.alias("i"), block(F.col("bm")).alias("j"), F.lit(False).alias("left")))
     lefts = F.transform(to("bm"), lambda j: F.struct(block(F.col("ba")).alias("i"), j.alias("j"), F.lit(True).alias("left")))
     sides = mixed.withColumn("side", F.explode(F.concat(every, F.when(F.col("apart"), lefts).otherwise(F.slice(lefts, 1, 0)))))
-    sides = sides.select("band", "key", "side.*", "rep", "own", "apart", "samples", "words")
+    sides = materialize(sides.select("band", "key", "side.*", "rep", "own", "apart", "samples"), "sides")
+    left, right = sides.filter("left").alias("l"), sides.filter("NOT left").alias("r")
+    met = [F.col(f"l.{c}") == F.col(f"r.{c}") for c in ("band", "key", "i", "j")]
+    met += [F.col("l.own") != F.col("r.own"), ~F.col("r.apart") | (F.col("r.rep") > F.col("l.rep"))]
+    met += [agreement(F.col("l.samples"), F.col("r.samples")) >= AGREE]
+    able = left.join(right.hint("merge"), met, "left_semi").union(right.join(left.hint("merge"), met, "left_semi"))
+    able = materialize(able, "able")
+    sides = able.join(rows_of(rows.select(F.col("rid").alias("rep"), "words"), able.select("rep"), "rep"), "rep")
 
     def compare(group: pd.DataFrame) -> pd.DataFrame:
         left, right = group[group["left"]], group[~group["left"]]
@@ -224,7 +290,7 @@ def _across(placed: DataFrame, rows: DataFrame, idf, least: float) -> DataFrame:
         band = int(group["band"].iloc[0])
         reps, owns = right["rep"].to_numpy(), right["own"].to_numpy()
         apart, samples = right["apart"].to_numpy(), np.stack(right["samples"].to_numpy())
-        sets = [shingles(np.frombuffer(w, dtype=np.uint32), idf.value) for w in right["words"]]
+        sets = shingles_of([np.frombuffer(w, dtype=np.uint32) for w in right["words"]], idf.value)
         h, w = (np.concatenate([s[i] for s in sets]) for i in (0, 1))
         lengths = np.array([len(s[0]) for s in sets])
         ends = np.cumsum(lengths)

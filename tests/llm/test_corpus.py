@@ -172,6 +172,50 @@ def test_sketches_estimate_weighted_jaccard():
     assert minhash.similarity(x, x) == 1.0
 
 
+def test_sketches_are_those_of_all_keys(monkeypatch):
+    """Most keys are never worked out, and the samples are those of all: long, short and single sets, rare great weights."""
+    rng = np.random.default_rng(8)
+    idf = 1 + rng.random(1 << minhash.IDF_BITS) * 8
+    texts = [rng.integers(0, 1 << 32, n, dtype=np.uint32) for n in (1, 2, 4, 5, 6, 40, 300, 3000, 300, 9)]
+    texts += [np.tile(texts[6], 5), np.repeat(texts[0], 400), texts[7].copy()]
+    sets = minhash.shingles_of(texts, idf)
+    for words, (h, w) in zip(texts, sets):
+        span = min(5, len(words))
+        runs = defaultdict(list)
+        for i in range(len(words) - span + 1):
+            runs[tuple(words[i : i + span])].append(sum(idf[x >> np.uint32(32 - minhash.IDF_BITS)] for x in words[i : i + span]) / span)
+        assert len(h) == len(runs) and (np.diff(h.astype(object)) > 0).all() and np.allclose(sorted(w), sorted(v[0] * len(v) for v in runs.values()))
+        alone = minhash.shingles(words, idf)
+        assert (alone[0] == h).all() and (alone[1] == w).all()
+    got, worked, keys = minhash.sketches(sets), [], minhash._keys
+    monkeypatch.setattr(minhash, "_keys", lambda draws, log_w: worked.append(draws.size // 3) or keys(draws, log_w))
+    assert (minhash.sketches(sets) == got).all()
+    assert sum(worked) < 0.1 * minhash.SAMPLES * sum(len(h) for h, _ in sets)
+    factors, draws, _ = minhash._draws()
+    for mine, (h, w) in zip(got, sets):
+        for k in range(minhash.SAMPLES):
+            key, t = keys(draws[k][((h * factors[k]) >> np.uint64(48)).astype(np.int64)], np.log(w).astype(np.float32))
+            i = slice(key.argmin(), key.argmin() + 1)
+            sample = common.mix(h[i] + t[i].astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+            assert mine[k] == sample.astype(np.uint16).view(np.int16)[0]
+
+
+def test_words_only_of_classes_alike_in_samples(spark, monkeypatch):
+    """Classes that meet in a bucket by chance are told apart by their samples, before any words are moved."""
+    rng = np.random.default_rng(9)
+    text = rng.integers(0, 1 << 32, 50, dtype=np.uint32)
+    samples = rng.integers(-30000, 30000, (8, minhash.SAMPLES))
+    samples[:, : minhash.ROWS] = 7
+    samples[5, : minhash.AGREE] = samples[3, : minhash.AGREE]
+    placed = spark.createDataFrame([(0, 1, i, 0, i, 0, samples[i].tolist()) for i in range(8)], "band int, key long, rep long, least long, own long, theirs long, samples array<smallint>")
+    rows = spark.createDataFrame([(i, bytearray((text if i in (3, 5) else text[::-1] + np.uint32(i)).tobytes())) for i in range(8)], "rid long, words binary")
+    moved, plain = [], minhash.rows_of
+    monkeypatch.setattr(minhash, "rows_of", lambda df, ids, key: moved.extend(r[0] for r in ids.collect()) or plain(df, ids, key))
+    idf = spark.sparkContext.broadcast(np.ones(1 << minhash.IDF_BITS))
+    assert [set(r) for r in minhash._across(placed, rows, idf, minhash.SIMILARITY).collect()] == [{3, 5}]
+    assert set(moved) == {3, 5}
+
+
 def test_components(spark):
     rng = random.Random(5)
     links = [(i, i + 1) for i in range(60)] + [(100 + rng.randrange(50), 100) for _ in range(60)] + [(300, 300), (7, 5)]
