@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import sys
 
+import numpy as np
 from pyspark import cloudpickle
 
 from geoloom.functions.exact import exact_turn
@@ -12,6 +14,7 @@ from geoloom.functions.turn import ORIENT_BOUND
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 HOLE_OUTSIDE, HOLE_IN_HOLE, SHELL_IN_POLYGON = 3, 4, 5  # ranks of the faults
+CUTS = 4  # rounds in which boxes are told apart by gaps
 
 
 def _turn(ax, ay, bx, by, cx, cy):
@@ -55,27 +58,39 @@ def _counter_clockwise(xs: list[float], ys: list[float]) -> bool:
 
 
 def ring_parents(rings: list[tuple[list[float], list[float]]]) -> list[int]:
-    """The innermost ring round each closed ring, -1 for none.
+    """The innermost ring round each closed ring, -1 for none."""
+    edges = []
+    for ring, (xs, ys) in enumerate(rings):
+        left_inside = _counter_clockwise(xs, ys)
+        for x0, y0, x1, y1 in zip(xs, ys, xs[1:], ys[1:]):
+            if x0 != x1:
+                right = x1 > x0
+                edges.append((x0, y0, x1, y1, ring, left_inside) if right else (x1, y1, x0, y0, ring, not left_inside))
+    return edge_parents(edges, len(rings))
+
+
+def edge_parents(edges: list[tuple], n_rings: int, since: float = -math.inf) -> list[int]:
+    """The innermost ring round each ring, -1 for none; edges are ``(x0, y0, x1, y1, ring, inside is above)``, x0 < x1.
 
     A vertical line moves over the vertices in order of x and keeps the edges it meets in order of y. Where a
     ring starts, the edge below its lowest one tells: the ring of that edge holds it if its
     inside is above the edge, and else lies beside it. Edges cost the logarithm of those that are open.
+    The line may set out at ``since``, where all rings it meets start: given the edges that are beyond, it tells the same.
     """
     starts: dict[float, list] = {}
     ends: dict[float, list] = {}
+    begin = [math.inf] * n_rings
+    for edge in edges:
+        x = max(edge[0], since)
+        starts.setdefault(x, []).append(edge)
+        ends.setdefault(edge[2], []).append(edge)
+        begin[edge[4]] = min(begin[edge[4]], x)
     first: dict[float, list[int]] = {}
-    for ring, (xs, ys) in enumerate(rings):
-        left_inside = _counter_clockwise(xs, ys)
-        for x0, y0, x1, y1 in zip(xs, ys, xs[1:], ys[1:]):
-            if x0 != x1:
-                right = x1 > x0
-                edge = (x0, y0, x1, y1, ring, left_inside) if right else (x1, y1, x0, y0, ring, not left_inside)
-                starts.setdefault(edge[0], []).append(edge)
-                ends.setdefault(edge[2], []).append(edge)
-        first.setdefault(min(xs), []).append(ring)
+    for ring, x in enumerate(begin):
+        first.setdefault(x, []).append(ring)
     status: list = []
     beside: dict[int, int] = {}
-    parent = [-1] * len(rings)
+    parent = [-1] * n_rings
     for x in sorted({*starts, *ends}):
         for edge in ends.get(x, ()):
             i = _place(status, edge)
@@ -103,7 +118,7 @@ def ring_parents(rings: list[tuple[list[float], list[float]]]) -> list[int]:
     # A ring beside another has the same parent.
     for ring in list(beside):
         chain = []
-        while ring in beside and len(chain) <= len(rings):
+        while ring in beside and len(chain) <= n_rings:
             chain.append(ring)
             ring = beside[ring]
         for one in chain:
@@ -115,17 +130,21 @@ def ring_parents(rings: list[tuple[list[float], list[float]]]) -> list[int]:
 def nesting_fault(parts: list[list[tuple[list[float], list[float]]]]) -> int | None:
     """The first fault of a (multi-)polygon whose rings do not cross, by rank: a hole outside its shell, a hole in a
     hole, a shell in another polygon and in none of its holes."""
-    rings = [(part, hole > 0, ring) for part, some in enumerate(parts) for hole, ring in enumerate(some)]
-    parent = ring_parents([ring for *_, ring in rings])
+    places = [(part, hole > 0) for part, some in enumerate(parts) for hole in range(len(some))]
+    return _tree_fault(ring_parents([ring for some in parts for ring in some]), places, len(parts))
+
+
+def _tree_fault(parent: list[int], places: list[tuple[int, bool]], n_parts: int) -> int | None:
+    """:func:`nesting_fault` of rings with the part of each and whether it is a hole."""
     children: dict[int, list[int]] = {}
     for i, p in enumerate(parent):
         children.setdefault(p, []).append(i)
-    shells, holes = [0] * len(parts), [0] * len(parts)  # open on the way down
+    shells, holes = [0] * n_parts, [0] * n_parts  # open on the way down
     solid, found = 0, set()
     todo = [(i, True) for i in children.get(-1, ())]
     while todo:
         i, enters = todo.pop()
-        part, is_hole, _ = rings[i]
+        part, is_hole = places[i]
         full = shells[part] > 0 and not holes[part]
         if enters:
             if is_hole:
@@ -138,3 +157,70 @@ def nesting_fault(parts: list[list[tuple[list[float], list[float]]]]) -> int | N
         (holes if is_hole else shells)[part] += 1 if enters else -1
         solid += (shells[part] > 0 and not holes[part]) - full
     return min(found, default=None)
+
+
+def _numbered(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Equal tuples numbered from 0 in order, and where each number is met."""
+    order = np.lexsort(keys[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    for key in keys:
+        new[1:] |= key[order][1:] != key[order][:-1]
+    number = np.empty(len(order), dtype=np.int64)
+    number[order] = np.cumsum(new)
+    return number, order[np.append(True, new[1:])]
+
+
+def _apart(sides: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """Numbers groups of boxes, given by their least and greatest ordinates: boxes of different groups do not meet."""
+    group, n = np.zeros(len(sides[0][0]), dtype=np.int64), 1
+    # Ranks for ordinates, so that one running maximum serves all groups.
+    sides = [np.unique(np.concatenate(side), return_inverse=True)[1].reshape(2, -1) for side in sides]
+    for _ in range(CUTS):
+        before = n
+        for low, high in sides:
+            order, past = np.lexsort((low, group)), group * (high.max() + 1)
+            reach = np.maximum.accumulate((past + high)[order])
+            cut = np.append(False, (past + low)[order][1:] > reach[:-1])
+            group[order] = np.cumsum(cut)
+            n = int(cut.sum()) + 1
+        if n == before:
+            break
+    return group
+
+
+def strip_fault(x0, y0, x1, y1, above, part, ring, since: float) -> int | None:
+    """:func:`nesting_fault` of the rings that a strip of the plane meets, told by the edges that reach into it: arrays of
+    their ends from left to right, whether the inside is above, and their rings (0 is the shell of a part).
+
+    ``since`` is the left border. All rings round a ring in the strip are met by it too, so the first fault
+    of an area is the least of its strips.
+    """
+    number, at = _numbered(part, ring)
+    is_hole = ring[at] > 0
+    rows = np.argsort(number, kind="stable")
+    begin = np.flatnonzero(np.append(True, number[rows][1:] != number[rows][:-1]))
+    over = lambda fold, values: fold.reduceat(values[rows], begin)
+    group = _apart([
+        (over(np.minimum, np.minimum(y0, y1)), over(np.maximum, np.maximum(y0, y1))), (over(np.minimum, x0), over(np.maximum, x1))
+    ])
+    alone = np.bincount(group)[group] == 1
+    if (alone & is_hole).any():
+        return HOLE_OUTSIDE
+    # Rings that meet no other's box are round none and in none.
+    rows = np.flatnonzero(~alone[number])
+    rows = rows[np.argsort(group[number[rows]], kind="stable")]
+    found = set()
+    ends = np.flatnonzero(np.diff(group[number[rows]])) + 1
+    for start, stop in zip([0, *ends.tolist()], [*ends.tolist(), len(rows)]):
+        some = rows[start:stop]
+        if not len(some):
+            continue
+        here, first = np.unique(number[some], return_index=True)
+        local = np.searchsorted(here, number[some])
+        parts, of = np.unique(part[some][first], return_inverse=True)
+        edges = list(zip(*(v[some].tolist() for v in (x0, y0, x1, y1)), local.tolist(), above[some].tolist()))
+        fault = _tree_fault(edge_parents(edges, len(here), since), list(zip(of.tolist(), is_hole[here].tolist())), len(parts))
+        if fault == HOLE_OUTSIDE:
+            return fault
+        found |= {fault} - {None}
+    return min(found, default=None)
